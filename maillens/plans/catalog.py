@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from maillens.plans import mail_queries, text_queries, traffic_queries  # noqa: F401
+from maillens.plans import mail_queries, ml_queries, text_queries, traffic_queries  # noqa: F401
 from maillens.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
