@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from maillens.plans import mail_queries, ml_queries, text_queries, traffic_queries  # noqa: F401
+from maillens.plans import (  # noqa: F401
+    mail_queries,
+    ml_queries,
+    model_queries,
+    text_queries,
+    topic_queries,
+    traffic_queries,
+)
 from maillens.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
