@@ -352,3 +352,25 @@ def q_nb_final(spark, sf_dir):
     ev = nb_evaluation(spark, sf_dir).where(F.col("part") == K)
     best = nb_best(spark, sf_dir).select("grid_index")
     return _met_spark(ev.join(F.broadcast(best), "grid_index"))
+
+
+_FINAL_WHERE = f" from met where part = {K} and grid_index = (select grid_index from best)"
+
+
+def _final_cols(*cols):
+    def build(spark, sf_dir):
+        return q_nb_final(spark, sf_dir).select("grid_index", *cols)
+    return build
+
+
+for _name, _cols, _doc in (
+        ("test_error", ("n", "error", "accuracy"),
+         "Misclassification rate and accuracy % of the final model on the test part."),
+        ("aupr", ("aupr",), "Area under the PR curve of the final model's hard labels."),
+        ("auroc", ("auroc",), "Area under the ROC curve of the final model's hard labels."),
+        ("prediction_errors", ("mae", "mse"),
+         "Mean absolute and squared error of the final model's predictions.")):
+    _fn = _final_cols(*_cols)
+    _fn.__doc__ = _doc
+    _sql_cols = ", ".join(c if c == "n" else f"{_r6(c)} {c}" for c in _cols)
+    query(_name, sql=_ml_sql(f"select grid_index, {_sql_cols}" + _FINAL_WHERE))(_fn)

@@ -51,3 +51,44 @@ for _m in ("logreg", "svm", "tree"):
     query(f"cv_{_m}")(_cv(_m))
 for _m in ("logreg", "svm", "tree", "nb"):
     query(f"report_{_m}")(_report(_m))
+
+
+# ------------------------------------------------------------ insider table
+# The scripts' own input: the 21-column insider feature CSV, label =
+# column 20 (poi), features at the fixed positions.
+
+
+def insider_learning(spark, sf_dir):
+    """(key, label, features..., is_train, fold, part) and feature names."""
+    from pyspark.sql import functions as F
+
+    from maillens.operators import selection as SE
+    from maillens.plans.ml_queries import feature_csv
+
+    sel = FE.select_features(FE.fill_numeric(feature_csv(spark, sf_dir)), keep=("email",))
+    feats = sel.columns[2:]
+    sel = FE.to_double(sel, ["label"] + feats)
+    sel = SE.add_split(sel, "email")
+    return sel.withColumn("key", F.xxhash64("email")).drop("email"), feats
+
+
+def _insider_table(model, spark, sf_dir):
+    t, feats = insider_learning(spark, sf_dir)
+    if model in ("logreg", "svm"):
+        t = FE.standardize(t, feats)
+    elif model == "nb":
+        t = FE.absolute(FE.standardize(t, feats, with_mean=False), ["label"] + feats)
+    return CL.prepared(t, feats), feats
+
+
+def _insider_report(model):
+    def build(spark, sf_dir):
+        t, feats = _insider_table(model, spark, sf_dir)
+        return CL.report(spark, model, t, feats)
+    build.__doc__ = (f"{CL.MODEL_NAMES[model]} on the insider feature table "
+                     "(the scripts' own input): report row.")
+    return build
+
+
+for _m in ("logreg", "svm", "tree", "nb"):
+    query(f"report_{_m}_insiders")(_insider_report(_m))

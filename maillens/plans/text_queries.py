@@ -139,3 +139,13 @@ def q_tfidf_textbook(spark, sf_dir):
     """TF-IDF as the README states it: count / length x ln(N / df)."""
     words = corpus_words(spark, sf_dir)
     return TM.tfidf_textbook(words, vocab_frame(spark, sf_dir))
+
+
+@query("tokens", sql=_text_sql(
+    "select doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), "
+    f"'{_WS}'), lambda x: x <> ''))::INTEGER n_tokens from documents"))
+def q_tokens(spark, sf_dir):
+    """Whitespace tokens per document before cleaning (Python split rule)."""
+    from maillens.functions.text import tokens
+    toks = F.filter(tokens(F.col("text")), lambda w: w != "")
+    return corpus(spark, sf_dir).select("doc_id", F.size(toks).alias("n_tokens"))
