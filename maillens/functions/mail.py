@@ -22,8 +22,10 @@ RECIPIENT_SEPARATOR = ","
 
 
 def normalize_newlines(raw: Column) -> Column:
-    """CRLF and lone CR become LF, as a text-mode file read does."""
-    return F.regexp_replace(raw, "\r\n?", "\n")
+    """CRLF and lone CR become LF, as a text-mode file read does (the
+    regex runs only on texts that hold a CR)."""
+    return F.when(F.instr(raw, "\r") > 0,
+                  F.regexp_replace(raw, "\r\n?", "\n")).otherwise(raw)
 
 
 def header_block(raw: Column) -> Column:

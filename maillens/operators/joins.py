@@ -27,13 +27,19 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def hint(df: DataFrame, small: bool) -> DataFrame:
+    """``broadcast(df)`` when an earlier probe proved it small."""
+    return F.broadcast(df) if small else df
+
+
 def semi_join(df: DataFrame, keys: DataFrame, left_on: str, right_on: str,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              max_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Rows of ``df`` whose ``left_on`` occurs in ``keys.right_on``.
 
     The membership filter of the reference ("value in list") expressed
-    as a left-semi join instead of a driver-side list.
+    as a left-semi join instead of a driver-side list. ``small`` reuses a
+    size decision already made for ``keys`` (or a table containing it).
     """
     k = keys.select(F.col(right_on).alias("__key")).distinct()
-    k = small_side(k, max_rows)
+    k = small_side(k, max_rows) if small is None else hint(k, small)
     return df.join(k, df[left_on] == k["__key"], "left_semi")

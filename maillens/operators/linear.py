@@ -68,11 +68,12 @@ def trajectory_of(g: dict) -> tuple[Trajectory, int]:
 
 def _mix(key: np.ndarray, t: int) -> np.ndarray:
     """Deterministic 0/1 per (key, iteration): even hash keeps the row."""
-    h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= np.uint64(t) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    with np.errstate(over="ignore"):   # multiplications wrap modulo 2**64
+        h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= np.uint64((t * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
     return (h & np.uint64(1)) == 0
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maillens.operators.joins import semi_join, small_side
+from maillens.operators.joins import DEFAULT_BROADCAST_ROWS, hint, row_count_at_most, semi_join
 
 COUNT_COLUMNS = ("n_sent", "n_received", "n_from_poi", "n_to_poi")
 
@@ -66,8 +66,17 @@ def mails_received(messages: DataFrame, people: DataFrame) -> DataFrame:
             .groupBy("email").agg(F.count(F.lit(1)).alias("n_received")))
 
 
-def _poi_flag(df: DataFrame, people: DataFrame, on: str, flag: str) -> DataFrame:
-    poi = small_side(poi_list(people).distinct()).select(
+def people_are_small(people: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """One bounded probe of the person table. Every table broadcast below
+    (POI list, person keys, per-person counts) has at most as many rows,
+    so this single decision covers them all."""
+    return row_count_at_most(people.select("email"), max_rows)
+
+
+def _poi_flag(df: DataFrame, people: DataFrame, on: str, flag: str,
+              small: bool | None = None) -> DataFrame:
+    small = people_are_small(people) if small is None else small
+    poi = hint(poi_list(people).distinct(), small).select(
         F.col("email").alias("__poi"), F.lit(True).alias(flag))
     return (df.join(poi, df[on] == poi["__poi"], "left")
             .drop("__poi")
@@ -79,8 +88,9 @@ def sent_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
 
     Every person that sent a mail has a row; zero when none went to a POI.
     """
-    rows = exploded_recipients(insider_messages(messages, people))
-    rows = _poi_flag(rows, people, "recipient", "to_poi")
+    small = people_are_small(people)
+    rows = exploded_recipients(semi_join(messages, people, "sender", "email", small=small))
+    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
     return (rows.groupBy(F.col("sender").alias("email"))
             .agg(F.count_if(F.col("to_poi")).alias("n_to_poi")))
 
@@ -88,8 +98,9 @@ def sent_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
 def mails_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
     """(email, n_mails_to_poi): mails of a person with at least one POI
     recipient (the variant named in the reference's comment)."""
-    rows = exploded_recipients(insider_messages(messages, people))
-    rows = _poi_flag(rows, people, "recipient", "to_poi")
+    small = people_are_small(people)
+    rows = exploded_recipients(semi_join(messages, people, "sender", "email", small=small))
+    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
     return (rows.groupBy(F.col("sender").alias("email"))
             .agg(F.count_distinct(F.when(F.col("to_poi"), F.col("msg_id")))
                  .alias("n_mails_to_poi")))
@@ -98,9 +109,10 @@ def mails_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
 def received_from_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
     """(email, n_from_poi): recipient occurrences of a person in mails
     sent by a POI; only persons with at least one such mail."""
-    from_poi = semi_join(messages, poi_list(people), "sender", "email")
+    small = people_are_small(people)
+    from_poi = semi_join(messages, poi_list(people), "sender", "email", small=small)
     rec = from_poi.select(F.explode(recipient_list(F.col("to_list"))).alias("email"))
-    return (semi_join(rec, people, "email", "email")
+    return (semi_join(rec, people, "email", "email", small=small)
             .groupBy("email").agg(F.count(F.lit(1)).alias("n_from_poi")))
 
 
@@ -116,7 +128,8 @@ def message_count(messages: DataFrame) -> DataFrame:
     return messages.agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-def traffic_counts(messages: DataFrame, people: DataFrame) -> DataFrame:
+def traffic_counts(messages: DataFrame, people: DataFrame,
+                   small: bool | None = None) -> DataFrame:
     """All four counts in one scan and one (tiny) shuffle.
 
     Every exploded recipient row contributes twice: to its sender
@@ -126,9 +139,10 @@ def traffic_counts(messages: DataFrame, people: DataFrame) -> DataFrame:
     Result: (email, n_sent, n_received, n_from_poi, n_to_poi) for every
     person with any traffic.
     """
+    small = people_are_small(people) if small is None else small
     rows = exploded_recipients(messages)
-    rows = _poi_flag(rows, people, "recipient", "to_poi")
-    rows = _poi_flag(rows, people, "sender", "from_poi")
+    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
+    rows = _poi_flag(rows, people, "sender", "from_poi", small)
     first = (F.col("pos") == 0) | F.col("pos").isNull()
     contrib = rows.select(
         F.inline(F.array(
@@ -145,7 +159,7 @@ def traffic_counts(messages: DataFrame, people: DataFrame) -> DataFrame:
                      F.lit(0).alias("to_poi")),
         ))
     )
-    contrib = semi_join(contrib, people, "email", "email")
+    contrib = semi_join(contrib, people, "email", "email", small=small)
     return contrib.groupBy("email").agg(
         F.sum("sent").cast("bigint").alias("n_sent"),
         F.sum("received").cast("bigint").alias("n_received"),
@@ -154,7 +168,8 @@ def traffic_counts(messages: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def attach_counts(people: DataFrame, counts: DataFrame, how: str = "left") -> DataFrame:
+def attach_counts(people: DataFrame, counts: DataFrame, how: str = "left",
+                  small: bool | None = None) -> DataFrame:
     """People columns, then the four counts, then ``poi`` last.
 
     ``how='left'`` keeps every person (zero for no traffic); ``'inner'``
@@ -165,9 +180,9 @@ def attach_counts(people: DataFrame, counts: DataFrame, how: str = "left") -> Da
     if how == "inner":
         counts = counts.where((F.col("n_sent") > 0) & (F.col("n_received") > 0)
                               & (F.col("n_from_poi") > 0))
-        joined = people.join(small_side(counts), "email", "inner")
+        joined = people.join(hint(counts, small), "email", "inner")
     elif how == "left":
-        joined = people.join(small_side(counts), "email", "left")
+        joined = people.join(hint(counts, small), "email", "left")
     else:
         raise ValueError("how must be 'left' or 'inner'")
     return joined.select(
@@ -179,7 +194,8 @@ def attach_counts(people: DataFrame, counts: DataFrame, how: str = "left") -> Da
 
 def insider_features(messages: DataFrame, people: DataFrame, how: str = "left") -> DataFrame:
     """The person table with n_sent, n_received, n_from_poi, n_to_poi."""
-    return attach_counts(people, traffic_counts(messages, people), how)
+    small = people_are_small(people)
+    return attach_counts(people, traffic_counts(messages, people, small), how, small)
 
 
 def sent_received_inner(messages: DataFrame, people: DataFrame) -> DataFrame:

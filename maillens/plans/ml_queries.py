@@ -23,9 +23,13 @@ DOC_FEATURES = list(fx.DOC_FEATURE_COLUMNS)
 
 
 def learning_table(spark, sf_dir):
-    """(doc_id, label, 10 double features, is_train, fold, part)."""
+    """(doc_id, label, 10 double features, is_train, fold, part).
+
+    Checkpointed to the shared folder (lineage cut): scaling statistics,
+    class sums and scoring each read it, and the character counts over
+    whole documents are computed once."""
     df = FE.labelled(fx.doc_features(spark, sf_dir), "doc_id", "label", DOC_FEATURES)
-    return SE.add_split(df, "doc_id")
+    return SE.add_split(df, "doc_id").checkpoint(eager=True)
 
 
 def nb_table(spark, sf_dir):

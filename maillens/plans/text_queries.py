@@ -33,8 +33,11 @@ def vocab_frame(spark, sf_dir, size=TM.VOCAB_SIZE):
 
 
 def tfidf_vectors(spark, sf_dir, size=TM.VOCAB_SIZE):
-    """(words, vectors with raw_features and features, vocabulary list)."""
-    words = corpus_words(spark, sf_dir)
+    """(vectors with raw_features and features, vocabulary list, IDF model).
+
+    The cleaned corpus is persisted (memory, spilling to disk) for the
+    three passes: vocabulary, IDF fit, and whatever reads the vectors."""
+    words = corpus_words(spark, sf_dir).persist()
     vocab = TM.vocabulary(TM.term_stats(words), size)
     counted = TM.count_model(vocab).transform(words)
     idf = TM.fit_idf(counted)

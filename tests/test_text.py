@@ -4,7 +4,12 @@ import re
 
 from pyspark.sql import functions as F
 
-from maillens.functions.text import clean_text, default_stopwords, reference_stopwords
+from maillens.functions.text import (
+    clean_text,
+    clean_text_per_token,
+    default_stopwords,
+    reference_stopwords,
+)
 
 
 def python_clean(text, stop):
@@ -28,11 +33,12 @@ TEXTS = [
 
 def test_clean_text_equals_python(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
-    for stop in (default_stopwords(), reference_stopwords()):
-        got = {r.id: r.w for r in df.select("id", clean_text(F.col("text"), stop)
-                                            .alias("w")).collect()}
-        for i, t in enumerate(TEXTS):
-            assert got[i] == python_clean(t, stop), (i, t)
+    for fn in (clean_text, clean_text_per_token):
+        for stop in (default_stopwords(), reference_stopwords()):
+            got = {r.id: r.w for r in df.select("id", fn(F.col("text"), stop)
+                                                .alias("w")).collect()}
+            for i, t in enumerate(TEXTS):
+                assert got[i] == python_clean(t, stop), (fn.__name__, i, t)
 
 
 def test_reference_quirk_keeps_two_words():
@@ -44,3 +50,9 @@ def test_reference_quirk_keeps_two_words():
 def test_null_text_is_empty(spark):
     df = spark.createDataFrame([(None,)], "text string")
     assert df.select(clean_text(F.col("text")).alias("w")).first().w == []
+
+
+def test_one_pass_equals_per_token_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    diff = docs.where(clean_text(F.col("text")) != clean_text_per_token(F.col("text")))
+    assert diff.count() == 0
