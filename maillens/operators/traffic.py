@@ -168,6 +168,47 @@ def traffic_counts(messages: DataFrame, people: DataFrame,
     )
 
 
+def traffic_counts_long(senders: DataFrame, recipients: DataFrame, people: DataFrame,
+                        small: bool | None = None) -> DataFrame:
+    """``traffic_counts`` from long-form input: ``senders(msg_id, sender)``
+    (one row per mail) and ``recipients(msg_id, sender, recipient)`` (one
+    row per listed recipient, as a mail store or a join delivers them).
+
+    Mails contribute a sent count, recipient rows the other three; the
+    union goes through one semi join and one aggregate. No per-mail list
+    is ever assembled, so a mail with a huge recipient list is spread over
+    tasks like any other rows.
+    """
+    small = people_are_small(people) if small is None else small
+    rows = _poi_flag(recipients.select("sender", "recipient"), people, "recipient", "to_poi",
+                     small)
+    rows = _poi_flag(rows, people, "sender", "from_poi", small)
+    zero = F.lit(0)
+    sent = senders.select(F.col("sender").alias("email"), F.lit(1).alias("sent"),
+                          zero.alias("received"), zero.alias("from_poi"), zero.alias("to_poi"))
+    contrib = rows.select(F.inline(F.array(
+        F.struct(F.col("sender").alias("email"), zero.alias("sent"), zero.alias("received"),
+                 zero.alias("from_poi"), F.col("to_poi").cast("int").alias("to_poi")),
+        F.struct(F.col("recipient").alias("email"), zero.alias("sent"),
+                 F.lit(1).alias("received"), F.col("from_poi").cast("int").alias("from_poi"),
+                 zero.alias("to_poi")))))
+    contrib = semi_join(sent.unionByName(contrib), people, "email", "email", small=small)
+    return contrib.groupBy("email").agg(
+        F.sum("sent").cast("bigint").alias("n_sent"),
+        F.sum("received").cast("bigint").alias("n_received"),
+        F.sum("from_poi").cast("bigint").alias("n_from_poi"),
+        F.sum("to_poi").cast("bigint").alias("n_to_poi"),
+    )
+
+
+def insider_features_long(senders: DataFrame, recipients: DataFrame, people: DataFrame,
+                          how: str = "left") -> DataFrame:
+    """``insider_features`` from long-form mail input."""
+    small = people_are_small(people)
+    counts = traffic_counts_long(senders, recipients, people, small)
+    return attach_counts(people, counts, how, small)
+
+
 def attach_counts(people: DataFrame, counts: DataFrame, how: str = "left",
                   small: bool | None = None) -> DataFrame:
     """People columns, then the four counts, then ``poi`` last.

@@ -139,7 +139,19 @@ def _insider_features_sql(how: str) -> str:
 
 @query("insider_features", sql=_insider_features_sql("left"))
 def q_insider_features(spark, sf_dir):
-    """Flagship: every person with n_sent, n_received, n_from_poi, n_to_poi."""
+    """Flagship: every person with n_sent, n_received, n_from_poi, n_to_poi.
+
+    Runs on the long form of the mails (one row per recipient straight
+    from the join), so no recipient list is built anywhere in the plan."""
+    return T.insider_features_long(fx.message_senders(spark, sf_dir),
+                                   fx.message_recipients(spark, sf_dir),
+                                   fx.insiders(spark, sf_dir))
+
+
+@query("insider_features_lists", sql=_insider_features_sql("left"))
+def q_insider_features_lists(spark, sf_dir):
+    """The same table from the message-line model (comma-joined lists),
+    counted in one scan of the messages."""
     return T.insider_features(fx.messages(spark, sf_dir), fx.insiders(spark, sf_dir))
 
 

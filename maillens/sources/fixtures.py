@@ -51,6 +51,24 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def message_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(msg_id, sender): one row per mail, without its recipient list."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return orders.select(F.col("o_orderkey").alias("msg_id"),
+                         address(F.col("o_custkey")).alias("sender"))
+
+
+def message_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(msg_id, sender, recipient): the same mails in long form, one row
+    per listed recipient, no list is ever built (a mail without items has
+    no row here; ``message_senders`` still holds it)."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    return orders.join(items, orders.o_orderkey == items.l_orderkey).select(
+        F.col("o_orderkey").alias("msg_id"), address(F.col("o_custkey")).alias("sender"),
+        address(F.col("l_suppkey")).alias("recipient"))
+
+
 def insiders(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") < N_INSIDERS)
     key = F.col("c_custkey")

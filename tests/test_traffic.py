@@ -96,3 +96,13 @@ def test_flagship_plan_is_broadcast_and_native(spark):
     plan = T.insider_features(m, p)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_long_form_equals_list_form(spark):
+    m, p = frames(spark)
+    senders = m.select("msg_id", "sender")
+    rows = [(i, s, r) for i, s, t in MSGS if t is not None for r in t.split(",")]
+    recips = spark.createDataFrame(rows, "msg_id long, sender string, recipient string")
+    a = sorted(T.insider_features_long(senders, recips, p).collect())
+    b = sorted(T.insider_features(m, p).collect())
+    assert a == b
