@@ -29,12 +29,14 @@ def normalize_newlines(raw: Column) -> Column:
 
 
 def header_block(raw: Column) -> Column:
-    return F.get(F.split(raw, "\n\n", 2), 0)
+    """Text before the first blank line (literal search, no regex)."""
+    return F.substring_index(raw, "\n\n", 1)
 
 
 def body_part(raw: Column) -> Column:
     """Text after the first blank line; ``''`` for a header-only mail."""
-    return F.coalesce(F.get(F.split(raw, "\n\n", 2), 1), F.lit(""))
+    at = F.instr(raw, "\n\n")
+    return F.when(at > 0, raw.substr(at + 2, F.length(raw))).otherwise(F.lit(""))
 
 
 def _value_pattern(name: str) -> str:

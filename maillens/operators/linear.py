@@ -126,12 +126,19 @@ def _gradient_fn(setup: _Setup, W: np.ndarray, active: np.ndarray, t: int):
     return run
 
 
-def _sum_partials(data: DataFrame, fn, size: int) -> np.ndarray:
-    out = (data.mapInPandas(fn, "idx long, v double")
-           .groupBy("idx").agg(F.sum("v").alias("v")).collect())
+# Up to this many input partitions the per-partition partial sums (each
+# bounded by the grid size) are fetched and added on the driver; above it
+# they are added by an aggregate on the executors first.
+DIRECT_PARTIALS = 64
+
+
+def _sum_partials(data: DataFrame, fn, size: int, n_partitions: int) -> np.ndarray:
+    parts = data.mapInPandas(fn, "idx long, v double")
+    if n_partitions > DIRECT_PARTIALS:
+        parts = parts.groupBy("idx").agg(F.sum("v").alias("v"))
+    pdf = parts.toPandas()
     vec = np.zeros(size)
-    for r in out:
-        vec[r["idx"]] = r["v"]
+    np.add.at(vec, pdf["idx"].to_numpy(), pdf["v"].to_numpy())
     return vec
 
 
@@ -156,9 +163,10 @@ def fit(data: DataFrame, kind: str, trajs: list[Trajectory], features: list[str]
     active = np.ones(M, dtype=bool)
     updated_once = np.zeros(M, dtype=bool)
     snaps = {}
+    n_parts = data.rdd.getNumPartitions()
     for t in range(1, max(snapshots) + 1):
         if active.any():
-            vec = _sum_partials(data, _gradient_fn(setup, W, active, t), M * d1 + M)
+            vec = _sum_partials(data, _gradient_fn(setup, W, active, t), M * d1 + M, n_parts)
             G, cnt = vec[:M * d1].reshape(M, d1), vec[M * d1:]
             upd = active & (cnt > 0)
             alpha = step / math.sqrt(t)
@@ -217,7 +225,8 @@ def evaluate(data: DataFrame, snaps: dict, setup: _Setup) -> dict:
     keys = sorted(snaps)
     stack = np.stack([snaps[t] for t in keys])
     S, M, _ = stack.shape
-    vec = _sum_partials(data, _eval_fn(setup, stack), S * M * 4).reshape(S, M, 4)
+    vec = _sum_partials(data, _eval_fn(setup, stack), S * M * 4,
+                        data.rdd.getNumPartitions()).reshape(S, M, 4)
     return {(t, m): tuple(int(v) for v in vec[i, m]) for i, t in enumerate(keys)
             for m in range(M)}
 
@@ -258,3 +267,22 @@ def weights_of(snaps: dict, setup: _Setup, trajs: list[Trajectory], traj: Trajec
     """(weights, intercept) of one trained model."""
     W = snaps[iterations][trajs.index(traj) * (k + 1) + part]
     return W[:-1], float(W[-1])
+
+
+def ml_estimator(kind: str, reg_param: float = 0.0, reg_type: str | None = None,
+                 max_iter: int = 100, intercept: bool = True):
+    """Option: Spark ML's own trainers instead of SGD (``LogisticRegression``
+    with L-BFGS / OWL-QN, ``LinearSVC`` with OWL-QN). They have no step
+    size or mini-batch parameters; L1 maps to ``elasticNetParam=1`` for the
+    logistic model, and ``LinearSVC`` supports L2 only."""
+    from pyspark.ml.classification import LinearSVC, LogisticRegression
+
+    reg = 0.0 if (reg_type in (None, "none")) else reg_param
+    if kind == "logistic":
+        return LogisticRegression(maxIter=max_iter, regParam=reg,
+                                  elasticNetParam=1.0 if reg_type == "l1" else 0.0,
+                                  fitIntercept=intercept, standardization=False)
+    if reg_type == "l1":
+        raise ValueError("LinearSVC supports L2 regularisation only")
+    return LinearSVC(maxIter=max_iter, regParam=reg, fitIntercept=intercept,
+                     standardization=False)

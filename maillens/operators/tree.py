@@ -27,7 +27,7 @@ def fit_one(train: DataFrame, impurity: str, max_depth: int, max_bins: int = 32,
 
 
 def cross_validate(data: DataFrame, grid: list[dict], features: list[str], k: int,
-                   parallelism: int = 4) -> DataFrame:
+                   parallelism: int = 8) -> DataFrame:
     """Predictions (grid_index, part, label, prediction) of every grid
     point trained on the training rows outside each part (parts 0..k)."""
     vec = assemble(data, features).select("key", "label", "part", "features")

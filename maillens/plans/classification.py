@@ -59,13 +59,25 @@ def grid_points(model: str) -> list[dict]:
     return SE.param_grid(GRIDS[model])
 
 
-def prepared(table: DataFrame, features: list[str]) -> DataFrame:
+ROWS_PER_PARTITION = 1_000_000
+
+
+def prepared(table: DataFrame, features: list[str],
+             rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Compact learning table with lineage cut (checkpoint in the shared
-    folder) and cached: the gradient loop scans it once per iteration."""
+    folder) and cached: the gradient loop scans it once per iteration.
+
+    Partitions are sized by rows (about ``rows_per_partition`` each, by
+    merging partitions without a shuffle), so an iteration over a small
+    table is one task, and a large one spreads over the cluster."""
     slim = table.select(F.col("key"), F.col("label").cast("double").alias("label"),
                         F.col("part").cast("int").alias("part"),
                         *[F.col(c).cast("double").alias(c) for c in features])
-    return slim.checkpoint(eager=True).persist()
+    slim = slim.checkpoint(eager=True)
+    wanted = max(1, -(-slim.count() // rows_per_partition))
+    if wanted < slim.rdd.getNumPartitions():
+        slim = slim.coalesce(wanted)
+    return slim.persist()
 
 
 def grid_metrics(spark: SparkSession, model: str, table: DataFrame, features: list[str],

@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "maillens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,49 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = scratch_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/maillens/{leaf}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``maillens`` importable in the executors' Python workers.
+
+    Arrow UDFs and ``mapInPandas`` functions refer to this package, so the
+    workers must import it; a zip of the package (named by its content
+    hash) is added with ``addPyFile`` once per Spark application. Spark
+    copies it to every executor. Installing the package on the executors
+    makes this a no-op.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    arc = os.path.relpath(full, os.path.dirname(pkg))
+                    info = zipfile.ZipInfo(arc, date_time=(2000, 1, 1, 0, 0, 0))
+                    with open(full, "rb") as fh:
+                        zf.writestr(info, fh.read())
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:16]
+    out_dir = os.path.join(os.path.dirname(pkg), "build")
+    try:
+        os.makedirs(out_dir, exist_ok=True)
+    except OSError:
+        out_dir = tempfile.mkdtemp(prefix="maillens-dist-")
+    path = os.path.join(out_dir, f"maillens-{digest}.zip")
+    if not os.path.exists(path):
+        with open(path, "wb") as fh:
+            fh.write(data)
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

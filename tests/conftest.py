@@ -18,8 +18,9 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    from maillens.session import scratch_dir
+    from maillens.session import scratch_dir, ship_package
     scratch_dir(s)
+    ship_package(s)
     yield s
 
 

@@ -63,3 +63,14 @@ def test_cross_validate_counts_cover_every_part(spark):
     per_part = np.bincount(part, minlength=K + 1)
     for r in conf:
         assert r.n == per_part[r.part]
+
+
+def test_ml_option_fits(spark):
+    from maillens.operators.features import assemble
+
+    df, _, _, _ = data(spark)
+    vec = assemble(df, ["a", "b", "c"])
+    for kind in ("logistic", "hinge"):
+        model = LIN.ml_estimator(kind, 0.01, "l2", max_iter=20).fit(vec)
+        acc = model.transform(vec).where("prediction = label").count() / vec.count()
+        assert acc > 0.7
