@@ -92,31 +92,6 @@ _LEARN = (
     + f", {SE.bucket_sql('doc_id')} % 100 < {SE.TRAIN_PCT} is_train, "
     f"({SE.bucket_sql('doc_id', SE.FOLD_SALT)} % {K})::INTEGER fold from doc_features)"
 )
-_STD = "select " + ", ".join(f"stddev_samp({c}) sd_{c}" for c in DOC_FEATURES) + " from learn"
-_NB = ("select doc_id, abs(label) label, is_train, fold, part, "
-       + ", ".join(f"abs({c} * case when sd_{c} is null or sd_{c} = 0 then 0.0 "
-                   f"else 1.0 / sd_{c} end) {c}" for c in DOC_FEATURES)
-       + " from learn, sd")
-_SUMS = (f"select part, label, count(*) n, "
-         + ", ".join(f"sum({c}) {c}" for c in DOC_FEATURES)
-         + f" from nb where part < {K} group by 1, 2")
-_MS = (f"select m.m part, s.label, sum(s.n) n, "
-       + ", ".join(f"sum(s.{c}) {c}" for c in DOC_FEATURES)
-       + f" from (select range::INTEGER m from range(0, {K + 1})) m join sums s on s.part <> m.m "
-       "group by 1, 2")
-_TOT = "select part, sum(n) n_all, count(*) n_cls from ms group by 1"
-_LAM = "select unnest([" + ", ".join(str(s) for s in NB.SMOOTHING) + "])::DOUBLE smoothing"
-_SUMX = " + ".join(f"ms.{c}" for c in DOC_FEATURES)
-_MODEL = (
-    "select ms.part, lam.smoothing, ms.label, "
-    "ln(ms.n + lam.smoothing) - ln(tot.n_all + tot.n_cls * lam.smoothing) pi, "
-    + ", ".join(f"ln(ms.{c} + lam.smoothing) - ln({_SUMX} + {len(DOC_FEATURES)} * lam.smoothing)"
-                f" t_{c}" for c in DOC_FEATURES)
-    + " from ms join tot using (part) cross join lam"
-)
-_SCORES = ("select nb.doc_id, nb.part, nb.label y, model.smoothing, model.label c, pi + "
-           + " + ".join(f"t_{c} * nb.{c}" for c in DOC_FEATURES)
-           + " score from nb join model using (part)")
 _PRED = ("select doc_id, part, smoothing, y label, "
          "first(c order by score desc, c asc) prediction from scores group by 1, 2, 3, 4")
 _EV = (
@@ -146,10 +121,40 @@ _BEST = ("select m.*, (select any_value(smoothing) from met where met.grid_index
          " smoothing from mean m order by round(mean_error, 12) nulls last, grid_index limit 1")
 
 
+def _nb_chain(feats: list[str], learn_sql: str) -> list[tuple[str, str]]:
+    """DuckDB twin of the naive Bayes cross-validation over ``learn``
+    (doc_id, label, features..., is_train, fold, part)."""
+    std = "select " + ", ".join(f"stddev_samp({c}) sd_{c}" for c in feats) + " from learn"
+    nb = ("select doc_id, abs(label) label, is_train, fold, part, "
+          + ", ".join(f"abs({c} * case when sd_{c} is null or sd_{c} = 0 then 0.0 "
+                      f"else 1.0 / sd_{c} end) {c}" for c in feats)
+          + " from learn, sd")
+    sums = (f"select part, label, count(*) n, "
+            + ", ".join(f"sum({c}) {c}" for c in feats)
+            + f" from nb where part < {K} group by 1, 2")
+    ms = (f"select m.m part, s.label, sum(s.n) n, "
+          + ", ".join(f"sum(s.{c}) {c}" for c in feats)
+          + f" from (select range::INTEGER m from range(0, {K + 1})) m "
+          "join sums s on s.part <> m.m group by 1, 2")
+    tot = "select part, sum(n) n_all, count(*) n_cls from ms group by 1"
+    lam = "select unnest([" + ", ".join(str(x) for x in NB.SMOOTHING) + "])::DOUBLE smoothing"
+    sumx = " + ".join(f"ms.{c}" for c in feats)
+    model = (
+        "select ms.part, lam.smoothing, ms.label, "
+        "ln(ms.n + lam.smoothing) - ln(tot.n_all + tot.n_cls * lam.smoothing) pi, "
+        + ", ".join(f"ln(ms.{c} + lam.smoothing) - ln({sumx} + {len(feats)} * lam.smoothing)"
+                    f" t_{c}" for c in feats)
+        + " from ms join tot using (part) cross join lam")
+    scores = ("select nb.doc_id, nb.part, nb.label y, model.smoothing, model.label c, pi + "
+              + " + ".join(f"t_{c} * nb.{c}" for c in feats)
+              + " score from nb join model using (part)")
+    return [("learn", learn_sql), ("sd", std), ("nb", nb), ("sums", sums), ("ms", ms),
+            ("tot", tot), ("lam", lam), ("model", model), ("scores", scores),
+            ("pred", _PRED), ("ev", _EV), ("met", _MET), ("mean", _MEAN), ("best", _BEST)]
+
+
 def _ml_sql(body: str, upto: str = "best") -> str:
-    chain = [("learn", _LEARN), ("sd", _STD), ("nb", _NB), ("sums", _SUMS), ("ms", _MS),
-             ("tot", _TOT), ("lam", _LAM), ("model", _MODEL), ("scores", _SCORES),
-             ("pred", _PRED), ("ev", _EV), ("met", _MET), ("mean", _MEAN), ("best", _BEST)]
+    chain = _nb_chain(DOC_FEATURES, _LEARN)
     names = [n for n, _ in chain]
     chain = chain[:names.index(upto) + 1]
     return fx.with_fixtures(body, "doc_features", extra=dict(chain))
@@ -378,3 +383,44 @@ for _name, _cols, _doc in (
     _fn.__doc__ = _doc
     _sql_cols = ", ".join(c if c == "n" else f"{_r6(c)} {c}" for c in _cols)
     query(_name, sql=_ml_sql(f"select grid_index, {_sql_cols}" + _FINAL_WHERE))(_fn)
+
+
+# ------------------------------------------------------------ insider table
+# Naive Bayes on the scripts' own input (insider feature CSV, label = poi,
+# features at the fixed positions), SQL-checked end to end.
+
+_INSIDER_FEATS = [_IF_COLS[i] for i in FE.FEATURE_POSITIONS]
+
+
+def _insider_learn_sql() -> str:
+    cols = ", ".join(
+        (f"coalesce({c}, 0)::DOUBLE {c}" if c.startswith("f") else f"{c}::DOUBLE {c}")
+        for c in _INSIDER_FEATS)
+    inner = (f"select email doc_id, poi::INTEGER::DOUBLE label, {cols}, "
+             f"{SE.bucket_sql('email')} % 100 < {SE.TRAIN_PCT} is_train, "
+             f"({SE.bucket_sql('email', SE.FOLD_SALT)} % {K})::INTEGER fold "
+             f"from ({_insider_features_sql('*')})")
+    return f"select *, case when is_train then fold else {K} end part from ({inner})"
+
+
+def _insider_sql(body: str) -> str:
+    chain = _nb_chain(_INSIDER_FEATS, _insider_learn_sql())
+    return "with " + ",\n".join(f"{n} as ({q})" for n, q in chain) + "\n" + body
+
+
+def insider_nb_evaluation(spark, sf_dir):
+    from maillens.plans.model_queries import insider_learning
+
+    t, feats = insider_learning(spark, sf_dir)
+    t = FE.absolute(FE.standardize(t, feats, with_mean=False), ["label"] + feats)
+    _, _, pred = NB.cross_validate(spark, t, feats, K)
+    ev = ME.evaluate(pred, ["part", "smoothing"])
+    idx = F.array_position(F.array(*[F.lit(s) for s in NB.SMOOTHING]), F.col("smoothing"))
+    return ev.withColumn("grid_index", (idx - 1).cast("int"))
+
+
+@query("cv_nb_insiders", sql=_insider_sql(f"select {_MET_COLS} from met"))
+def q_cv_nb_insiders(spark, sf_dir):
+    """Naive Bayes CV on the insider feature CSV (label poi): metrics per
+    fold / final part and smoothing."""
+    return _met_spark(insider_nb_evaluation(spark, sf_dir))
