@@ -64,7 +64,7 @@ def mail_tree(spark, sf_dir) -> str:
             F.regexp_extract(F.col("raw"), "(?m)^From: ([^@\\n]*)", 1).alias("box"),
             F.col("msg_id").alias("mail"), "raw")
         S.write_mail_tree(raw, path)
-    return materialize(spark, "mailtree", sf_dir, write)
+    return materialize(spark, "mailtree-v2", sf_dir, write)
 
 
 @query("mail_scan", sql=_with_parsed(
@@ -93,7 +93,7 @@ def message_line_files(spark, sf_dir) -> str:
     extraction stage's output file."""
     def write(path):
         S.write_messages(parsed_mails(spark, sf_dir), path, mode="overwrite")
-    return materialize(spark, "messagelines", sf_dir, write)
+    return materialize(spark, "messagelines-v2", sf_dir, write)
 
 
 _SPLIT = (f"select split_part(line, '*', 1) sender, split_part(line, '*', 2) to_list, "
