@@ -24,6 +24,17 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col), clean_text(F.col(text_col), stopwords).alias("words"))
 
 
+def exploded_terms(words: DataFrame, id_col: str = "doc_id", *extra) -> DataFrame:
+    """(id, extra..., term): one row per token.
+
+    ``explode_outer`` + a null filter gives the rows of ``explode`` but
+    keeps the optimizer from inferring ``size(words) > 0`` below the
+    generator, which would evaluate the whole cleaning expression twice.
+    """
+    return (words.select(id_col, *extra, F.explode_outer("words").alias("term"))
+            .where(F.col("term").isNotNull()))
+
+
 def term_stats(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(term, tf, df): corpus count and document frequency of every term.
 
@@ -31,7 +42,7 @@ def term_stats(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
     (document, term), then per term. A term present in every document is
     therefore never gathered before it is pre-summed.
     """
-    per_doc = (words.select(id_col, F.explode("words").alias("term"))
+    per_doc = (exploded_terms(words, id_col)
                .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
     return per_doc.groupBy("term").agg(F.sum("n").cast("bigint").alias("tf"),
                                        F.count(F.lit(1)).alias("df"))
@@ -78,7 +89,7 @@ def flatten_vector(df: DataFrame, id_col: str, vec_col: str, vocab_tbl: DataFram
 def term_counts_long(words: DataFrame, vocab_tbl: DataFrame,
                      id_col: str = "doc_id") -> DataFrame:
     """(id, term, n) for vocabulary terms, without vectors."""
-    return (words.select(id_col, F.explode("words").alias("term"))
+    return (exploded_terms(words, id_col)
             .join(F.broadcast(vocab_tbl.select("term")), "term", "left_semi")
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
 
@@ -87,8 +98,8 @@ def tfidf_textbook(words: DataFrame, vocab_tbl: DataFrame, id_col: str = "doc_id
     """(id, term, tfidf) with tf = count / tokens in the document and
     idf = ln(N / df), over the vocabulary terms (the README's formula)."""
     n_docs = words.count()
-    exploded = words.select(id_col, F.size("words").alias("doc_len"),
-                            F.explode("words").alias("term"))
+    exploded = exploded_terms(words.withColumn("doc_len", F.size("words")), id_col,
+                              "doc_len")
     per_doc = (exploded.join(F.broadcast(vocab_tbl.select("term")), "term", "left_semi")
                .groupBy(id_col, "term", "doc_len").agg(F.count(F.lit(1)).alias("n")))
     dfreq = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -22,9 +22,9 @@ def corpus_words(spark, sf_dir):
     return TM.tokenize(corpus(spark, sf_dir))
 
 
-def vocab_frame(spark, sf_dir, size=TM.VOCAB_SIZE):
+def vocab_frame(spark, sf_dir, size=TM.VOCAB_SIZE, words=None):
     """(term_index, term, tf): top ``size`` terms, lazily (no collect)."""
-    stats = TM.term_stats(corpus_words(spark, sf_dir))
+    stats = TM.term_stats(words if words is not None else corpus_words(spark, sf_dir))
     top = stats.orderBy(F.desc("tf"), F.asc("term")).limit(size)
     # The window runs over at most ``size`` rows (after the top-k).
     w = Window.orderBy(F.desc("tf"), F.asc("term"))
@@ -140,8 +140,8 @@ def q_tfidf(spark, sf_dir):
     "using (term)"))
 def q_tfidf_textbook(spark, sf_dir):
     """TF-IDF as the README states it: count / length x ln(N / df)."""
-    words = corpus_words(spark, sf_dir)
-    return TM.tfidf_textbook(words, vocab_frame(spark, sf_dir))
+    words = corpus_words(spark, sf_dir).persist()   # counted, ranked and scored
+    return TM.tfidf_textbook(words, vocab_frame(spark, sf_dir, words=words))
 
 
 @query("tokens", sql=_text_sql(
