@@ -104,14 +104,16 @@ def ship_package(spark: SparkSession) -> None:
                         zf.writestr(info, fh.read())
     data = buf.getvalue()
     digest = hashlib.sha1(data).hexdigest()[:16]
-    out_dir = os.path.join(os.path.dirname(pkg), "build")
-    try:
-        os.makedirs(out_dir, exist_ok=True)
-    except OSError:
-        out_dir = tempfile.mkdtemp(prefix="maillens-dist-")
-    path = os.path.join(out_dir, f"maillens-{digest}.zip")
+    name = f"maillens-{digest}.zip"
+    path = os.path.join(os.path.dirname(pkg), "build", name)
     if not os.path.exists(path):
-        with open(path, "wb") as fh:
-            fh.write(data)
-    spark.sparkContext.addPyFile(path)
+        try:
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "wb") as fh:
+                fh.write(data)
+        except OSError:   # read-only checkout: the driver's own temp space
+            path = os.path.join(tempfile.mkdtemp(prefix="maillens-dist-"), name)
+            with open(path, "wb") as fh:
+                fh.write(data)
+    spark.sparkContext.addPyFile(path)   # Spark copies it to the executors
     _SHIPPED.add(app)
