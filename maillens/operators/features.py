@@ -48,6 +48,13 @@ def labelled(df: DataFrame, key: str, label: str, features: list[str]) -> DataFr
                      *[F.col(c).cast("double").alias(c) for c in features])
 
 
+def split_by_label(df: DataFrame, label: str = "label") -> tuple[DataFrame, DataFrame]:
+    """(rows with a label, rows without): a null label cannot be learned
+    from, so such rows go to a side output instead of failing the job."""
+    ok = F.col(label).isNotNull()
+    return df.where(ok), df.where(~ok)
+
+
 def scaler_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """{column: (mean, sample std)} from one aggregate of 2 x d numbers."""
     aggs = []

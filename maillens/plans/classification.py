@@ -70,6 +70,10 @@ def prepared(table: DataFrame, features: list[str],
     Partitions are sized by rows (about ``rows_per_partition`` each, by
     merging partitions without a shuffle), so an iteration over a small
     table is one task, and a large one spreads over the cluster."""
+    labels = table.select(F.col("label").cast("double").alias("y"))
+    if labels.where(~F.col("y").isin(0.0, 1.0)).limit(1).count():
+        raise ValueError("labels must be 0 or 1 (use features.split_by_label to "
+                         "set null labels aside)")
     slim = table.select(F.col("key"), F.col("label").cast("double").alias("label"),
                         F.col("part").cast("int").alias("part"),
                         *[F.col(c).cast("double").alias(c) for c in features])
@@ -124,14 +128,20 @@ def report(spark: SparkSession, model: str, table: DataFrame, features: list[str
     best = SE.best_grid_point(summary).first()
     cv_sec = round(time.time() - t0, 2)
     t1 = time.time()
-    final = (metrics.where((F.col("part") == k) & (F.col("grid_index") == best["grid_index"]))
-             .first())
+    final = None
+    if best is not None:
+        final = (metrics.where((F.col("part") == k)
+                               & (F.col("grid_index") == best["grid_index"])).first())
     fin_sec = round(time.time() - t1, 2)
     metrics.unpersist()
+
+    def get(row, key):
+        return None if row is None else row[key]
+
     out = [(MODEL_NAMES[model], len(rows), [r["mean_error"] for r in rows],
-            best["grid_index"], best["params"], best["mean_error"],
-            final["accuracy"], final["aupr"], final["auroc"], final["error"],
-            int(final["n"]), cv_sec, fin_sec)]
+            get(best, "grid_index"), get(best, "params"), get(best, "mean_error"),
+            get(final, "accuracy"), get(final, "aupr"), get(final, "auroc"),
+            get(final, "error"), int(get(final, "n") or 0), cv_sec, fin_sec)]
     return spark.createDataFrame(
         out, "model string, grid_size int, errors array<double>, best_grid_index int, "
              "best_params string, best_cv_error double, final_accuracy double, "

@@ -53,3 +53,19 @@ def test_lda_topics_shape(spark):
     terms = TP.topic_terms(model, tbl)
     assert terms.count() == 30
     assert terms.agg(F.max("rank")).first()[0] == 9
+
+
+def test_null_labels_go_to_side_output(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, 0.0)], "k int, label double")
+    ok, rejected = FE.split_by_label(df)
+    assert sorted(r.k for r in ok.collect()) == [1, 3]
+    assert [r.k for r in rejected.collect()] == [2]
+
+
+def test_prepared_rejects_non_binary_labels(spark):
+    import pytest
+
+    from maillens.plans.classification import prepared
+    df = spark.createDataFrame([(1, 2.0, 0, 1.0)], "key long, label double, part int, a double")
+    with pytest.raises(ValueError):
+        prepared(df, ["a"])
