@@ -71,7 +71,7 @@ def prepared(table: DataFrame, features: list[str],
     merging partitions without a shuffle), so an iteration over a small
     table is one task, and a large one spreads over the cluster."""
     labels = table.select(F.col("label").cast("double").alias("y"))
-    if labels.where(~F.col("y").isin(0.0, 1.0)).limit(1).count():
+    if labels.where(F.col("y").isNull() | ~F.col("y").isin(0.0, 1.0)).limit(1).count():
         raise ValueError("labels must be 0 or 1 (use features.split_by_label to "
                          "set null labels aside)")
     slim = table.select(F.col("key"), F.col("label").cast("double").alias("label"),

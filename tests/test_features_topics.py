@@ -69,3 +69,12 @@ def test_prepared_rejects_non_binary_labels(spark):
     df = spark.createDataFrame([(1, 2.0, 0, 1.0)], "key long, label double, part int, a double")
     with pytest.raises(ValueError):
         prepared(df, ["a"])
+
+
+def test_prepared_rejects_null_labels(spark):
+    import pytest
+
+    from maillens.plans.classification import prepared
+    df = spark.createDataFrame([(1, None, 0, 1.0)], "key long, label double, part int, a double")
+    with pytest.raises(ValueError):
+        prepared(df, ["a"])
