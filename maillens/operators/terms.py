@@ -48,9 +48,17 @@ def term_stats(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
                                        F.count(F.lit(1)).alias("df"))
 
 
+def term_frequencies(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(term, tf): corpus counts only, one aggregate keyed by term
+    (map-side combined); enough to rank the vocabulary."""
+    return (exploded_terms(words, id_col).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("tf")))
+
+
 def vocabulary(stats: DataFrame, size: int = VOCAB_SIZE) -> list[str]:
-    """The ``size`` most frequent terms; ties by term, so the choice is
-    repeatable (``CountVectorizer`` breaks ties by partitioning).
+    """The ``size`` most frequent terms of ``stats(term, tf, ...)``; ties by
+    term, so the choice is repeatable (``CountVectorizer`` breaks ties by
+    partitioning).
 
     A top-k: every task keeps its best ``size`` rows, the driver merges
     them, so at most ``size`` terms per task travel.
@@ -76,9 +84,31 @@ def fit_idf(vectors: DataFrame, input_col: str = "raw_features",
     return IDF(inputCol=input_col, outputCol=output_col).fit(vectors)
 
 
+def idf_table(spark, vocab: list[str], model: IDFModel) -> DataFrame:
+    """(term_index, term, df, idf) of a fitted IDF model (vocabulary-sized)."""
+    rows = [(i, t, int(d), float(v)) for i, (t, d, v) in
+            enumerate(zip(vocab, model.docFreq, model.idf.toArray()))]
+    return spark.createDataFrame(rows, "term_index int, term string, df long, idf double")
+
+
+def tfidf_long(words: DataFrame, idf_tbl: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, term, n, tfidf): the non-zero cells of ``IDFModel.transform``
+    (raw count x idf, the same double product), computed in long form:
+    per-document counts of vocabulary terms joined to the broadcast IDF
+    table. Work grows with the tokens, not with documents x vocabulary."""
+    counts = term_counts_long(words, idf_tbl.select("term"), id_col)
+    return (counts.join(F.broadcast(idf_tbl.select("term", "idf")), "term")
+            .select(id_col, "term", F.col("n").cast("double").alias("n"),
+                    (F.col("n").cast("double") * F.col("idf")).alias("tfidf")))
+
+
 def flatten_vector(df: DataFrame, id_col: str, vec_col: str, vocab_tbl: DataFrame,
                    value_name: str) -> DataFrame:
-    """(id, term, value) for the non-zero cells of a vector column."""
+    """(id, term, value) for the non-zero cells of a vector column.
+
+    Densifies every vector (rows x vector size): for inspection and
+    tests on small data; ``term_counts_long`` / ``tfidf_long`` give the
+    same cells at scale."""
     cells = df.select(F.col(id_col),
                       F.posexplode(vector_to_array(F.col(vec_col))).alias("term_index", "v"))
     cells = cells.where(F.col("v") != 0)

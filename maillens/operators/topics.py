@@ -27,10 +27,19 @@ def fit_lda(features: DataFrame, k: int = N_TOPICS, seed: int = SEED,
                featuresCol=features_col).fit(features)
 
 
-def topic_terms(model: LDAModel, vocab_tbl: DataFrame,
+def topic_table(model: LDAModel, max_terms: int = TERMS_PER_TOPIC) -> DataFrame:
+    """(topic, termIndices, termWeights), computed once (for an EM model
+    each ``describeTopics`` call is a distributed computation)."""
+    described = model.describeTopics(maxTermsPerTopic=max_terms)
+    rows = described.collect()   # k rows of max_terms entries: bounded
+    return described.sparkSession.createDataFrame(
+        rows, "topic int, termIndices array<int>, termWeights array<double>")
+
+
+def topic_terms(model: LDAModel | DataFrame, vocab_tbl: DataFrame,
                 max_terms: int = TERMS_PER_TOPIC) -> DataFrame:
     """(topic, rank, term_index, term, weight): top terms of every topic."""
-    topics = model.describeTopics(maxTermsPerTopic=max_terms)
+    topics = model if isinstance(model, DataFrame) else topic_table(model, max_terms)
     cells = topics.select(
         "topic",
         F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
@@ -44,8 +53,9 @@ def describe(model: LDAModel, vocab_tbl: DataFrame,
              max_terms: int = TERMS_PER_TOPIC) -> DataFrame:
     """(topic, termIndices, termWeights, topic_desc): the script's table
     with the words added. Groups hold ``max_terms`` rows each."""
-    terms = topic_terms(model, vocab_tbl, max_terms)
+    topics = topic_table(model, max_terms)
+    terms = topic_terms(topics, vocab_tbl)
     words = (terms.groupBy("topic")
              .agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_w"))
              .select("topic", F.transform("_w", lambda s: s["term"]).alias("topic_desc")))
-    return model.describeTopics(maxTermsPerTopic=max_terms).join(words, "topic")
+    return topics.join(words, "topic")

@@ -24,7 +24,7 @@ def corpus_words(spark, sf_dir):
 
 def vocab_frame(spark, sf_dir, size=TM.VOCAB_SIZE, words=None):
     """(term_index, term, tf): top ``size`` terms, lazily (no collect)."""
-    stats = TM.term_stats(words if words is not None else corpus_words(spark, sf_dir))
+    stats = TM.term_frequencies(words if words is not None else corpus_words(spark, sf_dir))
     top = stats.orderBy(F.desc("tf"), F.asc("term")).limit(size)
     # The window runs over at most ``size`` rows (after the top-k).
     w = Window.orderBy(F.desc("tf"), F.asc("term"))
@@ -38,7 +38,7 @@ def tfidf_vectors(spark, sf_dir, size=TM.VOCAB_SIZE):
     The cleaned corpus is persisted (memory, spilling to disk) for the
     three passes: vocabulary, IDF fit, and whatever reads the vectors."""
     words = corpus_words(spark, sf_dir).persist()
-    vocab = TM.vocabulary(TM.term_stats(words), size)
+    vocab = TM.vocabulary(TM.term_frequencies(words), size)
     counted = TM.count_model(vocab).transform(words)
     idf = TM.fit_idf(counted)
     return idf.transform(counted), vocab, idf
@@ -101,10 +101,12 @@ def q_vocabulary(spark, sf_dir):
 @query("term_counts", sql=_text_sql(
     "select doc_id, term, n::DOUBLE n from per_doc join vocab using (term)"))
 def q_term_counts(spark, sf_dir):
-    """Count vectors of the vocabulary terms, flattened to (doc_id, term, n)."""
-    vectors, vocab, _ = tfidf_vectors(spark, sf_dir)
-    tbl = TM.vocabulary_table(spark, vocab)
-    return TM.flatten_vector(vectors, "doc_id", "raw_features", tbl, "n")
+    """Counts of the vocabulary terms per document, (doc_id, term, n): the
+    cells of the count vectors, in long form."""
+    words = corpus_words(spark, sf_dir).persist()
+    vocab = TM.vocabulary(TM.term_frequencies(words))
+    counts = TM.term_counts_long(words, TM.vocabulary_table(spark, vocab))
+    return counts.select("doc_id", "term", F.col("n").cast("double").alias("n"))
 
 
 _N = "(select count(*) from documents)"
@@ -116,9 +118,7 @@ _N = "(select count(*) from documents)"
 def q_idf(spark, sf_dir):
     """Fitted IDF per vocabulary term: ln((N + 1) / (df + 1))."""
     _, vocab, model = tfidf_vectors(spark, sf_dir)
-    rows = [(t, int(d), float(v)) for t, d, v in
-            zip(vocab, model.docFreq, model.idf.toArray())]
-    return (spark.createDataFrame(rows, "term string, df long, idf double")
+    return (TM.idf_table(spark, vocab, model)
             .select("term", "df", round6(F.col("idf")).alias("idf")))
 
 
@@ -126,11 +126,12 @@ def q_idf(spark, sf_dir):
     f"select doc_id, term, {_r6(f'n * ln(({_N} + 1.0) / (df + 1.0))')} tfidf "
     "from per_doc join vocab using (term) join stats using (term)"))
 def q_tfidf(spark, sf_dir):
-    """TF-IDF vectors (raw count x IDF), flattened to (doc_id, term, tfidf)."""
-    vectors, vocab, _ = tfidf_vectors(spark, sf_dir)
-    tbl = TM.vocabulary_table(spark, vocab)
-    flat = TM.flatten_vector(vectors, "doc_id", "features", tbl, "v")
-    return flat.select("doc_id", "term", round6(F.col("v")).alias("tfidf"))
+    """TF-IDF (raw count x fitted IDF) as (doc_id, term, tfidf): the cells
+    of the TF-IDF vectors, in long form."""
+    vectors, vocab, model = tfidf_vectors(spark, sf_dir)
+    words = vectors.select("doc_id", "words")
+    flat = TM.tfidf_long(words, TM.idf_table(spark, vocab, model))
+    return flat.select("doc_id", "term", round6(F.col("tfidf")).alias("tfidf"))
 
 
 @query("tfidf_textbook", sql=_text_sql(

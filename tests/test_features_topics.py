@@ -78,3 +78,24 @@ def test_prepared_rejects_null_labels(spark):
     df = spark.createDataFrame([(1, None, 0, 1.0)], "key long, label double, part int, a double")
     with pytest.raises(ValueError):
         prepared(df, ["a"])
+
+
+def test_long_form_equals_flattened_vectors(spark):
+    from maillens.operators import terms as TM
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    words = TM.tokenize(docs).persist()
+    vocab = TM.vocabulary(TM.term_frequencies(words), 300)
+    counted = TM.count_model(vocab).transform(words)
+    model = TM.fit_idf(counted)
+    vectors = model.transform(counted)
+    tbl = TM.vocabulary_table(spark, vocab)
+    flat = {(r.doc_id, r.term): r.v for r in
+            TM.flatten_vector(vectors, "doc_id", "features", tbl, "v").collect()}
+    long = {(r.doc_id, r.term): r.tfidf for r in
+            TM.tfidf_long(words, TM.idf_table(spark, vocab, model)).collect()}
+    assert flat == long
+    cnt = {(r.doc_id, r.term): r.n for r in
+           TM.flatten_vector(vectors, "doc_id", "raw_features", tbl, "n").collect()}
+    assert cnt == {(r.doc_id, r.term): float(r.n) for r in
+                   TM.term_counts_long(words, tbl).collect()}
