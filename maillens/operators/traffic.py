@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maillens.functions.mail import RECIPIENT_SEPARATOR
 from maillens.operators.joins import DEFAULT_BROADCAST_ROWS, hint, row_count_at_most, semi_join
 
 COUNT_COLUMNS = ("n_sent", "n_received", "n_from_poi", "n_to_poi")
@@ -27,7 +28,7 @@ COUNT_COLUMNS = ("n_sent", "n_received", "n_from_poi", "n_to_poi")
 
 def recipient_list(to_list: F.Column) -> F.Column:
     """The recipient string split on commas (no trimming, as stored)."""
-    return F.split(to_list, ",")
+    return F.split(to_list, RECIPIENT_SEPARATOR)
 
 
 def exploded_recipients(messages: DataFrame) -> DataFrame:

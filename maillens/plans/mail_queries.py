@@ -72,7 +72,8 @@ def mail_tree(spark, sf_dir) -> str:
     pre="files as (select msg_id, raw || chr(10) raw from raw_mails),"))
 def q_mail_scan(spark, sf_dir):
     """Recursive scan of a one-file-per-mail tree, then parse."""
-    files = S.read_mail_tree(spark, mail_tree(spark, sf_dir))
+    files = S.read_mail_tree(spark, mail_tree(spark, sf_dir),
+                             max_partitions=4 * spark.sparkContext.defaultParallelism)
     files = files.withColumn(
         "msg_id", F.regexp_extract("path", "/mail=(-?[0-9]+)/", 1).cast("bigint"))
     return S.parse_mails(files).select("msg_id", "sender", "to_list", "body", "parse_ok")

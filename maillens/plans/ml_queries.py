@@ -78,7 +78,6 @@ def feature_csv(spark, sf_dir):
 
 # ---------------------------------------------------------------- oracle side
 
-_FEATS = ", ".join(DOC_FEATURES)
 
 
 def _r6(x: str) -> str:

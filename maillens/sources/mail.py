@@ -25,14 +25,18 @@ from maillens.functions import mail as M
 # ------------------------------------------------------------------ S1, S2
 
 
-def read_mail_tree(spark: SparkSession, path: str) -> DataFrame:
+def read_mail_tree(spark: SparkSession, path: str, max_partitions: int | None = None) -> DataFrame:
     """(path, raw): one row per file found at any depth below ``path``.
 
     ``wholetext`` must be passed as an argument (as an option it is reset
     by the text reader). Listing is distributed by Spark for large trees,
-    and small files are packed into shared input partitions.
+    and small files are packed into shared input partitions;
+    ``max_partitions`` merges those further (no shuffle) when a tree of
+    tiny mails would otherwise give many near-empty tasks.
     """
     df = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    if max_partitions and df.rdd.getNumPartitions() > max_partitions:
+        df = df.coalesce(max_partitions)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
