@@ -10,6 +10,7 @@ protocol (task retries on lost executors are safe) and reused while its
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -26,11 +27,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+_LOCKS: dict[str, threading.Lock] = {}
+_GUARD = threading.Lock()
+
+
 def materialize(spark: SparkSession, name: str, key: str,
                 write: Callable[[str], None]) -> str:
-    """Path of table ``name`` for ``key``; ``write(path)`` runs if absent."""
+    """Path of table ``name`` for ``key``; ``write(path)`` runs if absent.
+
+    Queries built from several driver threads wait for one writer instead
+    of overwriting each other's output."""
     digest = hashlib.sha1(key.encode()).hexdigest()[:12]
     path = scratch_path(spark, f"{name}-{digest}", unique=False)
-    if not _exists(spark, path):
-        write(path)
+    with _GUARD:
+        lock = _LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not _exists(spark, path):
+            write(path)
     return path
