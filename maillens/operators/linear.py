@@ -27,10 +27,12 @@ applies the update rule of the MLlib SGD optimiser:
 Gradients: logistic (sigmoid(w.x) - y) x; hinge -s x when s w.x < 1
 (s = 2y - 1). Prediction: w.x + b > 0 for both.
 
-Mini-batch fraction 0.5 keeps the rows with an even hash of (key, t):
-repeatable on any partitioning; MLlib draws a seeded Bernoulli sample
-instead, so those models agree in kind, not bit for bit. Fraction 1.0
-models are exact.
+Mini-batch fraction 0.5 keeps, at iteration t, the rows whose md5 bucket
+of ("batch<t>:" || key) is even (``selection.bucket``): repeatable on any
+partitioning and in SQL. The bits are computed once per row by Spark
+(bitmask columns), not per iteration. MLlib draws a seeded Bernoulli
+sample instead, so those models agree in kind, not bit for bit.
+Fraction 1.0 models are exact.
 """
 
 from __future__ import annotations
@@ -66,15 +68,33 @@ def trajectory_of(g: dict) -> tuple[Trajectory, int]:
     return traj, int(g["iterations"])
 
 
-def _mix(key: np.ndarray, t: int) -> np.ndarray:
-    """Deterministic 0/1 per (key, iteration): even hash keeps the row."""
-    with np.errstate(over="ignore"):   # multiplications wrap modulo 2**64
-        h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= np.uint64((t * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF)
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-    return (h & np.uint64(1)) == 0
+BITS_PER_WORD = 62
+
+
+def batch_salt(t: int) -> str:
+    return f"batch{t}:"
+
+
+def with_batch_bits(data: DataFrame, iterations: int, key: str = "key") -> DataFrame:
+    """Add ``mb_<w>`` bigint columns: bit (t-1) % 62 of word (t-1) // 62
+    is the parity of ``bucket(key, 'batch<t>:')``; 0 = row in the batch."""
+    from maillens.operators.selection import bucket
+
+    words = []
+    for w in range(-(-iterations // BITS_PER_WORD)):
+        expr = F.lit(0).cast("bigint")
+        for b in range(BITS_PER_WORD):
+            t = w * BITS_PER_WORD + b + 1
+            if t > iterations:
+                break
+            expr = expr + F.shiftleft(bucket(F.col(key), batch_salt(t)) % 2, b)
+        words.append(expr.alias(f"mb_{w}"))
+    return data.select("*", *words)
+
+
+def _in_batch(pdf: pd.DataFrame, t: int) -> np.ndarray:
+    w, b = divmod(t - 1, BITS_PER_WORD)
+    return ((pdf[f"mb_{w}"].to_numpy(dtype=np.int64) >> b) & 1) == 0
 
 
 @dataclass
@@ -108,7 +128,7 @@ def _gradient_fn(setup: _Setup, W: np.ndarray, active: np.ndarray, t: int):
             part = pdf["part"].to_numpy()[:, None]
             A = (part < setup.k) & (part != setup.model_part[None, :]) & active[None, :]
             if setup.half.any():
-                keep = _mix(pdf["key"].to_numpy(), t)[:, None]
+                keep = _in_batch(pdf, t)[:, None]
                 A &= ~setup.half[None, :] | keep
             margin = X @ W.T
             with np.errstate(over="ignore"):
@@ -249,8 +269,14 @@ def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
             trajs.append(traj)
         plan.append((g["grid_index"], index[traj], iters))
     snapshots = sorted({it for _, _, it in plan})
+    batched = None
+    if any(t.batch < 1.0 for t in trajs):
+        batched = with_batch_bits(data, max(snapshots)).persist()
+        data = batched
     snaps, setup = fit(data, kind, trajs, features, k, snapshots)
     counts = evaluate(data, snaps, setup)
+    if batched is not None:
+        batched.unpersist()
     P = k + 1
     rows = []
     for gi, ti, it in plan:

@@ -1,8 +1,13 @@
-"""Grid-search queries of the four classifiers (row-count checked; the
-batched fits are unit-tested against the ML libraries)."""
+"""Grid-search queries of the four classifiers.
+
+``cv_logreg`` and ``cv_svm`` carry a DuckDB twin (a recursive CTE running
+the same SGD); trees, reports (which hold timings) are row-count checked,
+and the batched fits are unit-tested against the ML libraries."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from maillens.operators import features as FE
 from maillens.plans import classification as CL
 from maillens.plans.ml_queries import DOC_FEATURES, learning_table, nb_table
@@ -33,13 +38,35 @@ _TABLES = {"logreg": linear_table, "svm": linear_table, "tree": tree_table, "nb"
 
 def _cv(model):
     def build(spark, sf_dir):
+        from maillens.functions.text import round6
+
         t = _TABLES[model](spark, sf_dir)
         m = CL.grid_metrics(spark, model, t, DOC_FEATURES)
-        return CL.cv_summary(spark, model, m)
+        cv = CL.cv_summary(spark, model, m)
+        return cv.withColumn("mean_error", round6(F.col("mean_error")))
     build.__doc__ = f"Mean 5-fold CV error of every {CL.MODEL_NAMES[model]} grid point."
     return build
 
 
+def _sgd_sql(model: str) -> str:
+    """DuckDB twin of ``cv_logreg`` / ``cv_svm`` (recursive SGD)."""
+    from maillens.plans import ml_queries as MQ
+    from maillens.plans.sgd_oracle import sgd_ctes
+    from maillens.sources import fixtures as fx
+
+    stats = "select " + ", ".join(f"avg({c}) m_{c}, stddev_samp({c}) sd_{c}"
+                                  for c in DOC_FEATURES) + " from learn"
+    lin = ("select doc_id, label, part, " + ", ".join(
+        f"case when sd_{c} is null or sd_{c} = 0 then 0.0 "
+        f"else ({c} - m_{c}) * (1.0 / sd_{c}) end {c}" for c in DOC_FEATURES)
+        + " from learn, stats")
+    kind = "logistic" if model == "logreg" else "hinge"
+    ctes = [("learn", MQ._LEARN), ("stats", stats), ("lin", lin)]
+    ctes += sgd_ctes(kind, CL.grid_points(model), DOC_FEATURES, MQ.K)
+    sql = fx.with_fixtures("select * from cv", "doc_features", extra=dict(ctes))
+    return "with recursive " + sql[len("with "):]
+
+
 def _report(model):
     def build(spark, sf_dir):
         return CL.report(spark, model, _TABLES[model](spark, sf_dir), DOC_FEATURES)
@@ -48,7 +75,7 @@ def _report(model):
 
 
 for _m in ("logreg", "svm", "tree"):
-    query(f"cv_{_m}")(_cv(_m))
+    query(f"cv_{_m}", sql=_sgd_sql(_m) if _m != "tree" else None)(_cv(_m))
 for _m in ("logreg", "svm", "tree", "nb"):
     query(f"report_{_m}")(_report(_m))
 
