@@ -271,7 +271,9 @@ def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
     snapshots = sorted({it for _, _, it in plan})
     batched = None
     if any(t.batch < 1.0 for t in trajs):
-        batched = with_batch_bits(data, max(snapshots)).persist()
+        # Checkpoint: the 80-hash bit expression is computed once and each
+        # iteration's plan stays a plain scan (no re-analysis of it).
+        batched = with_batch_bits(data, max(snapshots)).checkpoint(eager=True).persist()
         data = batched
     snaps, setup = fit(data, kind, trajs, features, k, snapshots)
     counts = evaluate(data, snaps, setup)
