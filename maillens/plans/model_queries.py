@@ -48,7 +48,24 @@ def _cv(model):
     return build
 
 
-def _sgd_sql(model: str) -> str:
+def _final(model):
+    def build(spark, sf_dir):
+        from maillens.functions.text import round6
+        from maillens.operators import selection as SE
+
+        t = _TABLES[model](spark, sf_dir)
+        m = CL.grid_metrics(spark, model, t, DOC_FEATURES).persist()
+        best = SE.best_grid_point(CL.cv_summary(spark, model, m)).select("grid_index")
+        fin = m.where(F.col("part") == SE.N_FOLDS).join(F.broadcast(best), "grid_index")
+        return fin.select("grid_index", "n", "tp", "fp", "fn", "tn",
+                          *[round6(F.col(c)).alias(c)
+                            for c in ("error", "accuracy", "aupr", "auroc")])
+    build.__doc__ = (f"{CL.MODEL_NAMES[model]}: best grid point refit on all training rows, "
+                     "scored on the test part (error, accuracy %, AUPR, AUROC).")
+    return build
+
+
+def _sgd_sql(model: str, body: str = "select * from cv") -> str:
     """DuckDB twin of ``cv_logreg`` / ``cv_svm`` (recursive SGD)."""
     from maillens.plans import ml_queries as MQ
     from maillens.plans.sgd_oracle import sgd_ctes
@@ -63,7 +80,7 @@ def _sgd_sql(model: str) -> str:
     kind = "logistic" if model == "logreg" else "hinge"
     ctes = [("learn", MQ._LEARN), ("stats", stats), ("lin", lin)]
     ctes += sgd_ctes(kind, CL.grid_points(model), DOC_FEATURES, MQ.K)
-    sql = fx.with_fixtures("select * from cv", "doc_features", extra=dict(ctes))
+    sql = fx.with_fixtures(body, "doc_features", extra=dict(ctes))
     return "with recursive " + sql[len("with "):]
 
 
@@ -76,6 +93,8 @@ def _report(model):
 
 for _m in ("logreg", "svm", "tree"):
     query(f"cv_{_m}", sql=_sgd_sql(_m) if _m != "tree" else None)(_cv(_m))
+for _m in ("logreg", "svm"):
+    query(f"final_{_m}", sql=_sgd_sql(_m, "select * from fin"))(_final(_m))
 for _m in ("logreg", "svm", "tree", "nb"):
     query(f"report_{_m}")(_report(_m))
 
