@@ -33,7 +33,7 @@ def test_oracle_keys_are_queries():
 
 
 FAST_SQL = ["insider_features", "sent_to_poi", "mail_parse", "term_stats", "tfidf",
-            "cv_nb", "best_params", "nb_final", "scaled_features"]
+            "cv_nb", "best_params", "nb_final", "scaled_features", "cv_svm", "final_logreg"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
