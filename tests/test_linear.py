@@ -74,3 +74,17 @@ def test_ml_option_fits(spark):
         model = LIN.ml_estimator(kind, 0.01, "l2", max_iter=20).fit(vec)
         acc = model.transform(vec).where("prediction = label").count() / vec.count()
         assert acc > 0.7
+
+
+def test_batch_bits_decode_to_bucket_parity(spark):
+    from pyspark.sql import functions as F
+
+    from maillens.operators.selection import bucket
+
+    df = spark.range(50).withColumnRenamed("id", "key")
+    iters = [1, 2, 61, 62, 63, 64, 80]
+    cols = [(bucket(F.col("key"), LIN.batch_salt(t)) % 2).alias(f"p{t}") for t in iters]
+    pdf = LIN.with_batch_bits(df, 80).select("key", "mb_0", "mb_1", *cols).toPandas()
+    for t in iters:
+        keep = LIN._in_batch(pdf, t)
+        assert (keep == (pdf[f"p{t}"] == 0).to_numpy()).all(), t
