@@ -43,6 +43,14 @@ def exploded_recipients(messages: DataFrame) -> DataFrame:
     )
 
 
+def recipients_of(messages: DataFrame) -> DataFrame:
+    """(email): one row per listed recipient (an empty list gives one ''),
+    via ``explode_outer`` + null filter so the split is not repeated in an
+    inferred ``size(...) > 0`` filter below the generator."""
+    return (messages.select(F.explode_outer(recipient_list(F.col("to_list"))).alias("email"))
+            .where(F.col("email").isNotNull()))
+
+
 def poi_list(people: DataFrame) -> DataFrame:
     """E-mail addresses of persons of interest."""
     return people.where(F.col("poi")).select("email")
@@ -62,8 +70,7 @@ def mails_sent(messages: DataFrame, people: DataFrame) -> DataFrame:
 
 def mails_received(messages: DataFrame, people: DataFrame) -> DataFrame:
     """(email, n_received): recipient occurrences per person."""
-    rec = messages.select(F.explode(recipient_list(F.col("to_list"))).alias("email"))
-    return (semi_join(rec, people, "email", "email")
+    return (semi_join(recipients_of(messages), people, "email", "email")
             .groupBy("email").agg(F.count(F.lit(1)).alias("n_received")))
 
 
@@ -112,8 +119,7 @@ def received_from_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
     sent by a POI; only persons with at least one such mail."""
     small = people_are_small(people)
     from_poi = semi_join(messages, poi_list(people), "sender", "email", small=small)
-    rec = from_poi.select(F.explode(recipient_list(F.col("to_list"))).alias("email"))
-    return (semi_join(rec, people, "email", "email", small=small)
+    return (semi_join(recipients_of(from_poi), people, "email", "email", small=small)
             .groupBy("email").agg(F.count(F.lit(1)).alias("n_from_poi")))
 
 
