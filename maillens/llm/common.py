@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillens.session import scratch_path
@@ -75,6 +75,30 @@ def mix_int(x: int) -> int:
     return x ^ (x >> 31)
 
 
+# --- pattern matches with positions, in SQL expressions -----------------------
+
+NO_MATCHES = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Every match as (start, end, text, before, after), in code points."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("text"),
+                         F.slice(gaps, 2, F.size(found)).alias("rest"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(NO_MATCHES).alias("out"))
+
+    def step(acc: Column, m: Column) -> Column:
+        begin = acc["at"] + F.length(m["gap"])
+        end = begin + F.length(m["text"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
+            begin.alias("start"), end.alias("end"), m["text"].alias("text"),
+            F.right(m["gap"], F.lit(40)).alias("before"),
+            F.left(m["rest"], F.lit(1)).alias("after")))).alias("out"))
+
+    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+
 # --- Arrow text columns as byte blocks --------------------------------------
 
 def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES
