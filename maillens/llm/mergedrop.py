@@ -37,7 +37,7 @@ DROPOUT = 0.1
 SEED = 20
 STREAMS = 4             # independent draws; a document's key picks its stream
 LONG_WORD = 40          # characters from which on the agenda is used directly
-CACHE_WORDS = 300_000   # segmented words that a Python worker remembers
+CACHE_WORDS = 500_000   # segmented words that a Python worker remembers
 
 _BLANK = "▁"
 _WORDS = re.compile("\n| *[^ \n]+| +")
@@ -72,10 +72,11 @@ def load(path: str) -> Vocabulary:
 
 # --- the keyed hash -----------------------------------------------------------
 
-def _word_key(word: str, seed: int, stream: int) -> int:
+def _word_keys(words: list[str], seed: int, stream: int) -> np.ndarray:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(word.encode(), mix_int(seed * GOLD + stream + 1))
+    digest, own = xxhash.xxh3_64_intdigest, mix_int(seed * GOLD + stream + 1)
+    return np.array([digest(w, own) for w in words], np.uint64)
 
 
 def _drop_value(key: int, start: int, middle: int, end: int) -> int:
@@ -144,9 +145,10 @@ class Segmenter:
                 a, b = self.symbol.get(piece[:cut]), self.symbol.get(piece[cut:])
                 if a is not None and b is not None:
                     pairs[a, b] = i
-        self.char_id = {c: self.symbol[c] for c in chars if c != _BLANK}
-        self.char_id[" "] = self.symbol[_BLANK]
-        self.none = -1                                     # a character that never merges
+        char_id = {c: self.symbol[c] for c in chars if c != _BLANK} | {" ": self.symbol[_BLANK]}
+        self.by_code = np.full(0x110000, -1, dtype=np.int32)   # -1: a character that never merges
+        for c, i in char_id.items():
+            self.by_code[ord(c)] = i
         order = sorted(set(vocab.scores[i] for i in vocab.ids.values()))
         rank = {s: r + 1 for r, s in enumerate(order)}
         self.rank = np.zeros(len(vocab.pieces), dtype=np.int32)
@@ -190,8 +192,7 @@ class Segmenter:
                     ) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in order, their offsets)."""
         size = np.fromiter(map(len, words), np.int64, len(words))
-        keys = (np.fromiter((_word_key(w, seed, stream) for w in words), np.uint64, len(words))
-                if dropout > 0 else np.zeros(len(words), np.uint64))
+        keys = (_word_keys(words, seed, stream) if dropout > 0 else np.zeros(len(words), np.uint64))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         low = 0
         for high in (4, 8, 12, 18, 26, LONG_WORD):
@@ -217,9 +218,8 @@ class Segmenter:
                 ) -> tuple[np.ndarray, np.ndarray]:
         n = len(words)
         length = np.fromiter(map(len, words), np.int64, n)
-        get, none = self.char_id.get, self.none
-        flat = np.fromiter((get(c, none) for w in words for c in w), np.int32, int(length.sum()))
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        flat = self.by_code[chars]
         inside = np.arange(width + 1)[None, :] < length[:, None]
         sym = np.full((n, width + 1), -2, dtype=np.int32)  # -2: past the end
         sym[inside] = flat
@@ -292,14 +292,28 @@ class _Memory:
     def __init__(self, path: str, dropout: float, seed: int):
         self.segmenter = Segmenter(load(path))
         self.dropout, self.seed = dropout, seed
-        self.clear()
+        self._start({}, np.empty(0, np.int32), np.zeros(1, np.int64))
 
-    def clear(self) -> None:
-        self.known: dict[int, dict[str, int]] = {}
-        self.n = 0
-        self.pool = np.empty(1 << 16, np.int32)
-        self.at = np.zeros(1 << 14, np.int64)
-        self.used = 0
+    def _start(self, known: dict[int, dict[str, int]], pool: np.ndarray, at: np.ndarray) -> None:
+        self.known, self.pool, self.at = known, pool, at
+        self.n, self.used = len(at) - 1, len(pool)
+        self.uses = np.zeros(max(1, self.n), np.int64)
+
+    def trim(self) -> None:
+        """Over ``CACHE_WORDS`` words: keep those used most, at most half."""
+        if self.n <= CACHE_WORDS:
+            return
+        uses = self.uses[:self.n]
+        bar = max(2, int(np.partition(uses, self.n - CACHE_WORDS // 2)[self.n - CACHE_WORDS // 2]) + 1)
+        stay = np.flatnonzero(uses >= bar)
+        n = self.at[stay + 1] - self.at[stay]
+        at = np.concatenate(([0], np.cumsum(n)))
+        pool = self.pool[np.arange(at[-1]) + np.repeat(self.at[stay] - at[:-1], n)]
+        new = np.full(self.n, -1, np.int64)
+        new[stay] = np.arange(len(stay))
+        codes = new.tolist()
+        self._start({s: {w: codes[c] for w, c in d.items() if codes[c] >= 0} for s, d in self.known.items()},
+                    pool, at)
 
     def codes(self, words: list[str], stream: int) -> np.ndarray:
         known = self.known.setdefault(stream, {})
@@ -307,15 +321,18 @@ class _Memory:
         if fresh:
             ids, at = self.segmenter.segment_all(fresh, self.dropout, self.seed, stream)
             while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-            while self.n + len(fresh) + 1 > len(self.at):
-                self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+                self.pool = np.concatenate([self.pool, np.empty(max(1 << 16, len(self.pool)), np.int32)])
+            while self.n + len(fresh) + 1 > min(len(self.at), len(self.uses)):
+                self.at = np.concatenate([self.at, np.zeros(max(1 << 14, len(self.at)), np.int64)])
+                self.uses = np.concatenate([self.uses, np.zeros(max(1 << 14, len(self.uses)), np.int64)])
             self.pool[self.used:self.used + len(ids)] = ids
             self.at[self.n + 1:self.n + len(fresh) + 1] = self.used + at[1:]
             known.update(zip(fresh, range(self.n, self.n + len(fresh)), strict=True))
             self.n += len(fresh)
             self.used += len(ids)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        out = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        np.add.at(self.uses, out, 1)
+        return out
 
 
 _memories: dict[tuple, _Memory] = {}
@@ -331,8 +348,7 @@ def encoder(path: str, dropout: float, seed: int, text_at: int, stream_at: int,
             texts = batch.column(text_at)
             streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
             for a, b, _, _ in text_blocks(texts):
-                if memory.n > CACHE_WORDS:
-                    memory.clear()
+                memory.trim()
                 rows = texts.slice(a, b - a).to_pylist()
                 ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(rows)
                 for stream in np.unique(streams[a:b]):

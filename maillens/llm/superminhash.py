@@ -243,6 +243,27 @@ def _fitting(n_a: str, n_b: str) -> F.Column:
     return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
 
 
+def _across(rest: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of the same bucket.
+
+    The full sets travel with the bucket's rows and are compared inside the
+    join, in the first bucket that a pair shares, so only links come out.
+    """
+    sets = rows_of(texts, rest.select(F.col("id").alias("doc_id")).distinct(), "doc_id")
+    sets = sets.dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, items array<long>")
+    bands = classes.select(F.col("rep").alias("id"), "bands").dropDuplicates(["id"])
+    full = rest.join(sets, "id").join(bands, "id")
+    left = full.select("key", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "g", "items", "bands")])
+    right = full.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "g", "items", "bands")])
+    shared = F.size(F.array_intersect("items1", "items2"))
+    # In this order: a pair that fails an early test costs no more than that.
+    linked = F.when((left["g1"] >= right["g2"]) | ~_fitting("n1", "n2"), False).when(
+        F.get(F.array_intersect("bands1", "bands2"), F.lit(0)) != left["key"], False).otherwise(
+        100 * shared >= PERCENT * (F.col("n1") + F.col("n2") - shared))
+    return (left.join(right, (left["key"] == right["key"]) & linked)
+            .select(F.col("id1").alias("a"), F.col("id2").alias("b")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Groups of near-duplicate documents of ``docs(doc_id, text, ...)``.
 
@@ -281,20 +302,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         shared.where("c > 2").join(groups, F.col("id") == F.col("node"), "left")
         .select("key", "id", "n", "head", F.coalesce("component", "id").alias("g")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi")
-    rest = labelled.join(mixed.select("key"), "key", "left_semi").where("id != head")
-    other = rest.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("g").alias("g2"))
-    cross, cross_path = staged(
-        rest.join(other, "key").where((F.col("g") < F.col("g2")) & _fitting("n", "n2"))
-        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct(), "pairs")
-    if not cross.isEmpty():
-        more = _confirmed(cross, texts)
+    rest, rest_path = staged(labelled.join(mixed.select("key"), "key", "left_semi").where("id != head")
+                             .select("key", "id", "n", "g"), "rest")
+    if not rest.isEmpty():
+        more, _ = staged(_across(rest, classes, texts), "across")
         if not more.isEmpty():
             groups, group_path = staged(components(links.unionByName(more)), "groups")
 
     named, _ = staged(
         classes.join(groups, F.col("rep") == F.col("node"), "left")
         .select(*same, F.coalesce("component", "rep").alias("component_id")), "named")
-    release(spark, class_path, shared_path, star_path, label_path, cross_path, group_path)
+    release(spark, class_path, shared_path, star_path, label_path, rest_path, group_path)
     out = (signed.select("doc_id", *same).join(named, same, "left")
            .select("doc_id", "n_shingles",
                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
