@@ -24,7 +24,7 @@ from maillens.llm.common import release, rows_of, staged
 WORDS = 5               # shingle length
 SPREAD = 3              # bins per shingle, as a power of two
 CONTAINED = 75          # least share of an item's shingles, in hundredths
-MAX_CLASS = 40          # documents of up to 2**40 shingles
+MAX_CLASS = 31          # documents of up to 2**31 shingles: any string
 BROADCAST_ROWS = 2_000_000   # index entries (24 bytes each) that are broadcast
 
 
@@ -71,14 +71,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     largest overlap counts); an empty table gives an empty result.
     """
     items, item_path = staged(
-        shingled(benchmark.where("item_id is not null"), "item_id").where(F.size("shingles") > 0)
-        .withColumn("n_item", F.size("shingles").cast("long")), "items")
+        shingled(benchmark.where("item_id is not null"), "item_id")
+        .select("*", F.size("shingles").cast("long").alias("n_item")), "items")
     index, index_path = staged(
         items.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(MAX_CLASS))))
         .where(100 * F.pow(F.lit(2.0), F.col("p")) >= CONTAINED * F.col("n_item"))
         .select("item_id", "n_item", "p", F.explode(entries("shingles", F.col("p"))).alias("entry")), "index")
     known = docs.where("doc_id is not null").select("doc_id", "text")
-    signed = (shingled(known, "doc_id").where(F.size("shingles") > 0)
+    # No filter on the arrays: pushed below them it would compute them again.
+    signed = (shingled(known, "doc_id")
               .select("doc_id", size_class(F.size("shingles")).alias("p"), "shingles")
               .select("doc_id", "p", F.explode(entries("shingles", F.col("p"))).alias("entry")))
     small = index.count() <= BROADCAST_ROWS

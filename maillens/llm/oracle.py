@@ -18,7 +18,7 @@ def _shingles(source: str, key: str, lowered: str) -> str:
                                 else list_aggregate(ws, 'string_agg', chr(1)) || chr(2) end as s
     from (select {key}, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i
           from (select {key}, list_filter(regexp_split_to_array({lowered}, '[\\x09-\\x0D\\x20]+'),
-                                          x -> x <> '') as ws from {source})
+                                          lambda x: x <> '') as ws from {source})
           where len(ws) > 0)"""
 
 
@@ -51,7 +51,7 @@ _OP10 = f"""
 with parts as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 line as (select doc_id, pos, trim(ls[pos + 1], ' ') as l from (select doc_id, ls, unnest(range(len(ls))) as pos from parts)),
 field as (select doc_id, pos, list_transform(string_split(l, ' '),
-                 t -> case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts from line),
+                 lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts from line),
 kept as materialized (select doc_id, pos, len(ts) as t, ts, [len(ts)::varchar] || ts[1:{_D}] as leaf
                       from field where len(ts) >= {logtree.MIN_TOKENS}),
 leaves as (select leaf from kept where t > {_D} group by leaf
@@ -69,7 +69,7 @@ often as (select leaf, tail, min(doc_id) as first_doc from keyed group by leaf,
 gone as (select doc_id, list(pos) as ps from keyed join often using (leaf, tail) where doc_id <> first_doc group by doc_id)
 select doc_id, coalesce(len(ls), 0) as n_lines, coalesce(len(ps), 0) as n_dropped,
        case when ps is null then text
-            else array_to_string(list_transform(list_filter(range(len(ls)), i -> not list_contains(ps, i)), i -> ls[i + 1]), chr(10)) end as text
+            else array_to_string(list_transform(list_filter(range(len(ls)), lambda i: not list_contains(ps, i)), lambda i: ls[i + 1]), chr(10)) end as text
 from parts left join gone using (doc_id)
 """
 
