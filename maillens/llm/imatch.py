@@ -73,10 +73,10 @@ def membership(terms: list[int]) -> Callable[[Column], Column]:
                       | (F.get(b, F.shiftright(h, 24).bitwiseAND(low).cast("int")) == h))
 
 
-def _in_subset(h: Column, bits: int, k: int) -> Column:
+def _in_subset(bits: int, k: int) -> Callable[[Column], Column]:
     """Keyed membership: a window of ``bits`` bits of a second hash is zero."""
-    window = F.shiftright(F.xxhash64(F.lit(bits), h), 16 + bits * k)
-    return window.bitwiseAND(F.lit((1 << bits) - 1).cast("bigint")) == 0
+    ones = F.lit((1 << bits) - 1).cast("bigint")
+    return lambda h: F.shiftright(F.xxhash64(F.lit(bits), h), 16 + bits * k).bitwiseAND(ones) == 0
 
 
 def with_signatures(df: DataFrame, text: str, out: str, inside: Callable[[Column], Column]) -> DataFrame:
@@ -86,7 +86,7 @@ def with_signatures(df: DataFrame, text: str, out: str, inside: Callable[[Column
     df = df.select("*", F.array_sort(F.filter("__terms", inside)).alias("__band"))
     hashes = []
     for bits, k in SUBSETS:
-        mine = F.filter("__band", lambda h, bits=bits, k=k: _in_subset(h, bits, k))
+        mine = F.filter("__band", _in_subset(bits, k))
         hashes.append(F.struct(F.size(mine).alias("n"), F.xxhash64(mine).alias("h")))
     df = df.select("*", F.array(*hashes).alias("__parts"))
     parts = F.transform("__parts", lambda p: F.when(p["n"] > 0, p["h"]))

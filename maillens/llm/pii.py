@@ -75,6 +75,14 @@ def _valid(kind: str, text: Column) -> Column:
     return n.between(9, 15)
 
 
+def _valid_match(kind: str):
+    return lambda m: _valid(kind, m["text"])
+
+
+def _as_span(kind: int):
+    return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
+
+
 def _spans(df: DataFrame) -> DataFrame:
     """``df(text, ...)`` plus ``base`` (kind, start, end) and ``candidates``."""
     text = F.col("text")
@@ -83,13 +91,12 @@ def _spans(df: DataFrame) -> DataFrame:
            "phone": F.instr(text, "+") > 0}
     for kind in BASE:
         found = F.when(may[kind], matches(text, PATTERNS[kind])).otherwise(none)
-        df = df.withColumn(f"__{kind}", F.filter(found, lambda m, kind=kind: _valid(kind, m["text"])))
+        df = df.withColumn(f"__{kind}", F.filter(found, _valid_match(kind)))
     loose = F.when(text.rlike("[0-9@]"), matches(text, _CANDIDATE)).otherwise(none)
     loose = F.filter(loose, lambda m: (F.instr(m["text"], "@") > 0)
                      | (F.length(_digits(m["text"])) >= MIN_DIGITS))
     df = df.withColumn("__loose", loose)
-    listed = F.concat(*[F.transform(f"__{kind}", lambda m, i=i: F.struct(
-        F.lit(i).alias("kind"), m["start"].alias("start"), m["end"].alias("end"))) for i, kind in enumerate(BASE)])
+    listed = F.concat(*[F.transform(f"__{kind}", _as_span(i)) for i, kind in enumerate(BASE)])
     return df.withColumn("base", listed).withColumn("candidates", F.transform("__loose", _described)).drop(
         "__loose", *[f"__{k}" for k in BASE])
 

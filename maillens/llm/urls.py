@@ -3,10 +3,8 @@
 Names such as ``cheappills`` are split into words by a Viterbi search over
 a unigram model (counts of the words in the pages' own markup and a fixed
 list of web words). The words of host and path feed a multinomial naive
-Bayes: its ``block`` class is learned from a fixed list of labelled names,
-its ``allow`` class from the words of all hosts and paths of the table, so
-a word counts against a page only if it is usual among blocked names and
-unusual in the table.
+Bayes that is learned from two fixed lists of labelled names, segmented the
+same way. Words that no labelled name holds are no evidence.
 """
 
 from __future__ import annotations
@@ -20,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEXICON = 50_000        # most frequent words of the unigram model
-VOCABULARY = 50_000     # most frequent tokens of the allow class
 LONGEST_WORD = 24
 SMOOTH = 0.5
+PRIOR = 0.2             # share of blocked names
 CACHE = 100_000         # segmented names per task
 
 # The rules, longest match wins.
@@ -36,6 +34,14 @@ BLOCKED_NAMES = (
     "spamfarm", "linkfarm", "clickfarm", "spamlinks", "adultx", "xadult", "adultvideo", "xxxvideo",
     "adultchat", "sexcam", "hotadult", "payday", "paydayloan", "cheaploan", "fastloan", "replicawatch",
     "warezcrack", "crackserial", "getrichfast", "freemoney", "winmoney", "lottowin")
+# Labelled names that teach the allow class.
+ALLOWED_NAMES = (
+    "dailynews", "worldnews", "localnews", "sportnews", "techblog", "foodblog", "travelblog", "musicblog",
+    "openwiki", "gamewiki", "codedocs", "opendocs", "onlineshop", "bookshop", "gamestore", "musicstore",
+    "webmail", "homepage", "mysite", "schoolhealth", "schoolonline", "publiclibrary", "openlibrary",
+    "healthfood", "healthcare", "bestfood", "besttravel", "worldtravel", "freecode", "opendata",
+    "datacloud", "cloudstore", "videogames", "fasttrack", "watchmaker", "farmfood", "linklibrary",
+    "loanlibrary", "cheaptravel", "winter")
 # Words that names are made of.
 WEB_WORDS = (
     "casino win online bonus poker slots free bet cheap pills viagra buy pharmacy diet spam farm link "
@@ -93,11 +99,11 @@ class Judge:
 
     def __init__(self, block: dict[str, int], allow: dict[str, int]):
         vocabulary = set(block) | set(allow)
-        size = SMOOTH * (len(vocabulary) + 1)
+        size = SMOOTH * len(vocabulary)
         b, a = sum(block.values()) + size, sum(allow.values()) + size
         self.odds = {t: math.log((block.get(t, 0) + SMOOTH) / b) - math.log((allow.get(t, 0) + SMOOTH) / a)
                      for t in vocabulary}
-        self.prior = math.log(0.1 / 0.9)
+        self.prior = math.log(PRIOR / (1 - PRIOR))
 
     def log_odds(self, tokens: list[str]) -> float:
         return self.prior + sum(self.odds.get(t, 0.0) for t in tokens)
@@ -122,18 +128,6 @@ def decided(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _count_tokens(words: Words):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, weight = [], []
-            for host, path, n in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                found = words.tokens(host, path)
-                token += found
-                weight += [n] * len(found)
-            yield pa.record_batch({"token": pa.array(token, pa.string()), "n": pa.array(weight, pa.int64())})
-    return run
-
-
 def _judge(words: Words, judge: Judge):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,25 +140,26 @@ def _judge(words: Words, judge: Judge):
     return run
 
 
+def _name_counts(words: Words, names: tuple[str, ...]) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    for name in names:
+        for t in words.split(name):
+            counts[t] = counts.get(t, 0) + 1
+    return counts
+
+
 def fit(pages: DataFrame) -> tuple[Words, Judge]:
-    """Both models from ``pages(url, html)``; counts cover all rows, the
-    models keep the most frequent ``LEXICON`` words and ``VOCABULARY`` tokens."""
+    """Both models; the unigram counts cover the markup of all ``pages(html)``,
+    the model keeps the most frequent ``LEXICON`` words."""
     word = F.explode(F.regexp_extract_all(F.lower(F.coalesce("html", F.lit(""))), F.lit("[a-z]{2,20}"), F.lit(0)))
     frequent = (pages.select(word.alias("w")).groupBy("w").agg(F.count("*").alias("n"))
                 .orderBy(F.desc("n"), "w").limit(LEXICON).collect())
     counts = {r["w"]: r["n"] for r in frequent}
+    usual = max(_WEB_COUNT, sum(counts.values()) // 20_000)
     for w in WEB_WORDS:
-        counts[w] = counts.get(w, 0) + _WEB_COUNT
+        counts[w] = max(counts.get(w, 0), usual)
     words = Words(counts)
-    host, path = parts(F.col("url"))
-    seen = pages.select(host.alias("host"), path.alias("path")).groupBy("host", "path").agg(F.count("*").alias("n"))
-    tokens = (seen.mapInArrow(_count_tokens(words), "token string, n long").groupBy("token")
-              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(VOCABULARY).collect())
-    block: dict[str, int] = {}
-    for name in BLOCKED_NAMES:
-        for t in words.split(name):
-            block[t] = block.get(t, 0) + 1
-    return words, Judge(block, {r["token"]: r["n"] for r in tokens})
+    return words, Judge(_name_counts(words, BLOCKED_NAMES), _name_counts(words, ALLOWED_NAMES))
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
