@@ -149,11 +149,11 @@ class Segmenter:
         self.by_code = np.full(0x110000, -1, dtype=np.int32)   # -1: a character that never merges
         for c, i in char_id.items():
             self.by_code[ord(c)] = i
-        order = sorted(set(vocab.scores[i] for i in vocab.ids.values()))
-        rank = {s: r + 1 for r, s in enumerate(order)}
-        self.rank = np.zeros(len(vocab.pieces), dtype=np.int32)
-        for i in vocab.ids.values():
-            self.rank[i] = rank[vocab.scores[i]]
+        # Ranks by score; pieces of blanks alone may tie, so words with several
+        # blanks in front are left to the agenda, which goes by place then.
+        order = sorted(vocab.ids.values(), key=lambda i: (vocab.scores[i], -i))
+        self.ranked = np.array([0, *order], dtype=np.int32)   # piece by rank; rank 0: none
+        rank = {i: r + 1 for r, i in enumerate(order)}
         self.bits = max(4, (4 * len(pairs)).bit_length())
         size = 1 << self.bits
         self.keys = np.full(size, -1, dtype=np.int64)
@@ -166,15 +166,15 @@ class Segmenter:
             while self.keys[at] >= 0:
                 at = (at + 1) & (size - 1)
                 n += 1
-            self.keys[at], self.made[at] = k, c
+            self.keys[at], self.made[at] = k, rank[c]
             self.probes = max(self.probes, n)
 
     def _slot_int(self, key: int) -> int:
         return ((key * GOLD) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Piece made of two symbols, -1 where there is none."""
-        out = np.full(len(a), -1, dtype=np.int32)
+        """Rank of the piece made of two symbols, 0 where there is none."""
+        out = np.zeros(len(a), dtype=np.int32)
         at = np.flatnonzero((a >= 0) & (b >= 0))
         key = (a[at].astype(np.int64) << 20) | b[at]
         slot = ((key.astype(np.uint64) * np.uint64(GOLD)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -194,6 +194,11 @@ class Segmenter:
         size = np.fromiter(map(len, words), np.int64, len(words))
         keys = (_word_keys(words, seed, stream) if dropout > 0 else np.zeros(len(words), np.uint64))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        alone = [i for i, w in enumerate(words) if len(w) > LONG_WORD or w.startswith("  ")]
+        for i in alone:
+            ids = np.array(segment(words[i], self.vocab, dropout, int(keys[i])), np.int32)
+            found.append((np.array([i]), ids, np.array([len(ids)])))
+        size[alone] = 0
         low = 0
         for high in (4, 8, 12, 18, 26, LONG_WORD):
             pick = np.flatnonzero((size > low) & (size <= high))
@@ -201,9 +206,6 @@ class Segmenter:
                 part = pick[a:a + 20_000]
                 found.append((part, *self._rounds([words[i] for i in part], high, keys[part], dropout)))
             low = high
-        for i in np.flatnonzero(size > LONG_WORD):
-            ids = np.array(segment(words[i], self.vocab, dropout, int(keys[i])), np.int32)
-            found.append((np.array([i]), ids, np.array([len(ids)])))
         count = np.zeros(len(words), np.int64)
         for part, _, n in found:
             count[part] = n
@@ -223,42 +225,46 @@ class Segmenter:
         inside = np.arange(width + 1)[None, :] < length[:, None]
         sym = np.full((n, width + 1), -2, dtype=np.int32)  # -2: past the end
         sym[inside] = flat
-        start = np.minimum(np.arange(width + 2)[None, :], length[:, None]).astype(np.int64)
-        made = np.full((n, width), -1, dtype=np.int32)
+        start = np.minimum(np.arange(width + 2)[None, :], length[:, None]).astype(np.int8)
+        best = np.zeros((n, width), dtype=np.int32)        # rank of the pair that starts here
         limit = np.uint64(_limit(dropout))
 
-        def look(rows: np.ndarray, cols: np.ndarray) -> None:
-            piece = self._pair(sym[rows, cols], sym[rows, cols + 1])
+        def look(sym, start, best, key, rows: np.ndarray, cols: np.ndarray) -> None:
+            rank = self._pair(sym[rows, cols], sym[rows, cols + 1])
             if dropout > 0:
-                some = np.flatnonzero(piece >= 0)
+                some = np.flatnonzero(rank)
                 r, c = rows[some], cols[some]
-                spot = ((start[r, c] << 42) | (start[r, c + 1] << 21) | start[r, c + 2]).astype(np.uint64)
-                piece[some[mix(key[r] + spot * np.uint64(GOLD)) < limit]] = -1
-            made[rows, cols] = piece
-
-        r0, c0 = np.nonzero(inside[:, 1:])
-        look(r0, c0)
-        score = np.where(made >= 0, self.rank[made], 0)
-        live = np.arange(n)
+                spot = ((start[r, c].astype(np.uint64) << np.uint64(42))
+                        | (start[r, c + 1].astype(np.uint64) << np.uint64(21)) | start[r, c + 2].astype(np.uint64))
+                rank[some[mix(key[r] + spot * np.uint64(GOLD)) < limit]] = 0
+            best[rows, cols] = rank
+
+        look(sym, start, best, key, *np.nonzero(inside[:, 1:]))
+        # Finished words are written back and leave the working arrays.
+        live, s, t, b, k = np.arange(n), sym, start, best, key
         cols = np.arange(width + 2)
-        while len(live):
-            best = score[live].argmax(axis=1)
-            ok = score[live, best] > 0
-            live, best = live[ok], best[ok]
-            if not len(live):
-                break
-            sym[live, best] = made[live, best]
+        while True:
+            at = b.argmax(axis=1)
+            rows = np.arange(len(live))
+            top = b[rows, at]
+            go = top > 0
+            if not go.all():
+                done = ~go
+                sym[live[done]], start[live[done]] = s[done], t[done]
+                if not go.any():
+                    break
+                live, s, t, b, k, at, top = live[go], s[go], t[go], b[go], k[go], at[go], top[go]
+                rows = np.arange(len(live))
+            s[rows, at] = self.ranked[top]
             # everything behind the merged pair moves one place forward
-            move = cols[None, :] + (cols[None, :] > best[:, None])
-            sym[live] = np.take_along_axis(sym[live], np.minimum(move[:, :width + 1], width), axis=1)
-            sym[live, width] = -2
-            start[live] = np.take_along_axis(start[live], np.minimum(move, width + 1), axis=1)
-            made[live] = np.take_along_axis(made[live], np.minimum(move[:, :width], width - 1), axis=1)
-            made[live, width - 1] = -1
-            look(live, best)
-            back = best > 0
-            look(live[back], best[back] - 1)
-            score[live] = np.where(made[live] >= 0, self.rank[made[live]], 0)
+            move = cols[None, :] + (cols[None, :] > at[:, None])
+            s = np.take_along_axis(s, np.minimum(move[:, :width + 1], width), axis=1)
+            s[:, width] = -2
+            t = np.take_along_axis(t, np.minimum(move, width + 1), axis=1)
+            b = np.take_along_axis(b, np.minimum(move[:, :width], width - 1), axis=1)
+            b[:, width - 1] = 0
+            back = np.flatnonzero(at)
+            look(s, t, b, k, np.concatenate((rows, back)), np.concatenate((at, at[back] - 1)))
         # symbols to ids: a character without a piece becomes its bytes
         there = sym != -2
         ids = sym[there].astype(np.int64)
@@ -266,7 +272,7 @@ class Segmenter:
         per_word = there.sum(axis=1)
         if odd.any():
             first = np.concatenate(([0], np.cumsum(length)[:-1]))
-            at_char = (start[:, :width + 1] + first[:, None])[there]
+            at_char = (start[:, :width + 1].astype(np.int64) + first[:, None])[there]
             code = np.array(self.vocab.byte_ids)
             pieces, sizes = [], np.ones(len(ids), np.int64)
             for i in np.flatnonzero(odd):
