@@ -4,7 +4,9 @@ All of these are native Spark expressions (whole-stage codegen, no Python
 worker). Semantics follow the standard library's ``email`` parser in its
 default (compat32) policy, as the extraction stage used it:
 
-* headers end at the first blank line; the body is everything after it;
+* headers end at the first line that is empty or no header line (a header
+  line starts with a name and a colon, or a blank or tab to continue one);
+  an empty line is dropped, any other one is the first line of the body;
 * a header value starts after ``Name:`` and optional blanks, and takes its
   folded continuation lines (lines starting with a blank or a tab);
 * header names match case-insensitively; the first occurrence wins;
@@ -28,23 +30,26 @@ def normalize_newlines(raw: Column) -> Column:
                   F.regexp_replace(raw, "\r\n?", "\n")).otherwise(raw)
 
 
+HEADER_LINES = r"\A(?:(?:From |[!-9;-~]*:|[ \t])[^\n]*(?:\n|\z))*"
+
+
 def header_block(raw: Column) -> Column:
-    """Text before the first blank line (literal search, no regex)."""
-    return F.substring_index(raw, "\n\n", 1)
+    """The leading header lines, line ends included."""
+    return F.regexp_extract(raw, HEADER_LINES + "+", 0)
 
 
-def body_part(raw: Column) -> Column:
-    """Text after the first blank line; ``''`` for a header-only mail."""
-    at = F.instr(raw, "\n\n")
-    return F.when(at > 0, raw.substr(at + 2, F.length(raw))).otherwise(F.lit(""))
+def body_part(raw: Column, headers: Column) -> Column:
+    """Text after ``headers`` and one empty line; ``''`` for a header-only mail."""
+    at = F.length(headers)
+    return raw.substr(F.when(raw.substr(at + 1, F.lit(1)) == "\n", at + 2).otherwise(at + 1), F.length(raw))
 
 
 def _value_pattern(name: str) -> str:
-    return f"(?im)^{name}:[ \\t]*([^\\n]*(?:\\n[ \\t][^\\n]*)*)"
+    return f"(?imd)^{name}:[ \\t]*([^\\n]*(?:\\n[ \\t][^\\n]*)*)"
 
 
 def has_header(headers: Column, name: str) -> Column:
-    return headers.rlike(f"(?im)^{name}:")
+    return headers.rlike(f"(?imd)^{name}:")
 
 
 def header_value(headers: Column, name: str) -> Column:
@@ -70,7 +75,10 @@ def flatten_body(body: Column) -> Column:
 
 
 def is_multipart(headers: Column) -> Column:
-    return headers.rlike("(?im)^content-type:[ \\t]*multipart/")
+    """The first Content-Type, folded or not, names a multipart with a
+    boundary, or a message inside the message."""
+    kind = F.coalesce(header_value(headers, "content-type"), F.lit(""))
+    return kind.rlike(r"(?is)\A\s*multipart/[^;]*;.*\bboundary\s*=") | kind.rlike(r"(?i)\A\s*message/")
 
 
 def message_line(sender: Column, to_list: Column, body: Column) -> Column:

@@ -1,10 +1,10 @@
 """Size-checked broadcast and the join helpers built on it.
 
-A side is broadcast only after a bounded probe shows it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` reads no more than
-that per task). Beyond the bound the plain DataFrame is returned and
-Spark plans a shuffle join (sort-merge, or a runtime broadcast by AQE
-when its statistics allow).
+A side is broadcast only after a bounded probe shows that its rows, as
+text, take at most ``max_bytes`` (the probe reads no more than
+``max_bytes`` rows per task). Beyond the bound Spark plans a shuffle join;
+the helpers here then spread the other side over salted keys, so a key that
+holds a third of all rows is not one task.
 """
 
 from __future__ import annotations
@@ -12,19 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Person tables, POI lists, vocabularies and model tables stay far below
-# this; message and token tables never qualify.
-DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 16 << 20
+ROW_BYTES = 16             # of a row besides its text
+SALTS = 32
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df`` take no more than ``max_bytes`` as text."""
+    text = F.octet_length(F.to_json(F.struct(*df.columns))) + ROW_BYTES
+    seen = df.select(text.alias("b")).limit(max_bytes // ROW_BYTES + 1)
+    return (seen.agg(F.sum("b")).first()[0] or 0) <= max_bytes
 
 
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df``."""
+    return F.broadcast(df) if bytes_at_most(df, max_bytes) else df
 
 
 def hint(df: DataFrame, small: bool) -> DataFrame:
@@ -33,13 +35,20 @@ def hint(df: DataFrame, small: bool) -> DataFrame:
 
 
 def semi_join(df: DataFrame, keys: DataFrame, left_on: str, right_on: str,
-              max_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+              max_bytes: int = DEFAULT_BROADCAST_BYTES, small: bool | None = None) -> DataFrame:
     """Rows of ``df`` whose ``left_on`` occurs in ``keys.right_on``.
 
     The membership filter of the reference ("value in list") expressed
     as a left-semi join instead of a driver-side list. ``small`` reuses a
     size decision already made for ``keys`` (or a table containing it).
+    Too large to broadcast, ``keys`` is repeated ``SALTS`` times and the rows
+    of a key are spread over as many groups by a hash of the whole row.
     """
     k = keys.select(F.col(right_on).alias("__key")).distinct()
-    k = small_side(k, max_rows) if small is None else hint(k, small)
-    return df.join(k, df[left_on] == k["__key"], "left_semi")
+    small = bytes_at_most(k, max_bytes) if small is None else small
+    if small:
+        return df.join(F.broadcast(k), df[left_on] == k["__key"], "left_semi")
+    k = k.select("__key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    return salted.join(k, (salted[left_on] == k["__key"]) & (salted["__salt"] == k["__salt"]),
+                       "left_semi").drop("__salt")

@@ -9,10 +9,12 @@ empty list is one empty recipient, which matches nobody).
 ``people(email, poi, ...)``: the person table (insiders) with a boolean
 person-of-interest flag.
 
-Every count is restricted to the persons *before* the shuffle: the
-membership test is a broadcast left-semi join (size checked), and the
-partial hash aggregate combines map-side, so a sender or recipient that
-holds a third of all mails still ships one row per task.
+While the person table is small enough to broadcast (size checked), every
+count is restricted to the persons *before* the shuffle, and the partial
+hash aggregate combines map-side. A larger person table meets the mails only
+after they are aggregated to (sender, recipient, n) or to one row per
+address. Either way a sender or recipient that holds a third of all mails
+ships one row per task and partner.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maillens.functions.mail import RECIPIENT_SEPARATOR
-from maillens.operators.joins import DEFAULT_BROADCAST_ROWS, hint, row_count_at_most, semi_join
+from maillens.operators.joins import DEFAULT_BROADCAST_BYTES, bytes_at_most, hint, semi_join
 
 COUNT_COLUMNS = ("n_sent", "n_received", "n_from_poi", "n_to_poi")
 
@@ -61,24 +63,41 @@ def insider_messages(messages: DataFrame, people: DataFrame) -> DataFrame:
     return semi_join(messages, people, "sender", "email")
 
 
-def mails_sent(messages: DataFrame, people: DataFrame) -> DataFrame:
+def mails_sent(messages: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
     """(email, n_sent) for persons that sent at least one mail."""
-    return (insider_messages(messages, people)
-            .groupBy(F.col("sender").alias("email"))
-            .agg(F.count(F.lit(1)).alias("n_sent")))
+    return _count_of(messages.select(F.col("sender").alias("email")), people, "n_sent", small)
 
 
-def mails_received(messages: DataFrame, people: DataFrame) -> DataFrame:
+def mails_received(messages: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
     """(email, n_received): recipient occurrences per person."""
-    return (semi_join(recipients_of(messages), people, "email", "email")
-            .groupBy("email").agg(F.count(F.lit(1)).alias("n_received")))
+    return _count_of(recipients_of(messages), people, "n_received", small)
 
 
-def people_are_small(people: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+def _count_of(rows: DataFrame, people: DataFrame, name: str, small: bool | None) -> DataFrame:
+    """Rows per person of ``rows(email)``: persons first when they can be
+    broadcast, else one row per address first."""
+    small = people_are_small(people) if small is None else small
+    if small:
+        rows = semi_join(rows, people, "email", "email", small=True)
+    counts = rows.groupBy("email").agg(F.count(F.lit(1)).alias(name))
+    return counts if small else semi_join(counts, people, "email", "email", small=False)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(sender, recipient, n) of (sender, recipient) rows."""
+    return rows.groupBy("sender", "recipient").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _weighted(rows: DataFrame, small: bool) -> DataFrame:
+    """(sender, recipient, n): single rows for a broadcast, else aggregated."""
+    return rows.select("sender", "recipient", F.lit(1).alias("n")) if small else pair_counts(rows)
+
+
+def people_are_small(people: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """One bounded probe of the person table. Every table broadcast below
-    (POI list, person keys, per-person counts) has at most as many rows,
-    so this single decision covers them all."""
-    return row_count_at_most(people.select("email"), max_rows)
+    (POI list, person keys, per-person counts) has at most as many rows and
+    little more per row, so this single decision covers them all."""
+    return bytes_at_most(people.select("email"), max_bytes)
 
 
 def _poi_flag(df: DataFrame, people: DataFrame, on: str, flag: str,
@@ -91,44 +110,50 @@ def _poi_flag(df: DataFrame, people: DataFrame, on: str, flag: str,
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
-def sent_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
+def sent_to_poi(messages: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
     """(email, n_to_poi): POI recipient occurrences over a person's mails.
 
     Every person that sent a mail has a row; zero when none went to a POI.
     """
-    small = people_are_small(people)
-    rows = exploded_recipients(semi_join(messages, people, "sender", "email", small=small))
+    small = people_are_small(people) if small is None else small
+    rows = semi_join(_weighted(exploded_recipients(messages), small), people, "sender", "email", small=small)
     rows = _poi_flag(rows, people, "recipient", "to_poi", small)
     return (rows.groupBy(F.col("sender").alias("email"))
-            .agg(F.count_if(F.col("to_poi")).alias("n_to_poi")))
+            .agg(F.sum(F.when(F.col("to_poi"), F.col("n")).otherwise(0)).cast("bigint").alias("n_to_poi")))
 
 
-def mails_to_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
+def mails_to_poi(messages: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
     """(email, n_mails_to_poi): mails of a person with at least one POI
-    recipient (the variant named in the reference's comment)."""
-    small = people_are_small(people)
-    rows = exploded_recipients(semi_join(messages, people, "sender", "email", small=small))
-    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
-    return (rows.groupBy(F.col("sender").alias("email"))
-            .agg(F.count_distinct(F.when(F.col("to_poi"), F.col("msg_id")))
-                 .alias("n_mails_to_poi")))
+    recipient. A mail counts once, so it is
+    reduced to (msg_id, sender) before it is counted by sender."""
+    small = people_are_small(people) if small is None else small
+    rows = exploded_recipients(messages).select("msg_id", "sender", "recipient")
+    hits = semi_join(rows, poi_list(people), "recipient", "email", small=small)
+    hits = (hits.groupBy("msg_id", "sender").agg(F.lit(1).alias("one"))
+            .groupBy(F.col("sender").alias("email")).agg(F.count("one").alias("n_mails_to_poi")))
+    senders = mails_sent(messages, people, small).select("email")
+    return (senders.join(hits, "email", "left")
+            .select("email", F.coalesce("n_mails_to_poi", F.lit(0)).cast("bigint").alias("n_mails_to_poi")))
 
 
-def received_from_poi(messages: DataFrame, people: DataFrame) -> DataFrame:
+def received_from_poi(messages: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
     """(email, n_from_poi): recipient occurrences of a person in mails
     sent by a POI; only persons with at least one such mail."""
-    small = people_are_small(people)
-    from_poi = semi_join(messages, poi_list(people), "sender", "email", small=small)
-    return (semi_join(recipients_of(from_poi), people, "email", "email", small=small)
-            .groupBy("email").agg(F.count(F.lit(1)).alias("n_from_poi")))
+    small = people_are_small(people) if small is None else small
+    rows = _weighted(exploded_recipients(messages).where(F.col("recipient").isNotNull()), small)
+    rows = semi_join(rows, poi_list(people), "sender", "email", small=small)
+    rows = semi_join(rows, people, "recipient", "email", small=small)
+    return (rows.groupBy(F.col("recipient").alias("email"))
+            .agg(F.sum("n").cast("bigint").alias("n_from_poi")))
 
 
 def recipients_by_sender(messages: DataFrame, people: DataFrame) -> DataFrame:
     """The grouped recipient lists of each person, as a multiset in long
     form (sender, recipient, n) -- never one collected list per sender."""
-    rows = exploded_recipients(insider_messages(messages, people))
-    return (rows.groupBy("sender", "recipient")
-            .agg(F.count(F.lit(1)).alias("n")))
+    small = people_are_small(people)
+    if small:
+        return pair_counts(exploded_recipients(semi_join(messages, people, "sender", "email", small=True)))
+    return semi_join(pair_counts(exploded_recipients(messages)), people, "sender", "email", small=False)
 
 
 def message_count(messages: DataFrame) -> DataFrame:
@@ -137,42 +162,16 @@ def message_count(messages: DataFrame) -> DataFrame:
 
 def traffic_counts(messages: DataFrame, people: DataFrame,
                    small: bool | None = None) -> DataFrame:
-    """All four counts in one scan and one (tiny) shuffle.
-
-    Every exploded recipient row contributes twice: to its sender
-    (a sent mail at position 0, a POI recipient) and to its recipient
-    (a receipt, a receipt from a POI). Both contributions go through one
-    ``stack``, one broadcast semi join on the persons and one aggregate.
-    Result: (email, n_sent, n_received, n_from_poi, n_to_poi) for every
-    person with any traffic.
+    """All four counts from the message-line form (one scan of the messages).
+
+    A mail's first recipient row also stands for the mail itself. Result:
+    (email, n_sent, n_received, n_from_poi, n_to_poi) for every person with
+    any traffic.
     """
-    small = people_are_small(people) if small is None else small
     rows = exploded_recipients(messages)
-    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
-    rows = _poi_flag(rows, people, "sender", "from_poi", small)
-    first = (F.col("pos") == 0) | F.col("pos").isNull()
-    contrib = rows.select(
-        F.inline(F.array(
-            F.struct(F.col("sender").alias("email"),
-                     first.cast("int").alias("sent"),
-                     F.lit(0).alias("received"),
-                     F.lit(0).alias("from_poi"),
-                     F.col("to_poi").cast("int").alias("to_poi")),
-            F.struct(F.col("recipient").alias("email"),
-                     F.lit(0).alias("sent"),
-                     F.col("recipient").isNotNull().cast("int").alias("received"),
-                     (F.col("from_poi") & F.col("recipient").isNotNull()).cast("int")
-                     .alias("from_poi"),
-                     F.lit(0).alias("to_poi")),
-        ))
-    )
-    contrib = semi_join(contrib, people, "email", "email", small=small)
-    return contrib.groupBy("email").agg(
-        F.sum("sent").cast("bigint").alias("n_sent"),
-        F.sum("received").cast("bigint").alias("n_received"),
-        F.sum("from_poi").cast("bigint").alias("n_from_poi"),
-        F.sum("to_poi").cast("bigint").alias("n_to_poi"),
-    )
+    first = ((F.col("pos") == 0) | F.col("pos").isNull()).cast("int")
+    return _counts(rows.select("sender", "recipient", first.alias("mails"),
+                               F.col("recipient").isNotNull().cast("int").alias("n")), people, small)
 
 
 def traffic_counts_long(senders: DataFrame, recipients: DataFrame, people: DataFrame,
@@ -181,31 +180,41 @@ def traffic_counts_long(senders: DataFrame, recipients: DataFrame, people: DataF
     (one row per mail) and ``recipients(msg_id, sender, recipient)`` (one
     row per listed recipient, as a mail store or a join delivers them).
 
-    Mails contribute a sent count, recipient rows the other three; the
-    union goes through one semi join and one aggregate. No per-mail list
-    is ever assembled, so a mail with a huge recipient list is spread over
-    tasks like any other rows.
+    No per-mail list is ever assembled, so a mail with a huge recipient
+    list is spread over tasks like any other rows.
+    """
+    none = F.lit(None).cast("string")
+    mails = senders.select("sender", none.alias("recipient"), F.lit(1).alias("mails"), F.lit(0).alias("n"))
+    rows = recipients.select("sender", "recipient", F.lit(0).alias("mails"), F.lit(1).alias("n"))
+    return _counts(mails.unionByName(rows), people, small)
+
+
+def _counts(rows: DataFrame, people: DataFrame, small: bool | None) -> DataFrame:
+    """The four counts from ``rows(sender, recipient, mails, n)``.
+
+    Every row contributes to its sender (mails, recipients that are POI) and
+    to its recipient (receipts, receipts from POI); both contributions go
+    through one semi join on the persons and one aggregate. When persons are
+    not broadcast, rows are first aggregated by (sender, recipient) and the
+    contributions by address, so no join sees single mails.
     """
     small = people_are_small(people) if small is None else small
-    rows = _poi_flag(recipients.select("sender", "recipient"), people, "recipient", "to_poi",
-                     small)
+    if not small:
+        rows = rows.groupBy("sender", "recipient").agg(F.sum("mails").alias("mails"), F.sum("n").alias("n"))
+    rows = _poi_flag(rows, people, "recipient", "to_poi", small)
     rows = _poi_flag(rows, people, "sender", "from_poi", small)
-    zero = F.lit(0)
-    sent = senders.select(F.col("sender").alias("email"), F.lit(1).alias("sent"),
-                          zero.alias("received"), zero.alias("from_poi"), zero.alias("to_poi"))
+    zero = F.lit(0).cast("bigint")
+    when = lambda flag: F.when(F.col(flag), F.col("n")).otherwise(0).cast("bigint")
     contrib = rows.select(F.inline(F.array(
-        F.struct(F.col("sender").alias("email"), zero.alias("sent"), zero.alias("received"),
-                 zero.alias("from_poi"), F.col("to_poi").cast("int").alias("to_poi")),
+        F.struct(F.col("sender").alias("email"), F.col("mails").cast("bigint").alias("sent"),
+                 zero.alias("received"), zero.alias("from_poi"), when("to_poi").alias("to_poi")),
         F.struct(F.col("recipient").alias("email"), zero.alias("sent"),
-                 F.lit(1).alias("received"), F.col("from_poi").cast("int").alias("from_poi"),
+                 F.col("n").cast("bigint").alias("received"), when("from_poi").alias("from_poi"),
                  zero.alias("to_poi")))))
-    contrib = semi_join(sent.unionByName(contrib), people, "email", "email", small=small)
-    return contrib.groupBy("email").agg(
-        F.sum("sent").cast("bigint").alias("n_sent"),
-        F.sum("received").cast("bigint").alias("n_received"),
-        F.sum("from_poi").cast("bigint").alias("n_from_poi"),
-        F.sum("to_poi").cast("bigint").alias("n_to_poi"),
-    )
+    totals = [F.sum(c).cast("bigint").alias(f"n_{c}") for c in ("sent", "received", "from_poi", "to_poi")]
+    if small:
+        return semi_join(contrib, people, "email", "email", small=True).groupBy("email").agg(*totals)
+    return semi_join(contrib.groupBy("email").agg(*totals), people, "email", "email", small=False)
 
 
 def insider_features_long(senders: DataFrame, recipients: DataFrame, people: DataFrame,

@@ -9,7 +9,6 @@ from maillens.sources import fixtures as fx
 from maillens.sources import mail as S
 from maillens.sources.scratch import materialize
 
-_NL2 = "chr(10)||chr(10)"
 _VALUE = "[ \\t]*([^\\n]*(?:\\n[ \\t][^\\n]*)*)"
 
 
@@ -18,10 +17,12 @@ def _parse_sql(source: str) -> str:
     return f"""
 p as (select msg_id, replace(replace(raw, chr(13)||chr(10), chr(10)), chr(13), chr(10)) t
       from {source}),
-h as (select msg_id, string_split(t, {_NL2})[1] hdr,
-             case when position({_NL2} in t) > 0
-                  then substr(t, position({_NL2} in t) + 2) else '' end b
-      from p),
+g as (select msg_id, t, regexp_extract(t, '{S.M.HEADER_LINES}', 0) hdr from p),
+h as (select msg_id, hdr, substr(t, length(hdr) + case when substr(t, length(hdr) + 1, 1) = chr(10)
+                                                       then 2 else 1 end) b,
+             case when regexp_matches(hdr, '(?im)^content-type:')
+                  then regexp_extract(hdr, '(?im)^content-type:{_VALUE}', 1) else '' end kind
+      from g),
 parsed as (
 select msg_id,
   case when regexp_matches(hdr, '(?im)^from:')
@@ -31,7 +32,8 @@ select msg_id,
        end, '') to_list,
   replace(b, chr(10), ' ') body,
   regexp_matches(hdr, '(?im)^from:')
-    and not regexp_matches(hdr, '(?im)^content-type:[ \\t]*multipart/') parse_ok
+    and not regexp_matches(kind, '(?is)\\A\\s*multipart/[^;]*;.*\\bboundary\\s*=')
+    and not regexp_matches(kind, '(?i)\\A\\s*message/') parse_ok
 from h)"""
 
 
@@ -61,10 +63,9 @@ def mail_tree(spark, sf_dir) -> str:
     """The raw mails written as a tree of one file per mail (once)."""
     def write(path):
         raw = fx.raw_mails(spark, sf_dir).select(
-            F.regexp_extract(F.col("raw"), "(?m)^From: ([^@\\n]*)", 1).alias("box"),
-            F.col("msg_id").alias("mail"), "raw")
+            F.concat(F.lit("b"), F.pmod(F.xxhash64("msg_id"), F.lit(64))).alias("box"), "raw")
         S.write_mail_tree(raw, path)
-    return materialize(spark, "mailtree-v2", sf_dir, write)
+    return materialize(spark, "mailtree", fx.source_paths(sf_dir, "orders", "lineitem", "documents"), write)
 
 
 @query("mail_scan", sql=_with_parsed(
@@ -72,10 +73,9 @@ def mail_tree(spark, sf_dir) -> str:
     pre="files as (select msg_id, raw || chr(10) raw from raw_mails),"))
 def q_mail_scan(spark, sf_dir):
     """Recursive scan of a one-file-per-mail tree, then parse."""
-    files = S.read_mail_tree(spark, mail_tree(spark, sf_dir),
-                             max_partitions=4 * spark.sparkContext.defaultParallelism)
+    files = S.read_mail_tree(spark, mail_tree(spark, sf_dir))
     files = files.withColumn(
-        "msg_id", F.regexp_extract("path", "/mail=(-?[0-9]+)/", 1).cast("bigint"))
+        "msg_id", F.regexp_extract("raw", "Message-ID: <(-?[0-9]+)>", 1).cast("bigint"))
     return S.parse_mails(files).select("msg_id", "sender", "to_list", "body", "parse_ok")
 
 
@@ -94,7 +94,7 @@ def message_line_files(spark, sf_dir) -> str:
     extraction stage's output file."""
     def write(path):
         S.write_messages(parsed_mails(spark, sf_dir), path, mode="overwrite")
-    return materialize(spark, "messagelines-v2", sf_dir, write)
+    return materialize(spark, "messagelines", fx.source_paths(sf_dir, "orders", "lineitem", "documents"), write)
 
 
 _SPLIT = (f"select split_part(line, '*', 1) sender, split_part(line, '*', 2) to_list, "
@@ -106,28 +106,42 @@ _SPLIT = (f"select split_part(line, '*', 1) sender, split_part(line, '*', 2) to_
 @query("message_fields", sql=_with_parsed(_SPLIT))
 def q_message_fields(spark, sf_dir):
     """Message line files read back: split into 3 fields, body keeps '*'."""
-    return S.read_messages(spark, message_line_files(spark, sf_dir), min_partitions=20)
+    return S.read_messages(spark, message_line_files(spark, sf_dir))
 
 
-@query("fill_text", sql=_with_parsed(_SPLIT))
+_CUT_LINE = (f"select case when msg_id % 7 = 0 then split_part(line, '*', 1) || '*' || split_part(line, '*', 2) "
+             f"else line end line from (select msg_id, {_LINE} line from parsed)")
+
+
+@query("fill_text", sql=_with_parsed(_SPLIT.replace(f"select {_LINE} line from parsed", _CUT_LINE)))
 def q_fill_text(spark, sf_dir):
-    """Missing body fields of message lines filled with ''."""
-    lines = spark.read.text(message_line_files(spark, sf_dir))
+    """Missing body fields of message lines filled with '' (every seventh
+    mail's line ends after its recipients)."""
+    lines = q_message_lines(spark, sf_dir).select(
+        F.when(F.col("msg_id") % 7 == 0, F.substring_index("line", "*", 2))
+        .otherwise(F.col("line")).alias("value"))
     sender, to_list, body = S.M.split_fields(F.col("value"))
     return lines.select(sender, to_list, body).fillna({"body": ""})
 
 
-@query("drop_header", sql=_with_parsed(
-    f"select msg_id, line from (select msg_id, {_LINE} line from parsed) "
-    f"where line <> (select {_LINE} from parsed order by msg_id limit 1)"))
+_HEADER = "sender*to_list*body"
+
+
+@query("drop_header", sql=_with_parsed(_SPLIT))
 def q_drop_header(spark, sf_dir):
-    """Lines equal to the first line (smallest msg_id) are dropped."""
-    lines = q_message_lines(spark, sf_dir)
-    return S.drop_header(lines, col="line", order_by="msg_id")
+    """Message files with a header line (which also turns up further down):
+    every line equal to the first one is dropped, the rest is split."""
+    def write(path):
+        lines = S.message_lines(parsed_mails(spark, sf_dir))
+        header = spark.range(1).select(F.lit(_HEADER).alias("value"))
+        header.write.text(f"{path}/part=0")
+        lines.unionByName(header).write.text(f"{path}/part=1")
+    path = materialize(spark, "headerlines", fx.source_paths(sf_dir, "orders", "lineitem", "documents"), write)
+    return S.read_messages(spark, path, header=True)
 
 
 @query("message_sample", sql=fx.with_fixtures(
     "select * from messages order by msg_id limit 5", "messages"))
 def q_message_sample(spark, sf_dir):
     """First 5 mails by msg_id (take(n) with a defined order)."""
-    return fx.messages(spark, sf_dir).orderBy("msg_id").limit(5)
+    return fx.messages(spark, sf_dir, first=5).orderBy("msg_id")

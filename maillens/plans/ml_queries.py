@@ -62,14 +62,16 @@ def nb_best(spark, sf_dir):
 def insider_csv(spark, sf_dir) -> str:
     def write(path):
         S.write_result(fx.insiders(spark, sf_dir), path)
-    return materialize(spark, "insiders-csv", sf_dir, write)
+    return materialize(spark, "insiders-csv", fx.source_paths(sf_dir, "customer"), write)
 
 
 def insider_feature_csv(spark, sf_dir) -> str:
     def write(path):
         S.write_result(TR.insider_features(fx.messages(spark, sf_dir),
                                            fx.insiders(spark, sf_dir)), path)
-    return materialize(spark, "insider-features-csv", sf_dir, write)
+    return materialize(
+        spark, "insider-features-csv",
+        fx.source_paths(sf_dir, "customer", "orders", "lineitem"), write)
 
 
 def feature_csv(spark, sf_dir):

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, app: str = "maillens",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.files.openCostInBytes", str(1 << 20))
+        .config("spark.sql.files.minPartitionNum", str(max(20, _cores(master))))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -52,11 +53,16 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as configured for the cluster. Only when
-    it is unset (local tests) a private temporary folder is created and
-    registered, so ``DataFrame.checkpoint()`` and written tables agree.
+    it is unset on a local master (tests) a private temporary folder is
+    created and registered, so ``DataFrame.checkpoint()`` and written tables
+    agree; any other master without the setting is an error, because its
+    executors would not share such a folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="maillens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -74,22 +80,11 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``maillens`` importable in the executors' Python workers.
-
-    Arrow UDFs and ``mapInPandas`` functions refer to this package, so the
-    workers must import it; a zip of the package (named by its content
-    hash) is added with ``addPyFile`` once per Spark application. Spark
-    copies it to every executor. Installing the package on the executors
-    makes this a no-op.
-    """
-    import hashlib
+def package_zip() -> bytes:
+    """The package's sources as a zip with fixed time stamps."""
     import io
     import zipfile
 
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -102,7 +97,25 @@ def ship_package(spark: SparkSession) -> None:
                     info = zipfile.ZipInfo(arc, date_time=(2000, 1, 1, 0, 0, 0))
                     with open(full, "rb") as fh:
                         zf.writestr(info, fh.read())
-    data = buf.getvalue()
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``maillens`` importable in the executors' Python workers.
+
+    Arrow UDFs and ``mapInPandas`` functions refer to this package, so the
+    workers must import it; a zip of the package (named by its content
+    hash) is added with ``addPyFile`` once per Spark application. Spark
+    copies it to every executor. Installing the package on the executors
+    makes this a no-op.
+    """
+    import hashlib
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    data = package_zip()
     digest = hashlib.sha1(data).hexdigest()[:16]
     name = f"maillens-{digest}.zip"
     path = os.path.join(os.path.dirname(pkg), "build", name)

@@ -7,9 +7,11 @@ computes on) and as DuckDB SQL (used only by the correctness oracle).
   derived from the customer key, the recipients from the supplier keys of
   the order's line items, comma-joined in sorted order (``''`` if none).
 * ``insiders(name, email, f02..f15, poi)``: 17 columns, like the financial
-  table of persons: 140 customers, some feature cells null.
+  table of persons: every customer, some feature cells null.
 * ``raw_mails(msg_id, raw)``: ``messages`` rendered as RFC-822 text with a
-  folded ``To`` header and the body of document ``msg_id % N`` (N documents).
+  folded ``To`` header and the body of document ``msg_id % N`` (N documents);
+  the order key picks an odd form for half of them (no From, multipart,
+  repeated To, a line that is no header, CRLF, ...).
 * ``doc_features(doc_id, label, 10 counts)``: a labelled learning table
   whose size grows with ``documents``.
 """
@@ -19,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillens.sources.tables import read_table
+from maillens.sources.tables import read_table, table_path
 
 # Fixed values of the derived tables.
-N_ADDRESSES = 150          # u0@x.com .. u149@x.com, about 150 mailboxes
-N_INSIDERS = 140           # persons with financial data
 FEATURE_INDEXES = tuple(range(2, 16))   # f02 .. f15
 POI_EVERY = 8              # c_custkey % 8 = 0 marks a person of interest
 
@@ -31,11 +31,19 @@ FEATURE_COLUMNS = tuple(f"f{i:02d}" for i in FEATURE_INDEXES)
 
 
 def address(key) -> F.Column:
-    return F.concat(F.lit("u"), key % N_ADDRESSES, F.lit("@x.com"))
+    return F.concat(F.lit("u"), key, F.lit("@x.com"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def source_paths(sf_dir: str, *tables: str) -> list[str]:
+    """Paths of the given tables that a derived table reads."""
+    return [table_path(sf_dir, t) for t in tables]
+
+
+def messages(spark: SparkSession, sf_dir: str, first: int | None = None) -> DataFrame:
+    """The mails (``first``: only those with the smallest keys)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    if first is not None:
+        orders = orders.orderBy("o_orderkey").limit(first)
     items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     # Join and aggregate share the order-key partitioning: one shuffle each side.
     return (
@@ -68,7 +76,7 @@ def message_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insiders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") < N_INSIDERS)
+    c = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     feats = [
         F.when((key + i) % 5 == 0, F.lit(None).cast("double"))
@@ -83,6 +91,23 @@ def insiders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Forms of the raw mails by ``msg_id % FORM_KEYS`` (None: all other keys).
+FORM_KEYS = 16
+CRLF_KEY = 7
+_HEAD = "Message-ID: <{id}>\nFrom: {from}\n"
+MAIL_FORMS = {
+    None: _HEAD + "To: {to}\nSubject: m{id}\n\n",
+    0: "Message-ID: <{id}>\nTo: {to}\nSubject: m{id}\n\n",
+    1: _HEAD + "To: {to}\nContent-Type: multipart/mixed; boundary=\"zz{id}\"\n\n",
+    2: _HEAD + "To: {to}\nContent-Type:\n\tmultipart/alternative;\n boundary=b{id}\n\n",
+    3: _HEAD + "To: {to}\nTo: later@x.com\n\n",
+    4: _HEAD + "X-To: other@x.com\nTo: {to}\nSubject: m{id}\n\n",
+    5: "\n" + _HEAD + "To: {to}\n\n",
+    6: _HEAD + "this line is no header\nTo: {to}\n\n",
+    8: _HEAD + "To: {to}\n \nno header either\n\n",
+}
+
+
 def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = messages(spark, sf_dir)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,17 +116,20 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     # join is left to the planner (sort-merge at scale, uniform keys).
     n_docs = docs.count()
     joined = msgs.join(docs, (msgs.msg_id % F.lit(max(n_docs, 1))) == docs.doc_id, "left")
-    nl = F.lit("\n")
-    return joined.select(
-        "msg_id",
-        F.concat(
-            F.lit("Message-ID: <"), F.col("msg_id"), F.lit(">"), nl,
-            F.lit("From: "), F.col("sender"), nl,
-            F.lit("To: "), F.replace(F.col("to_list"), F.lit(","), F.lit(",\n\t")), nl,
-            F.lit("Subject: m"), F.col("msg_id"), nl, nl,
-            F.coalesce(F.col("text"), F.lit("")),
-        ).alias("raw"),
-    )
+    to = F.replace(F.col("to_list"), F.lit(","), F.lit(",\n\t"))
+
+    def form(template: str) -> F.Column:
+        mail = F.lit(template)
+        for mark, value in (("{id}", F.col("msg_id").cast("string")), ("{from}", F.col("sender")), ("{to}", to)):
+            mail = F.replace(mail, F.lit(mark), value)
+        return F.concat(mail, F.coalesce(F.col("text"), F.lit("")))
+
+    raw = form(MAIL_FORMS[None])
+    for key, template in MAIL_FORMS.items():
+        if key is not None:
+            raw = F.when(F.col("msg_id") % FORM_KEYS == key, form(template)).otherwise(raw)
+    crlf = F.col("msg_id") % FORM_KEYS == CRLF_KEY
+    return joined.select("msg_id", F.when(crlf, F.replace(raw, F.lit("\n"), F.lit("\r\n"))).otherwise(raw).alias("raw"))
 
 
 # Character classes counted per document (fixed values).
@@ -151,10 +179,27 @@ def _insiders_sql() -> str:
         "select concat('Name ', c_custkey) name, concat('u', c_custkey, '@x.com') email,\n"
         f"       {feats},\n"
         f"       c_custkey % {POI_EVERY} = 0 poi\n"
-        f"from customer where c_custkey < {N_INSIDERS}"
+        "from customer"
     )
 
 
+def _raw_mails_sql() -> str:
+    def form(template: str) -> str:
+        text = "'" + template.replace("\n", "' || chr(10) || '").replace("\t", "' || chr(9) || '") + "'"
+        for mark, value in (("{id}", "msg_id::varchar"), ("{from}", "sender"), ("{to}", "folded")):
+            text = f"replace({text}, '{mark}', {value})"
+        return f"{text} || coalesce(text, '')"
+
+    cases = "\n".join(f"when msg_id % {FORM_KEYS} = {k} then {form(t)}"
+                      for k, t in MAIL_FORMS.items() if k is not None)
+    return f"""
+select msg_id, case when msg_id % {FORM_KEYS} = {CRLF_KEY} then replace(r, chr(10), chr(13) || chr(10)) else r end raw
+from (select msg_id, case {cases} else {form(MAIL_FORMS[None])} end r
+      from (select msg_id, sender, text, replace(to_list, ',', concat(',', chr(10), chr(9))) folded
+            from messages left join documents
+            on msg_id % (select greatest(count(*), 1) from documents) = doc_id))"""
+
+
 _DUCK_CLASSES = {
     "n_digit": "[^0-9]", "n_upper": "[^A-Z]", "n_lower": "[^a-z]",
     "n_line": "[^\\n]", "n_blank": "[^ ]", "n_stop": "[^.]",
@@ -163,20 +208,15 @@ _DUCK_CLASSES = {
 
 SQL = {
     "messages": f"""
-select o_orderkey msg_id, concat('u', o_custkey % {N_ADDRESSES}, '@x.com') sender,
+select o_orderkey msg_id, concat('u', o_custkey, '@x.com') sender,
        coalesce(string_agg(r, ',' order by r) filter (where r is not null), '') to_list
 from (select o_orderkey, o_custkey,
              case when l_suppkey is not null
-                  then concat('u', l_suppkey % {N_ADDRESSES}, '@x.com') end r
+                  then concat('u', l_suppkey, '@x.com') end r
       from orders left join lineitem on o_orderkey = l_orderkey)
 group by 1, 2""",
     "insiders": _insiders_sql(),
-    "raw_mails": f"""
-select msg_id, concat('Message-ID: <', msg_id, '>', chr(10), 'From: ', sender, chr(10),
-       'To: ', replace(to_list, ',', concat(',', chr(10), chr(9))), chr(10),
-       'Subject: m', msg_id, chr(10), chr(10), coalesce(text, '')) raw
-from messages left join documents
-  on msg_id % (select greatest(count(*), 1) from documents) = doc_id""",
+    "raw_mails": _raw_mails_sql(),
     "doc_features": "select d.doc_id, quality label, n_chars, length(text)::BIGINT n_len,\n  "
     + ",\n  ".join(
         f"length(regexp_replace(text, '{rx}', '', 'g'))::BIGINT {name}"

@@ -25,18 +25,15 @@ from maillens.functions import mail as M
 # ------------------------------------------------------------------ S1, S2
 
 
-def read_mail_tree(spark: SparkSession, path: str, max_partitions: int | None = None) -> DataFrame:
+def read_mail_tree(spark: SparkSession, path: str) -> DataFrame:
     """(path, raw): one row per file found at any depth below ``path``.
 
     ``wholetext`` must be passed as an argument (as an option it is reset
     by the text reader). Listing is distributed by Spark for large trees,
-    and small files are packed into shared input partitions;
-    ``max_partitions`` merges those further (no shuffle) when a tree of
-    tiny mails would otherwise give many near-empty tasks.
+    and small files are packed into shared input partitions (how many:
+    ``spark.sql.files.openCostInBytes``).
     """
     df = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    if max_partitions and df.rdd.getNumPartitions() > max_partitions:
-        df = df.coalesce(max_partitions)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
@@ -52,7 +49,7 @@ def parse_mails(df: DataFrame, raw: str = "raw", decode_multipart: bool = False)
 
     ``decode_multipart=True`` replaces the body of multipart mails by their
     decoded text parts, using the standard library parser in an Arrow UDF
-    that only sees the multipart rows.
+    in the same scan (it gets nulls for all other mails).
     """
     text = M.normalize_newlines(F.col(raw))
     hdr = M.header_block(text)
@@ -60,14 +57,13 @@ def parse_mails(df: DataFrame, raw: str = "raw", decode_multipart: bool = False)
         "*",
         M.unfold(M.header_value(hdr, "from")).alias("sender"),
         F.coalesce(M.strip_recipients(M.header_value(hdr, "to")), F.lit("")).alias("to_list"),
-        M.flatten_body(M.body_part(text)).alias("body"),
+        M.flatten_body(M.body_part(text, hdr)).alias("body"),
         M.is_multipart(hdr).alias("_multipart"),
     )
     out = out.withColumn("parse_ok", F.col("sender").isNotNull() & ~F.col("_multipart"))
     if decode_multipart:
-        multi = out.where(F.col("_multipart")).withColumn(
-            "body", M.flatten_body(_decoded_text(F.col(raw))))
-        out = out.where(~F.col("_multipart")).unionByName(multi)
+        decoded = _decoded_text(F.when(F.col("_multipart"), F.col(raw)))
+        out = out.withColumn("body", F.coalesce(M.flatten_body(decoded), F.col("body")))
     return out.drop("_multipart")
 
 
@@ -121,31 +117,38 @@ def split_message_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.select(sender, to_list, F.coalesce(body, F.lit("")).alias("body"))
 
 
-def read_messages(spark: SparkSession, path: str, min_partitions: int = 20,
-                  header: bool = False) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """Message lines as (sender, to_list, body).
 
-    At least ``min_partitions`` input partitions (a round-robin split only
-    when the file splits give fewer). ``header=True`` drops every line
-    equal to the first line, as the aggregation script did.
+    The number of input partitions follows the file splits (at least
+    ``spark.sql.files.minPartitionNum``); lines are never shuffled.
+    ``header=True`` drops every line equal to the first line, as the
+    aggregation script did.
     """
-    lines = spark.read.text(path)
-    if lines.rdd.getNumPartitions() < min_partitions:
-        lines = lines.repartition(min_partitions)
+    lines = spark.read.text(path).select("value")
     if header:
-        lines = drop_header(lines)
+        lines = drop_header(lines, first_line(spark, path))
     return split_message_lines(lines)
 
 
-def drop_header(df: DataFrame, col: str = "value", order_by: str | None = None) -> DataFrame:
-    """Drop every row whose ``col`` equals that of the first row.
+def first_line(spark: SparkSession, path: str) -> DataFrame:
+    """(first): the first line of the first non-empty file by path; no row
+    without any line. Only the first split of that file is read."""
+    for file in sorted(spark.read.text(path).inputFiles()):
+        lines = spark.read.text(file).where(F.col("_metadata.file_block_start") == 0)
+        first = lines.select(F.col("value").alias("first")).limit(1)
+        if not first.isEmpty():
+            return first
+    return spark.createDataFrame([], "first string")
 
-    The first row is the first in read order, or the smallest ``order_by``.
-    It is found by a one-row limit and removed by a broadcast anti join,
-    so nothing goes through the driver; null rows are kept.
+
+def drop_header(df: DataFrame, first: DataFrame, col: str = "value") -> DataFrame:
+    """Drop every row whose ``col`` equals the one value in ``first``.
+
+    A broadcast anti join (``first`` has one row), so nothing goes through
+    the driver; null rows are kept.
     """
-    first = df.orderBy(order_by).limit(1) if order_by else df.limit(1)
-    first = first.select(F.col(col).alias("__first"))
+    first = first.limit(1).toDF("__first")
     return df.join(F.broadcast(first), df[col] == F.col("__first"), "left_anti")
 
 
@@ -192,19 +195,17 @@ def rows_to_table(spark: SparkSession, rows: Iterable, schema: T.StructType | st
     return spark.createDataFrame(list(rows), schema)
 
 
-def write_mail_tree(raw: DataFrame, path: str, box: str = "box", name: str = "mail",
+def write_mail_tree(raw: DataFrame, path: str, box: str = "box",
                     raw_col: str = "raw", mode: str = "overwrite",
                     partitions: int | None = None) -> None:
-    """One file per mail below ``box=<box>/mail=<name>/`` (maildir-like).
+    """One file per mail below ``box=<box>/``, like a mail folder.
 
-    Rows are hash-spread on the mail name over ``partitions`` writer tasks
-    (default: the cluster's parallelism), so the file creations run in
-    parallel and a mailbox holding a third of all mail is not one task.
+    Rows are spread over ``partitions`` writer tasks (default: the cluster's
+    parallelism) by a hash of the mail, so a mailbox that holds a third of
+    all mail is not one task. The default committer makes a failed task's
+    files invisible.
     """
     n = partitions or raw.sparkSession.sparkContext.defaultParallelism
-    (raw.select(F.col(box).alias("box"), F.col(name).alias("mail"),
-                F.col(raw_col).alias("value"))
-     .repartition(n, "mail")
-     .write.partitionBy("box", "mail").mode(mode)
-     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-     .text(path))
+    (raw.select(F.col(box).alias("box"), F.col(raw_col).alias("value"))
+     .repartition(n, F.xxhash64("value"))
+     .write.partitionBy("box").mode(mode).option("maxRecordsPerFile", 1).text(path))

@@ -3,9 +3,8 @@
 The extraction stage appended to its output file once per mail. Here new
 mail files arriving anywhere below a folder are parsed (same native
 expressions as the batch parser) and appended to a Parquet message
-table. The checkpoint in the shared scratch folder records which files
-were taken, so a restarted or retried query neither loses nor duplicates
-a mail.
+table. The checkpoint inside that table's folder records which files were
+taken, so a restarted or retried query neither loses nor duplicates a mail.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from maillens.sources.mail import parse_mails
-from maillens.session import scratch_path
 
 
 def mail_stream(spark: SparkSession, src_dir: str,
@@ -33,8 +31,10 @@ def extract_incrementally(spark: SparkSession, src_dir: str, out_dir: str,
                           checkpoint: str | None = None, available_now: bool = True,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append parsed mails to ``out_dir`` (Parquet). ``available_now``
-    processes what is there and stops; otherwise it keeps polling."""
-    checkpoint = checkpoint or scratch_path(spark, "extraction-checkpoint")
+    processes what is there and stops; otherwise it keeps polling. The
+    checkpoint belongs to the output: ``out_dir/_checkpoint`` by default
+    (readers skip such a folder)."""
+    checkpoint = checkpoint or f"{out_dir.rstrip('/')}/_checkpoint"
     writer = (mail_stream(spark, src_dir, max_files_per_trigger).writeStream
               .format("parquet").option("checkpointLocation", checkpoint)
               .outputMode("append"))

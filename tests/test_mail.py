@@ -20,6 +20,10 @@ CASES = [
     "From: a@x\r\nTo: b@x\r\n\r\ncrlf body\r\nline",
     "From: a@x\nTo: b@x, b@x\n\ntwice",
     "From: a@x\nTo: b@x\n\n*star*in*body*",
+    "From: a@x\nno header here\nTo: b@x\n\nbody",
+    "From: a@x\nTo: b@x\n \nno colon here\n\nbody",
+    "From: a@x\nTo: b@x\nno colon",
+    "From: a@x\nTo: b@x\nContent-Type: multipart/mixed\n\nno boundary",
 ]
 
 
@@ -43,11 +47,15 @@ def test_parse_matches_stdlib(spark):
 def test_missing_sender_and_multipart_are_flagged(spark):
     multi = ("From: a@x\nTo: b@x\nContent-Type: multipart/alternative; boundary=XX\n\n"
              "--XX\nContent-Type: text/plain\n\nplain part\n--XX--\n")
-    rows = [(0, "To: b@x\n\nno sender"), (1, multi)]
+    folded = multi.replace("Content-Type: multipart", "Content-Type:\n\tmultipart", 1)
+    blank_first = "\nFrom: a@x\nTo: b@x\n\nbody"
+    rows = [(0, "To: b@x\n\nno sender"), (1, multi), (2, folded), (3, blank_first)]
     df = spark.createDataFrame(rows, "id int, raw string")
     got = {r.id: r for r in S.parse_mails(df).collect()}
     assert got[0].sender is None and got[0].parse_ok is False
-    assert got[1].parse_ok is False
+    assert got[1].parse_ok is False and got[2].parse_ok is False
+    assert got[3].sender is None and got[3].to_list == "" and got[3].parse_ok is False
+    assert got[3].body == "From: a@x To: b@x  body"
     dec = {r.id: r for r in S.parse_mails(df, decode_multipart=True).collect()}
     assert dec[1].body.strip() == "plain part"
 
@@ -69,8 +77,7 @@ def test_message_lines_roundtrip(spark, tmp_dir):
     path = os.path.join(tmp_dir, "lines")
     S.write_messages(parsed, path, mode="overwrite")
     S.write_messages(parsed, path, mode="append")
-    back = S.read_messages(spark, path, min_partitions=20)
-    assert back.rdd.getNumPartitions() >= 20
+    back = S.read_messages(spark, path)
     assert back.count() == 2 * len(CASES)
     want = sorted((r.sender, r.to_list, r.body) for r in parsed.collect()) * 2
     assert sorted((r.sender, r.to_list, r.body) for r in back.collect()) == sorted(want)
@@ -80,11 +87,22 @@ def test_drop_header_drops_every_equal_line(spark, tmp_dir):
     path = os.path.join(tmp_dir, "one.txt")
     with open(path, "w") as f:
         f.write("h*h*h\na*b*c\nh*h*h\nd*e*f\n")
-    got = [r.sender for r in S.read_messages(spark, path, min_partitions=1,
-                                             header=True).collect()]
+    got = [r.sender for r in S.read_messages(spark, path, header=True).collect()]
     assert sorted(got) == ["a", "d"]
 
 
+def test_header_of_the_first_file_goes_and_no_other_line(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "many")
+    os.makedirs(path)
+    open(os.path.join(path, "a-empty.txt"), "w").close()
+    lines = ["HDR*t*b"] + [f"s{i}*t*b{i}" for i in range(1000)]
+    for k in range(4):   # four files in name order, the header leads the first
+        with open(os.path.join(path, f"p{k}.txt"), "w") as f:
+            f.write("\n".join(lines[k * 251:(k + 1) * 251]) + "\n")
+    got = [r.sender for r in S.read_messages(spark, path, header=True).collect()]
+    assert sorted(got) == sorted(f"s{i}" for i in range(1000))
+
+
 def test_short_line_fields_are_null_not_errors(spark):
     df = spark.createDataFrame([("only",), ("a*b",), ("a*b*c*d",)], "value string")
     rows = S.split_message_lines(df).collect()

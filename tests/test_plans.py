@@ -22,9 +22,11 @@ def test_parse_and_clean_are_native(spark):
 def test_raw_mails_use_every_document(spark):
     from maillens.sources import fixtures as fx
     raw = fx.raw_mails(spark, SF)
-    n_docs = spark.read.parquet(f"{SF}/documents.parquet").select("text").distinct().count()
-    bodies = raw.select(F.substring_index("raw", "\n\n", -1).alias("b")).distinct().count()
-    assert bodies == n_docs
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = raw.where(F.col("msg_id") % fx.FORM_KEYS != fx.CRLF_KEY)
+    used = plain.join(docs, F.col("msg_id") % F.lit(docs.count()) == F.col("doc_id"))
+    assert used.where(~F.col("raw").endswith(F.col("text"))).count() == 0
+    assert used.select("doc_id").distinct().count() == docs.count()
 
 
 def test_rows_to_table_from_dicts(spark):

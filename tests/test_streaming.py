@@ -12,6 +12,16 @@ def _mail(d, name, sender, to):
         f.write(f"From: {sender}\nTo: {to}\n\nbody of {name}\n")
 
 
+def test_restart_without_a_named_checkpoint(spark):
+    src = tempfile.mkdtemp(prefix="mails-")
+    out = tempfile.mkdtemp(prefix="msgs-") + "/t"
+    _mail(os.path.join(src, "a"), "1.", "a@x", "b@x")
+    extract_incrementally(spark, src, out).awaitTermination()
+    _mail(os.path.join(src, "b"), "1.", "b@x", "a@x")
+    extract_incrementally(spark, src, out).awaitTermination()
+    assert sorted(r.sender for r in spark.read.parquet(out).collect()) == ["a@x", "b@x"]
+
+
 def test_incremental_extraction(spark):
     src = tempfile.mkdtemp(prefix="mails-")
     out = tempfile.mkdtemp(prefix="msgs-") + "/t"

@@ -106,3 +106,20 @@ def test_long_form_equals_list_form(spark):
     a = sorted(T.insider_features_long(senders, recips, p).collect())
     b = sorted(T.insider_features(m, p).collect())
     assert a == b
+
+
+def test_large_person_table_path_with_a_hot_address(spark):
+    """No broadcast: one sender and one recipient take part in a third of all mail."""
+    msgs = [(i, "a@x" if i % 3 == 0 else f"s{i % 40}@x", "hot@x,p@x" if i % 3 == 0 else f"r{i % 25}@x,hot@x")
+            for i in range(900)]
+    m = spark.createDataFrame(msgs, "msg_id long, sender string, to_list string")
+    people = [("a@x", False), ("hot@x", False), ("p@x", True), ("s1@x", True)] + [
+        (f"r{i}@x", False) for i in range(25)]
+    p = spark.createDataFrame(people, "email string, poi boolean")
+    for run in (T.traffic_counts, T.mails_sent, T.mails_received, T.sent_to_poi, T.mails_to_poi,
+                T.received_from_poi):
+        big, small = run(m, p, small=False), run(m, p, small=True)
+        assert sorted(big.collect()) == sorted(small.collect()), run.__name__
+    plan = T.traffic_counts(m, p, small=False)._jdf.queryExecution().optimizedPlan().toString()
+    # mails are aggregated to pairs below every join
+    assert plan.index("Join") < plan.rindex("Aggregate [sender") and "broadcast" not in plan
