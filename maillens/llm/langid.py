@@ -242,11 +242,12 @@ def learn(docs: DataFrame) -> ByteCnn:
 def predict(docs: DataFrame, model: ByteCnn, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) plus ``lang_pred`` and ``score``.
 
-    Only ``text`` is looked at; other columns pass through (those two names
-    must be free). A null text, a text without any letter and a model without
+    Only ``text`` is looked at; other columns pass through, columns of those
+    two names are replaced. A null text, a text without any letter and a model without
     languages give ``und`` with score 0; equal probabilities take the first
     language by name; an empty table gives an empty one.
     """
+    docs = docs.drop("lang_pred", "score")
     names = docs.columns
     keep = names if keep is None else keep
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -68,7 +68,7 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with recurring template lines taken out of ``text``.
 
     Adds ``n_lines`` and ``n_dropped`` (long) after the input's columns
-    (which must not hold those names); needs ``doc_id`` and ``text``, other
+    (columns of those names are replaced); needs ``doc_id`` and ``text``, other
     columns pass through unchanged. Null texts and empty texts stay as they
     are with 0 dropped (a null has 0 lines); a row without doc_id is neither
     counted nor changed; rows that repeat a doc_id count as one document, so
@@ -76,6 +76,7 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     document is the smallest doc_id, and every line of the template that
     this document has stays. An empty table gives an empty one.
     """
+    docs = docs.drop("n_lines", "n_dropped")
     lines, line_path = staged(
         _lines(docs).select("doc_id", "row_key", "pos", "tokens", "leaf", "body"), "lines")
     members, _ = staged(_members(docs, lines).withColumn("general", F.lit(True)), "members")

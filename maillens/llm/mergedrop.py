@@ -446,11 +446,12 @@ def encode(df: DataFrame, key: str | Column = "doc_id", path: str = MODEL, dropo
            seed: int = SEED, streams: int = STREAMS) -> DataFrame:
     """``df(text, ...)`` plus ``ids array<int>``, the pieces of the text.
 
-    ``key`` picks the row's stream (a null: like any other value); all columns
-    pass through (``ids`` must be free). A null text has null ids, an empty
+    ``key`` picks the row's stream (a null: like any other value); all other
+    columns pass through, an ``ids`` column is replaced. A null text has null ids, an empty
     one none; repeated rows get equal ids; an empty table gives an empty one.
     Texts are encoded whole whatever their length.
     """
+    df = df.drop("ids")
     stream = F.pmod(F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key), F.lit(streams)).cast("int")
     names = df.columns
     return df.select("*", stream.alias("__stream")).mapInArrow(
@@ -463,8 +464,9 @@ def decode(df: DataFrame, path: str = MODEL) -> DataFrame:
 
     Null ids give null, no ids an empty text; bytes that are no UTF-8 (ids
     that no encoder made) become replacement characters; control pieces stand
-    for nothing.
+    for nothing. A ``decoded`` column is replaced, all others pass through.
     """
+    df = df.drop("decoded")
     names = df.columns
     return df.mapInArrow(decoder(path, names.index("ids"), list(range(len(names)))),
                          ", ".join([*_schema(df, names), "decoded string"]))

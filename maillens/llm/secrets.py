@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are runs of 12 or more key characters that hold a digit. Labelled
+Candidates are runs of 12 or more key characters that hold a digit or start
+with 16 capitals. Labelled
 findings teach the forest: known key formats and quoted or assigned values
 behind a secret's name are positive; host names, mail addresses, plain
 numbers, dates and runs made of dictionary words are negative; the rest is
@@ -23,7 +24,7 @@ SAMPLE = 20_000         # labelled findings of each class that the forest is fit
 TREES, DEPTH = 24, 6
 SEED = 11
 _KEY = "[A-Za-z0-9_/+=.-]"
-_CANDIDATE = rf"(?<!{_KEY})(?={_KEY}*[0-9]){_KEY}{{12,}}+"
+_CANDIDATE = rf"(?<!{_KEY})(?={_KEY}*[0-9]|[A-Z]{{16}}){_KEY}{{12,}}+"
 
 # Fixed word lists.
 _DICTIONARY = ("the|and|that|tion|ing|ent|ment|com|org|net|www|http|html|mail|example|page|file|image|index|"
@@ -45,7 +46,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     ``docs(doc_id, text)``; positions in code points, end exclusive; label 1,
     0 or null (unlabelled)."""
     text = F.coalesce("text", F.lit(""))
-    found = F.when(text.rlike("[0-9]"), matches(text, _CANDIDATE)).otherwise(F.array().cast(NO_MATCHES))
+    found = F.when(text.rlike("[0-9]|[A-Z]{16}"), matches(text, _CANDIDATE)).otherwise(F.array().cast(NO_MATCHES))
     rows = docs.select("doc_id", F.explode(found).alias("m")).select(
         "doc_id", "m.start", "m.end", F.col("m.text").alias("value"), "m.before", "m.after")
     value, before = F.col("value"), F.col("before")
