@@ -84,9 +84,12 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
              .select("doc_id", "row_key", "pos", "leaf",
                      F.when(F.col("general"), F.lit(0)).otherwise(F.col("body")).alias("tail")))
     per_doc = keyed.groupBy("leaf", "tail", "doc_id").agg(F.count("*").alias("n"))
-    recurring = (per_doc.groupBy("leaf", "tail")
-                 .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
-                 .where(F.col("n_docs") >= MIN_DOCS).select("leaf", "tail", "first_doc"))
+    # A table of its own: next to a plain exchange Spark can split the lines of
+    # a template that a third of the documents share.
+    recurring, _ = staged(
+        per_doc.groupBy("leaf", "tail")
+        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+        .where(F.col("n_docs") >= MIN_DOCS).select("leaf", "tail", "first_doc"), "recurring")
     gone, _ = staged(
         keyed.join(recurring, ["leaf", "tail"]).where("doc_id != first_doc")
         .select(F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key"), "pos")
