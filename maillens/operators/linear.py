@@ -146,19 +146,12 @@ def _gradient_fn(setup: _Setup, W: np.ndarray, active: np.ndarray, t: int):
     return run
 
 
-# Up to this many input partitions the per-partition partial sums (each
-# bounded by the grid size) are fetched and added on the driver; above it
-# they are added by an aggregate on the executors first.
-DIRECT_PARTIALS = 64
-
-
-def _sum_partials(data: DataFrame, fn, size: int, n_partitions: int) -> np.ndarray:
-    parts = data.mapInPandas(fn, "idx long, v double")
-    if n_partitions > DIRECT_PARTIALS:
-        parts = parts.groupBy("idx").agg(F.sum("v").alias("v"))
+def _sum_partials(data: DataFrame, fn, size: int) -> np.ndarray:
+    """Sums of the partitions' partial vectors, added on the executors."""
+    parts = data.mapInPandas(fn, "idx long, v double").groupBy("idx").agg(F.sum("v").alias("v"))
     pdf = parts.toPandas()
     vec = np.zeros(size)
-    np.add.at(vec, pdf["idx"].to_numpy(), pdf["v"].to_numpy())
+    vec[pdf["idx"].to_numpy()] = pdf["v"].to_numpy()
     return vec
 
 
@@ -183,10 +176,9 @@ def fit(data: DataFrame, kind: str, trajs: list[Trajectory], features: list[str]
     active = np.ones(M, dtype=bool)
     updated_once = np.zeros(M, dtype=bool)
     snaps = {}
-    n_parts = data.rdd.getNumPartitions()
     for t in range(1, max(snapshots) + 1):
         if active.any():
-            vec = _sum_partials(data, _gradient_fn(setup, W, active, t), M * d1 + M, n_parts)
+            vec = _sum_partials(data, _gradient_fn(setup, W, active, t), M * d1 + M)
             G, cnt = vec[:M * d1].reshape(M, d1), vec[M * d1:]
             upd = active & (cnt > 0)
             alpha = step / math.sqrt(t)
@@ -245,8 +237,7 @@ def evaluate(data: DataFrame, snaps: dict, setup: _Setup) -> dict:
     keys = sorted(snaps)
     stack = np.stack([snaps[t] for t in keys])
     S, M, _ = stack.shape
-    vec = _sum_partials(data, _eval_fn(setup, stack), S * M * 4,
-                        data.rdd.getNumPartitions()).reshape(S, M, 4)
+    vec = _sum_partials(data, _eval_fn(setup, stack), S * M * 4).reshape(S, M, 4)
     return {(t, m): tuple(int(v) for v in vec[i, m]) for i, t in enumerate(keys)
             for m in range(M)}
 
@@ -271,9 +262,8 @@ def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
     snapshots = sorted({it for _, _, it in plan})
     batched = None
     if any(t.batch < 1.0 for t in trajs):
-        # Checkpoint: the 80-hash bit expression is computed once and each
-        # iteration's plan stays a plain scan (no re-analysis of it).
-        batched = with_batch_bits(data, max(snapshots)).checkpoint(eager=True).persist()
+        # Cached, so the 80-hash bit expression is computed once.
+        batched = with_batch_bits(data, max(snapshots)).persist()
         data = batched
     snaps, setup = fit(data, kind, trajs, features, k, snapshots)
     counts = evaluate(data, snaps, setup)

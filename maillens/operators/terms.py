@@ -8,14 +8,18 @@ vocabulary (``size`` terms) and the document count (one number).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maillens.functions.text import clean_text, round6
+from maillens.operators.joins import small_side
 
 VOCAB_SIZE = 1000
+IDF_SCHEMA = "term_index int, term string, df long, idf double"
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -38,14 +42,14 @@ def exploded_terms(words: DataFrame, id_col: str = "doc_id", *extra) -> DataFram
 def term_stats(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(term, tf, df): corpus count and document frequency of every term.
 
-    Two aggregations, both with map-side partial aggregation: first per
-    (document, term), then per term. A term present in every document is
-    therefore never gathered before it is pre-summed.
+    Every document gives one (term, 1, 0) per token and one (term, 0, 1) per
+    distinct term; one aggregate keyed by term adds them, summed map-side, so
+    what crosses the network is one row per task and term.
     """
-    per_doc = (exploded_terms(words, id_col)
-               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
-    return per_doc.groupBy("term").agg(F.sum("n").cast("bigint").alias("tf"),
-                                       F.count(F.lit(1)).alias("df"))
+    entry = lambda tf, df: lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
+    both = F.concat(F.transform("words", entry(1, 0)), F.transform(F.array_distinct("words"), entry(0, 1)))
+    return (words.select(F.inline(both)).groupBy("term")
+            .agg(F.sum("tf").cast("bigint").alias("tf"), F.sum("df").cast("bigint").alias("df")))
 
 
 def term_frequencies(words: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -88,18 +92,40 @@ def idf_table(spark, vocab: list[str], model: IDFModel) -> DataFrame:
     """(term_index, term, df, idf) of a fitted IDF model (vocabulary-sized)."""
     rows = [(i, t, int(d), float(v)) for i, (t, d, v) in
             enumerate(zip(vocab, model.docFreq, model.idf.toArray()))]
-    return spark.createDataFrame(rows, "term_index int, term string, df long, idf double")
+    return spark.createDataFrame(rows, IDF_SCHEMA)
+
+
+def idf_rows(stats: list, n_docs: int) -> list[tuple]:
+    """(term_index, term, df, idf) from ranked (term, tf, df) rows:
+    ln((N + 1) / (df + 1)), the value that ``IDF`` fits, without its pass."""
+    return [(i, r["term"], int(r["df"]), math.log((n_docs + 1.0) / (r["df"] + 1.0)))
+            for i, r in enumerate(stats)]
+
 
+def ranked_stats(words: DataFrame, size: int = VOCAB_SIZE) -> list:
+    """The vocabulary's (term, tf, df) rows in rank order (at most ``size``)."""
+    return term_stats(words).orderBy(F.desc("tf"), F.asc("term")).limit(size).collect()
 
-def tfidf_long(words: DataFrame, idf_tbl: DataFrame, id_col: str = "doc_id") -> DataFrame:
+
+def tfidf_long(words: DataFrame, idf_tbl: DataFrame, vocab: list[str],
+               id_col: str = "doc_id") -> DataFrame:
     """(id, term, n, tfidf): the non-zero cells of ``IDFModel.transform``
-    (raw count x idf, the same double product), computed in long form:
-    per-document counts of vocabulary terms joined to the broadcast IDF
-    table. Work grows with the tokens, not with documents x vocabulary."""
-    counts = term_counts_long(words, idf_tbl.select("term"), id_col)
-    return (counts.join(F.broadcast(idf_tbl.select("term", "idf")), "term")
-            .select(id_col, "term", F.col("n").cast("double").alias("n"),
-                    (F.col("n").cast("double") * F.col("idf")).alias("tfidf")))
+    (raw count x idf, the same double product) in long form. Counts stay
+    inside each document's row; only the IDF table (vocabulary-sized, size
+    checked) is joined."""
+    cells = term_cells(words, vocab, id_col)
+    idf = small_side(idf_tbl.select("term_index", "term", "idf"))
+    return (cells.join(idf, "term_index")
+            .select(id_col, "term", "n", (F.col("n") * F.col("idf")).alias("tfidf")))
+
+
+def term_cells(words: DataFrame, vocab: list[str], id_col: str = "doc_id", *extra: str) -> DataFrame:
+    """(id, extra..., term_index, n): the cells of the count vectors, read
+    from each document's own sparse vector (no shuffle)."""
+    counted = count_model(vocab, output_col="_cells").transform(words.select(id_col, *extra, "words"))
+    cells = F.unwrap_udt("_cells")
+    parts = counted.select(id_col, *extra, cells["indices"].alias("term_index"), cells["values"].alias("n"))
+    return parts.select(id_col, *extra, F.inline(F.arrays_zip("term_index", "n")))
 
 
 def flatten_vector(df: DataFrame, id_col: str, vec_col: str, vocab_tbl: DataFrame,
@@ -112,27 +138,24 @@ def flatten_vector(df: DataFrame, id_col: str, vec_col: str, vocab_tbl: DataFram
     cells = df.select(F.col(id_col),
                       F.posexplode(vector_to_array(F.col(vec_col))).alias("term_index", "v"))
     cells = cells.where(F.col("v") != 0)
-    return (cells.join(F.broadcast(vocab_tbl), "term_index")
+    return (cells.join(small_side(vocab_tbl), "term_index")
             .select(id_col, "term", F.col("v").alias(value_name)))
 
 
-def term_counts_long(words: DataFrame, vocab_tbl: DataFrame,
-                     id_col: str = "doc_id") -> DataFrame:
-    """(id, term, n) for vocabulary terms, without vectors."""
-    return (exploded_terms(words, id_col)
-            .join(F.broadcast(vocab_tbl.select("term")), "term", "left_semi")
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
+def term_counts_long(words: DataFrame, vocab: list[str], id_col: str = "doc_id") -> DataFrame:
+    """(id, term, n) for vocabulary terms, without vectors in the result."""
+    tbl = small_side(vocabulary_table(words.sparkSession, vocab))
+    return term_cells(words, vocab, id_col).join(tbl, "term_index").select(id_col, "term", "n")
 
 
-def tfidf_textbook(words: DataFrame, vocab_tbl: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def tfidf_textbook(words: DataFrame, stats: list, n_docs: int, id_col: str = "doc_id") -> DataFrame:
     """(id, term, tfidf) with tf = count / tokens in the document and
-    idf = ln(N / df), over the vocabulary terms (the README's formula)."""
-    n_docs = words.count()
-    exploded = exploded_terms(words.withColumn("doc_len", F.size("words")), id_col,
-                              "doc_len")
-    per_doc = (exploded.join(F.broadcast(vocab_tbl.select("term")), "term", "left_semi")
-               .groupBy(id_col, "term", "doc_len").agg(F.count(F.lit(1)).alias("n")))
-    dfreq = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = per_doc.join(F.broadcast(dfreq), "term")
+    idf = ln(N / df), over the vocabulary's ranked (term, tf, df) rows (the
+    README's formula)."""
+    spark = words.sparkSession
+    rows = [(i, r["term"], int(r["df"])) for i, r in enumerate(stats)]
+    tbl = small_side(spark.createDataFrame(rows, "term_index int, term string, df long"))
+    cells = term_cells(words.withColumn("doc_len", F.size("words")), [r["term"] for r in stats],
+                       id_col, "doc_len")
     value = (F.col("n") / F.col("doc_len")) * F.log(F.lit(float(n_docs)) / F.col("df"))
-    return joined.select(id_col, "term", round6(value).alias("tfidf"))
+    return cells.join(tbl, "term_index").select(id_col, "term", round6(value).alias("tfidf"))

@@ -16,17 +16,27 @@ from pyspark.sql import functions as F
 N_TOPICS = 25
 SEED = 123
 TERMS_PER_TOPIC = 10
+PARTITIONS = 32      # of the fit's input; the topics depend on it
 
 
 def fit_lda(features: DataFrame, k: int = N_TOPICS, seed: int = SEED,
             optimizer: str = "em", max_iter: int = 20,
             features_col: str = "features") -> LDAModel:
-    """Fit on a cached input (EM reads it every iteration; caching with a
-    fixed partitioning keeps the result repeatable)."""
+    """Fit on a cached input (EM reads it every iteration). EM's result
+    depends on the input's partitioning, see ``fixed_layout``; it shuffles
+    the document-term graph each iteration, so very large corpora should
+    take ``optimizer="online"``."""
     return LDA(k=k, seed=seed, optimizer=optimizer, maxIter=max_iter,
                featuresCol=features_col).fit(features)
 
 
+def fixed_layout(features: DataFrame, id_col: str = "doc_id",
+                 partitions: int = PARTITIONS) -> DataFrame:
+    """Rows placed and ordered by a hash of their id, so that a fit gives the
+    same topics however the input files are split."""
+    return features.repartition(partitions, id_col).sortWithinPartitions(id_col)
+
+
 def topic_table(model: LDAModel, max_terms: int = TERMS_PER_TOPIC) -> DataFrame:
     """(topic, termIndices, termWeights), computed once (for an EM model
     each ``describeTopics`` call is a distributed computation)."""

@@ -1,18 +1,18 @@
-"""Decision tree grid search: one ML fit per (grid point, part).
+"""Decision tree grid search: one ML fit per (impurity, bins, part).
 
 Each fit is a distributed ``DecisionTreeClassifier`` job (histogram
-aggregation on the executors); the fits are submitted from a small
-thread pool so Spark can run several at once. Predictions of all fits
-are unioned and scored by one aggregate (``metrics.confusion``).
+aggregation on the executors); the fits are submitted from a thread pool so
+Spark can run several at once. Smaller depths are read off the deepest tree,
+and one pass over the table scores all models (``metrics.confusion`` then
+counts).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillens.operators.features import assemble
@@ -26,22 +26,51 @@ def fit_one(train: DataFrame, impurity: str, max_depth: int, max_bins: int = 32,
     return est.fit(train)
 
 
+def as_expression(model, features: list[str], max_depth: int) -> Column:
+    """Prediction of the tree cut at ``max_depth``, as nested conditions on the
+    feature columns. A node's own majority is what a fit of that depth gives:
+    splits are chosen from the top, so shallower trees are its prefixes."""
+    def walk(node, depth: int) -> Column:
+        if depth == max_depth or node.subtreeDepth() == 0:
+            return F.lit(float(node.prediction()))
+        split = node.split()
+        left, right = walk(node.leftChild(), depth + 1), walk(node.rightChild(), depth + 1)
+        return F.when(F.col(features[split.featureIndex()]) <= float(split.threshold()), left).otherwise(right)
+
+    return walk(model._java_obj.rootNode(), 0)
+
+
 def cross_validate(data: DataFrame, grid: list[dict], features: list[str], k: int,
-                   parallelism: int = 8) -> DataFrame:
+                   parallelism: int | None = None) -> DataFrame:
     """Predictions (grid_index, part, label, prediction) of every grid
-    point trained on the training rows outside each part (parts 0..k)."""
-    vec = assemble(data, features).select("key", "label", "part", "features")
+    point trained on the training rows outside each part (parts 0..k).
+
+    One fit per (impurity, bins, part) at the largest depth of the grid
+    serves all its depths; every row is scored once, by all models of its
+    part. Fits run ``parallelism`` at a time (default: the session's
+    parallelism)."""
+    vec = assemble(data, features).select("label", "part", "features")
+    parallelism = parallelism or data.sparkSession.sparkContext.defaultParallelism
 
     def run(task):
-        g, m = task
+        (impurity, bins), depth, m = task
         train = vec.where((F.col("part") < k) & (F.col("part") != m))
-        model = fit_one(train, g["impurity"], int(g["max_depth"]), int(g["max_bins"]))
-        test = vec.where(F.col("part") == m)
-        return (model.transform(test)
-                .select(F.lit(g["grid_index"]).alias("grid_index"), "part", "label",
-                        "prediction"))
-
-    tasks = [(g, m) for g in grid for m in range(k + 1)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        preds = list(pool.map(run, tasks))
-    return reduce(DataFrame.unionByName, preds)
+        return fit_one(train, impurity, depth, bins)
+
+    kinds: dict[tuple, list[dict]] = {}
+    for g in grid:
+        kinds.setdefault((g["impurity"], int(g["max_bins"])), []).append(g)
+    tasks = [(kind, max(int(g["max_depth"]) for g in points), m)
+             for kind, points in kinds.items() for m in range(k + 1)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        models = dict(zip([(kind, m) for kind, _, m in tasks], pool.map(run, tasks), strict=True))
+    scores = []
+    for kind, points in kinds.items():
+        for g in points:
+            by_part = F.lit(None).cast("double")
+            for m in range(k + 1):
+                tree = as_expression(models[kind, m], features, int(g["max_depth"]))
+                by_part = F.when(F.col("part") == m, tree).otherwise(by_part)
+            scores.append(F.struct(F.lit(g["grid_index"]).alias("grid_index"), by_part.alias("prediction")))
+    return (data.select("part", "label", F.explode(F.array(*scores)).alias("s"))
+            .select("s.grid_index", "part", "label", "s.prediction"))

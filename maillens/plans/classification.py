@@ -9,7 +9,6 @@ metrics on the test part, i.e. the refit on all training rows.
 
 from __future__ import annotations
 
-import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,17 +58,11 @@ def grid_points(model: str) -> list[dict]:
     return SE.param_grid(GRIDS[model])
 
 
-ROWS_PER_PARTITION = 1_000_000
-
-
-def prepared(table: DataFrame, features: list[str],
-             rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Compact learning table with lineage cut (checkpoint in the shared
-    folder) and cached: the gradient loop scans it once per iteration.
-
-    Partitions are sized by rows (about ``rows_per_partition`` each, by
-    merging partitions without a shuffle), so an iteration over a small
-    table is one task, and a large one spreads over the cluster."""
+def prepared(table: DataFrame, features: list[str]) -> DataFrame:
+    """Compact learning table, cached: the gradient loop scans it once per
+    iteration. A rebalance lets adaptive execution size its partitions by
+    bytes, so a small table is one task and a large one spreads over the
+    cluster. The caller unpersists it."""
     labels = table.select(F.col("label").cast("double").alias("y"))
     if labels.where(F.col("y").isNull() | ~F.col("y").isin(0.0, 1.0)).limit(1).count():
         raise ValueError("labels must be 0 or 1 (use features.split_by_label to "
@@ -77,11 +70,7 @@ def prepared(table: DataFrame, features: list[str],
     slim = table.select(F.col("key"), F.col("label").cast("double").alias("label"),
                         F.col("part").cast("int").alias("part"),
                         *[F.col(c).cast("double").alias(c) for c in features])
-    slim = slim.checkpoint(eager=True)
-    wanted = max(1, -(-slim.count() // rows_per_partition))
-    if wanted < slim.rdd.getNumPartitions():
-        slim = slim.coalesce(wanted)
-    return slim.persist()
+    return slim.hint("rebalance").persist()
 
 
 def grid_metrics(spark: SparkSession, model: str, table: DataFrame, features: list[str],
@@ -149,5 +138,3 @@ def report(spark: SparkSession, model: str, table: DataFrame, features: list[str
              "cv_seconds double, final_seconds double")
 
 
-def params_of(params_json: str) -> dict:
-    return json.loads(params_json)

@@ -15,6 +15,7 @@ from maillens.plans.registry import query
 from maillens.sources import fixtures as fx
 from maillens.sources import mail as S
 from maillens.sources.scratch import materialize
+from maillens.sources.tables import read_table
 
 K = SE.N_FOLDS
 DOC_FEATURES = list(fx.DOC_FEATURE_COLUMNS)
@@ -32,6 +33,14 @@ def learning_table(spark, sf_dir):
     return SE.add_split(df, "doc_id").checkpoint(eager=True)
 
 
+def learning_keys(spark, sf_dir):
+    """(doc_id, label, is_train, fold, part): the split without any feature,
+    so a count reads ids and labels only."""
+    ids = read_table(spark, sf_dir, "documents").select("doc_id")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return SE.add_split(ids.join(labels, "doc_id"), "doc_id")
+
+
 def nb_table(spark, sf_dir):
     """Std-only scaling fitted on all rows, then |x| (label included)."""
     t = learning_table(spark, sf_dir)
@@ -45,15 +54,19 @@ def nb_cross_validation(spark, sf_dir):
 
 
 def nb_evaluation(spark, sf_dir):
-    """Per (part, smoothing) metrics; grid_index = position of smoothing."""
+    """Per (part, smoothing) metrics; grid_index = position of smoothing.
+
+    Evaluated once: the rows (parts x smoothing values, a fixed number) come
+    back as a local table, from which best and final rows are derived."""
     _, _, pred = nb_cross_validation(spark, sf_dir)
     ev = ME.evaluate(pred, ["part", "smoothing"])
     idx = F.array_position(F.array(*[F.lit(s) for s in NB.SMOOTHING]), F.col("smoothing"))
-    return ev.withColumn("grid_index", (idx - 1).cast("int"))
+    ev = ev.withColumn("grid_index", (idx - 1).cast("int"))
+    return spark.createDataFrame(ev.collect(), ev.schema)
 
 
-def nb_best(spark, sf_dir):
-    ev = nb_evaluation(spark, sf_dir)
+def nb_best(ev):
+    """The best smoothing of ``nb_evaluation``'s table."""
     mean = SE.mean_cv_error(ev, K)
     smooth = ev.select("grid_index", "smoothing").distinct()
     return SE.best_grid_point(mean).join(smooth, "grid_index")
@@ -237,14 +250,14 @@ def q_labelled_points(spark, sf_dir):
 @query("split_counts", sql=_ml_sql("select is_train, count(*) n from learn group by 1", "learn"))
 def q_split_counts(spark, sf_dir):
     """Rows in the 80 % training and 20 % test part (hash split)."""
-    return SE.split_counts(learning_table(spark, sf_dir))
+    return SE.split_counts(learning_keys(spark, sf_dir))
 
 
 @query("fold_counts", sql=_ml_sql(
     "select fold, count(*) n from learn where is_train group by 1", "learn"))
 def q_fold_counts(spark, sf_dir):
     """Training rows per fold (5 folds)."""
-    return (learning_table(spark, sf_dir).where("is_train")
+    return (learning_keys(spark, sf_dir).where("is_train")
             .groupBy("fold").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -253,7 +266,7 @@ def q_fold_counts(spark, sf_dir):
     "(select fold, count(*) n from learn where is_train group by 1)", "learn"))
 def q_fold_train_counts(spark, sf_dir):
     """Training (other 4 folds) and test rows of each CV round."""
-    return SE.fold_train_counts(learning_table(spark, sf_dir))
+    return SE.fold_train_counts(learning_keys(spark, sf_dir))
 
 
 @query("scaler_stats", sql=_ml_sql(
@@ -348,7 +361,7 @@ def q_cv_errors(spark, sf_dir):
     f"select grid_index, {_r6('mean_error')} mean_error, n_folds, smoothing from best"))
 def q_best_params(spark, sf_dir):
     """Smallest mean error; ties to the first grid point."""
-    b = nb_best(spark, sf_dir)
+    b = nb_best(nb_evaluation(spark, sf_dir))
     return b.select("grid_index", round6(F.col("mean_error")).alias("mean_error"),
                     "n_folds", "smoothing")
 
@@ -359,9 +372,9 @@ def q_best_params(spark, sf_dir):
 def q_nb_final(spark, sf_dir):
     """Best smoothing refit on all training rows, scored on the test part:
     error, accuracy %, AUPR, AUROC (hard labels), MAE, MSE."""
-    ev = nb_evaluation(spark, sf_dir).where(F.col("part") == K)
-    best = nb_best(spark, sf_dir).select("grid_index")
-    return _met_spark(ev.join(F.broadcast(best), "grid_index"))
+    ev = nb_evaluation(spark, sf_dir)
+    best = nb_best(ev).select("grid_index")
+    return _met_spark(ev.where(F.col("part") == K).join(F.broadcast(best), "grid_index"))
 
 
 _FINAL_WHERE = f" from met where part = {K} and grid_index = (select grid_index from best)"

@@ -33,17 +33,19 @@ def vocab_frame(spark, sf_dir, size=TM.VOCAB_SIZE, words=None):
 
 
 def tfidf_vectors(spark, sf_dir, size=TM.VOCAB_SIZE):
-    """(vectors with raw_features and features, vocabulary list, IDF model).
-
-    The cleaned corpus is persisted (memory, spilling to disk) for the
-    three passes: vocabulary, IDF fit, and whatever reads the vectors."""
-    words = corpus_words(spark, sf_dir).persist()
+    """(vectors with raw_features and features, vocabulary list, IDF model)
+    for the topic model; the IDF model holds the counted df of the terms."""
+    words = corpus_words(spark, sf_dir)
     vocab = TM.vocabulary(TM.term_frequencies(words), size)
     counted = TM.count_model(vocab).transform(words)
     idf = TM.fit_idf(counted)
     return idf.transform(counted), vocab, idf
 
 
+def n_documents(spark, sf_dir):
+    return corpus(spark, sf_dir).count()
+
+
 # ---------------------------------------------------------------- oracle side
 
 _WS = ("[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
@@ -103,10 +105,8 @@ def q_vocabulary(spark, sf_dir):
 def q_term_counts(spark, sf_dir):
     """Counts of the vocabulary terms per document, (doc_id, term, n): the
     cells of the count vectors, in long form."""
-    words = corpus_words(spark, sf_dir).persist()
-    vocab = TM.vocabulary(TM.term_frequencies(words))
-    counts = TM.term_counts_long(words, TM.vocabulary_table(spark, vocab))
-    return counts.select("doc_id", "term", F.col("n").cast("double").alias("n"))
+    words = corpus_words(spark, sf_dir)
+    return TM.term_counts_long(words, TM.vocabulary(TM.term_frequencies(words)))
 
 
 _N = "(select count(*) from documents)"
@@ -117,9 +117,9 @@ _N = "(select count(*) from documents)"
     "from vocab join stats using (term)"))
 def q_idf(spark, sf_dir):
     """Fitted IDF per vocabulary term: ln((N + 1) / (df + 1))."""
-    _, vocab, model = tfidf_vectors(spark, sf_dir)
-    return (TM.idf_table(spark, vocab, model)
-            .select("term", "df", round6(F.col("idf")).alias("idf")))
+    stats = TM.ranked_stats(corpus_words(spark, sf_dir))
+    table = spark.createDataFrame(TM.idf_rows(stats, n_documents(spark, sf_dir)), TM.IDF_SCHEMA)
+    return table.select("term", "df", round6(F.col("idf")).alias("idf"))
 
 
 @query("tfidf", sql=_text_sql(
@@ -128,9 +128,10 @@ def q_idf(spark, sf_dir):
 def q_tfidf(spark, sf_dir):
     """TF-IDF (raw count x fitted IDF) as (doc_id, term, tfidf): the cells
     of the TF-IDF vectors, in long form."""
-    vectors, vocab, model = tfidf_vectors(spark, sf_dir)
-    words = vectors.select("doc_id", "words")
-    flat = TM.tfidf_long(words, TM.idf_table(spark, vocab, model))
+    words = corpus_words(spark, sf_dir)
+    stats = TM.ranked_stats(words)
+    table = spark.createDataFrame(TM.idf_rows(stats, n_documents(spark, sf_dir)), TM.IDF_SCHEMA)
+    flat = TM.tfidf_long(words, table, [r["term"] for r in stats])
     return flat.select("doc_id", "term", round6(F.col("tfidf")).alias("tfidf"))
 
 
@@ -141,8 +142,8 @@ def q_tfidf(spark, sf_dir):
     "using (term)"))
 def q_tfidf_textbook(spark, sf_dir):
     """TF-IDF as the README states it: count / length x ln(N / df)."""
-    words = corpus_words(spark, sf_dir).persist()   # counted, ranked and scored
-    return TM.tfidf_textbook(words, vocab_frame(spark, sf_dir, words=words))
+    words = corpus_words(spark, sf_dir)
+    return TM.tfidf_textbook(words, TM.ranked_stats(words), n_documents(spark, sf_dir))
 
 
 @query("tokens", sql=_text_sql(

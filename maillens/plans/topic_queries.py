@@ -12,20 +12,21 @@ from maillens.plans.text_queries import tfidf_vectors
 def lda_model(spark, sf_dir, k=TP.N_TOPICS):
     """(model, vocabulary table) of EM LDA on the corpus TF-IDF vectors."""
     vectors, vocab, _ = tfidf_vectors(spark, sf_dir)
-    data = vectors.select("doc_id", "features").persist()
+    data = TP.fixed_layout(vectors.select("doc_id", "features")).persist()
     model = TP.fit_lda(data, k=k)
-    return model, TM.vocabulary_table(spark, vocab), data
+    data.unpersist()
+    return model, TM.vocabulary_table(spark, vocab)
 
 
 @query("topics")
 def q_topics(spark, sf_dir):
     """25 topics: term ids, weights and words of the top 10 terms."""
-    model, vocab_tbl, _ = lda_model(spark, sf_dir)
+    model, vocab_tbl = lda_model(spark, sf_dir)
     return TP.describe(model, vocab_tbl)
 
 
 @query("topic_terms")
 def q_topic_terms(spark, sf_dir):
     """Top 10 words of every topic in long form (topic, rank, term, weight)."""
-    model, vocab_tbl, _ = lda_model(spark, sf_dir)
+    model, vocab_tbl = lda_model(spark, sf_dir)
     return TP.topic_terms(model, vocab_tbl)

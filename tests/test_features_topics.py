@@ -93,9 +93,31 @@ def test_long_form_equals_flattened_vectors(spark):
     flat = {(r.doc_id, r.term): r.v for r in
             TM.flatten_vector(vectors, "doc_id", "features", tbl, "v").collect()}
     long = {(r.doc_id, r.term): r.tfidf for r in
-            TM.tfidf_long(words, TM.idf_table(spark, vocab, model)).collect()}
+            TM.tfidf_long(words, TM.idf_table(spark, vocab, model), vocab).collect()}
     assert flat == long
     cnt = {(r.doc_id, r.term): r.n for r in
            TM.flatten_vector(vectors, "doc_id", "raw_features", tbl, "n").collect()}
     assert cnt == {(r.doc_id, r.term): float(r.n) for r in
-                   TM.term_counts_long(words, tbl).collect()}
+                   TM.term_counts_long(words, vocab).collect()}
+    stats = TM.ranked_stats(words, 300)
+    assert [r.term for r in stats] == vocab
+    rows = TM.idf_rows(stats, words.count())
+    assert [r[2:] for r in rows] == [(r.df, r.idf) for r in TM.idf_table(spark, vocab, model).collect()]
+    for df in (TM.term_stats(words), TM.term_counts_long(words, vocab), TM.tfidf_textbook(words, stats, 5)):
+        assert "hashpartitioning(doc_id" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topics_do_not_depend_on_file_splits(spark):
+    from maillens.operators import terms as TM
+    from maillens.operators import topics as TP
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    words = TM.tokenize(docs)
+    vocab = TM.vocabulary(TM.term_frequencies(words), 100)
+    counted = TM.count_model(vocab, output_col="features").transform(words).select("doc_id", "features")
+    got = []
+    for n in (2, 5):
+        data = TP.fixed_layout(counted.repartition(n), partitions=3).persist()
+        got.append([(r.topic, list(r.termIndices)) for r in
+                    TP.topic_table(TP.fit_lda(data, k=3, max_iter=3)).orderBy("topic").collect()])
+    assert got[0] == got[1]
