@@ -287,6 +287,24 @@ def weights_of(snaps: dict, setup: _Setup, trajs: list[Trajectory], traj: Trajec
     return W[:-1], float(W[-1])
 
 
+def final_weights(data: DataFrame, kind: str, point: dict, features: list[str],
+                  k: int) -> tuple[np.ndarray, float]:
+    """(weights, intercept) of one grid point fitted on all training rows."""
+    traj, iterations = trajectory_of(point)
+    if traj.batch < 1.0:
+        data = with_batch_bits(data, iterations)
+    snaps, setup = fit(data, kind, [traj], features, k, [iterations])
+    return weights_of(snaps, setup, [traj], traj, iterations, k, k)
+
+
+def predict(df: DataFrame, weights, intercept: float, features: list[str]) -> DataFrame:
+    """``df`` plus ``prediction`` (1.0 where w.x + b > 0, else 0.0) per row."""
+    margin = F.lit(float(intercept))
+    for name, w in zip(features, weights, strict=True):
+        margin = margin + F.col(name) * F.lit(float(w))
+    return df.withColumn("prediction", F.when(margin > 0, 1.0).otherwise(0.0))
+
+
 def ml_estimator(kind: str, reg_param: float = 0.0, reg_type: str | None = None,
                  max_iter: int = 100, intercept: bool = True):
     """Option: Spark ML's own trainers instead of SGD (``LogisticRegression``

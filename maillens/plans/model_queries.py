@@ -1,8 +1,9 @@
 """Grid-search queries of the four classifiers.
 
-``cv_logreg`` and ``cv_svm`` carry a DuckDB twin (a recursive CTE running
-the same SGD); trees, reports (which hold timings) are row-count checked,
-and the batched fits are unit-tested against the ML libraries."""
+The linear models carry a DuckDB twin (a recursive CTE running the same
+SGD), naive Bayes a closed-form one; report queries leave out the two time
+columns of ``classification.report`` so that their rows can be compared.
+Trees are row-count checked here and unit-tested against separate fits."""
 
 from __future__ import annotations
 
@@ -42,6 +43,8 @@ def _cv(model):
 
         t = _TABLES[model](spark, sf_dir)
         m = CL.grid_metrics(spark, model, t, DOC_FEATURES)
+        m = spark.createDataFrame(m.collect(), m.schema)   # grid points x parts
+        t.unpersist()
         cv = CL.cv_summary(spark, model, m)
         return cv.withColumn("mean_error", round6(F.col("mean_error")))
     build.__doc__ = f"Mean 5-fold CV error of every {CL.MODEL_NAMES[model]} grid point."
@@ -54,7 +57,9 @@ def _final(model):
         from maillens.operators import selection as SE
 
         t = _TABLES[model](spark, sf_dir)
-        m = CL.grid_metrics(spark, model, t, DOC_FEATURES).persist()
+        m = CL.grid_metrics(spark, model, t, DOC_FEATURES)
+        m = spark.createDataFrame(m.collect(), m.schema)   # grid points x parts
+        t.unpersist()
         best = SE.best_grid_point(CL.cv_summary(spark, model, m)).select("grid_index")
         fin = m.where(F.col("part") == SE.N_FOLDS).join(F.broadcast(best), "grid_index")
         return fin.select("grid_index", "n", "tp", "fp", "fn", "tn",
@@ -84,19 +89,85 @@ def _sgd_sql(model: str, body: str = "select * from cv") -> str:
     return "with recursive " + sql[len("with "):]
 
 
+def _without_times(row):
+    from maillens.functions.text import round6
+
+    doubles = ("best_cv_error", "final_accuracy", "final_aupr", "final_auroc", "final_error")
+    return row.select("model", "grid_size", F.transform("errors", round6).alias("errors"),
+                      "best_grid_index", "best_params", *[round6(F.col(c)).alias(c) for c in doubles], "n_test")
+
+
 def _report(model):
     def build(spark, sf_dir):
-        return CL.report(spark, model, _TABLES[model](spark, sf_dir), DOC_FEATURES)
+        t = _TABLES[model](spark, sf_dir)
+        row = CL.report(spark, model, t, DOC_FEATURES)
+        t.unpersist()
+        return _without_times(row)
     build.__doc__ = f"{CL.MODEL_NAMES[model]}: best grid point, test accuracy, AUPR, AUROC."
     return build
 
 
 for _m in ("logreg", "svm", "tree"):
     query(f"cv_{_m}", sql=_sgd_sql(_m) if _m != "tree" else None)(_cv(_m))
+def _predictions(model):
+    def build(spark, sf_dir):
+        from maillens.operators import linear as LIN
+        from maillens.operators import selection as SE
+
+        t = linear_table(spark, sf_dir)
+        m = CL.grid_metrics(spark, model, t, DOC_FEATURES)
+        best = SE.best_grid_point(CL.cv_summary(spark, model, m)).first()
+        kind = "logistic" if model == "logreg" else "hinge"
+        weights, intercept = LIN.final_weights(
+            t, kind, CL.grid_points(model)[best["grid_index"]], DOC_FEATURES, SE.N_FOLDS)
+        out = LIN.predict(t.where(F.col("part") == SE.N_FOLDS), weights, intercept, DOC_FEATURES)
+        return out.select(F.col("key").alias("doc_id"), "label", "prediction")
+    build.__doc__ = f"{CL.MODEL_NAMES[model]}: prediction of the best refitted model for every test row."
+    return build
+
+
+def _report_sql(model: str, best: str, cv: str, fin: str) -> str:
+    """The report row from ``best(grid_index)``, ``cv(grid_index, params,
+    mean_error)`` and ``fin(grid_index, ...)``."""
+    return (f"select '{CL.MODEL_NAMES[model]}' model, {len(CL.grid_points(model))}::INTEGER grid_size, "
+            f"(select list(mean_error order by grid_index) from ({cv})) errors, "
+            "b.grid_index best_grid_index, c.params best_params, c.mean_error best_cv_error, "
+            "f.accuracy final_accuracy, f.aupr final_aupr, f.auroc final_auroc, f.error final_error, "
+            f"f.n n_test from ({best}) b join ({cv}) c using (grid_index) join ({fin}) f using (grid_index)")
+
+
+def _nb_report_sql() -> str:
+    import json
+
+    from maillens.plans import ml_queries as MQ
+
+    params = " ".join(
+        f"when {g['grid_index']} then '" + json.dumps(
+            {k: v for k, v in g.items() if k != "grid_index"}, sort_keys=True) + "'"
+        for g in CL.grid_points("nb"))
+    cv = (f"select grid_index, case grid_index {params} end params, "
+          f"{MQ._r6('mean_error')} mean_error from mean")
+    rounded = ", ".join(f"{MQ._r6(c)} {c}" for c in ("accuracy", "aupr", "auroc", "error"))
+    return _report_sql("nb", "select grid_index from best", cv,
+                       f"select grid_index, n, {rounded} from met where part = {MQ.K}")
+
+
+for _m in ("logreg", "svm", "tree"):
+    query(f"final_{_m}", sql=_sgd_sql(_m, "select * from fin") if _m != "tree" else None)(_final(_m))
 for _m in ("logreg", "svm"):
-    query(f"final_{_m}", sql=_sgd_sql(_m, "select * from fin"))(_final(_m))
-for _m in ("logreg", "svm", "tree", "nb"):
-    query(f"report_{_m}")(_report(_m))
+    query(f"{_m}_predictions", sql=_sgd_sql(_m, "select * from predicted"))(_predictions(_m))
+    query(f"report_{_m}", sql=_sgd_sql(_m, _report_sql(
+        _m, "select * from best", "select * from cv", "select * from fin")))(_report(_m))
+query("report_tree")(_report("tree"))
+
+
+def _register_nb_report():
+    from maillens.plans import ml_queries as MQ
+
+    query("report_nb", sql=MQ._ml_sql(_nb_report_sql()))(_report("nb"))
+
+
+_register_nb_report()
 
 
 # ------------------------------------------------------------ insider table
@@ -130,11 +201,19 @@ def _insider_table(model, spark, sf_dir):
 def _insider_report(model):
     def build(spark, sf_dir):
         t, feats = _insider_table(model, spark, sf_dir)
-        return CL.report(spark, model, t, feats)
+        row = CL.report(spark, model, t, feats)
+        t.unpersist()
+        return _without_times(row)
     build.__doc__ = (f"{CL.MODEL_NAMES[model]} on the insider feature table "
                      "(the scripts' own input): report row.")
     return build
 
 
+def _insider_nb_report_sql() -> str:
+    from maillens.plans import ml_queries as MQ
+
+    return MQ._insider_sql(_nb_report_sql())
+
+
 for _m in ("logreg", "svm", "tree", "nb"):
-    query(f"report_{_m}_insiders")(_insider_report(_m))
+    query(f"report_{_m}_insiders", sql=_insider_nb_report_sql() if _m == "nb" else None)(_insider_report(_m))

@@ -17,10 +17,16 @@ TOL = LIN.CONVERGENCE_TOL
 
 
 def _grid_rows(grid: list[dict]):
+    """Models in the grid's own terms: points that differ in iterations only
+    share one; a zero penalty is trained as the penalty it names (the job
+    under test merges those)."""
     trajs: list[LIN.Trajectory] = []
     rows = []
     for g in grid:
-        traj, iters = LIN.trajectory_of(g)
+        kind = g.get("reg_type") or "none"
+        traj = LIN.Trajectory(float(g["step"]), kind, 0.0 if kind == "none" else float(g["reg_param"]),
+                              bool(g["intercept"]), float(g.get("mini_batch", 1.0)))
+        iters = int(g["iterations"])
         if traj not in trajs:
             trajs.append(traj)
         params = json.dumps({k: v for k, v in g.items() if k != "grid_index"}, sort_keys=True)
@@ -128,6 +134,10 @@ def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tupl
         "case when tp + fn > 0 then 1.0 else 0.0 end t0, "
         "case when fp + tn > 0 then 1.0 else 0.0 end f0, (tp + fn) / n p0 from fin_conf "
         "where grid_index = (select grid_index from best))")
+    predicted = (f"select r.doc_id, r.label, case when {pred_margin} > 0 then 1.0 else 0.0 end::DOUBLE prediction "
+                 f"from best b join grid g using (grid_index) "
+                 f"join sgd s on s.i = g.iterations and s.model = g.traj * {P} + {k} "
+                 f"join lin r on r.part = {k}")
     return [
         ("traj", f"select * from (values {traj_vals}) v(traj, step, rtype, reg, icpt, batch)"),
         ("grid", f"select * from (values {grid_vals}) v(grid_index, traj, iterations, params)"),
@@ -138,4 +148,5 @@ def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tupl
         ("fin_conf", fin_conf),
         ("best", best),
         ("fin", fin),
+        ("predicted", predicted),
     ]
