@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from maillens.llm import decontam, langid, logtree, mergedrop, superminhash
 from maillens.llm.common import staged, table
 
-LEAST_SCORE = 0.4      # below it the language model could as well have guessed
+GUESS = 1.1            # times an even guess: a lower score says nothing
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those without text or letters, and
-    those whose best language gets a score below ``LEAST_SCORE``, go."""
-    scored = langid.predict(docs, langid.learn(docs))
-    return (scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    """Documents whose language can be told: those without text or letters, and
+    those whose best language scores hardly more than an even guess among the
+    learned languages, go (without any learned language, nothing else goes)."""
+    model = langid.learn(docs)
+    scored = langid.predict(docs, model)
+    if not model.langs:
+        return scored.where(F.col("text").rlike(r"\p{L}")).select(*docs.columns)
+    least = min(GUESS / len(model.langs), 0.99)
+    return (scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least))
             .select(*docs.columns))
 
 
