@@ -24,7 +24,7 @@ from maillens.llm.common import staged
 RARE = 0.004              # of the documents: highest idf ln(250)
 COMMON = 0.1              # lowest idf ln(10)
 SUBSETS = tuple((bits, k) for bits in (3, 5, 7, 9) for k in range(4))   # 2**-bits of the lexicon
-RANGE_ROWS = 10_000       # documents per range when neighbours by doc_id meet
+RANGE_ROWS = 2_000        # documents per range when neighbours by doc_id meet
 
 _BREAK = r"[\s\p{Punct}]+"
 
@@ -109,9 +109,11 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.size(used) > 0, F.size(same) / F.size(used)).otherwise(F.lit(0.0))
 
 
-def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``df`` plus ``next_<c>`` for ``columns``: the values of the next row in
-    descending order of the long ``key`` (after the last row: the first).
+def with_next(df: DataFrame, key: str, columns: list[str],
+              prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``prepare(df)`` plus ``next_<c>`` for ``columns`` of it: the values of the
+    next row in descending order of the long ``key`` (after the last: the first).
+    ``prepare`` works row by row.
 
     Rows meet in ranges of the key; each range also gets the first row of
     the range below it, so no task sees more than its range. Rows with equal
@@ -131,8 +133,9 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     ranges = ranges.select(
         "__head", F.coalesce(F.lead("__range").over(order), F.min("__range").over(W.partitionBy())).alias("__to"))
     mine = F.struct(*columns)
-    guests = (df.join(F.broadcast(ranges), F.col("__k") == F.col("__head"))
+    guests = (prepare(df.join(F.broadcast(ranges), F.col("__k") == F.col("__head")))
               .groupBy("__to").agg(F.min(mine).alias("__row")))
+    df = prepare(df)
     own = df.select("*", F.lit(False).alias("__guest"))
     extra = guests.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in columns
                             else F.col(f"__row.`{f.name}`").alias(f.name)
@@ -158,7 +161,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     inside = membership(lexicon(rows.select("text")))
-    signed = with_next(with_signatures(rows, "text", "sig", inside), "doc_id", ["text", "sig"])
+    signed = with_next(rows, "doc_id", ["text", "sig"], lambda df: with_signatures(df, "text", "sig", inside))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = signed.select(
