@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from maillens.llm.common import staged
+from maillens.llm.common import BROADCAST_IDS, staged
 
 RARE = 0.004              # of the documents: highest idf ln(250)
 COMMON = 0.1              # lowest idf ln(10)
@@ -133,7 +133,8 @@ def with_next(df: DataFrame, key: str, columns: list[str],
     ranges = ranges.select(
         "__head", F.coalesce(F.lead("__range").over(order), F.min("__range").over(W.partitionBy())).alias("__to"))
     mine = F.struct(*columns)
-    guests = (prepare(df.join(F.broadcast(ranges), F.col("__k") == F.col("__head")))
+    few = n <= RANGE_ROWS * BROADCAST_IDS                   # counted: at most so many ranges
+    guests = (prepare(df.join(F.broadcast(ranges) if few else ranges, F.col("__k") == F.col("__head")))
               .groupBy("__to").agg(F.min(mine).alias("__row")))
     df = prepare(df)
     own = df.select("*", F.lit(False).alias("__guest"))
