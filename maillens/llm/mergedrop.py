@@ -24,6 +24,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -344,43 +345,44 @@ class _Memory:
 _memories: dict[tuple, _Memory] = {}
 
 
-def encoder(path: str, dropout: float, seed: int, text_at: int, stream_at: int, passed: list[int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memories.get((path, dropout, seed))
-        if memory is None:
-            _memories.clear()
-            memory = _memories.setdefault((path, dropout, seed), _Memory(path, dropout, seed))
-        for batch in batches:
-            texts = batch.column(text_at)
-            streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
-            for a, b, _, _ in text_blocks(texts):
-                memory.trim()
-                rows = texts.slice(a, b - a).to_pylist()
-                ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(rows)
-                for stream in np.unique(streams[a:b]):
-                    words: list[str] = []
-                    mine, ends = [], []
-                    for i, text in enumerate(rows):
-                        if streams[a + i] == stream and text:
-                            words += _WORDS.findall(" " + text)
-                            mine.append(i)
-                            ends.append(len(words))
-                    if not words:
-                        continue
-                    code = memory.codes(words, int(stream))
-                    n = memory.at[code + 1] - memory.at[code]
-                    total = np.concatenate(([0], np.cumsum(n)))
-                    flat = memory.pool[np.arange(total[-1]) + np.repeat(memory.at[code] - total[:-1], n)]
-                    for i, part in zip(mine, np.split(flat, total[ends[:-1]]), strict=True):
-                        ids[i] = part
-                off = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-                null = np.array([r is None for r in rows] + [False])
-                col = pa.ListArray.from_arrays(pa.array(off, pa.int32(), mask=null),
-                                               pa.array(np.concatenate(ids), pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(a, b - a) for c in passed] + [col],
-                    names=[batch.schema.names[c] for c in passed] + ["ids"])
-    return run
+def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int, passed: list[int],
+            batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow``: columns ``passed``, then ids. A module function, so
+    that a reused Python worker finds the memory of its earlier tasks."""
+    memory = _memories.get((path, dropout, seed))
+    if memory is None:
+        _memories.clear()
+        memory = _memories.setdefault((path, dropout, seed), _Memory(path, dropout, seed))
+    for batch in batches:
+        texts = batch.column(text_at)
+        streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
+        for a, b, _, _ in text_blocks(texts):
+            memory.trim()
+            rows = texts.slice(a, b - a).to_pylist()
+            ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(rows)
+            for stream in np.unique(streams[a:b]):
+                words: list[str] = []
+                mine, ends = [], []
+                for i, text in enumerate(rows):
+                    if streams[a + i] == stream and text:
+                        words += _WORDS.findall(" " + text)
+                        mine.append(i)
+                        ends.append(len(words))
+                if not words:
+                    continue
+                code = memory.codes(words, int(stream))
+                n = memory.at[code + 1] - memory.at[code]
+                total = np.concatenate(([0], np.cumsum(n)))
+                flat = memory.pool[np.arange(total[-1]) + np.repeat(memory.at[code] - total[:-1], n)]
+                for i, part in zip(mine, np.split(flat, total[ends[:-1]]), strict=True):
+                    ids[i] = part
+            off = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+            null = np.array([r is None for r in rows] + [False])
+            col = pa.ListArray.from_arrays(pa.array(off, pa.int32(), mask=null),
+                                           pa.array(np.concatenate(ids), pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).slice(a, b - a) for c in passed] + [col],
+                names=[batch.schema.names[c] for c in passed] + ["ids"])
 
 
 class _Bytes:
@@ -455,7 +457,7 @@ def encode(df: DataFrame, key: str | Column = "doc_id", path: str = MODEL, dropo
     stream = F.pmod(F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key), F.lit(streams)).cast("int")
     names = df.columns
     return df.select("*", stream.alias("__stream")).mapInArrow(
-        encoder(path, dropout, seed, names.index("text"), len(names), list(range(len(names)))),
+        partial(_encode, path, dropout, seed, names.index("text"), len(names), list(range(len(names)))),
         ", ".join([*_schema(df, names), "ids array<int>"]))
 
 
