@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from maillens.session import scratch_path
 
-BLOCK_BYTES = 1 << 20      # text bytes that one numpy block holds (a longer text: alone)
+BLOCK_BYTES = 1 << 19      # text bytes that one numpy block holds (a longer text: alone)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,19 @@ def matches(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
+# --- memory of Python workers ------------------------------------------------
+
+def tidy() -> None:
+    """Give freed memory back to the system: a reused worker otherwise keeps
+    the peak of every step it has run, next to the JVM's heap."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 # --- Arrow text columns as byte blocks --------------------------------------
 
 def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES

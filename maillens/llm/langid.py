@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maillens.llm.common import text_blocks
+from maillens.llm.common import text_blocks, tidy
 
 WINDOW = 128             # bytes
 WIDTHS = (2, 3, 4)       # filter widths, in bytes
@@ -194,9 +194,9 @@ def scorer(model: ByteCnn, text_at: int, passed: list[int]):
             for a, b, data, offsets in text_blocks(batch.column(text_at)):
                 x, owner, size = windows(data, offsets)
                 total = np.zeros((b - a, max(1, n_langs)))
-                for at in range(0, len(x), 2048):
-                    p = tables[0].probabilities(x[at:at + 2048]) * size[at:at + 2048, None]
-                    np.add.at(total, owner[at:at + 2048], p)
+                for at in range(0, len(x), 1024):
+                    p = tables[0].probabilities(x[at:at + 1024]) * size[at:at + 1024, None]
+                    np.add.at(total, owner[at:at + 1024], p)
                 total /= np.maximum(np.diff(offsets), 1)[:, None]
                 ok = has_letter[a:b].astype(bool) & (n_langs > 0)
                 best = total.argmax(axis=1)
@@ -206,6 +206,7 @@ def scorer(model: ByteCnn, text_at: int, passed: list[int]):
                     + [pa.array(np.where(ok, names[best], UNKNOWN), pa.string()),
                        pa.array(np.where(ok, np.clip(total.max(axis=1), 0, 1), 0.0))],
                     names=[batch.schema.names[c] for c in passed] + ["lang_pred", "score"])
+            tidy()
     return run
 
 

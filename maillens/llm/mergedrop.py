@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillens.llm.common import GOLD, mix, mix_int, text_blocks
+from maillens.llm.common import GOLD, mix, mix_int, text_blocks, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20
 STREAMS = 4             # independent draws; a document's key picks its stream
 LONG_WORD = 40          # characters from which on the agenda is used directly
-CACHE_WORDS = 500_000   # segmented words that a Python worker remembers
+CACHE_WORDS = 400_000   # segmented words that a Python worker remembers
 
 _BLANK = "▁"
 _WORDS = re.compile("\n| *[^ \n]+| +")
@@ -383,6 +383,7 @@ def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).slice(a, b - a) for c in passed] + [col],
                 names=[batch.schema.names[c] for c in passed] + ["ids"])
+        tidy()
 
 
 class _Bytes:
@@ -437,6 +438,7 @@ def decoder(path: str, ids_at: int, passed: list[int]):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in passed] + [table.texts(ids)],
                     names=[batch.schema.names[c] for c in passed] + ["decoded"])
+            tidy()
     return run
 
 

@@ -29,6 +29,7 @@ from maillens.llm.common import (
     rows_of,
     staged,
     text_blocks,
+    tidy,
 )
 
 SLOTS = 128                # signature length
@@ -54,7 +55,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i <= n."""
     global _powers, _inverse
     if len(_powers) <= n:
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 1 << 20)
         back = pow(int(_BASE), -1, 1 << 64)
         tables = []
         for base in (_BASE, np.uint64(back)):
@@ -208,6 +209,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "set_a": pa.array(_segment_sum(mix(elements), at).view(np.int64)),
                 "set_b": pa.array(_segment_sum(mix(elements ^ salt), at).view(np.int64)),
                 "bands": bands})
+        tidy()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +221,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "id": ids.slice(a, b - a),
                 "items": pa.ListArray.from_arrays(pa.array(at, pa.int32()),
                                                   pa.array(elements.view(np.int64)))})
+        tidy()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
