@@ -38,7 +38,7 @@ DROPOUT = 0.1
 SEED = 20
 STREAMS = 4             # independent draws; a document's key picks its stream
 LONG_WORD = 40          # characters from which on the agenda is used directly
-CACHE_WORDS = 400_000   # segmented words that a Python worker remembers
+CACHE_WORDS = 400_000   # segmented words that a task remembers
 
 _BLANK = "▁"
 _WORDS = re.compile("\n| *[^ \n]+| +")
@@ -294,7 +294,7 @@ class Segmenter:
 # --- Arrow functions --------------------------------------------------------------
 
 class _Memory:
-    """Segmented words of one Python worker, for one model and setting."""
+    """Segmented words of one task, for one model and setting."""
 
     def __init__(self, path: str, dropout: float, seed: int):
         self.segmenter = Segmenter(load(path))
@@ -342,17 +342,11 @@ class _Memory:
         return out
 
 
-_memories: dict[tuple, _Memory] = {}
-
-
 def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int, passed: list[int],
             batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For ``mapInArrow``: columns ``passed``, then ids. A module function, so
-    that a reused Python worker finds the memory of its earlier tasks."""
-    memory = _memories.get((path, dropout, seed))
-    if memory is None:
-        _memories.clear()
-        memory = _memories.setdefault((path, dropout, seed), _Memory(path, dropout, seed))
+    """For ``mapInArrow``: columns ``passed``, then ids. The memory of words
+    ends with the task: reused Python workers live beside a full JVM heap."""
+    memory = _Memory(path, dropout, seed)
     for batch in batches:
         texts = batch.column(text_at)
         streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
