@@ -54,7 +54,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding restores its text."""
-    back = mergedrop.decode(mergedrop.encode(docs.select("doc_id", "lang", "source", "text")))
+    back = mergedrop.encode(docs.select("doc_id", "lang", "source", "text"), back=True)
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -343,10 +343,12 @@ class _Memory:
 
 
 def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int, passed: list[int],
-            batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For ``mapInArrow``: columns ``passed``, then ids. The memory of words
-    ends with the task: reused Python workers live beside a full JVM heap."""
+            back: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow``: columns ``passed``, then ids (and, with ``back``,
+    the text decoded from them). The memory of words ends with the task:
+    reused Python workers live beside a full JVM heap."""
     memory = _Memory(path, dropout, seed)
+    table = _Bytes(memory.segmenter.vocab) if back else None
     for batch in batches:
         texts = batch.column(text_at)
         streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
@@ -371,12 +373,12 @@ def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int,
                 for i, part in zip(mine, np.split(flat, total[ends[:-1]]), strict=True):
                     ids[i] = part
             off = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-            null = np.array([r is None for r in rows] + [False])
-            col = pa.ListArray.from_arrays(pa.array(off, pa.int32(), mask=null),
-                                           pa.array(np.concatenate(ids), pa.int32()))
+            values, null = pa.array(np.concatenate(ids), pa.int32()), np.array([r is None for r in rows])
+            col = pa.ListArray.from_arrays(pa.array(off, pa.int32()), values, mask=pa.array(null))
+            made = [col] + ([table.texts(col)] if back else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).slice(a, b - a) for c in passed] + [col],
-                names=[batch.schema.names[c] for c in passed] + ["ids"])
+                [batch.column(c).slice(a, b - a) for c in passed] + made,
+                names=[batch.schema.names[c] for c in passed] + ["ids", "decoded"][:len(made)])
         tidy()
 
 
@@ -441,20 +443,22 @@ def _schema(df: DataFrame, names: list[str]) -> list[str]:
 
 
 def encode(df: DataFrame, key: str | Column = "doc_id", path: str = MODEL, dropout: float = DROPOUT,
-           seed: int = SEED, streams: int = STREAMS) -> DataFrame:
-    """``df(text, ...)`` plus ``ids array<int>``, the pieces of the text.
+           seed: int = SEED, streams: int = STREAMS, back: bool = False) -> DataFrame:
+    """``df(text, ...)`` plus ``ids array<int>``, the pieces of the text; with
+    ``back`` also ``decoded``, what ``decode`` makes of the ids, in the same pass
+    (one Python worker per task instead of two).
 
     ``key`` picks the row's stream (a null: like any other value); all other
     columns pass through, an ``ids`` column is replaced. A null text has null ids, an empty
     one none; repeated rows get equal ids; an empty table gives an empty one.
     Texts are encoded whole whatever their length.
     """
-    df = df.drop("ids")
+    df = df.drop("ids", *["decoded"] * back)
     stream = F.pmod(F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key), F.lit(streams)).cast("int")
     names = df.columns
     return df.select("*", stream.alias("__stream")).mapInArrow(
-        partial(_encode, path, dropout, seed, names.index("text"), len(names), list(range(len(names)))),
-        ", ".join([*_schema(df, names), "ids array<int>"]))
+        partial(_encode, path, dropout, seed, names.index("text"), len(names), list(range(len(names))), back),
+        ", ".join([*_schema(df, names), "ids array<int>", *["decoded string"] * back]))
 
 
 def decode(df: DataFrame, path: str = MODEL) -> DataFrame:

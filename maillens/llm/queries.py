@@ -33,7 +33,7 @@ Build = Callable[[SparkSession, str], DataFrame]
 def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-dropout, decoded and compared."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = mergedrop.decode(mergedrop.encode(docs))
+    back = mergedrop.encode(docs, back=True)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

@@ -91,6 +91,9 @@ def test_merge_dropout_round_trip(spark):
     assert len(back) == len(ODD) + len(tricky)
     for r in back:
         assert r.decoded == r.text and (r.ids is None) == (r.text is None)
+    one_pass = mergedrop.encode(df, dropout=0.3, back=True).select("doc_id", "ids", "decoded")
+    assert sorted(map(repr, one_pass.collect())) == sorted(
+        repr(r) for r in mergedrop.decode(mergedrop.encode(df, dropout=0.3)).select("doc_id", "ids", "decoded").collect())
     twins = [r.ids for r in back if r.doc_id == 1]
     assert twins[0] == twins[1]
     assert mergedrop.decode(mergedrop.encode(empty(spark))).count() == 0
