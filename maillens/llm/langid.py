@@ -7,10 +7,10 @@ its positions; a softmax over the pooled values names the language. A
 document's score is the mean of its windows' probabilities, weighted by
 their bytes, over the whole text.
 
-Training is plain numpy (Adam) on the driver, on a bounded sample: at most
-about ``PER_LANG`` distinct texts of each of at most ``MAX_LANGS`` languages,
-of which up to ``SAMPLE_CHARS`` characters are read. Prediction covers every
-byte of every text, in blocks of windows.
+Training is plain numpy (Adam) on the driver, on a sample of about
+``PER_LANG`` distinct texts of each language (all of a language with fewer),
+of which up to ``SAMPLE_CHARS`` characters are read: under 1 MB of ASCII text
+per language. Prediction covers every byte of every text, in blocks of windows.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ WIDTHS = (2, 3, 4)       # filter widths, in bytes
 FILTERS = 8              # filters of each width
 EMBED = 8                # embedding size
 PER_LANG = 500           # training texts of a language
-MAX_LANGS = 64           # the most frequent ones
 SAMPLE_CHARS = 1500      # of a training text
+DRAWS = 1 << 40          # steps of the sampling rate
 EPOCHS = 4
 BATCH = 64
 UNKNOWN = "und"
@@ -104,7 +104,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> ByteCnn:
         x_all, owner, size = windows(np.frombuffer(b"".join(raw), np.uint8), offsets)
         keep = size >= 16                                 # rests of a few bytes teach noise
         x_all, owner = x_all[keep], owner[keep]
-        y_all = np.array([langs.index(v) for v in labels])[owner]
+        code = {v: i for i, v in enumerate(langs)}
+        y_all = np.array([code[v] for v in labels])[owner]
         per_class = np.bincount(y_all, minlength=len(langs))
         weight = (len(y_all) / (len(langs) * np.maximum(per_class, 1)))[y_all].astype(np.float32)
         mean = [np.zeros_like(p) for p in params]
@@ -220,23 +221,21 @@ def learn(docs: DataFrame) -> ByteCnn:
     """Train on the labelled rows of ``docs(doc_id, text, lang)`` that are
     not held out; rows without text, letters or lang teach nothing.
 
-    The sample is drawn by a hash of the text (copies of a text count once)
-    at a rate that yields about ``PER_LANG`` texts of each language; at most
-    twice as many reach the driver.
+    The sample is drawn by a hash of the text at a rate that yields about
+    ``PER_LANG`` texts of each language. The rate follows the language's
+    distinct texts, so copies of a text count once.
     """
-    usable = docs.where("lang is not null and text is not null").where(~is_held_out()).select("lang", "text")
-    counts = (usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)).collect()
+    usable = (docs.where("lang is not null and text is not null").where(~is_held_out())
+              .select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
+              .where(F.col("t").rlike(r"\p{L}")))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not counts:
         return train([], [])
-    rate = F.lit(0)
-    for row in counts:
-        rate = F.when(F.col("lang") == row["lang"],
-                      F.lit(min(1 << 20, -(-(PER_LANG << 20) // row["count"])))).otherwise(rate)
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    rows = (usable.where(draw < rate).select("lang", F.xxhash64("text").alias("h"),
-                                             F.substring("text", 1, SAMPLE_CHARS).alias("t"))
-            .where(F.col("t").rlike(r"\p{L}")).dropDuplicates(["lang", "h"])
-            .orderBy("h", "lang").limit(2 * PER_LANG * len(counts)).collect())
+    rates = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(DRAWS, -(-PER_LANG * DRAWS // r["n"]))) for r in counts], "lang string, rate long")
+    rows = (usable.join(F.broadcast(rates), "lang").where(F.pmod("h", F.lit(DRAWS)) < F.col("rate"))
+            .groupBy("lang", "h").agg(F.min("t").alias("t")).collect())
+    rows.sort(key=lambda r: (r["h"], r["lang"]))
     return train([r["t"] for r in rows], [r["lang"] for r in rows])
 
 

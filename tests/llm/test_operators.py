@@ -444,6 +444,21 @@ def test_language_tables_equal_the_convolution():
     assert np.abs(direct - langid._Tables(model).probabilities(x)).max() < 1e-5
 
 
+def test_language_sample_follows_distinct_texts_of_every_language(spark, monkeypatch):
+    taught = collections.Counter()
+    monkeypatch.setattr(langid, "train", lambda texts, labels: taught.update(labels))
+    text = F.when(F.col("id") < 20_000, "the same notice").otherwise(F.concat(F.lit("note "), "id"))
+    rare = spark.range(20_030).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("rare").alias("lang"))
+    others = spark.range(30_000, 30_700).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("own text "), "id").alias("text"),
+        F.concat(F.lit("l"), F.col("id") % 70).alias("lang"))
+    docs = rare.union(others)
+    langid.learn(docs)
+    assert taught == {r.lang: r.n for r in docs.where(~langid.is_held_out()).groupBy("lang")
+                      .agg(F.countDistinct("text").alias("n")).collect()}
+    assert len(taught) == 71
+
+
 def test_language_edges(spark):
     df = odd(spark, "lang_pred", "score")
     got = {r.doc_id: r for r in langid.predict(df, langid.learn(df)).collect()}
