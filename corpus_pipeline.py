@@ -14,20 +14,28 @@ from pyspark.sql import functions as F
 from maillens.llm import decontam, langid, logtree, mergedrop, superminhash
 from maillens.llm.common import staged, table
 
-GUESS = 1.1            # times an even guess: a lower score says nothing
+KEPT = 0.999           # share of rightly predicted held-out documents that reach the least score
+
+
+def least_score(docs: DataFrame, model: langid.ByteCnn) -> float | None:
+    """The score that ``KEPT`` of the labelled held-out documents reach which
+    the model predicts right; None where there are none."""
+    held = docs.where(langid.is_held_out() & F.col("lang").isNotNull())
+    right = langid.predict(held, model, ["lang"]).where("lang_pred = lang")
+    return right.agg(F.percentile_approx("score", 1 - KEPT, 100_000)).first()[0]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without text or letters, and
-    those whose best language scores hardly more than an even guess among the
-    learned languages, go (without any learned language, nothing else goes)."""
+    """Documents whose language can be told: those without text or letters go,
+    and those that score below ``least_score``, unless their label says the
+    same language (without any learned language or score, nothing else goes)."""
     model = langid.learn(docs)
     scored = langid.predict(docs, model)
     if not model.langs:
         return scored.where(F.col("text").rlike(r"\p{L}")).select(*docs.columns)
-    least = min(GUESS / len(model.langs), 0.99)
-    return (scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least))
-            .select(*docs.columns))
+    least = least_score(docs, model) or 0.0
+    told = (F.col("score") >= least) | F.col("lang").eqNullSafe(F.col("lang_pred"))
+    return scored.where((F.col("lang_pred") != langid.UNKNOWN) & told).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

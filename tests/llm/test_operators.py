@@ -574,6 +574,22 @@ def test_pipeline_stages(spark, documents):
     assert len(last) == sizes[-1] and all(r.lossless and r.n_tokens == len(r.ids) for r in last)
 
 
+def test_pipeline_language_rejects_unlearned_languages_and_junk(spark, documents):
+    rnd = random.Random(1)
+    junk = [(10_000 + i, "".join(rnd.choice("!#$%&()*+,-./:;<=>?@[]^_{|}~0123456789") for _ in range(200)) + "x",
+             None, "s", 201) for i in range(50)]
+    known = documents.where("lang != 'de'")
+    unlearned = documents.where("lang = 'de'").withColumn("lang", F.lit(None).cast("string"))
+    docs = known.union(unlearned).union(spark.createDataFrame(junk, DOC))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()}
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+    model = langid.learn(docs)
+    right = ids(langid.predict(known, model).where("lang = lang_pred"))
+    assert right <= kept and len(right) >= 0.95 * known.count()
+    assert len(kept & ids(unlearned)) <= 0.1 * unlearned.count()
+    assert len([j for j in junk if j[0] in kept]) <= 0.1 * len(junk)
+
+
 def test_pipeline_on_odd_and_empty_tables(spark):
     for df in (odd(spark), empty(spark)):
         docs = df
