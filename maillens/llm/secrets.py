@@ -1,10 +1,13 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are runs of 12 or more key characters that hold a digit or start
-with 16 capitals. Labelled
-findings teach the forest: known key formats and quoted or assigned values
-behind a secret's name are positive; host names, mail addresses, plain
-numbers, dates and runs made of dictionary words are negative; the rest is
+Candidates are runs of 12 or more key characters that hold a digit or a
+capital behind a small letter or start with 16 capitals, and every value that
+directly follows a secret's name and ``=`` or ``:``, whatever its length and
+characters (in quotes up to the closing one, else up to a blank or quote, less
+closing punctuation). Labelled findings teach the forest: known key formats
+and quoted or assigned values with a digit or mixed case behind a secret's
+name are positive; host names, mail addresses, plain numbers, dates, single
+unquoted words and runs made of dictionary words are negative; the rest is
 unlabelled. The forest sees none of these patterns, only the candidate's
 length, its character transitions and classes, how much of it dictionary
 words cover, how path-like it is, and the words and marks around it.
@@ -18,13 +21,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillens.llm.common import NO_MATCHES, matches, staged
+from maillens.llm.common import matches, staged
 
 SAMPLE = 20_000         # labelled findings of each class that the forest is fitted on, about
 TREES, DEPTH = 24, 6
 SEED = 11
 _KEY = "[A-Za-z0-9_/+=.-]"
-_CANDIDATE = rf"(?<!{_KEY})(?={_KEY}*[0-9]|[A-Z]{{16}}){_KEY}{{12,}}+"
 
 # Fixed word lists.
 _DICTIONARY = ("the|and|that|tion|ing|ent|ment|com|org|net|www|http|html|mail|example|page|file|image|index|"
@@ -33,6 +35,17 @@ _DICTIONARY = ("the|and|that|tion|ing|ent|ment|com|org|net|www|http|html|mail|ex
 _NAMES = ("token", "password", "passwd", "pwd", "secret", "key", "apikey", "auth", "bearer", "credential", "credentials")
 _PLAIN = ("page", "version", "isbn", "order", "item", "figure", "line", "chapter", "id", "number", "no", "card", "phone")
 
+_MIXED = f"{_KEY.replace('a-z', '')}*+[a-z]{_KEY.replace('A-Z', '')}*+[A-Z]"   # a capital behind a small letter
+_RUN = rf"(?<!{_KEY})(?={_KEY}*[0-9]|{_MIXED}|[A-Z]{{16}}){_KEY}{{12,}}+"
+_BEHIND = rf"(?<![A-Za-z])(?i:{'|'.join(_NAMES)})[\"']?\s{{0,3}}[=:]{{1,2}}\s{{0,3}}"
+_NAMED = rf"(?<!{_KEY})(?=(?:[A-Za-z_-]*[_-])?(?i:{'|'.join(_NAMES)})=)"
+# A quoted value; a run that no password character follows; any other value; any other run.
+_CANDIDATE = "|".join((
+    rf"(?<=\")(?<={_BEHIND}\")[^\"\n]+(?=\")", rf"(?<=')(?<={_BEHIND}')[^'\n]+(?=')",
+    rf"{_RUN}(?![!#$%^*~?|\\])",
+    rf"(?<=[=:]\s{{0,3}}[\"']?)(?![=:])(?<={_BEHIND}[\"']?)[^\s\"']*[^\s\"',;)\]}}]",
+    rf"(?!{_NAMED}){_RUN}"))
+
 
 def _transitions(text: Column) -> Column:
     """Changes between small letters, capitals, digits and other characters."""
@@ -46,8 +59,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     ``docs(doc_id, text)``; positions in code points, end exclusive; label 1,
     0 or null (unlabelled)."""
     text = F.coalesce("text", F.lit(""))
-    found = F.when(text.rlike("[0-9]|[A-Z]{16}"), matches(text, _CANDIDATE)).otherwise(F.array().cast(NO_MATCHES))
-    rows = docs.select("doc_id", F.explode(found).alias("m")).select(
+    rows = docs.select("doc_id", F.explode(matches(text, _CANDIDATE)).alias("m")).select(
         "doc_id", "m.start", "m.end", F.col("m.text").alias("value"), "m.before", "m.after")
     value, before = F.col("value"), F.col("before")
     name = F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]*$", 1))
@@ -69,9 +81,11 @@ def candidates(docs: DataFrame) -> DataFrame:
         "secret_name": name.isin(*_NAMES).cast("double"), "plain_name": name.isin(*_PLAIN).cast("double"),
         "letter_behind": F.col("after").rlike("[A-Za-z@]").cast("double")}
     positive = body.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$") | body.rlike("^gh[pousr]_[0-9A-Za-z]{36}$") | (
-        assigned & name.isin(*_NAMES) & body.rlike("[A-Za-z]"))
+        assigned & name.isin(*_NAMES) & body.rlike("[A-Za-z]")
+        & (body.rlike("[0-9]|[A-Z]{16}") | (body.rlike(f"^{_MIXED}") & (n >= 12))))
     negative = (body.rlike("^[0-9.-]+$") | body.rlike(r"\.(?:com|org|net|html?)\b") | before.rlike(r"(?:://|@)$")
-                | (F.col("after") == "@") | (covered > 0.5))
+                | (F.col("after") == "@") | (covered > 0.5)
+                | (body.rlike("^[A-Z]?[a-z]+[.:!?]*$") & ~before.rlike("[\"']$")))
     return rows.select("doc_id", "start", "end", "value",
                        *[v.cast("double").alias(f"f_{k}") for k, v in features.items()],
                        F.when(positive, 1.0).when(negative, 0.0).alias("label"))

@@ -167,6 +167,24 @@ def test_secret_forest_on_held_out_findings(spark):
     assert all(r.prediction == r.label for r in scored)
 
 
+def test_secret_candidates_behind_names_and_in_mixed_case(spark):
+    want = {'token: AbcdEfghIjklMnop here': "AbcdEfghIjklMnop", 'password: "abc12345" x': "abc12345",
+            '{"api_key": "x", "n": 1}': "x", "pwd = p@ss!w0rd, next": "p@ss!w0rd",
+            "password=a1bcdefghijk!xyz end": "a1bcdefghijk!xyz", "secret: 'two words!'": "two words!",
+            "loose QwertyAsdfgZxcvb run": "QwertyAsdfgZxcvb", "token=0123456789abcdef0 x": "token=0123456789abcdef0",
+            "key == hunter2) x": "hunter2", "monkey: nothing": None, "plain internationalization": None}
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in secrets.candidates(docs).collect():
+        got[list(want)[r.doc_id]].append(r.value)
+    assert got == {k: [v] for k, v in want.items() if v}
+    prose = [(1000 + i, f"the key: {w} of it") for i, w in enumerate(["nothing", "silence", "Patience", "good"] * 10)]
+    short = [(2000 + i, f'my password: "abc{i}X{i * 7}y" stays') for i in range(40)]
+    scan = secrets.scan(spark.createDataFrame(secret_texts() + prose + short, "doc_id long, text string")).collect()
+    verdicts = {r.doc_id: r.is_secret for r in scan if r.doc_id >= 1000}
+    assert verdicts == {i: i >= 2000 for i, _ in prose + short}
+
+
 def test_secret_scan_edges(spark):
     rows = secret_texts()
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOC).union(spark.createDataFrame(ODD, DOC))
