@@ -104,9 +104,30 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(l) as loss_chars,
 from loss join total using (conv_id)
 """
 
+_OP12 = """
+with r as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+           list_inner_product(a.v, b.v)::bigint as score
+    from r a join r b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+pos as (select anchor_id, other, score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select p.anchor_id, p.other as positive_id,
+       row_number() over (partition by p.anchor_id, p.other order by n.score desc, n.other)::int as rank,
+       n.other as negative_id, p.score as positive_score, n.score as negative_score
+from pos p join s n using (anchor_id)
+where not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+qualify rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
     "op5_superminhash": _OP5,
     "op7_containment": _OP7,
     "op9_chat_windows": _OP9,
     "op10_line_templates": _OP10,
+    "op12_angular_negatives": _OP12,
 }

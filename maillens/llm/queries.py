@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from maillens.llm import (
     chat,
+    crosstok,
     decontam,
+    hardneg,
     imatch,
     langid,
     logtree,
@@ -22,6 +24,7 @@ from maillens.llm import (
     pii,
     secrets,
     superminhash,
+    tokencount,
     urls,
 )
 from maillens.llm.common import table
@@ -111,6 +114,26 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logtree.drop_recurring_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tokenizations of every document aligned, with pair counts."""
+    found = crosstok.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector."""
+    rows = table(spark, sf_dir, "embeddings").where(
+        "label is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))")
+    rows = rows.select("vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").cast("int").alias("label"),
+                       F.expr("transform(embedding, x -> floor(256 * double(x)))").alias("vector"))
+    return hardneg.mine(rows, F.expr("vec_id % 50 = 0"))
+
+
+def op13_rank_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, from documents to token ids."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -118,4 +141,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_merge_dropout, op2_imatch, op3_secret_forest, op4_weak_pii, op5_superminhash, op6_url_words,
-    op7_containment, op8_byte_cnn, op9_chat_windows, op10_line_templates, pipeline)}
+    op7_containment, op8_byte_cnn, op9_chat_windows, op10_line_templates, op11_spill_alignment,
+    op12_angular_negatives, op13_rank_rounds, pipeline)}
