@@ -3,7 +3,7 @@ block-wise Arrow reading, 64-bit mixing and connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,25 +78,68 @@ def mix_int(x: int) -> int:
 # --- pattern matches with positions, in SQL expressions -----------------------
 
 NO_MATCHES = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
+_MARKS = ("\ue000", "\uf8ff", "\U000f0000")    # private characters: one that the text lacks marks its matches
+_FOLD = 32                                     # matches whose positions are added up in one array
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once (a lambda's variable)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Every match as (start, end, text, before, after), in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("text"),
-                         F.slice(gaps, 2, F.size(found)).alias("rest"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(NO_MATCHES).alias("out"))
-
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + F.length(m["gap"])
-        end = begin + F.length(m["text"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            begin.alias("start"), end.alias("end"), m["text"].alias("text"),
-            F.right(m["gap"], F.lit(40)).alias("before"),
-            F.left(m["rest"], F.lit(1)).alias("after")))).alias("out"))
-
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    """Every match as (start, end, text, before, after), in code points.
+
+    The pattern runs once: it puts marks around its matches, and the text is
+    cut at them into gap, match, gap, ... Positions add up within blocks of
+    ``_FOLD`` matches, then the blocks' lengths, so the time grows with the
+    text and its matches alone. A text that holds all marks itself is
+    searched and split by the pattern instead.
+    """
+    mark = F.when(F.instr(text, _MARKS[0]) == 0, _MARKS[0])
+    for m in _MARKS[1:]:
+        mark = mark.when(F.instr(text, m) == 0, m)
+    marked = bound(mark, lambda m: F.split(F.regexp_replace(text, F.lit(pattern), F.concat(m, F.lit("$0"), m)), m, -1))
+    plain = F.flatten(F.transform(
+        F.arrays_zip(F.split(text, pattern, -1).alias("g"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("t")),
+        lambda x: F.array(x["g"], F.coalesce(x["t"], F.lit("")))))
+    none = F.array().cast(NO_MATCHES)
+
+    def placed(parts: Column) -> Column:
+        """Matches of one block, positions from the block's begin."""
+        cells = F.transform(F.sequence(F.lit(1), F.floor((F.size(parts) - 1) / 2).cast("int")), lambda i: F.struct(
+            F.get(parts, 2 * i - 2).alias("gap"), F.get(parts, 2 * i - 1).alias("text"),
+            F.get(parts, 2 * i).alias("rest")))
+
+        def step(acc: Column, m: Column) -> Column:
+            begin = acc["at"] + F.length(m["gap"])
+            end = begin + F.length(m["text"])
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
+                begin.alias("start"), end.alias("end"), m["text"].alias("text"),
+                F.right(m["gap"], F.lit(40)).alias("before"),
+                F.left(m["rest"], F.lit(1)).alias("after")))).alias("out"))
+
+        return F.aggregate(cells, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+
+    def listed(pieces: Column) -> Column:
+        n = F.floor((F.size(pieces) - 1) / 2).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _FOLD).cast("int")), lambda b: placed(
+            F.slice(pieces, 2 * _FOLD * b + 1, F.least(F.lit(2 * _FOLD), 2 * (n - _FOLD * b)) + 1)))
+
+        def shifted(folded: Column) -> Column:
+            offsets = F.aggregate(
+                folded, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                lambda acc, f: F.struct((acc["at"] + f["at"]).alias("at"),
+                                        F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                lambda acc: acc["out"])
+            return F.flatten(F.zip_with(folded, offsets, lambda f, o: F.transform(f["out"], lambda m: F.struct(
+                (m["start"] + o).alias("start"), (m["end"] + o).alias("end"), m["text"].alias("text"),
+                m["before"].alias("before"), m["after"].alias("after")))))
+
+        return F.when(n > 0, bound(blocks, shifted)).otherwise(none)
+
+    return bound(F.when(mark.isNotNull(), marked).otherwise(plain), listed)
 
 
 # --- memory of Python workers ------------------------------------------------

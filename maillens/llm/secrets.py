@@ -36,7 +36,7 @@ _NAMES = ("token", "password", "passwd", "pwd", "secret", "key", "apikey", "auth
 _PLAIN = ("page", "version", "isbn", "order", "item", "figure", "line", "chapter", "id", "number", "no", "card", "phone")
 
 _MIXED = f"{_KEY.replace('a-z', '')}*+[a-z]{_KEY.replace('A-Z', '')}*+[A-Z]"   # a capital behind a small letter
-_RUN = rf"(?<!{_KEY})(?={_KEY}*[0-9]|{_MIXED}|[A-Z]{{16}}){_KEY}{{12,}}+"
+_RUN = rf"(?<!{_KEY})(?={_KEY}{{12}})(?={_KEY}*[0-9]|{_MIXED}|[A-Z]{{16}}){_KEY}{{12,}}+"
 _BEHIND = rf"(?<![A-Za-z])(?i:{'|'.join(_NAMES)})[\"']?\s{{0,3}}[=:]{{1,2}}\s{{0,3}}"
 _NAMED = rf"(?<!{_KEY})(?=(?:[A-Za-z_-]*[_-])?(?i:{'|'.join(_NAMES)})=)"
 # A quoted value; a run that no password character follows; any other value; any other run.
@@ -47,6 +47,18 @@ _CANDIDATE = "|".join((
     rf"(?!{_NAMED}){_RUN}"))
 
 
+def _found(text: Column) -> Column:
+    """Candidates of a text. Only behind a secret's name can any but the run
+    pattern match or the run pattern be kept back, and few texts hold one."""
+    low = F.lower(text)
+    named = F.lit(False)
+    for name in sorted(_NAMES):
+        if not any(other != name and other in name for other in _NAMES):
+            named = named | F.contains(low, F.lit(name))
+    named = named & low.rlike(rf"(?:{'|'.join(_NAMES)})[\"']?\s{{0,3}}[=:]")
+    return F.when(named, matches(text, _CANDIDATE)).otherwise(matches(text, _RUN))
+
+
 def _transitions(text: Column) -> Column:
     """Changes between small letters, capitals, digits and other characters."""
     shape = F.translate(text, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_/+=.-",
@@ -55,11 +67,11 @@ def _transitions(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end, value, features, label): every candidate of
+    """(doc_id, start, end, value, value_sha256, features, label): every candidate of
     ``docs(doc_id, text)``; positions in code points, end exclusive; label 1,
     0 or null (unlabelled)."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.explode(matches(text, _CANDIDATE)).alias("m")).select(
+    rows = docs.select("doc_id", F.explode(_found(text)).alias("m")).select(
         "doc_id", "m.start", "m.end", F.col("m.text").alias("value"), "m.before", "m.after")
     value, before = F.col("value"), F.col("before")
     name = F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]*$", 1))
@@ -86,19 +98,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     negative = (body.rlike("^[0-9.-]+$") | body.rlike(r"\.(?:com|org|net|html?)\b") | before.rlike(r"(?:://|@)$")
                 | (F.col("after") == "@") | (covered > 0.5)
                 | (body.rlike("^[A-Z]?[a-z]+[.:!?]*$") & ~before.rlike("[\"']$")))
-    return rows.select("doc_id", "start", "end", "value",
+    return rows.select("doc_id", "start", "end", "value", F.sha2("value", 256).alias("value_sha256"),
                        *[v.cast("double").alias(f"f_{k}") for k, v in features.items()],
                        F.when(positive, 1.0).when(negative, 0.0).alias("label"))
 
 
 def fit(found: DataFrame) -> RandomForestClassificationModel | None:
     """Forest on the labelled findings, about ``SAMPLE`` of each class drawn by
-    a hash of their values; None unless both classes occur."""
+    the hash of their values; None unless both classes occur."""
     known = found.where("label is not null")
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "value", "doc_id", "start"), F.lit(1 << 20))
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "value_sha256", "doc_id", "start"), F.lit(1 << 20))
     rate = F.when(F.col("label") == 1, min(1 << 20, -(-(SAMPLE << 20) // counts[1.0]))).otherwise(
         min(1 << 20, -(-(SAMPLE << 20) // counts[0.0])))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features",
@@ -121,12 +133,13 @@ def scan(docs: DataFrame) -> DataFrame:
     and empty texts have no findings; repeated rows repeat theirs; other
     columns are ignored; an empty table gives an empty one.
     """
-    found, _ = staged(candidates(docs.select("doc_id", "text")), "findings")
+    # Values are hashed before anything is written: no secret in clear text is left behind.
+    found, _ = staged(candidates(docs.select("doc_id", "text")).drop("value"), "findings")
     model = fit(found)
     if model is None:
         scored = found.withColumn("score", F.lit(None).cast("double"))
     else:
         scored = model.transform(_assembled(found)).withColumn(
             "score", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score",
+    return scored.select("doc_id", "start", "end", "value_sha256", "score",
                          (F.coalesce("score", F.lit(1.0)) >= 0.5).alias("is_secret"))
