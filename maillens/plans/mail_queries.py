@@ -59,6 +59,64 @@ def q_mail_parse(spark, sf_dir):
     return parsed_mails(spark, sf_dir)
 
 
+def _mime_sql() -> str:
+    """DuckDB twin of ``mail_parts``: the tree by a recursive CTE."""
+    def header(name: str) -> str:
+        return (f"case when regexp_matches(hdr, '(?im)^{name}:') then regexp_extract(hdr, '(?im)^{name}:{_VALUE}', 1) "
+                "else '' end")
+
+    def param(name: str) -> str:
+        rx = rf'(?is);\s*{name}\s*=\s*(?:"([^"]*)"|([^;\s"]+))'
+        return f"(regexp_extract(ct, '{rx}', 1) || regexp_extract(ct, '{rx}', 2))"
+
+    mark = lambda end: f"'(?m)^--\\Q' || boundary || '\\E{end}'"
+    inner = f"string_split_regex(body, {mark('--[ \\t]*$')})[1]"
+    kids = (f"case when kind like 'multipart/%' and boundary <> '' then "
+            f"case when regexp_matches(body, {mark('(?:--)?[ \\t]*$')}) then "
+            f"list_transform(list_filter(string_split_regex({inner}, {mark('[ \\t]*(?:\\n|\\z)')})[2:], "
+            "lambda x: x <> ''), lambda x: regexp_replace(x, '\\n\\z', '')) end "
+            "when kind like 'message/%' then [body] end")
+
+    def parsed(source: str) -> str:
+        hdr = f"select *, regexp_extract(raw, '{S.M.HEADER_LINES}', 0) hdr from ({source})"
+        split = (f"select *, {header('content-type')} ct, lower(trim({header('content-transfer-encoding')})) encoding, "
+                 "substr(raw, length(hdr) + case when substr(raw, length(hdr) + 1, 1) = chr(10) then 2 else 1 end) body "
+                 f"from ({hdr})")
+        named = ("select *, lower(regexp_extract(ct, '\\A\\s*([^;\\s]*)', 1)) k, "
+                 f"rtrim({param('boundary')}) boundary, lower({param('charset')}) charset from ({split})")
+        typed = ("select *, case when regexp_matches(k, '\\A[^/]+/[^/]+\\z') then k else 'text/plain' end kind "
+                 f"from ({named})")
+        return f"select msg_id, path, kind, charset, encoding, body, {kids} kids from ({typed})"
+
+    roots = ("select msg_id, []::INT[] path, replace(replace(raw, chr(13)||chr(10), chr(10)), chr(13), chr(10)) raw "
+             "from mime_mails")
+    deeper = ("select msg_id, list_append(path, i::INT) path, kids[i] raw "
+              "from (select msg_id, path, kids, unnest(range(1, len(kids) + 1)) i from tree)")
+    plain = "regexp_replace(regexp_replace(body, '(?m)[ \\t]+$', '', 'g'), '=(?:\\n|\\z)', '', 'g')"
+    qp = (f"array_to_string(list_transform(string_split({plain}, '='), lambda p, i: case when i = 1 then hex(p) "
+          "when regexp_matches(p, '\\A[0-9A-Fa-f]{2}') then upper(p[1:2]) || hex(p[3:]) else '3D' || hex(p) end), '')")
+    single = ("array_to_string(list_transform(range(0, length(h) // 2), "
+              "lambda i: chr(('0x' || substr(h, 2 * i + 1, 2))::INT)), '')")
+    cp1252 = S.MIME._CP1252
+    swaps = f"translate({single}, '{''.join(cp1252)}', '{''.join(cp1252.values())}')"
+    return fx.with_fixtures("", "mime_mails").rstrip().replace("with ", "with recursive ", 1) + f""",
+tree as ({parsed(roots)} union all {parsed(deeper)}),
+leaf as (select *, case when encoding = 'quoted-printable' then {qp}
+                        when encoding = 'base64' then hex(from_base64(regexp_replace(body, '[^A-Za-z0-9+/=]', '', 'g')))
+                   end h from tree where kids is null)
+select msg_id, array_to_string(path, '.') path, kind "type", charset, encoding,
+       case when kind not like 'text/%' and kind not like 'multipart/%' then null when h is null then body
+            when charset = 'windows-1252' then {swaps} when charset = 'iso-8859-1' then {single}
+            else decode(unhex(h)) end text
+from leaf"""
+
+
+@query("mail_parts", sql=_mime_sql())
+def q_mail_parts(spark, sf_dir):
+    """Leaf parts of every MIME mail: place in the tree, type, decoded text."""
+    return S.mail_parts(fx.mime_mails(spark, sf_dir), "msg_id")
+
+
 def mail_tree(spark, sf_dir) -> str:
     """The raw mails written as a tree of one file per mail (once)."""
     def write(path):

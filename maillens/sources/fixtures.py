@@ -12,6 +12,9 @@ computes on) and as DuckDB SQL (used only by the correctness oracle).
   folded ``To`` header and the body of document ``msg_id % N`` (N documents);
   the order key picks an odd form for half of them (no From, multipart,
   repeated To, a line that is no header, CRLF, ...).
+* ``mime_mails(msg_id, raw)``: every document as a mail whose MIME form goes by
+  ``doc_id % 6``: multiparts with and without delimiters, nested ones, a message
+  in a message, quoted-printable and base64, three charsets; every fifth in CRLF.
 * ``doc_features(doc_id, label, 10 counts)``: a labelled learning table
   whose size grows with ``documents``.
 """
@@ -132,6 +135,48 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("msg_id", F.when(crlf, F.replace(raw, F.lit("\n"), F.lit("\r\n"))).otherwise(raw).alias("raw"))
 
 
+# Forms of the MIME mails by ``doc_id % 6``; {qp} and {b64} are the encoded text.
+_MIME_HEAD = "From: u{id}@x.com\nMIME-Version: 1.0\n"
+MIME_FORMS = {
+    0: _MIME_HEAD + "Content-Type: multipart/mixed; boundary=\"zz{id}\"\n\n{text}",
+    1: _MIME_HEAD + "Content-Type: multipart/mixed; boundary=\"b+{id}?\"\n\nbefore\n--b+{id}?\n"
+       "Content-Type: text/plain; charset=utf-8\n\n{text}\n--b+{id}?  \n"
+       "Content-Type: text/html; charset=\"UTF-8\"\nContent-Transfer-Encoding: base64\n\n{b64}\n--b+{id}?\n"
+       "Content-Type: application/octet-stream\nContent-Transfer-Encoding: base64\n\nAAEC\n--b+{id}?--\nbehind\n",
+    2: _MIME_HEAD + "Content-Type:\n\tmultipart/mixed;\n boundary=o{id}\n\n--o{id}\n"
+       "Content-Type: multipart/alternative; boundary=o{id}x\n\n--o{id}x\n\n{text}\n--o{id}x\n"
+       "Content-Type: text/html; charset=utf-8\nContent-Transfer-Encoding: Quoted-Printable\n\n{qp}\n--o{id}x--\n"
+       "--o{id}\nContent-Type: text/plain; charset=iso-8859-1\nContent-Transfer-Encoding: quoted-printable\n\n"
+       "caf=E9 {id} =3D soft=\n break \t\nend\n--o{id}--\n",
+    3: _MIME_HEAD + "Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: quoted-printable\n\n{qp}",
+    4: _MIME_HEAD + "Content-Type: message/rfc822\n\nFrom: v{id}@x.com\n"
+       "Content-Type: multipart/mixed; boundary=q{id}\n\n--q{id}\nContent-Type: text/plain; charset=windows-1252\n"
+       "Content-Transfer-Encoding: quoted-printable\n\n=80 {id} =93quoted=94\n--q{id}\n\n{text}\nno end",
+    5: _MIME_HEAD + "Content-Transfer-Encoding: base64\n\n{b64}",
+}
+
+
+def mime_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.col("text")
+    wrapped = F.regexp_replace(F.base64(F.encode(text, "UTF-8")), "(.{76})", "$1\n")
+    every_byte = F.regexp_replace(F.regexp_replace(F.hex(text), "(..)", "=$1"), "((?:=..){24})", "$1=\n")
+
+    def form(template: str) -> F.Column:
+        mail = F.lit(template)
+        for mark, value in (("{id}", F.col("doc_id").cast("string")), ("{qp}", every_byte), ("{b64}", wrapped),
+                            ("{text}", text)):
+            if mark in template:
+                mail = F.replace(mail, F.lit(mark), value)
+        return mail
+
+    raw = F.lit(None).cast("string")
+    for key, template in MIME_FORMS.items():
+        raw = F.when(F.col("doc_id") % len(MIME_FORMS) == key, form(template)).otherwise(raw)
+    return docs.select(F.col("doc_id").alias("msg_id"), F.when(
+        F.col("doc_id") % 5 == 0, F.replace(raw, F.lit("\n"), F.lit("\r\n"))).otherwise(raw).alias("raw"))
+
+
 # Character classes counted per document (fixed values).
 DIGITS = "0123456789"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -200,6 +245,23 @@ from (select msg_id, case {cases} else {form(MAIL_FORMS[None])} end r
             on msg_id % (select greatest(count(*), 1) from documents) = doc_id))"""
 
 
+def _mime_mails_sql() -> str:
+    wrapped = "regexp_replace(base64(encode(t)), '(.{76})', '\\1' || chr(10), 'g')"
+    every_byte = ("regexp_replace(regexp_replace(hex(t), '(..)', '=\\1', 'g'), '((?:=..){24})', "
+                  "'\\1=' || chr(10), 'g')")
+
+    def form(template: str) -> str:
+        text = "'" + template.replace("\n", "' || chr(10) || '").replace("\t", "' || chr(9) || '") + "'"
+        for mark, value in (("{id}", "doc_id::varchar"), ("{qp}", every_byte), ("{b64}", wrapped), ("{text}", "t")):
+            if mark in template:
+                text = f"replace({text}, '{mark}', {value})"
+        return text
+
+    cases = " ".join(f"when doc_id % {len(MIME_FORMS)} = {k} then {form(t)}" for k, t in MIME_FORMS.items())
+    return (f"select doc_id msg_id, case when doc_id % 5 = 0 then replace(r, chr(10), chr(13) || chr(10)) else r end raw "
+            f"from (select doc_id, case {cases} end r from (select doc_id, coalesce(text, '') t from documents))")
+
+
 _DUCK_CLASSES = {
     "n_digit": "[^0-9]", "n_upper": "[^A-Z]", "n_lower": "[^a-z]",
     "n_line": "[^\\n]", "n_blank": "[^ ]", "n_stop": "[^.]",
@@ -217,6 +279,7 @@ from (select o_orderkey, o_custkey,
 group by 1, 2""",
     "insiders": _insiders_sql(),
     "raw_mails": _raw_mails_sql(),
+    "mime_mails": _mime_mails_sql(),
     "doc_features": "select d.doc_id, quality label, n_chars, length(text)::BIGINT n_len,\n  "
     + ",\n  ".join(
         f"length(regexp_replace(text, '{rx}', '', 'g'))::BIGINT {name}"

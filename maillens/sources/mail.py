@@ -1,7 +1,7 @@
 """Scans, parsers and sinks of the mail extraction and aggregation stages.
 
 S1 ``read_mail_tree``   every file below a folder, any depth, one row per file
-S2 ``parse_mails``      sender, recipient list, body, parse flag
+S2 ``parse_mails``      sender, recipient list, body, parse flag; ``mail_parts`` decoded MIME leaves
 S3 ``write_messages``   message lines ``sender*to_list*body`` or Parquet
 S4 ``read_messages``    message lines back into fields
 S5 ``drop_header``      drop every line equal to the first one
@@ -15,12 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maillens.functions import mail as M
+from maillens.functions import mime as MIME
 
 # ------------------------------------------------------------------ S1, S2
 
@@ -48,8 +48,7 @@ def parse_mails(df: DataFrame, raw: str = "raw", decode_multipart: bool = False)
       per-mail loop of the reference aborted on both).
 
     ``decode_multipart=True`` replaces the body of multipart mails by their
-    decoded text parts, using the standard library parser in an Arrow UDF
-    in the same scan (it gets nulls for all other mails).
+    decoded text parts, joined by newlines (``functions.mime``).
     """
     text = M.normalize_newlines(F.col(raw))
     hdr = M.header_block(text)
@@ -62,30 +61,17 @@ def parse_mails(df: DataFrame, raw: str = "raw", decode_multipart: bool = False)
     )
     out = out.withColumn("parse_ok", F.col("sender").isNotNull() & ~F.col("_multipart"))
     if decode_multipart:
-        decoded = _decoded_text(F.when(F.col("_multipart"), F.col(raw)))
+        texts = F.transform(F.filter(MIME.parts(text), lambda p: p["type"].startswith("text/")), lambda p: p["text"])
+        decoded = F.when(F.col("_multipart"), F.array_join(texts, "\n"))
         out = out.withColumn("body", F.coalesce(M.flatten_body(decoded), F.col("body")))
     return out.drop("_multipart")
 
 
-@F.pandas_udf(T.StringType())
-def _decoded_text(raw: pd.Series) -> pd.Series:
-    """Text parts of multipart mails, joined by newlines (per-row helper)."""
-    from email import message_from_string
-
-    def one(s: str | None) -> str | None:
-        if s is None:
-            return None
-        msg = message_from_string(s)
-        parts = []
-        for part in msg.walk():
-            if part.get_content_maintype() == "text" and not part.is_multipart():
-                payload = part.get_payload(decode=True)
-                if payload is not None:
-                    parts.append(payload.decode(part.get_content_charset() or "utf-8",
-                                                errors="replace"))
-        return "\n".join(parts)
-
-    return raw.map(one)
+def mail_parts(df: DataFrame, *keep: str, raw: str = "raw", max_depth: int = MIME.MAX_DEPTH) -> DataFrame:
+    """(keep..., path, type, charset, encoding, text): one row per leaf part
+    of every mail, decoded (see ``functions.mime``); native expressions only."""
+    parts = MIME.parts(M.normalize_newlines(F.col(raw)), max_depth)
+    return df.select(*keep, F.inline(parts))
 
 
 # ------------------------------------------------------------------ S3, S4, S5
