@@ -12,9 +12,9 @@ SVM fits of up to 80 gradient jobs each. Three facts shrink that:
 Each iteration is one Spark job over the (checkpointed, cached) learning
 table: the weight matrix (models x features, bounded by the grid, not by
 the data) travels in the task closure, every partition computes all
-gradients with one matrix product (Arrow batches in ``mapInPandas``),
-and the per-partition sums are added by a small aggregate. The driver
-applies the update rule of the MLlib SGD optimiser:
+gradients with one matrix product and gives one array, and the arrays are
+added as a tree (``partials.sum_arrays``). The driver applies the update
+rule of the MLlib SGD optimiser:
 
     alpha_t = step / sqrt(t);   g = gradient sum / rows in the batch
     none: w -= alpha g
@@ -45,6 +45,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maillens.operators.partials import partitions, sum_arrays
+
 CONVERGENCE_TOL = 0.001
 
 
@@ -140,21 +142,11 @@ def _gradient_fn(setup: _Setup, W: np.ndarray, active: np.ndarray, t: int):
             coef = coef * A
             G += (coef.T @ X) * bias_mask
             cnt += A.sum(axis=0)
-        yield pd.DataFrame({"idx": np.arange(M * d1 + M, dtype=np.int64),
-                            "v": np.concatenate([G.ravel(), cnt])})
+        return np.concatenate([G.ravel(), cnt])
 
     return run
 
 
-def _sum_partials(data: DataFrame, fn, size: int) -> np.ndarray:
-    """Sums of the partitions' partial vectors, added on the executors."""
-    parts = data.mapInPandas(fn, "idx long, v double").groupBy("idx").agg(F.sum("v").alias("v"))
-    pdf = parts.toPandas()
-    vec = np.zeros(size)
-    vec[pdf["idx"].to_numpy()] = pdf["v"].to_numpy()
-    return vec
-
-
 def fit(data: DataFrame, kind: str, trajs: list[Trajectory], features: list[str],
         k: int, snapshots: list[int], tol: float = CONVERGENCE_TOL):
     """Train every trajectory on every part; return {t: weights (M, d+1)}.
@@ -176,9 +168,10 @@ def fit(data: DataFrame, kind: str, trajs: list[Trajectory], features: list[str]
     active = np.ones(M, dtype=bool)
     updated_once = np.zeros(M, dtype=bool)
     snaps = {}
+    tasks = partitions(data)
     for t in range(1, max(snapshots) + 1):
         if active.any():
-            vec = _sum_partials(data, _gradient_fn(setup, W, active, t), M * d1 + M)
+            vec = sum_arrays(data, _gradient_fn(setup, W, active, t), M * d1 + M, tasks)
             G, cnt = vec[:M * d1].reshape(M, d1), vec[M * d1:]
             upd = active & (cnt > 0)
             alpha = step / math.sqrt(t)
@@ -227,7 +220,7 @@ def _eval_fn(setup: _Setup, stack: np.ndarray):
             acc[:, 1] += (E & pred & ~pos).sum(axis=0)
             acc[:, 2] += (E & ~pred & pos).sum(axis=0)
             acc[:, 3] += (E & ~pred & ~pos).sum(axis=0)
-        yield pd.DataFrame({"idx": np.arange(S * M * 4, dtype=np.int64), "v": acc.ravel()})
+        return acc.ravel()
 
     return run
 
@@ -237,7 +230,7 @@ def evaluate(data: DataFrame, snaps: dict, setup: _Setup) -> dict:
     keys = sorted(snaps)
     stack = np.stack([snaps[t] for t in keys])
     S, M, _ = stack.shape
-    vec = _sum_partials(data, _eval_fn(setup, stack), S * M * 4).reshape(S, M, 4)
+    vec = sum_arrays(data, _eval_fn(setup, stack), S * M * 4, partitions(data)).reshape(S, M, 4)
     return {(t, m): tuple(int(v) for v in vec[i, m]) for i, t in enumerate(keys)
             for m in range(M)}
 
@@ -291,9 +284,10 @@ def final_weights(data: DataFrame, kind: str, point: dict, features: list[str],
                   k: int) -> tuple[np.ndarray, float]:
     """(weights, intercept) of one grid point fitted on all training rows."""
     traj, iterations = trajectory_of(point)
-    if traj.batch < 1.0:
-        data = with_batch_bits(data, iterations)
-    snaps, setup = fit(data, kind, [traj], features, k, [iterations])
+    bits = with_batch_bits(data, iterations).persist() if traj.batch < 1.0 else None
+    snaps, setup = fit(data if bits is None else bits, kind, [traj], features, k, [iterations])
+    if bits is not None:
+        bits.unpersist()
     return weights_of(snaps, setup, [traj], traj, iterations, k, k)
 
 

@@ -122,10 +122,16 @@ def tfidf_long(words: DataFrame, idf_tbl: DataFrame, vocab: list[str],
 def term_cells(words: DataFrame, vocab: list[str], id_col: str = "doc_id", *extra: str) -> DataFrame:
     """(id, extra..., term_index, n): the cells of the count vectors, read
     from each document's own sparse vector (no shuffle)."""
+    parts = count_vectors(words, vocab, id_col, *extra).withColumnRenamed("terms", "term_index")
+    return parts.select(id_col, *extra, F.inline(F.arrays_zip("term_index", "n")))
+
+
+def count_vectors(words: DataFrame, vocab: list[str], id_col: str = "doc_id", *extra: str) -> DataFrame:
+    """(id, extra..., terms array<int>, n array<double>): each document's
+    sparse count vector as plain arrays."""
     counted = count_model(vocab, output_col="_cells").transform(words.select(id_col, *extra, "words"))
     cells = F.unwrap_udt("_cells")
-    parts = counted.select(id_col, *extra, cells["indices"].alias("term_index"), cells["values"].alias("n"))
-    return parts.select(id_col, *extra, F.inline(F.arrays_zip("term_index", "n")))
+    return counted.select(id_col, *extra, cells["indices"].alias("terms"), cells["values"].alias("n"))
 
 
 def flatten_vector(df: DataFrame, id_col: str, vec_col: str, vocab_tbl: DataFrame,

@@ -1,9 +1,9 @@
 """Grid-search queries of the four classifiers.
 
 The linear models carry a DuckDB twin (a recursive CTE running the same
-SGD), naive Bayes a closed-form one; report queries leave out the two time
-columns of ``classification.report`` so that their rows can be compared.
-Trees are row-count checked here and unit-tested against separate fits."""
+SGD), trees one that grows them level by level, naive Bayes a closed-form
+one; report queries leave out the two time columns of
+``classification.report`` so that their rows can be compared."""
 
 from __future__ import annotations
 
@@ -70,23 +70,43 @@ def _final(model):
     return build
 
 
-def _sgd_sql(model: str, body: str = "select * from cv") -> str:
-    """DuckDB twin of ``cv_logreg`` / ``cv_svm`` (recursive SGD)."""
+def _recursive(body: str, ctes: list[tuple[str, str]]) -> str:
+    """``body`` over the document learning table and ``ctes``."""
     from maillens.plans import ml_queries as MQ
-    from maillens.plans.sgd_oracle import sgd_ctes
     from maillens.sources import fixtures as fx
 
+    sql = fx.with_fixtures(body, "doc_features", extra=dict([("learn", MQ._LEARN), *ctes]))
+    return "with recursive " + sql[len("with "):]
+
+
+def _recursive_insiders(body: str, ctes: list[tuple[str, str]]) -> str:
+    """``body`` over the insider learning table and ``ctes``."""
+    from maillens.plans import ml_queries as MQ
+
+    chain = [("learn", MQ._insider_learn_sql()), *ctes]
+    return "with recursive " + ",\n".join(f"{n} as ({q})" for n, q in chain) + "\n" + body
+
+
+def _model_ctes(model: str, feats: list[str]) -> list[tuple[str, str]]:
+    """Twin of a model's grid search over ``learn``: recursive SGD or trees."""
+    from maillens.plans import ml_queries as MQ
+    from maillens.plans.sgd_oracle import sgd_ctes
+    from maillens.plans.tree_oracle import tree_ctes
+
+    if model == "tree":
+        return tree_ctes(CL.grid_points(model), feats, MQ.K)
     stats = "select " + ", ".join(f"avg({c}) m_{c}, stddev_samp({c}) sd_{c}"
-                                  for c in DOC_FEATURES) + " from learn"
+                                  for c in feats) + " from learn"
     lin = ("select doc_id, label, part, " + ", ".join(
         f"case when sd_{c} is null or sd_{c} = 0 then 0.0 "
-        f"else ({c} - m_{c}) * (1.0 / sd_{c}) end {c}" for c in DOC_FEATURES)
+        f"else ({c} - m_{c}) * (1.0 / sd_{c}) end {c}" for c in feats)
         + " from learn, stats")
     kind = "logistic" if model == "logreg" else "hinge"
-    ctes = [("learn", MQ._LEARN), ("stats", stats), ("lin", lin)]
-    ctes += sgd_ctes(kind, CL.grid_points(model), DOC_FEATURES, MQ.K)
-    sql = fx.with_fixtures(body, "doc_features", extra=dict(ctes))
-    return "with recursive " + sql[len("with "):]
+    return [("stats", stats), ("lin", lin), *sgd_ctes(kind, CL.grid_points(model), feats, MQ.K)]
+
+
+def _model_sql(model: str, body: str = "select * from cv") -> str:
+    return _recursive(body, _model_ctes(model, DOC_FEATURES))
 
 
 def _without_times(row):
@@ -108,7 +128,9 @@ def _report(model):
 
 
 for _m in ("logreg", "svm", "tree"):
-    query(f"cv_{_m}", sql=_sgd_sql(_m) if _m != "tree" else None)(_cv(_m))
+    query(f"cv_{_m}", sql=_model_sql(_m))(_cv(_m))
+
+
 def _predictions(model):
     def build(spark, sf_dir):
         from maillens.operators import linear as LIN
@@ -121,6 +143,7 @@ def _predictions(model):
         weights, intercept = LIN.final_weights(
             t, kind, CL.grid_points(model)[best["grid_index"]], DOC_FEATURES, SE.N_FOLDS)
         out = LIN.predict(t.where(F.col("part") == SE.N_FOLDS), weights, intercept, DOC_FEATURES)
+        t.unpersist()      # the prediction is one pass over the checkpointed table
         return out.select(F.col("key").alias("doc_id"), "label", "prediction")
     build.__doc__ = f"{CL.MODEL_NAMES[model]}: prediction of the best refitted model for every test row."
     return build
@@ -153,12 +176,11 @@ def _nb_report_sql() -> str:
 
 
 for _m in ("logreg", "svm", "tree"):
-    query(f"final_{_m}", sql=_sgd_sql(_m, "select * from fin") if _m != "tree" else None)(_final(_m))
-for _m in ("logreg", "svm"):
-    query(f"{_m}_predictions", sql=_sgd_sql(_m, "select * from predicted"))(_predictions(_m))
-    query(f"report_{_m}", sql=_sgd_sql(_m, _report_sql(
+    query(f"final_{_m}", sql=_model_sql(_m, "select * from fin"))(_final(_m))
+    query(f"report_{_m}", sql=_model_sql(_m, _report_sql(
         _m, "select * from best", "select * from cv", "select * from fin")))(_report(_m))
-query("report_tree")(_report("tree"))
+for _m in ("logreg", "svm"):
+    query(f"{_m}_predictions", sql=_model_sql(_m, "select * from predicted"))(_predictions(_m))
 
 
 def _register_nb_report():
@@ -177,8 +199,6 @@ _register_nb_report()
 
 def insider_learning(spark, sf_dir):
     """(key, label, features..., is_train, fold, part) and feature names."""
-    from pyspark.sql import functions as F
-
     from maillens.operators import selection as SE
     from maillens.plans.ml_queries import feature_csv
 
@@ -186,7 +206,7 @@ def insider_learning(spark, sf_dir):
     feats = sel.columns[2:]
     sel = FE.to_double(sel, ["label"] + feats)
     sel = SE.add_split(sel, "email")
-    return sel.withColumn("key", F.xxhash64("email")).drop("email"), feats
+    return sel.withColumnRenamed("email", "key"), feats
 
 
 def _insider_table(model, spark, sf_dir):
@@ -209,11 +229,14 @@ def _insider_report(model):
     return build
 
 
-def _insider_nb_report_sql() -> str:
+def _insider_report_sql(model: str) -> str:
     from maillens.plans import ml_queries as MQ
 
-    return MQ._insider_sql(_nb_report_sql())
+    if model == "nb":
+        return MQ._insider_sql(_nb_report_sql())
+    return _recursive_insiders(_report_sql(model, "select * from best", "select * from cv", "select * from fin"),
+                               _model_ctes(model, MQ._INSIDER_FEATS))
 
 
 for _m in ("logreg", "svm", "tree", "nb"):
-    query(f"report_{_m}_insiders", sql=_insider_nb_report_sql() if _m == "nb" else None)(_insider_report(_m))
+    query(f"report_{_m}_insiders", sql=_insider_report_sql(_m))(_insider_report(_m))

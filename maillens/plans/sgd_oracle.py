@@ -42,6 +42,31 @@ def _lit(v) -> str:
     return f"{float(v)!r}::DOUBLE" if isinstance(v, float) else str(v)
 
 
+def selection_ctes() -> list[tuple[str, str]]:
+    """``cv``, ``best`` and ``fin`` from ``errs(grid_index, params, part,
+    error)`` and ``fin_conf(grid_index, n, tp, fp, fn, tn)``."""
+    cv = ("select grid_index, params, round(avg(error) * 1000000.0) / 1000000.0 mean_error, "
+          "count(error) n_folds from errs group by 1, 2")
+    best = ("select grid_index from (select grid_index, avg(error) me from errs group by 1) "
+            "order by round(me, 12) nulls last, grid_index limit 1")
+
+    def r6(x: str) -> str:
+        return f"round(({x}) * 1000000.0) / 1000000.0"
+
+    fin = (
+        "select grid_index, n, tp, fp, fn, tn, "
+        + r6("(fp + fn) / n") + " error, " + r6("(1 - (fp + fn) / n) * 100") + " accuracy, "
+        + r6("case when tp + fp > 0 then t1 * (tp / (tp + fp)) + (t0 - t1) * "
+             "((tp / (tp + fp)) + p0) / 2 else t0 * p0 end") + " aupr, "
+        + r6("f1 * t1 / 2 + (f0 - f1) * (t1 + t0) / 2 + (1 - f0) * (t0 + 1) / 2") + " auroc "
+        "from (select *, case when tp + fn > 0 then tp / (tp + fn) else 0.0 end t1, "
+        "case when fp + tn > 0 then fp / (fp + tn) else 0.0 end f1, "
+        "case when tp + fn > 0 then 1.0 else 0.0 end t0, "
+        "case when fp + tn > 0 then 1.0 else 0.0 end f0, (tp + fn) / n p0 from fin_conf "
+        "where grid_index = (select grid_index from best))")
+    return [("cv", cv), ("best", best), ("fin", fin)]
+
+
 def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tuple[str, str]]:
     """CTEs over ``lin(doc_id, label, part, feats...)`` ending in
     ``cv(grid_index, params, mean_error, n_folds)``."""
@@ -113,27 +138,8 @@ def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tupl
             f"case when coalesce(e.n, 0) > 0 then (e.fp + e.fn) / e.n end error "
             f"from grid g cross join (select range::INTEGER part from range(0, {k})) p "
             f"left join ev e on e.i = g.iterations and e.model = g.traj * {P} + p.part")
-    cv = ("select grid_index, params, round(avg(error) * 1000000.0) / 1000000.0 mean_error, "
-          "count(error) n_folds from errs group by 1, 2")
     fin_conf = (f"select g.grid_index, e.n, e.tp, e.fp, e.fn, e.n - e.tp - e.fp - e.fn tn "
                 f"from grid g join ev e on e.i = g.iterations and e.model = g.traj * {P} + {k}")
-    best = ("select grid_index from (select grid_index, avg(error) me from errs group by 1) "
-            "order by round(me, 12) nulls last, grid_index limit 1")
-
-    def r6(x: str) -> str:
-        return f"round(({x}) * 1000000.0) / 1000000.0"
-
-    fin = (
-        "select grid_index, n, tp, fp, fn, tn, "
-        + r6("(fp + fn) / n") + " error, " + r6("(1 - (fp + fn) / n) * 100") + " accuracy, "
-        + r6("case when tp + fp > 0 then t1 * (tp / (tp + fp)) + (t0 - t1) * "
-             "((tp / (tp + fp)) + p0) / 2 else t0 * p0 end") + " aupr, "
-        + r6("f1 * t1 / 2 + (f0 - f1) * (t1 + t0) / 2 + (1 - f0) * (t0 + 1) / 2") + " auroc "
-        "from (select *, case when tp + fn > 0 then tp / (tp + fn) else 0.0 end t1, "
-        "case when fp + tn > 0 then fp / (fp + tn) else 0.0 end f1, "
-        "case when tp + fn > 0 then 1.0 else 0.0 end t0, "
-        "case when fp + tn > 0 then 1.0 else 0.0 end f0, (tp + fn) / n p0 from fin_conf "
-        "where grid_index = (select grid_index from best))")
     predicted = (f"select r.doc_id, r.label, case when {pred_margin} > 0 then 1.0 else 0.0 end::DOUBLE prediction "
                  f"from best b join grid g using (grid_index) "
                  f"join sgd s on s.i = g.iterations and s.model = g.traj * {P} + {k} "
@@ -144,9 +150,7 @@ def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tupl
         ("sgd", f"{anchor} union all {step_sql}"),
         ("ev", evals),
         ("errs", errs),
-        ("cv", cv),
         ("fin_conf", fin_conf),
-        ("best", best),
-        ("fin", fin),
+        *selection_ctes(),
         ("predicted", predicted),
     ]
