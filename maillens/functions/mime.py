@@ -92,7 +92,7 @@ def children(part: Column) -> Column:
 
 def quoted_printable(text: Column) -> Column:
     """The bytes of a quoted-printable text."""
-    plain = F.regexp_replace(F.regexp_replace(text, "(?md)[ \\t]+$", ""), "=(?:\\n|\\z)", "")
+    plain = F.regexp_replace(text, "=(?:\\n|\\z)", "")
     byte = lambda p, i: (F.when(i == 0, F.hex(p))
                          .when(p.rlike("\\A[0-9A-Fa-f]{2}"), F.concat(F.upper(F.left(p, F.lit(2))), F.hex(F.substring(p, 3, 1 << 30))))
                          .otherwise(F.concat(F.lit("3D"), F.hex(p))))

@@ -235,14 +235,9 @@ def evaluate(data: DataFrame, snaps: dict, setup: _Setup) -> dict:
             for m in range(M)}
 
 
-def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
-                   features: list[str], k: int) -> DataFrame:
-    """Confusion counts per (grid_index, part) for all grid points.
-
-    ``data``: (key, label, part, features...), parts 0..k-1 = folds of
-    the training rows, k = test rows. The result feeds
-    ``metrics.with_metrics``.
-    """
+def fit_grid(data: DataFrame, kind: str, grid: list[dict], features: list[str], k: int):
+    """All grid points of one model trained: (plan, snapshots, setup), the plan
+    listing (grid_index, trajectory index, iterations)."""
     trajs: list[Trajectory] = []
     index = {}
     plan = []
@@ -257,11 +252,47 @@ def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
     if any(t.batch < 1.0 for t in trajs):
         # Cached, so the 80-hash bit expression is computed once.
         batched = with_batch_bits(data, max(snapshots)).persist()
-        data = batched
-    snaps, setup = fit(data, kind, trajs, features, k, snapshots)
-    counts = evaluate(data, snaps, setup)
+    snaps, setup = fit(data if batched is None else batched, kind, trajs, features, k, snapshots)
     if batched is not None:
         batched.unpersist()
+    return plan, snaps, setup
+
+
+def grid_scores(data: DataFrame, kind: str, grid: list[dict], features: list[str],
+                k: int) -> tuple[DataFrame, DataFrame]:
+    """(model, part, label, score): the margin w.x + b of every row under each
+    distinct model of its part; and (grid_index, model), which grid points
+    share a model. Two DataFrames."""
+    plan, snaps, setup = fit_grid(data, kind, grid, features, k)
+    wanted = sorted({(ti, it) for _, ti, it in plan})
+    P = k + 1
+    by_part = np.stack([[snaps[it][ti * P + p] for ti, it in wanted] for p in range(P)])   # parts, models, d + 1
+
+    def run(batches):
+        for pdf in batches:
+            x = _matrix(pdf, features)
+            for p, rows in pdf.groupby("part").indices.items():
+                score = x[rows] @ by_part[int(p)].T
+                yield pd.DataFrame({"model": np.tile(np.arange(len(wanted), dtype=np.int32), len(rows)),
+                                    "part": np.int32(p), "label": np.repeat(pdf["label"].to_numpy()[rows], len(wanted)),
+                                    "score": score.ravel()})
+
+    scored = data.select("label", "part", *features).mapInPandas(run, "model int, part int, label double, score double")
+    models = data.sparkSession.createDataFrame(
+        [(gi, wanted.index((ti, it))) for gi, ti, it in plan], "grid_index int, model int")
+    return scored, models
+
+
+def cross_validate(spark, data: DataFrame, kind: str, grid: list[dict],
+                   features: list[str], k: int) -> DataFrame:
+    """Confusion counts per (grid_index, part) for all grid points.
+
+    ``data``: (key, label, part, features...), parts 0..k-1 = folds of
+    the training rows, k = test rows. The result feeds
+    ``metrics.with_metrics``.
+    """
+    plan, snaps, setup = fit_grid(data, kind, grid, features, k)
+    counts = evaluate(data, snaps, setup)
     P = k + 1
     rows = []
     for gi, ti, it in plan:
@@ -300,7 +331,7 @@ def predict(df: DataFrame, weights, intercept: float, features: list[str]) -> Da
 
 
 def ml_estimator(kind: str, reg_param: float = 0.0, reg_type: str | None = None,
-                 max_iter: int = 100, intercept: bool = True):
+                 max_iter: int = 100, intercept: bool = True, tol: float = 1e-6):
     """Option: Spark ML's own trainers instead of SGD (``LogisticRegression``
     with L-BFGS / OWL-QN, ``LinearSVC`` with OWL-QN). They have no step
     size or mini-batch parameters; L1 maps to ``elasticNetParam=1`` for the
@@ -309,10 +340,52 @@ def ml_estimator(kind: str, reg_param: float = 0.0, reg_type: str | None = None,
 
     reg = 0.0 if (reg_type in (None, "none")) else reg_param
     if kind == "logistic":
-        return LogisticRegression(maxIter=max_iter, regParam=reg,
+        return LogisticRegression(maxIter=max_iter, regParam=reg, tol=tol,
                                   elasticNetParam=1.0 if reg_type == "l1" else 0.0,
                                   fitIntercept=intercept, standardization=False)
     if reg_type == "l1":
         raise ValueError("LinearSVC supports L2 regularisation only")
     return LinearSVC(maxIter=max_iter, regParam=reg, fitIntercept=intercept,
-                     standardization=False)
+                     tol=tol, standardization=False)
+
+
+def ml_cross_validate(data: DataFrame, kind: str, grid: list[dict], features: list[str], k: int,
+                      max_iter: int = 100, tol: float = 1e-9, parallelism: int | None = None) -> DataFrame:
+    """Predictions (grid_index, part, label, prediction) of Spark ML's own
+    trainers, as ``CrossValidator(foldCol=...)`` fits them, plus the fit on all
+    training rows (part k).
+
+    Every fit is an ML pipeline over the rows of one assembled, cached table
+    whose ``part`` column holds the folds; fits run ``parallelism`` at a time
+    (default: the session's), and all models score every row once.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = (VectorAssembler(inputCols=features, outputCol="features")
+            .transform(data.select("label", "part", *features)).persist())
+
+    def run(task):
+        g, m = task
+        stage = ml_estimator(kind, float(g["reg_param"]), g.get("reg_type"), max_iter, bool(g["intercept"]), tol)
+        return Pipeline(stages=[stage]).fit(rows.where((F.col("part") < k) & (F.col("part") != m))).stages[0]
+
+    tasks = [(g, m) for g in grid for m in range(k + 1)]
+    workers = max(1, min(parallelism or data.sparkSession.sparkContext.defaultParallelism, len(tasks)))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        models = dict(zip([(g["grid_index"], m) for g, m in tasks], pool.map(run, tasks), strict=True))
+    scores = []
+    for g in grid:
+        by_part = F.lit(None).cast("double")
+        for m in range(k + 1):
+            model = models[g["grid_index"], m]
+            margin = F.lit(float(model.intercept))
+            for name, w in zip(features, model.coefficients.toArray(), strict=True):
+                margin = margin + F.col(name) * F.lit(float(w))
+            by_part = F.when(F.col("part") == m, F.when(margin > 0, 1.0).otherwise(0.0)).otherwise(by_part)
+        scores.append(F.struct(F.lit(g["grid_index"]).alias("grid_index"), by_part.alias("prediction")))
+    rows.unpersist()
+    return (data.select("part", "label", F.explode(F.array(*scores)).alias("s"))
+            .select("s.grid_index", "part", "label", "s.prediction"))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from maillens.plans.registry import query
 from maillens.sources import fixtures as fx
 from maillens.sources import mail as S
+from maillens.sources import store as ST
 from maillens.sources.scratch import materialize
 
+BUCKETS = 16
 _VALUE = "[ \\t]*([^\\n]*(?:\\n[ \\t][^\\n]*)*)"
 
 
@@ -92,7 +94,7 @@ def _mime_sql() -> str:
              "from mime_mails")
     deeper = ("select msg_id, list_append(path, i::INT) path, kids[i] raw "
               "from (select msg_id, path, kids, unnest(range(1, len(kids) + 1)) i from tree)")
-    plain = "regexp_replace(regexp_replace(body, '(?m)[ \\t]+$', '', 'g'), '=(?:\\n|\\z)', '', 'g')"
+    plain = "regexp_replace(body, '=(?:\\n|\\z)', '', 'g')"
     qp = (f"array_to_string(list_transform(string_split({plain}, '='), lambda p, i: case when i = 1 then hex(p) "
           "when regexp_matches(p, '\\A[0-9A-Fa-f]{2}') then upper(p[1:2]) || hex(p[3:]) else '3D' || hex(p) end), '')")
     single = ("array_to_string(list_transform(range(0, length(h) // 2), "
@@ -137,6 +139,24 @@ def q_mail_scan(spark, sf_dir):
     return S.parse_mails(files).select("msg_id", "sender", "to_list", "body", "parse_ok")
 
 
+@query("compacted_mails", sql=_with_parsed(
+    "select * from parsed", source="files",
+    pre="files as (select msg_id, raw || chr(10) raw from raw_mails),"))
+def q_compacted_mails(spark, sf_dir):
+    """The one-file-per-mail tree parsed and compacted into a store bucketed
+    by message key, read back."""
+    tree = mail_tree(spark, sf_dir)
+    schema = "msg_id bigint, sender string, to_list string, body string, parse_ok boolean"
+
+    def write(path):
+        files = S.read_mail_tree(spark, tree).withColumn(
+            "msg_id", F.regexp_extract("raw", "Message-ID: <(-?[0-9]+)>", 1).cast("bigint"))
+        ST.write_bucketed(S.parse_mails(files).select("msg_id", "sender", "to_list", "body", "parse_ok"),
+                          path, "msg_id", BUCKETS)
+    path = materialize(spark, "mailstore", [tree], write)
+    return ST.read_bucketed(spark, path, schema, "msg_id", BUCKETS)
+
+
 _LINE = "concat(coalesce(sender, ''), '*', coalesce(to_list, ''), '*', coalesce(body, ''))"
 
 

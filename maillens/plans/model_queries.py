@@ -149,6 +149,23 @@ def _predictions(model):
     return build
 
 
+def _score_areas(metric):
+    def build(spark, sf_dir):
+        from maillens.functions.text import round6
+        from maillens.operators import linear as LIN
+        from maillens.operators import ranking as RK
+        from maillens.operators import selection as SE
+
+        t = linear_table(spark, sf_dir)
+        scored, models = LIN.grid_scores(t, "logistic", CL.grid_points("logreg"), DOC_FEATURES, SE.N_FOLDS)
+        areas = RK.score_metrics(scored, ["model", "part"])
+        t.unpersist()
+        return areas.join(F.broadcast(models), "model").select(
+            "grid_index", "part", "n", round6(F.col(metric)).alias(metric))
+    build.__doc__ = f"{metric.upper()} from the scores of every logistic grid point on every part."
+    return build
+
+
 def _report_sql(model: str, best: str, cv: str, fin: str) -> str:
     """The report row from ``best(grid_index)``, ``cv(grid_index, params,
     mean_error)`` and ``fin(grid_index, ...)``."""
@@ -179,6 +196,9 @@ for _m in ("logreg", "svm", "tree"):
     query(f"final_{_m}", sql=_model_sql(_m, "select * from fin"))(_final(_m))
     query(f"report_{_m}", sql=_model_sql(_m, _report_sql(
         _m, "select * from best", "select * from cv", "select * from fin")))(_report(_m))
+for _m in ("auroc", "aupr"):
+    query(f"score_{_m}", sql=_model_sql("logreg", f"select grid_index, part, n::BIGINT n, "
+                                        f"round({_m} * 1000000.0) / 1000000.0 {_m} from areas"))(_score_areas(_m))
 for _m in ("logreg", "svm"):
     query(f"{_m}_predictions", sql=_model_sql(_m, "select * from predicted"))(_predictions(_m))
 
@@ -240,3 +260,74 @@ def _insider_report_sql(model: str) -> str:
 
 for _m in ("logreg", "svm", "tree", "nb"):
     query(f"report_{_m}_insiders", sql=_insider_report_sql(_m))(_insider_report(_m))
+
+
+# ------------------------------------------------------------ Spark ML's own trainer
+
+ML_GRID = {"reg_param": [0.1, 1.0], "reg_type": ["l2"], "intercept": [True]}
+
+
+def _lin_cte() -> list[tuple[str, str]]:
+    return _model_ctes("logreg", DOC_FEATURES)[:2]
+
+
+def _register_ml():
+    from maillens.operators import selection as SE
+    from maillens.plans import ml_queries as MQ
+    from maillens.plans.sgd_oracle import ridge_ctes
+
+    grid = SE.param_grid(ML_GRID)
+    sql = _recursive(
+        f"select grid_index, part, n, tp, fp, fn, tn, {MQ._r6('(fp + fn) / n')} error from conf",
+        [*_lin_cte(), *ridge_ctes([g["reg_param"] for g in grid], DOC_FEATURES, MQ.K, 600, 0.4)])
+
+    @query("cv_ml_logreg", sql=sql)
+    def q_cv_ml_logreg(spark, sf_dir):
+        """L-BFGS logistic regression (Spark ML) on every fold and the test part:
+        confusion counts and error of the hard labels. The optimum is unique, so
+        these agree with any other way to it; weights do to about 1e-4."""
+        from maillens.functions.text import round6
+        from maillens.operators import linear as LIN
+        from maillens.operators import metrics as ME
+
+        t = linear_table(spark, sf_dir)
+        found = ME.evaluate(LIN.ml_cross_validate(t, "logistic", grid, DOC_FEATURES, SE.N_FOLDS),
+                            ["grid_index", "part"])
+        found = spark.createDataFrame(found.collect(), found.schema)     # grid points x parts
+        t.unpersist()
+        return found.select("grid_index", "part", "n", "tp", "fp", "fn", "tn", round6(F.col("error")).alias("error"))
+
+
+_register_ml()
+
+
+# ------------------------------------------------------------ results store
+
+
+def _roundtrip(fmt):
+    def build(spark, sf_dir):
+        from maillens.session import scratch_path
+        from maillens.sources import results as RS
+
+        t = bayes_table(spark, sf_dir)
+        row = _without_times(CL.report(spark, "nb", t, DOC_FEATURES))
+        t.unpersist()
+        path = scratch_path(spark, f"results-{fmt}")
+        RS.append_result(row.limit(0), path, "second", fmt)
+        RS.append_result(row.withColumn("model", F.lit("stale")), path, "first", fmt)
+        RS.append_result(row, path, "second", fmt)
+        RS.append_result(row, path, "first", fmt)          # a rerun replaces its own run only
+        return RS.read_results(spark, path, row.schema, fmt)
+    build.__doc__ = f"A nested report row appended to a {fmt} store by two runs, one of them twice, and read back."
+    return build
+
+
+def _register_roundtrips():
+    from maillens.plans import ml_queries as MQ
+
+    sql = MQ._ml_sql(f"select run, r.* from ({_nb_report_sql()}) r, (values ('first'), ('second')) v(run)")
+    query("result_roundtrip", sql=sql)(_roundtrip("parquet"))
+    query("result_roundtrip_csv", sql=sql)(_roundtrip("csv"))
+
+
+_register_roundtrips()

@@ -153,4 +153,44 @@ def sgd_ctes(kind: str, grid: list[dict], feats: list[str], k: int) -> list[tupl
         ("fin_conf", fin_conf),
         *selection_ctes(),
         ("predicted", predicted),
+        ("margins", "select g.grid_index, s.part, r.label, "
+                    f"round(({pred_margin}) * 1000000000.0) / 1000000000.0 score from grid g "
+                    f"join sgd s on s.i = g.iterations and s.model = g.traj * {P} + s.part join lin r on r.part = s.part"),
+        ("levels", "select grid_index, part, score, count(*) filter (where label = 1) pos, "
+                   "count(*) filter (where label <> 1) neg from margins group by all"),
+        ("steps", "select *, sum(pos) over w tp, sum(neg) over w fp from levels "
+                  "window w as (partition by grid_index, part order by score desc)"),
+        ("areas", "select grid_index, part, sum(pos) + sum(neg) n, "
+                  "case when sum(pos) = 0 then 0.0 when sum(neg) = 0 then 1.0 "
+                  "else sum((2 * tp - pos) * neg) / 2.0 / sum(pos) / sum(neg) end auroc, "
+                  "case when sum(pos) = 0 then 0.0 else sum(pos * (tp / (tp + fp) + case when tp - pos + fp - neg > 0 "
+                  "then (tp - pos) / (tp - pos + fp - neg) else tp / (tp + fp) end) / 2) / sum(pos) end aupr "
+                  "from steps group by all"),
+    ]
+
+
+def ridge_ctes(regs: list[float], feats: list[str], k: int, rounds: int, step: float) -> list[tuple[str, str]]:
+    """CTEs over ``lin(doc_id, label, part, feats...)`` ending in ``conf(grid_index,
+    part, n, tp, fp, fn, tn)``: logistic regression with an L2 penalty (not on the
+    intercept) by full gradient descent, run until it stands still."""
+    ws = [f"w{j}" for j in range(len(feats))]
+    margin = " + ".join([f"s.w{j} * r.{c}" for j, c in enumerate(feats)] + ["s.wb"])
+    grads = ", ".join([f"avg((1.0 / (1.0 + exp(-({margin}))) - r.label) * r.{c}) g{j}" for j, c in enumerate(feats)]
+                      + [f"avg(1.0 / (1.0 + exp(-({margin}))) - r.label) gb"])
+    moved = ", ".join([f"w{j} - {step} * (g{j} + reg * w{j})" for j in range(len(feats))] + [f"wb - {step} * gb"])
+    start = ", ".join("0.0::DOUBLE " + w for w in [*ws, "wb"])
+    values = ", ".join(f"({i}, {r!r}::DOUBLE)" for i, r in enumerate(regs))
+    held = ", ".join(f"s.{w}" for w in [*ws, "wb"])
+    return [
+        ("reg_grid", f"select * from (values {values}) v(grid_index, reg)"),
+        ("ridge", f"select 0 i, grid_index, reg, range::INTEGER part, {start} from reg_grid, range(0, {k + 1}) "
+                  f"union all select i + 1, grid_index, reg, part, {moved} from ("
+                  f"select s.i, s.grid_index, s.reg, s.part, {held}, {grads} from ridge s join lin r "
+                  f"on r.part < {k} and r.part <> s.part where s.i < {rounds} group by all)"),
+        ("conf", "select s.grid_index, s.part, count(*) n, "
+                 f"count(*) filter (where ({margin}) > 0 and r.label = 1) tp, "
+                 f"count(*) filter (where ({margin}) > 0 and r.label <> 1) fp, "
+                 f"count(*) filter (where not (({margin}) > 0) and r.label = 1) fn, "
+                 f"count(*) filter (where not (({margin}) > 0) and r.label <> 1) tn "
+                 f"from ridge s join lin r on r.part = s.part where s.i = {rounds} group by all"),
     ]

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from maillens.operators import traffic as T
+from maillens.operators.joins import semi_join
 from maillens.plans.registry import query
 from maillens.sources import fixtures as fx
+from maillens.sources import store as ST
+from maillens.sources.scratch import materialize
+from maillens.sources.tables import read_table
 
 _PEOPLE = "select email from insiders"
 _POI = "select email from insiders where poi"
@@ -173,3 +179,60 @@ def q_traffic_counts(spark, sf_dir):
     """The fused one-pass count table (persons with any traffic)."""
     return T.traffic_counts(fx.messages(spark, sf_dir), fx.insiders(spark, sf_dir))
 
+
+
+# ---------------------------------------------------------------- a hot sender
+
+_HOT = ("select msg_id, case when msg_id % 3 = 0 then 'u1@x.com' else sender end sender, to_list from messages")
+
+
+def hot_messages(spark, sf_dir):
+    """The mails with one sender who holds over a third of them."""
+    m = fx.messages(spark, sf_dir)
+    return m.withColumn("sender", F.when(F.col("msg_id") % 3 == 0, "u1@x.com").otherwise(F.col("sender")))
+
+
+@query("hot_sender_messages", sql=_w(f"select * from ({_HOT}) where sender in ({_PEOPLE})"))
+def q_hot_sender_messages(spark, sf_dir):
+    """Mails of persons with a hot sender and a person table that is not
+    broadcast: the sender's rows are salted, no other key is copied."""
+    return semi_join(hot_messages(spark, sf_dir), fx.insiders(spark, sf_dir), "sender", "email", small=False)
+
+
+@query("hot_sender_counts", sql=_w(
+    "select email, coalesce(n_sent, 0)::BIGINT n_sent, coalesce(n_received, 0)::BIGINT n_received, "
+    "coalesce(n_from_poi, 0)::BIGINT n_from_poi, coalesce(n_to_poi, 0)::BIGINT n_to_poi "
+    "from (select email from sent union select email from recv) a "
+    "left join sent using (email) left join recv using (email) "
+    "left join from_poi using (email) left join to_poi using (email)",
+    *((n, q.replace("from messages", f"from ({_HOT})")) for n, q in _COUNT_CTES)))
+def q_hot_sender_counts(spark, sf_dir):
+    """The four counts with a hot sender and without any broadcast person table."""
+    return T.traffic_counts(hot_messages(spark, sf_dir), fx.insiders(spark, sf_dir), small=False)
+
+
+# ---------------------------------------------------------------- bucketed mail store
+
+BUCKETS = 16
+
+
+@query("insider_features_store", sql=_insider_features_sql("left"))
+def q_insider_features_store(spark, sf_dir):
+    """The flagship over a mail store bucketed by message key: mails and
+    recipients meet without a shuffle."""
+    senders, recipients = mail_store(spark, sf_dir)
+    joined = recipients.join(senders, "msg_id").select("msg_id", "sender", "recipient")
+    return T.insider_features_long(senders, joined, fx.insiders(spark, sf_dir))
+
+
+def mail_store(spark, sf_dir, buckets: int = BUCKETS):
+    """(senders, recipients) tables of the store, written once."""
+    items = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("msg_id"), fx.address(F.col("l_suppkey")).alias("recipient"))
+    out = []
+    for name, rows, source in (("mail_senders", fx.message_senders(spark, sf_dir), "orders"),
+                               ("mail_recipients", items, "lineitem")):
+        path = materialize(spark, name, fx.source_paths(sf_dir, source),
+                           lambda p, rows=rows: ST.write_bucketed(rows, p, "msg_id", buckets))
+        out.append(ST.read_bucketed(spark, path, rows.schema, "msg_id", buckets))
+    return out

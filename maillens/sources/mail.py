@@ -119,13 +119,13 @@ def read_messages(spark: SparkSession, path: str, header: bool = False) -> DataF
 
 def first_line(spark: SparkSession, path: str) -> DataFrame:
     """(first): the first line of the first non-empty file by path; no row
-    without any line. Only the first split of that file is read."""
-    for file in sorted(spark.read.text(path).inputFiles()):
-        lines = spark.read.text(file).where(F.col("_metadata.file_block_start") == 0)
-        first = lines.select(F.col("value").alias("first")).limit(1)
-        if not first.isEmpty():
-            return first
-    return spark.createDataFrame([], "first string")
+    without any line. One aggregate over the files' first blocks, however many
+    files are empty; a task reads its lines in the order of the file."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+    first = F.min_by("value", F.struct("file", "line"))
+    return lines.where("block = 0").agg(first.alias("first")).where("first is not null")
 
 
 def drop_header(df: DataFrame, first: DataFrame, col: str = "value") -> DataFrame:
@@ -160,8 +160,11 @@ def read_insiders(spark: SparkSession, path: str) -> DataFrame:
 
 def read_feature_csv(spark: SparkSession, path: str, sep: str = ",",
                      encoding: str = "UTF-8", header: bool = True,
-                     infer_schema: bool = True) -> DataFrame:
-    """Feature CSV as the classification scripts read it."""
+                     infer_schema: bool = True, schema: T.StructType | str | None = None) -> DataFrame:
+    """Feature CSV as the classification scripts read it. Inferring the types
+    reads the whole file once more; a ``schema`` saves that pass."""
+    if schema is not None:
+        return spark.read.csv(path, schema=schema, sep=sep, encoding=encoding, comment=None, header=header)
     return spark.read.csv(path, sep=sep, encoding=encoding, comment=None,
                           header=header, inferSchema=infer_schema)
 
