@@ -1,67 +1,104 @@
 """Line dedup with a fixed-depth log-template tree.
 
 A line is parsed like a log message: tokens are the fields between blanks,
-a token that holds a digit is a variable field ``<*>``. The tree has one
-level for the token count and one for each of the ``DEPTH`` leading tokens.
-Within a leaf every further position gets the token that more than half of
-the leaf's distinct lines agree on; a line that agrees with at least
-``AGREE`` of those positions belongs to the leaf's template, any other line
-is a template of its own. A template that occurs in ``MIN_DOCS`` or more
-documents recurs: its first document (smallest doc_id) keeps the line, all
-others lose it.
+a token that holds a digit is a variable field ``<*>`` (unless such fields
+outweigh the constant ones: rows of numbers are compared as they are). The
+tree has one level for the token count and one for each of the ``DEPTH``
+leading tokens. A leaf holds any number of templates: behind the leading
+tokens, one field (or two neighbouring ones, where the line is long enough
+for them to be at most ``VARIABLE`` of it) is variable where at least two
+different lines of the leaf agree in everything else. A line takes its variant
+with most lines (then the narrower, then the first one); without one it is a
+template of its own. What else shares the leaf changes nothing.
+
+A template recurs from ``needed`` documents on: short lines meet by chance, so
+the shorter the line the more. Its first document (smallest doc_id) keeps the
+line, all others lose it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillens.llm.common import release, rows_of, staged
+from maillens.llm.common import bound, release, rows_of, staged
 
 DEPTH = 3           # leading tokens in the tree
-MIN_TOKENS = 3      # shorter lines are no templates and always stay
-MIN_DOCS = 3        # documents from which on a template recurs
-AGREE = 0.7         # share of the positions after the leading ones
+VARIABLE = 0.3      # share of the tokens behind them that may be variable words
+#: Documents from which on a line of at least so many tokens recurs.
+RECURS = ((8, 2), (3, 3), (1, 10))
 
 _MASK = "<*>"
+ONE, TWO = (next(n for n in range(1, 100) if w <= VARIABLE * n) for w in (1, 2))   # open tokens for one or two fields
+
+
+def needed(tokens: Column) -> Column:
+    out = F.lit(None).cast("int")
+    for least, docs in reversed(RECURS):
+        out = F.when(tokens >= least, docs).otherwise(out)
+    return out
+
+
+def _form(line: Column) -> Column:
+    """The line with variable fields masked, or as it is."""
+    def chosen(ts: Column) -> Column:
+        masked = F.size(F.filter(ts, lambda t: t == _MASK))
+        return F.when(2 * masked > F.size(ts), line).otherwise(F.array_join(ts, " "))
+
+    fields = F.transform(F.split(line, " ", -1), lambda t: F.when(t.rlike("[0-9]"), _MASK).otherwise(t))
+    return F.when(line.rlike("[0-9]"), bound(fields, chosen)).otherwise(line)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, pos, leaf, body, masked) of every line that counts."""
+    """(doc_id, row_key, pos, tokens, leaf, body, form) of every line that is not empty."""
     line = (docs.where("doc_id is not null and text is not null")
             .select("doc_id", F.xxhash64("text").alias("row_key"),
                     F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
-            .select("doc_id", "row_key", "pos", F.trim("raw").alias("line"))
-            .withColumn("tokens", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-            .where((F.col("tokens") >= MIN_TOKENS)))
-    masked = F.when(
-        F.col("line").rlike("[0-9]"),
-        F.array_join(F.transform(F.split("line", " ", -1),
-                                 lambda t: F.when(t.rlike("[0-9]"), _MASK).otherwise(t)), " ")
-    ).otherwise(F.col("line"))
-    return (line.withColumn("masked", masked)
+            .select("doc_id", "row_key", "pos", F.trim("raw").alias("line")).where("line != ''")
+            .withColumn("tokens", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1))
+    return (line.withColumn("form", _form(F.col("line")))
             .select("doc_id", "row_key", "pos", "tokens",
-                    F.xxhash64("tokens", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
-                    F.xxhash64("masked").alias("body"), "masked"))
+                    F.xxhash64("tokens", F.substring_index("form", " ", DEPTH)).alias("leaf"),
+                    F.xxhash64("form").alias("body"), "form"))
+
+
+def _variants(form: Column) -> Column:
+    """The line with one open field, or two neighbouring ones, masked: array of
+    (key, width, at). A line's hash is the xor of its fields' hashes, so a variant
+    costs the same however long the line is."""
+    def listed(hashes: Column) -> Column:
+        star = lambda p: F.xxhash64(p, F.lit(_MASK))
+        at = lambda p: F.get(hashes, p).bitwiseXOR(star(p))
+        places = lambda last: F.sequence(F.lit(DEPTH), F.size(hashes) - last)
+        entry = lambda key, width, p: F.struct(key.alias("key"), F.lit(width).alias("width"), p.alias("at"))
+
+        def with_total(total: Column) -> Column:
+            one = F.transform(places(1), lambda p: entry(total.bitwiseXOR(at(p)), 1, p))
+            two = F.transform(places(2), lambda p: entry(total.bitwiseXOR(at(p)).bitwiseXOR(at(p + 1)), 2, p))
+            none = F.array().cast("array<struct<key:bigint,width:int,at:int>>")
+            n = F.size(hashes) - DEPTH
+            return F.concat(F.when(n >= ONE, one).otherwise(none), F.when(n >= TWO, two).otherwise(none))
+
+        return bound(F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h)), with_total)
+
+    return bound(F.transform(F.split(form, " ", -1), lambda t, i: F.xxhash64(i, t)), listed)
 
 
 def _members(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(leaf, body) of the lines that belong to their leaf's template."""
-    leaves = (lines.groupBy("leaf")
-              .agg(F.min("body").alias("b0"), F.max("body").alias("b1"), F.count("*").alias("n"),
-                   F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.max("tokens").alias("t"))
-              .where(f"b0 < b1 and d0 < d1 and n >= {MIN_DOCS} and t > {DEPTH}").select("leaf"))
+    """(leaf, body, tail): the variant of every line that has one."""
+    leaves = (lines.where(F.col("tokens") >= DEPTH + ONE).groupBy("leaf")
+              .agg(F.min("body").alias("b0"), F.max("body").alias("b1"),
+                   F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"))
+              .where("b0 < b1 and d0 < d1").select("leaf"))
     # Only lines of leaves that hold different lines are read as text again.
-    texts, _ = staged(rows_of(_lines(docs), leaves, "leaf").groupBy("leaf", "body")
-                      .agg(F.max("masked").alias("masked")), "leaf-lines")
-    fields = texts.select(
-        "leaf", "body", F.posexplode(F.split("masked", " ", -1)).alias("pos", "token")).where(F.col("pos") >= DEPTH)
-    size = texts.groupBy("leaf").agg(F.count("*").alias("n"))
-    votes = fields.groupBy("leaf", "pos", "token").agg(F.count("*").alias("v"))
-    agreed = (votes.join(size, "leaf").where("2 * v > n").select("leaf", "pos", "token"))
-    total = texts.select("leaf", "body", (F.size(F.split("masked", " ", -1)) - DEPTH).alias("open"))
-    hits = fields.join(agreed, ["leaf", "pos", "token"]).groupBy("leaf", "body").agg(F.count("*").alias("hits"))
-    return hits.join(total, ["leaf", "body"]).where(F.col("hits") >= AGREE * F.col("open")).select("leaf", "body")
+    texts = (rows_of(_lines(docs), leaves, "leaf").groupBy("leaf", "body").agg(F.max("form").alias("form")))
+    variants, path = staged(texts.select("leaf", "body", F.inline(_variants(F.col("form")))), "line-variants")
+    shared = (variants.groupBy("leaf", "key").agg(F.count("*").alias("lines")).where("lines > 1"))
+    best = F.max_by("key", F.struct("lines", -F.col("width"), -F.col("at")))
+    members, _ = staged(variants.join(shared, ["leaf", "key"]).groupBy("leaf", "body").agg(best.alias("tail")),
+                        "members")
+    release(docs.sparkSession, path)
+    return members
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
@@ -74,22 +111,22 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     counted nor changed; rows that repeat a doc_id count as one document, so
     repeated rows never make a template recur. Ties cannot occur: the first
     document is the smallest doc_id, and every line of the template that
-    this document has stays. An empty table gives an empty one.
+    this document has stays. Empty lines always stay. An empty table gives an
+    empty one.
     """
     docs = docs.drop("n_lines", "n_dropped")
     lines, line_path = staged(
         _lines(docs).select("doc_id", "row_key", "pos", "tokens", "leaf", "body"), "lines")
-    members, _ = staged(_members(docs, lines).withColumn("general", F.lit(True)), "members")
+    members = _members(docs, lines)
     keyed = (lines.join(members, ["leaf", "body"], "left")
-             .select("doc_id", "row_key", "pos", "leaf",
-                     F.when(F.col("general"), F.lit(0)).otherwise(F.col("body")).alias("tail")))
-    per_doc = keyed.groupBy("leaf", "tail", "doc_id").agg(F.count("*").alias("n"))
+             .select("doc_id", "row_key", "pos", "tokens", "leaf", F.coalesce("tail", "body").alias("tail")))
+    per_doc = keyed.groupBy("leaf", "tail", "doc_id").agg(F.max("tokens").alias("tokens"))
     # A table of its own: next to a plain exchange Spark can split the lines of
     # a template that a third of the documents share.
     recurring, _ = staged(
         per_doc.groupBy("leaf", "tail")
-        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
-        .where(F.col("n_docs") >= MIN_DOCS).select("leaf", "tail", "first_doc"), "recurring")
+        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("tokens").alias("tokens"))
+        .where(F.col("n_docs") >= needed(F.col("tokens"))).select("leaf", "tail", "first_doc"), "recurring")
     gone, _ = staged(
         keyed.join(recurring, ["leaf", "tail"]).where("doc_id != first_doc")
         .select(F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key"), "pos")

@@ -47,25 +47,29 @@ from met join size using (item_id) where 100 * n_shared >= {decontam.CONTAINED}
 """
 
 _D = logtree.DEPTH
+_NEEDED = "case " + " ".join(f"when t >= {n} then {d}" for n, d in logtree.RECURS) + " end"
+_MASKED = "list_transform(ts, lambda x, i: case when i between p and p + w - 1 then '<*>' else x end)"
 _OP10 = f"""
 with parts as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 line as (select doc_id, pos, trim(ls[pos + 1], ' ') as l from (select doc_id, ls, unnest(range(len(ls))) as pos from parts)),
-field as (select doc_id, pos, list_transform(string_split(l, ' '),
-                 lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ts from line),
-kept as materialized (select doc_id, pos, len(ts) as t, ts, [len(ts)::varchar] || ts[1:{_D}] as leaf
-                      from field where len(ts) >= {logtree.MIN_TOKENS}),
-leaves as (select leaf from kept where t > {_D} group by leaf
-           having count(*) >= {logtree.MIN_DOCS} and count(distinct ts) > 1 and count(distinct doc_id) > 1),
-body as materialized (select distinct leaf, ts, t from kept semi join leaves using (leaf)),
-tok as (select leaf, ts, t, p, ts[p] as tok from (select *, unnest(range({_D} + 1, t + 1)) as p from body)),
-size as (select leaf, count(*) as n from body group by leaf),
-agreed as (select leaf, p, tok from tok join size using (leaf) group by leaf, p, tok, n having 2 * count(*) > n),
-member as (select leaf, ts from tok join agreed using (leaf, p, tok) group by leaf, ts, t
-           having count(*) >= {logtree.AGREE} * (t - {_D})),
-keyed as (select doc_id, pos, leaf, case when m.ts is null then k.ts else ['*'] end as tail
-          from kept k left join member m using (leaf, ts)),
-often as (select leaf, tail, min(doc_id) as first_doc from keyed group by leaf, tail
-          having count(distinct doc_id) >= {logtree.MIN_DOCS}),
+field as (select doc_id, pos, string_split(l, ' ') as raw, list_transform(string_split(l, ' '),
+                 lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as ms from line where l <> ''),
+form as (select doc_id, pos, case when 2 * len(list_filter(ms, lambda t: t = '<*>')) > len(ms) then raw else ms end as ts
+         from field),
+kept as materialized (select doc_id, pos, len(ts) as t, ts, [len(ts)::varchar] || ts[1:{_D}] as leaf from form),
+body as materialized (select distinct leaf, ts, t from kept where leaf in (
+    select leaf from kept where t >= {_D + logtree.ONE} group by leaf
+    having count(distinct ts) > 1 and count(distinct doc_id) > 1)),
+variant as materialized (
+    select leaf, ts, w, p, {_MASKED} as v from (
+        select *, unnest(range({_D + 1}, t - w + 2)) as p from body, (values (1, {logtree.ONE}), (2, {logtree.TWO})) x(w, least)
+        where t - {_D} >= least)),
+shared as (select leaf, w, p, v, count(*) as c from variant group by all having count(*) > 1),
+member as (select leaf, ts, v from variant join shared using (leaf, w, p, v)
+           qualify row_number() over (partition by leaf, ts order by c desc, w, p) = 1),
+keyed as (select doc_id, pos, t, leaf, coalesce(m.v, k.ts) as tail from kept k left join member m using (leaf, ts)),
+often as (select leaf, tail, min(doc_id) as first_doc from keyed group by leaf, tail, t
+          having count(distinct doc_id) >= {_NEEDED}),
 gone as (select doc_id, list(pos) as ps from keyed join often using (leaf, tail) where doc_id <> first_doc group by doc_id)
 select doc_id, coalesce(len(ls), 0) as n_lines, coalesce(len(ps), 0) as n_dropped,
        case when ps is null then text
