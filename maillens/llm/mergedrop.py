@@ -3,16 +3,19 @@
 Encoding starts from single characters and takes adjacent pairs whose
 concatenation is a piece from an agenda, best score first. With dropout a
 candidate merge is skipped when its keyed hash says so; the key is made of
-the seed, the stream of the document, the word and the candidate's three
-borders inside the word. A skipped candidate never comes back, so a seed
-gives one segmentation for each (stream, word) and other seeds give others.
-With dropout 0 the result is the model's ordinary segmentation.
+the seed, the document, the word's place in it and the candidate's three
+borders inside the word: a draw of its own for every occurrence. A skipped
+candidate never comes back, so a seed gives one segmentation of a document and
+other seeds give others. With dropout 0 the result is the model's ordinary
+segmentation.
 
 No piece holds a line end or a blank behind another character, so merges
-never cross the start of a word: words are segmented one by one, each
-distinct word once per stream and cache life, many at a time in numpy (the
-best allowed merge of every word per round, which is the agenda's order);
-very long words go through the agenda itself.
+never cross the start of a word: words are segmented one by one, many at a
+time in numpy (the best allowed merge of every word per round, which is the
+agenda's order); very long words go through the agenda itself. Each distinct
+word is segmented once without dropout and keeps the list of its merges: an
+occurrence that skips none of them has that segmentation, only the others are
+segmented with their own key.
 
 Characters outside the model, and the character that the model uses for a
 blank, become byte pieces, so decoding restores every text exactly.
@@ -36,7 +39,6 @@ from maillens.llm.common import GOLD, mix, mix_int, text_blocks, tidy
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20
-STREAMS = 4             # independent draws; a document's key picks its stream
 LONG_WORD = 40          # characters from which on the agenda is used directly
 CACHE_WORDS = 400_000   # segmented words that a task remembers
 
@@ -80,16 +82,22 @@ def _word_keys(words: list[str], seed: int, stream: int) -> np.ndarray:
     return np.array([digest(w, own) for w in words], np.uint64)
 
 
+def _spot(start, middle, end):
+    """The borders of a candidate in one number."""
+    return (start << 42) | (middle << 21) | end
+
+
 def _drop_value(key: int, start: int, middle: int, end: int) -> int:
-    return mix_int(key + ((start << 42) | (middle << 21) | end) * GOLD)
+    return mix_int(key + _spot(start, middle, end) * GOLD)
 
 
 def _limit(dropout: float) -> int:
     return min(int(dropout * 2.0 ** 64), (1 << 64) - 1)
 
 
-def segment(word: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]:
-    """One word through the agenda; ``word`` holds blanks as plain blanks."""
+def segment(word: str, vocab: Vocabulary, dropout: float, key: int, merges: list[int] | None = None) -> list[int]:
+    """One word through the agenda; ``word`` holds blanks as plain blanks. The
+    borders of the merges taken are added to ``merges``."""
     symbols = [_BLANK if c == " " else "" if c == _BLANK else c for c in word]   # "": bytes only
     n = len(symbols)
     left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -113,6 +121,8 @@ def segment(word: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]
             continue                                       # one side has changed meanwhile
         if limit and _drop_value(key, i, j, i + size) < limit:
             continue
+        if merges is not None:
+            merges.append(_spot(i, j, i + size))
         symbols[i] += symbols[j]
         length[i], length[j] = size, 0
         right[i] = right[j]
@@ -129,6 +139,12 @@ def segment(word: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]
     return ids
 
 
+def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all words, end to end; length of each)."""
+    return (np.frombuffer("".join(words).encode("utf-32-le"), np.uint32),
+            np.fromiter(map(len, words), np.int64, len(words)))
+
+
 # --- many words at once ---------------------------------------------------------
 
 class Segmenter:
@@ -191,37 +207,58 @@ class Segmenter:
 
     def segment_all(self, words: list[str], dropout: float, seed: int, stream: int
                     ) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in order, their offsets)."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
+        """(ids of all words in order, their offsets), keys by (seed, stream, word)."""
         keys = (_word_keys(words, seed, stream) if dropout > 0 else np.zeros(len(words), np.uint64))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        alone = [i for i, w in enumerate(words) if len(w) > LONG_WORD or w.startswith("  ")]
-        for i in alone:
-            ids = np.array(segment(words[i], self.vocab, dropout, int(keys[i])), np.int32)
-            found.append((np.array([i]), ids, np.array([len(ids)])))
-        size[alone] = 0
+        return self.segment_keyed(words, dropout, keys)[:2]
+
+    def segment_keyed(self, words: list[str], dropout: float, keys: np.ndarray
+                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words in order, their offsets, the merges taken, their
+        offsets); one key for each word."""
+        chars, size = characters(words)
+        return self.segment_chars(chars, size, dropout, keys)
+
+    def segment_chars(self, chars: np.ndarray, size: np.ndarray, dropout: float, keys: np.ndarray
+                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same for words as characters, end to end."""
+        words, first = len(size), np.cumsum(size) - size
+        found: list[tuple[np.ndarray, ...]] = []
+        second = np.minimum(first + 1, max(0, len(chars) - 1))
+        alone = (size > LONG_WORD) | ((size > 1) & (chars[np.minimum(first, second)] == 32) & (chars[second] == 32))
+        for i in np.flatnonzero(alone):
+            merges: list[int] = []
+            word = chars[first[i]:first[i] + size[i]].tobytes().decode("utf-32-le")
+            ids = np.array(segment(word, self.vocab, dropout, int(keys[i]), merges), np.int32)
+            found.append((np.array([i]), ids, np.array([len(ids)]),
+                          np.array([m & 0xFFFFFFFFFFFFFFFF for m in merges], np.uint64), np.array([len(merges)])))
+        size = np.where(alone, 0, size)
         low = 0
         for high in (4, 8, 12, 18, 26, LONG_WORD):
             pick = np.flatnonzero((size > low) & (size <= high))
             for a in range(0, len(pick), 20_000):
                 part = pick[a:a + 20_000]
-                found.append((part, *self._rounds([words[i] for i in part], high, keys[part], dropout)))
+                n = size[part]
+                mine = chars[np.arange(int(n.sum())) + np.repeat(first[part] - (np.cumsum(n) - n), n)]
+                found.append((part, *self._rounds(mine, n, high, keys[part], dropout)))
             low = high
-        count = np.zeros(len(words), np.int64)
-        for part, _, n in found:
-            count[part] = n
-        at = np.concatenate(([0], np.cumsum(count)))
-        out = np.empty(at[-1], np.int32)
-        for part, ids, n in found:
-            before = np.cumsum(n) - n
-            out[np.arange(len(ids)) + np.repeat(at[part] - before, n)] = ids
-        return out, at
-
-    def _rounds(self, words: list[str], width: int, key: np.ndarray, dropout: float
-                ) -> tuple[np.ndarray, np.ndarray]:
-        n = len(words)
-        length = np.fromiter(map(len, words), np.int64, n)
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+
+        def ordered(flat: int, many: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+            count = np.zeros(words, np.int64)
+            for f in found:
+                count[f[0]] = f[many]
+            at = np.concatenate(([0], np.cumsum(count)))
+            out = np.empty(at[-1], kind)
+            for f in found:
+                before = np.cumsum(f[many]) - f[many]
+                out[np.arange(len(f[flat])) + np.repeat(at[f[0]] - before, f[many])] = f[flat]
+            return out, at
+
+        return *ordered(1, 2, np.int32), *ordered(3, 4, np.uint64)
+
+    def _rounds(self, chars: np.ndarray, length: np.ndarray, width: int, key: np.ndarray, dropout: float
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ids per word, merges taken, merges per word)."""
+        n = len(length)
         flat = self.by_code[chars]
         inside = np.arange(width + 1)[None, :] < length[:, None]
         sym = np.full((n, width + 1), -2, dtype=np.int32)  # -2: past the end
@@ -241,29 +278,37 @@ class Segmenter:
             best[rows, cols] = rank
 
         look(sym, start, best, key, *np.nonzero(inside[:, 1:]))
-        # Finished words are written back and leave the working arrays.
+        # Every live word loses one symbol a round, so the working arrays lose a
+        # column; finished words are written back and leave them.
         live, s, t, b, k = np.arange(n), sym, start, best, key
-        cols = np.arange(width + 2)
-        while True:
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def finish(rows: np.ndarray) -> None:
+            w = s.shape[1]
+            sym[live[rows], :w], start[live[rows], :w + 1] = s[rows], t[rows]
+            if w <= width:
+                sym[live[rows], w:] = -2
+
+        while len(live):
+            if not b.shape[1]:
+                finish(np.ones(len(live), bool))
+                break
             at = b.argmax(axis=1)
             rows = np.arange(len(live))
             top = b[rows, at]
             go = top > 0
             if not go.all():
-                done = ~go
-                sym[live[done]], start[live[done]] = s[done], t[done]
-                if not go.any():
-                    break
+                finish(~go)
                 live, s, t, b, k, at, top = live[go], s[go], t[go], b[go], k[go], at[go], top[go]
                 rows = np.arange(len(live))
+            borders = (t[rows, at + i].astype(np.uint64) for i in range(3))
+            taken.append((live, (next(borders) << np.uint64(42)) | (next(borders) << np.uint64(21)) | next(borders)))
             s[rows, at] = self.ranked[top]
-            # everything behind the merged pair moves one place forward
-            move = cols[None, :] + (cols[None, :] > at[:, None])
-            s = np.take_along_axis(s, np.minimum(move[:, :width + 1], width), axis=1)
-            s[:, width] = -2
-            t = np.take_along_axis(t, np.minimum(move, width + 1), axis=1)
-            b = np.take_along_axis(b, np.minimum(move[:, :width], width - 1), axis=1)
-            b[:, width - 1] = 0
+            # the right one of the merged symbols goes, with its border and its pair
+            stay = np.arange(t.shape[1])[None, :] != (at + 1)[:, None]
+            s = s[stay[:, :-1]].reshape(len(live), s.shape[1] - 1)
+            b = b[stay[:, :-2]].reshape(len(live), b.shape[1] - 1)
+            t = t[stay].reshape(len(live), t.shape[1] - 1)
             back = np.flatnonzero(at)
             look(s, t, b, k, np.concatenate((rows, back)), np.concatenate((at, at[back] - 1)))
         # symbols to ids: a character without a piece becomes its bytes
@@ -288,93 +333,121 @@ class Segmenter:
             for i, p in zip(np.flatnonzero(odd), pieces, strict=True):
                 out[at[i]:at[i] + len(p)] = p
             ids = out
-        return ids.astype(np.int32), per_word
+        whose = np.concatenate([np.zeros(0, np.int64), *[w for w, _ in taken]])
+        spots = np.concatenate([np.zeros(0, np.uint64), *[m for _, m in taken]])
+        return (ids.astype(np.int32), per_word, spots[np.argsort(whose, kind="stable")],
+                np.bincount(whose, minlength=n))
 
 
 # --- Arrow functions --------------------------------------------------------------
 
+class _Pool:
+    """Arrays of growing number, end to end."""
+
+    def __init__(self, kind: type):
+        self.flat, self.at, self.n = np.empty(0, kind), np.zeros(1, np.int64), 0
+
+    def add(self, flat: np.ndarray, at: np.ndarray) -> None:
+        used, more = int(self.at[self.n]), len(at) - 1
+        while used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(max(1 << 16, len(self.flat)), self.flat.dtype)])
+        while self.n + more + 1 > len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(max(1 << 14, len(self.at)), np.int64)])
+        self.flat[used:used + len(flat)] = flat
+        self.at[self.n + 1:self.n + more + 1] = used + at[1:]
+        self.n += more
+
+    def size(self, codes: np.ndarray) -> np.ndarray:
+        return self.at[codes + 1] - self.at[codes]
+
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entries of all codes in order, number of each)."""
+        n = self.size(codes)
+        before = np.cumsum(n) - n
+        return self.flat[np.arange(int(n.sum())) + np.repeat(self.at[codes] - before, n)], n
+
+
 class _Memory:
-    """Segmented words of one task, for one model and setting."""
+    """Segmented words of one task, for one model: the ids without dropout and
+    the merges that lead to them."""
 
-    def __init__(self, path: str, dropout: float, seed: int):
+    def __init__(self, path: str, dropout: float):
         self.segmenter = Segmenter(load(path))
-        self.dropout, self.seed = dropout, seed
-        self._start({}, np.empty(0, np.int32), np.zeros(1, np.int64))
+        self.dropout, self.limit = dropout, np.uint64(_limit(dropout))
+        self.start()
 
-    def _start(self, known: dict[int, dict[str, int]], pool: np.ndarray, at: np.ndarray) -> None:
-        self.known, self.pool, self.at = known, pool, at
-        self.n, self.used = len(at) - 1, len(pool)
-        self.uses = np.zeros(max(1, self.n), np.int64)
+    def start(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars, self.ids, self.merges = _Pool(np.uint32), _Pool(np.int32), _Pool(np.uint64)
 
     def trim(self) -> None:
-        """Over ``CACHE_WORDS`` words: keep those used most, at most half."""
-        if self.n <= CACHE_WORDS:
-            return
-        uses = self.uses[:self.n]
-        bar = max(2, int(np.partition(uses, self.n - CACHE_WORDS // 2)[self.n - CACHE_WORDS // 2]) + 1)
-        stay = np.flatnonzero(uses >= bar)
-        n = self.at[stay + 1] - self.at[stay]
-        at = np.concatenate(([0], np.cumsum(n)))
-        pool = self.pool[np.arange(at[-1]) + np.repeat(self.at[stay] - at[:-1], n)]
-        new = np.full(self.n, -1, np.int64)
-        new[stay] = np.arange(len(stay))
-        codes = new.tolist()
-        self._start({s: {w: codes[c] for w, c in d.items() if codes[c] >= 0} for s, d in self.known.items()},
-                    pool, at)
-
-    def codes(self, words: list[str], stream: int) -> np.ndarray:
-        known = self.known.setdefault(stream, {})
-        fresh = list(set(words).difference(known))
-        if fresh:
-            ids, at = self.segmenter.segment_all(fresh, self.dropout, self.seed, stream)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty(max(1 << 16, len(self.pool)), np.int32)])
-            while self.n + len(fresh) + 1 > min(len(self.at), len(self.uses)):
-                self.at = np.concatenate([self.at, np.zeros(max(1 << 14, len(self.at)), np.int64)])
-                self.uses = np.concatenate([self.uses, np.zeros(max(1 << 14, len(self.uses)), np.int64)])
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.at[self.n + 1:self.n + len(fresh) + 1] = self.used + at[1:]
-            known.update(zip(fresh, range(self.n, self.n + len(fresh)), strict=True))
-            self.n += len(fresh)
-            self.used += len(ids)
-        out = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        np.add.at(self.uses, out, 1)
-        return out
+        """Over ``CACHE_WORDS`` words: start anew."""
+        if self.ids.n > CACHE_WORDS:
+            self.start()
 
-
-def _encode(path: str, dropout: float, seed: int, text_at: int, stream_at: int, passed: list[int],
+    def codes(self, words: list[str]) -> np.ndarray:
+        fresh = list(set(words).difference(self.known))
+        if fresh:
+            chars, n = characters(fresh)
+            ids, at, spots, spot_at = self.segmenter.segment_chars(chars, n, 0.0, np.zeros(len(fresh), np.uint64))
+            self.chars.add(chars, np.concatenate(([0], np.cumsum(n))))
+            self.known.update(zip(fresh, range(self.ids.n, self.ids.n + len(fresh)), strict=True))
+            self.ids.add(ids, at)
+            self.merges.add(spots, spot_at)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all occurrences in order, number of each); one key each."""
+        code = self.codes(words)
+        if self.dropout <= 0:
+            return self.ids.take(code)
+        spots, n = self.merges.take(code)
+        skipped = mix(np.repeat(keys, n) + spots * np.uint64(GOLD)) < self.limit
+        own = np.zeros(len(words), bool)
+        own[np.repeat(np.arange(len(words)), n)[skipped]] = True
+        again = np.flatnonzero(own)
+        ids, at, _, _ = self.segmenter.segment_chars(*self.chars.take(code[again]), self.dropout, keys[again])
+        size = self.ids.size(code)
+        size[again] = np.diff(at)
+        begin = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int32)
+        usual = np.flatnonzero(~own)
+        flat, n = self.ids.take(code[usual])
+        out[np.arange(len(flat)) + np.repeat(begin[usual] - (np.cumsum(n) - n), n)] = flat
+        out[np.arange(len(ids)) + np.repeat(begin[again] - at[:-1], np.diff(at))] = ids
+        return out, size
+
+
+def word_keys(document: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys of all words of some documents: ``document`` holds a 64-bit key and
+    ``words`` the number of words of each."""
+    place = np.arange(int(words.sum())) - np.repeat(np.cumsum(words) - words, words)
+    return mix(np.repeat(document.astype(np.uint64), words) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(GOLD))
+
+
+def _encode(path: str, dropout: float, text_at: int, draw_at: int, passed: list[int],
             back: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For ``mapInArrow``: columns ``passed``, then ids (and, with ``back``,
     the text decoded from them). The memory of words ends with the task:
     reused Python workers live beside a full JVM heap."""
-    memory = _Memory(path, dropout, seed)
+    memory = _Memory(path, dropout)
     table = _Bytes(memory.segmenter.vocab) if back else None
     for batch in batches:
         texts = batch.column(text_at)
-        streams = batch.column(stream_at).to_numpy(zero_copy_only=False)
+        draws = batch.column(draw_at).to_numpy(zero_copy_only=False)
         for a, b, _, _ in text_blocks(texts):
             memory.trim()
             rows = texts.slice(a, b - a).to_pylist()
-            ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(rows)
-            for stream in np.unique(streams[a:b]):
-                words: list[str] = []
-                mine, ends = [], []
-                for i, text in enumerate(rows):
-                    if streams[a + i] == stream and text:
-                        words += _WORDS.findall(" " + text)
-                        mine.append(i)
-                        ends.append(len(words))
-                if not words:
-                    continue
-                code = memory.codes(words, int(stream))
-                n = memory.at[code + 1] - memory.at[code]
-                total = np.concatenate(([0], np.cumsum(n)))
-                flat = memory.pool[np.arange(total[-1]) + np.repeat(memory.at[code] - total[:-1], n)]
-                for i, part in zip(mine, np.split(flat, total[ends[:-1]]), strict=True):
-                    ids[i] = part
-            off = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-            values, null = pa.array(np.concatenate(ids), pa.int32()), np.array([r is None for r in rows])
-            col = pa.ListArray.from_arrays(pa.array(off, pa.int32()), values, mask=pa.array(null))
+            words: list[str] = []
+            ends = [0]
+            for text in rows:
+                if text:
+                    words += _WORDS.findall(" " + text)
+                ends.append(len(words))
+            ids, size = memory.encode(words, word_keys(draws[a:b], np.diff(ends)))
+            off = np.concatenate(([0], np.cumsum(size)))[ends]
+            null = np.array([r is None for r in rows])
+            col = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array(null))
             made = [col] + ([table.texts(col)] if back else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).slice(a, b - a) for c in passed] + made,
@@ -443,21 +516,22 @@ def _schema(df: DataFrame, names: list[str]) -> list[str]:
 
 
 def encode(df: DataFrame, key: str | Column = "doc_id", path: str = MODEL, dropout: float = DROPOUT,
-           seed: int = SEED, streams: int = STREAMS, back: bool = False) -> DataFrame:
+           seed: int = SEED, back: bool = False) -> DataFrame:
     """``df(text, ...)`` plus ``ids array<int>``, the pieces of the text; with
     ``back`` also ``decoded``, what ``decode`` makes of the ids, in the same pass
     (one Python worker per task instead of two).
 
-    ``key`` picks the row's stream (a null: like any other value); all other
-    columns pass through, an ``ids`` column is replaced. A null text has null ids, an empty
-    one none; repeated rows get equal ids; an empty table gives an empty one.
-    Texts are encoded whole whatever their length.
+    ``key`` and ``seed`` make a document's draws (a null: like any other value);
+    all other columns pass through, an ``ids`` column is replaced. A null text
+    has null ids, an empty one none; rows that repeat key and text get equal
+    ids; an empty table gives an empty one. Texts are encoded whole whatever
+    their length.
     """
     df = df.drop("ids", *["decoded"] * back)
-    stream = F.pmod(F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key), F.lit(streams)).cast("int")
+    draw = F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key)
     names = df.columns
-    return df.select("*", stream.alias("__stream")).mapInArrow(
-        partial(_encode, path, dropout, seed, names.index("text"), len(names), list(range(len(names))), back),
+    return df.select("*", draw.alias("__draw")).mapInArrow(
+        partial(_encode, path, dropout, names.index("text"), len(names), list(range(len(names))), back),
         ", ".join([*_schema(df, names), "ids array<int>", *["decoded string"] * back]))
 
 
