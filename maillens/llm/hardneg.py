@@ -102,10 +102,10 @@ class Rows:
                    norm[order])
 
     def pack(self) -> dict[str, bytes | int]:
-        small = np.min_scalar_type(-int(np.abs(self.x.astype(object)).max()) if self.x.size else 0)
+        most = int(np.abs(self.x.astype(object)).max()) if self.x.size else 0
+        kind = next((k for k in (np.int8, np.int16, np.int32) if most <= np.iinfo(k).max), np.int64)
         return {"n": len(self.ids), "ids": self.ids.tobytes(), "labels": self.labels.tobytes(),
-                "kind": np.dtype(small).str if self.x.size and np.dtype(small).kind == "i" else "<i8",
-                "x": self.x.astype(small if np.dtype(small).kind == "i" else np.int64).tobytes(),
+                "kind": np.dtype(kind).str, "x": self.x.astype(kind).tobytes(),
                 "angle": self.angle.tobytes(), "norm": self.norm.tobytes()}
 
     @classmethod

@@ -124,7 +124,7 @@ def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector."""
     rows = table(spark, sf_dir, "embeddings").where(
         "label is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))")
-    rows = rows.select("vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").cast("int").alias("label"),
+    rows = rows.select("vec_id", F.expr("if(vec_id % 7 = 0, (bigint(label) + 1) % 10, label)").cast("int").alias("label"),
                        F.expr("transform(embedding, x -> floor(256 * double(x)))").alias("vector"))
     return hardneg.mine(rows, F.expr("vec_id % 50 = 0"))
 
