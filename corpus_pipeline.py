@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillens.llm import decontam, langid, logtree, mergedrop, superminhash
-from maillens.llm.common import staged, table
+from maillens.llm.common import release, staged, table
 
 KEPT = 0.999           # share of rightly predicted held-out documents that reach the least score
 
@@ -28,7 +28,9 @@ def least_score(docs: DataFrame, model: langid.ByteCnn) -> float | None:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: those without text or letters go,
     and those that score below ``least_score``, unless their label says the
-    same language (without any learned language or score, nothing else goes)."""
+    same language (without any learned language or score, nothing else goes).
+    Rows are judged one by one, repeated ones alike; columns named like the
+    operator's own (``lang_pred``, ``score``) are not part of ``documents``."""
     model = langid.learn(docs)
     scored = langid.predict(docs, model)
     if not model.langs:
@@ -40,7 +42,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring template lines are cut out of the texts; a document that
-    consisted of nothing else goes. ``n_chars`` follows the text."""
+    consisted of nothing else goes. ``n_chars`` follows the text. Rows that
+    repeat a doc_id count as one document; a null text or doc_id stays."""
     cut = logtree.drop_recurring_lines(docs)
     left = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
@@ -49,19 +52,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group stays, the smallest doc_id."""
+    """One document of every near-duplicate group stays, the smallest doc_id;
+    rows that repeat a doc_id stay or go together, rows without one stay."""
     extra, _ = staged(superminhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "extra")
     return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
+    """Documents that contain a benchmark item go; rows that repeat a doc_id go
+    together, rows without one, and without text, stay."""
     found = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether decoding restores its text."""
+    """Token ids of every document, and whether decoding restores its text (a
+    null text has null ids and is lossless); repeated rows repeat."""
     back = mergedrop.encode(docs.select("doc_id", "lang", "source", "text"), back=True)
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
@@ -75,8 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again; a stage's
+    table goes when the next one stands."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, done = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if path is not None:
+            release(spark, path)
+        path = done
     return docs
