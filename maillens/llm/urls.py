@@ -1,10 +1,15 @@
 """URL filter: rules first, then a word model of hosts and paths.
 
 Names such as ``cheappills`` are split into words by a Viterbi search over
-a unigram model (counts of the words in the pages' own markup and a fixed
+a unigram model (counts of all words in the pages' own markup and a fixed
 list of web words). The words of host and path feed a multinomial naive
 Bayes that is learned from two fixed lists of labelled names, segmented the
 same way. Words that no labelled name holds are no evidence.
+
+The model has no size limit and is never held in one place: every distinct
+name meets, in a join, the counts of those words that are part of it (at most
+its length times ``LONGEST_WORD``), is split once, and its words go back to
+the urls that hold it. Frequent names, words and urls are salted.
 """
 
 from __future__ import annotations
@@ -12,16 +17,18 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEXICON = 50_000        # most frequent words of the unigram model
-LONGEST_WORD = 24
+from maillens.llm.common import release, staged
+from maillens.operators.joins import hot_keys, salted
+
+LONGEST_WORD = 24       # letters of a word that a name is split into, at most
 SMOOTH = 0.5
 PRIOR = 0.2             # share of blocked names
-CACHE = 100_000         # segmented names per task
 
 # The rules, longest match wins.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -54,18 +61,16 @@ _TOKEN = re.compile(r"[^\W_]+")
 
 
 class Words:
-    """Unigram model: log-probabilities of known words, a length penalty else."""
+    """Unigram model: log-probabilities of known words, a length penalty else.
+    ``total`` counts all words, also those not in ``counts``."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = total or sum(counts.values()) or 1
         self.logp = {w: math.log(n / total) for w, n in counts.items()}
         self.unknown = math.log(10.0 / total)
-        self.memory: dict[str, list[str]] = {}
 
     def split(self, name: str) -> list[str]:
         """Most probable words of a name (ties: the longer last word)."""
-        if name in self.memory:
-            return self.memory[name]
         best, cut = [0.0], [0]
         for end in range(1, len(name) + 1):
             top, at = -math.inf, end - 1
@@ -81,10 +86,7 @@ class Words:
         while end:
             words.append(name[cut[end]:end])
             end = cut[end]
-        if len(self.memory) >= CACHE:
-            self.memory.clear()
-        self.memory[name] = words[::-1]
-        return self.memory[name]
+        return words[::-1]
 
     def tokens(self, host: str, path: str) -> list[str]:
         """Words of all host labels and path parts; numbers count as ``0``."""
@@ -128,18 +130,6 @@ def decided(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _judge(words: Words, judge: Judge):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            split = [words.tokens(h, p) for h, p in
-                     zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([" ".join(t) for t in split], pa.string()),
-                 pa.array([judge.log_odds(t) for t in split], pa.float64())],
-                names=[*batch.schema.names, "words", "log_odds"])
-    return run
-
-
 def _name_counts(words: Words, names: tuple[str, ...]) -> dict[str, int]:
     counts: dict[str, int] = {}
     for name in names:
@@ -148,18 +138,71 @@ def _name_counts(words: Words, names: tuple[str, ...]) -> dict[str, int]:
     return counts
 
 
+def word_counts(pages: DataFrame) -> DataFrame:
+    """(w, n) of all words of two or more letters in the markup of ``pages(html)``."""
+    word = F.explode(F.regexp_extract_all(F.lower(F.coalesce("html", F.lit(""))), F.lit(r"\p{L}{2,}+"), F.lit(0)))
+    return pages.select(word.alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def _floor(counts: dict[str, int], total: int) -> dict[str, int]:
+    """``counts`` with the web words at a usual count at least."""
+    usual = max(_WEB_COUNT, total // 20_000)
+    return counts | {w: max(counts.get(w, 0), usual) for w in WEB_WORDS}
+
+
+def _labelled(words: Words) -> Judge:
+    return Judge(_name_counts(words, BLOCKED_NAMES), _name_counts(words, ALLOWED_NAMES))
+
+
 def fit(pages: DataFrame) -> tuple[Words, Judge]:
-    """Both models; the unigram counts cover the markup of all ``pages(html)``,
-    the model keeps the most frequent ``LEXICON`` words."""
-    word = F.explode(F.regexp_extract_all(F.lower(F.coalesce("html", F.lit(""))), F.lit("[a-z]{2,20}"), F.lit(0)))
-    frequent = (pages.select(word.alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-                .orderBy(F.desc("n"), "w").limit(LEXICON).collect())
-    counts = {r["w"]: r["n"] for r in frequent}
-    usual = max(_WEB_COUNT, sum(counts.values()) // 20_000)
-    for w in WEB_WORDS:
-        counts[w] = max(counts.get(w, 0), usual)
-    words = Words(counts)
-    return words, Judge(_name_counts(words, BLOCKED_NAMES), _name_counts(words, ALLOWED_NAMES))
+    """Both models of a small table in one place (to look at; ``judge_urls``
+    keeps the counts distributed)."""
+    counts = {r["w"]: r["n"] for r in word_counts(pages).collect()}
+    total = sum(counts.values())
+    words = Words(_floor(counts, total), max(1, total))
+    return words, _labelled(words)
+
+
+def _substrings(name: Column) -> Column:
+    """All distinct pieces of a name of up to ``LONGEST_WORD`` characters."""
+    n = F.length(name)
+    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), n - i + 1)), lambda k: F.substring(name, i, k)))
+    return F.array_distinct(F.flatten(pieces))
+
+
+def _met(left: DataFrame, key: str, right: DataFrame, how: str) -> DataFrame:
+    """``left`` joined with ``right`` (unique by ``key``), hot keys salted."""
+    hot = hot_keys(left, key)
+    if not hot:
+        return left.join(right, key, how)
+    spread, copied = salted(left, key, hot, right.withColumnRenamed(key, "__key"), "__key")
+    on = (spread[key] == copied["__key"]) & (spread["__salt"] == copied["__salt"])
+    return spread.join(copied, on, how).drop("__key", "__salt")
+
+
+def _split(judge: Judge, total: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, known words) to (name, words, odds), each name with its own counts."""
+    for batch in batches:
+        names = batch.column(0).to_pylist()
+        split = []
+        for name, known in zip(names, batch.column(1).to_pylist(), strict=True):
+            counts = _floor({k["w"]: k["n"] for k in known}, total)
+            split.append(Words(counts, max(1, total)).split(name))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(split, pa.list_(pa.string())),
+             pa.array([sum(judge.odds.get(t, 0.0) for t in ts) for ts in split], pa.float64())],
+            names=["name", "parts", "odds"])
+
+
+def _segmented(counts: DataFrame, total: int, judge: Judge, names: DataFrame) -> DataFrame:
+    """(name, parts, odds) of distinct names."""
+    pieces = names.select("name", F.explode(_substrings(F.col("name"))).alias("w")).where("length(w) > 1")
+    known = (_met(pieces, "w", counts, "inner").groupBy("name")
+             .agg(F.collect_list(F.struct("w", "n")).alias("known")))       # at most length x LONGEST_WORD
+    none = F.array().cast("array<struct<w:string,n:bigint>>")
+    return (names.join(known, "name", "left").select("name", F.coalesce("known", none).alias("known"))
+            .mapInArrow(partial(_split, judge, total), "name string, parts array<string>, odds double"))
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
@@ -168,16 +211,40 @@ def judge_urls(pages: DataFrame) -> DataFrame:
 
     The verdict is the longest rule's, else ``block`` when the log-odds are
     positive and ``allow`` otherwise (so without evidence, and for null urls
-    or urls without ``://``, whose host and path are empty). Null html teaches
-    nothing; repeated rows give repeated rows; other columns are ignored; an
-    empty table gives an empty one.
+    or urls without ``://``, whose host and path are empty). Numbers count as
+    ``0``. Null html teaches nothing; repeated rows give repeated rows; other
+    columns are ignored; an empty table gives an empty one.
     """
-    words, judge = fit(pages)
+    spark = pages.sparkSession
+    counts, count_path = staged(word_counts(pages), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    taught = {name[i:j] for name in BLOCKED_NAMES + ALLOWED_NAMES
+              for i in range(len(name)) for j in range(i + 2, min(len(name), i + LONGEST_WORD) + 1)}
+    few = F.broadcast(spark.createDataFrame([(w,) for w in sorted(taught)], "w string"))   # pieces of the fixed lists
+    own = {r["w"]: r["n"] for r in counts.join(few, "w").collect()}
+    judge = _labelled(Words(_floor(own, total), max(1, total)))
+
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    key = rows.schema["page_id"].dataType.simpleString()
-    scored = rows.mapInArrow(_judge(words, judge), f"page_id {key}, host string, path string, words string, log_odds double")
+    rows = rows.withColumn("key", F.xxhash64("host", "path"))
+    token = F.regexp_extract_all(F.lower(F.concat_ws(" ", "host", "path")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    held, held_path = staged(rows.dropDuplicates(["key"]).select("key", F.posexplode(token).alias("pos", "name")),
+                             "url-names")
+    digits = F.col("name").rlike(r"\A\p{Nd}+\z")
+    split, split_path = staged(_segmented(counts.where(F.length("w") <= LONGEST_WORD), total, judge,
+                                          held.where(~digits).select("name").distinct()), "url-words")
+    number = F.array(F.lit("0"))
+    found = _met(held.where(~digits), "name", split, "inner").select("key", "pos", "parts", "odds").unionByName(
+        held.where(digits).select("key", "pos", number.alias("parts"), F.lit(judge.odds.get("0", 0.0)).alias("odds")))
+    listed = F.array_sort(F.collect_list(F.struct("pos", "parts", "odds")))       # the names of one url
+    judged, _ = staged(found.groupBy("key").agg(listed.alias("l")).select(
+        "key", F.array_join(F.flatten(F.transform("l", lambda x: x["parts"])), " ").alias("words"),
+        F.aggregate("l", F.lit(judge.prior), lambda a, x: a + x["odds"]).alias("log_odds")), "url-verdicts")
+    release(spark, count_path, held_path, split_path)
     rule, verdict = decided(F.col("host"), F.col("path"))
-    by_model = F.when(F.col("log_odds") > 0, "block").otherwise("allow")
+    scored = _met(rows, "key", judged, "left")
+    log_odds = F.coalesce("log_odds", F.lit(judge.prior))
+    by_model = F.when(log_odds > 0, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"),
-                         F.coalesce(verdict, by_model).alias("verdict"), "words", "log_odds")
+                         F.coalesce(verdict, by_model).alias("verdict"),
+                         F.coalesce("words", F.lit("")).alias("words"), log_odds.alias("log_odds"))
