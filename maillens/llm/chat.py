@@ -6,12 +6,15 @@ end. Control strings inside a text (``<s>``, ``</s>``, ``[INST]``,
 more where such backslashes already stand there, so reading back takes one
 off again and restores every text.
 
-Prefix sums of turn tokens place the turns: a turn belongs to the cell of
-``CELL`` tokens in which it ends, a turn of more than ``CELL`` tokens stands
-alone, so a window's own turns have at most ``2 * CELL`` tokens unless a
-single turn is larger. Every window but the one that holds it repeats the
-conversation's first system turn, then the turns directly before it that
-start within ``HISTORY`` tokens. The loss mask covers the assistant texts of
+A window holds at most ``BUDGET`` tokens, everything counted. Every window
+but the one that holds it repeats the conversation's first system turn
+(unless that takes over half the budget: then none does), then the turns
+directly before it that start within ``HISTORY`` tokens; half of what is left
+is the conversation's cell. Prefix sums of turn tokens place the turns: a turn
+belongs to the cell in which it ends, a turn larger than a cell stands alone.
+A window of such a turn repeats history only if that fits the budget, and the
+system turn only if that fits; a turn that is larger than the budget stands
+in a window of its own size. The loss mask covers the assistant texts of
 a window's own turns; repeated ones are masked out.
 """
 
@@ -23,9 +26,9 @@ from pyspark.sql import functions as F
 
 from maillens.llm.common import staged
 
-CELL = 640              # tokens
+BUDGET = 4096           # tokens of a window
 HISTORY = 256           # tokens repeated before a window's own turns
-BLOCK = 512             # turn numbers per partial prefix sum
+CELL = (BUDGET - HISTORY) // 2      # of a conversation without a system turn
 TARGET = "assistant"
 SYSTEM = "system"
 END = "</s>\n"
@@ -62,32 +65,50 @@ def token_count(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / 4) + 4).cast("long")
 
 
-def _placed(turns: DataFrame) -> DataFrame:
-    """Turns with prefix sums: ``at`` (tokens before), ``part``, ``cell``."""
-    text = F.coalesce("text", F.lit(""))
-    role = F.coalesce("role", F.lit(""))
+def _ordered(turns: DataFrame) -> DataFrame:
+    """The turns in a written table, dealt into ranges of (conversation, turn,
+    role, text): ``stretch`` is a turn's range, so a conversation of any length,
+    and with any turn numbers, lies in many."""
     rows = turns.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_CONV)).alias("conv"),
-        F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("raw"),
-        escape(text).alias("body"))
-    rows = rows.select("*", token_count(F.col("body")).alias("tokens"),
-                       F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(_NO_CONV)).cast("long").alias("block"))
-    rows = rows.withColumn("big", (F.col("tokens") > CELL).cast("long"))
-    # Two levels: sums of blocks, then inside a block, so that a very long
-    # conversation is spread over many tasks.
-    sums = rows.groupBy("conv", "block").agg(F.sum("tokens").alias("t"), F.sum("big").alias("b"))
-    before = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("conv", "block", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"),
+        F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("raw"))
+    rows = rows.withColumn("body", escape(F.col("raw"))).withColumn("row", F.monotonically_increasing_id())
+    ranged = rows.repartitionByRange("conv", "turn", "role", "raw", "row")
+    return staged(ranged.withColumn("stretch", F.spark_partition_id())
+                  .withColumn("tokens", token_count(F.col("body"))), "ordered-turns")[0]
+
+
+def _systems(ordered: DataFrame) -> DataFrame:
+    """(conv, system_row, system_tokens): the first system turn of each
+    conversation that has one."""
+    first = F.min(F.struct("turn", "raw", "row", "tokens"))
+    return (ordered.where(F.col("role") == SYSTEM).groupBy("conv").agg(first.alias("s"))
+            .select("conv", F.col("s.row").alias("system_row"), F.col("s.tokens").alias("system_tokens")))
+
+
+def _placed(ordered: DataFrame) -> DataFrame:
+    """Turns with prefix sums: ``at`` (tokens before), ``part``, ``cell``, and
+    ``kept``, the tokens of the system turn that windows repeat."""
+    kept = F.when(F.col("system_tokens") <= BUDGET // 2, F.col("system_tokens")).otherwise(0)
+    rows = ordered.join(_systems(ordered), "conv", "left").withColumn("kept", F.coalesce(kept, F.lit(0)))
+    rows = rows.withColumn("room", F.floor((BUDGET - HISTORY - F.col("kept")) / 2))
+    rows = rows.withColumn("big", (F.col("tokens") > F.col("room")).cast("long"))
+    # Two levels: sums of stretches, then inside a stretch.
+    sums = rows.groupBy("conv", "stretch").agg(F.sum("tokens").alias("t"), F.sum("big").alias("b"))
+    before = W.partitionBy("conv").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select("conv", "stretch", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"),
                        F.coalesce(F.sum("b").over(before), F.lit(0)).alias("b0"))
-    inner = W.partitionBy("conv", "block").orderBy("turn", "role", "raw").rowsBetween(W.unboundedPreceding, 0)
+    inner = (W.partitionBy("conv", "stretch").orderBy("turn", "role", "raw", "row")
+             .rowsBetween(W.unboundedPreceding, 0))
     rows = (rows.select("*", F.sum("tokens").over(inner).alias("t1"), F.sum("big").over(inner).alias("b1"))
-            .join(sums, ["conv", "block"]))
+            .join(sums, ["conv", "stretch"]))
     end = F.col("t0") + F.col("t1")
     n_big = F.col("b0") + F.col("b1") - F.col("big")
     return rows.select(
-        "conv", "role", "body", "tokens", (end - F.col("tokens")).alias("at"),
-        (2 * n_big + F.col("big")).alias("part"),
-        F.when(F.col("big") == 1, 0).otherwise(F.floor((end - 1) / CELL)).cast("long").alias("cell"))
+        "conv", "role", "body", "tokens", "kept", (F.col("row") == F.col("system_row")).alias("system"),
+        (end - F.col("tokens")).alias("at"), (2 * n_big + F.col("big")).alias("part"),
+        F.when(F.col("big") == 1, 0).otherwise(F.floor((end - 1) / F.col("room"))).cast("long").alias("cell"))
 
 
 def windows(turns: DataFrame) -> DataFrame:
@@ -100,22 +121,24 @@ def windows(turns: DataFrame) -> DataFrame:
     Null texts and roles are empty; turns follow their number (nulls first),
     equal numbers by role and text, repeated rows all stay; rows without
     conv_id form one conversation with a null id; other columns are ignored;
-    an empty table gives an empty one. Turns are never cut.
+    an empty table gives an empty one. Turns are never cut; ``n_tokens`` is at
+    most ``BUDGET`` but for a single turn that is larger.
     """
-    placed, _ = staged(_placed(turns), "turns")
-    spans = placed.groupBy("conv", "part", "cell").agg(F.min("at").alias("start"))
+    placed, _ = staged(_placed(_ordered(turns)), "turns")
+    spans = placed.groupBy("conv", "part", "cell").agg(
+        F.min("at").alias("start"), F.sum("tokens").alias("own"), F.max("kept").alias("kept"))
     own = placed.join(spans, ["conv", "part", "cell"]).select(
         "conv", "start", F.lit(2).alias("kind"), "at", "role", "body", "tokens")
-    first = (placed.where(F.col("role") == SYSTEM).groupBy("conv")
-             .agg(F.min(F.struct("at", "role", "body", "tokens", "part", "cell")).alias("s")))
+    first = placed.where("system").select("conv", F.struct("at", "role", "body", "tokens", "part", "cell").alias("s"))
     system = (spans.join(first, "conv")
               .where((F.col("s.part") != F.col("part")) | (F.col("s.cell") != F.col("cell")))
-              .where(F.col("s.at") < F.col("start"))
+              .where((F.col("s.at") < F.col("start")) & (F.col("kept") > 0) & (F.col("own") + F.col("kept") <= BUDGET))
               .select("conv", "start", F.lit(0).alias("kind"), "s.at", "s.role", "s.body", "s.tokens"))
     # A turn is history of the windows that start within HISTORY tokens behind
     # its own start: both fall into the same or neighbouring strips.
     strip = F.floor(F.col("start") / HISTORY)
-    reach = spans.select("conv", "start", F.explode(F.array(strip, strip - 1)).alias("strip"))
+    reach = spans.where(F.col("own") + F.col("kept") + HISTORY <= BUDGET).select(
+        "conv", "start", F.explode(F.array(strip, strip - 1)).alias("strip"))
     past = (placed.select("conv", "at", "role", "body", "tokens", F.floor(F.col("at") / HISTORY).alias("strip"))
             .join(reach, ["conv", "strip"])
             .where((F.col("at") < F.col("start")) & (F.col("at") >= F.col("start") - HISTORY))

@@ -85,20 +85,25 @@ with raw as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, ''
 esc as (select *, regexp_replace(body, '([<\[]\\*){_CONTROL}', '\1\\\2', 'g') as e from raw),
 tok as (select *, cast(ceil(strlen(e) / 4.0) as bigint) + 4 as tokens,
                row_number() over (partition by conv_id order by turn, role, body) as i from esc),
-pre as (select *, cast(sum(tokens) over w as bigint) as fin, tokens > {chat.CELL} as big,
-               cast(sum((tokens > {chat.CELL})::int) over w as bigint) as nb from tok
+lead as (select conv_id, arg_min(tokens, i) as st from tok where role = '{chat.SYSTEM}' group by conv_id),
+room as (select *, case when st <= {chat.BUDGET // 2} then st else 0 end as kept from tok left join lead using (conv_id)),
+cellular as (select *, ({chat.BUDGET - chat.HISTORY} - kept) // 2 as size_c from room),
+pre as (select *, cast(sum(tokens) over w as bigint) as fin, tokens > size_c as big,
+               cast(sum((tokens > size_c)::int) over w as bigint) as nb from cellular
         window w as (partition by conv_id order by i rows unbounded preceding)),
 placed as (select *, fin - tokens as start, 2 * (nb - big::int) + big::int as part,
-                  case when big then 0 else (fin - 1) // {chat.CELL} end as cell,
+                  case when big then 0 else (fin - 1) // size_c end as cell,
                   length(role) + length(e) + {len('<||>') + 1 + len(chat.END)} as size from pre),
-span as (select conv_id, part, cell, min(start) as s from placed group by all),
+span as (select conv_id, part, cell, min(start) as s, sum(tokens) as own, max(kept) as kept from placed group by all),
 sys as (select conv_id, arg_min(part, start) as part, arg_min(cell, start) as cell, min(start) as a, arg_min(size, start) as size
         from placed where role = '{chat.SYSTEM}' group by conv_id),
 extra as (select span.conv_id, sum(sys.size) as n from span join sys using (conv_id)
-          where (sys.part, sys.cell) <> (span.part, span.cell) and a < s group by 1
+          where (sys.part, sys.cell) <> (span.part, span.cell) and a < s and kept > 0 and own + kept <= {chat.BUDGET}
+          group by 1
           union all
           select span.conv_id, sum(p.size) from span join placed p using (conv_id) left join sys using (conv_id)
-          where p.start < s and p.start >= s - {chat.HISTORY} and (a is null or a <> p.start) group by 1),
+          where p.start < s and p.start >= s - {chat.HISTORY} and (a is null or a <> p.start)
+            and span.own + span.kept + {chat.HISTORY} <= {chat.BUDGET} group by 1),
 total as (select conv_id, sum(n) as n from (select conv_id, n from extra union all select conv_id, size from placed) group by 1),
 loss as (select conv_id, coalesce(string_agg(body, '' order by i) filter (where role = '{chat.TARGET}'), '') as l,
                 string_agg(role || chr(10) || body || chr(10), '' order by i) as said, count(*) as n_turns
