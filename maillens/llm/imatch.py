@@ -13,6 +13,7 @@ equal hashes among the subsets that either document has terms in.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,8 @@ from maillens.llm.common import BROADCAST_IDS, staged
 RARE = 0.004              # of the documents: highest idf ln(250)
 COMMON = 0.1              # lowest idf ln(10)
 SUBSETS = tuple((bits, k) for bits in (3, 5, 7, 9) for k in range(4))   # 2**-bits of the lexicon
-RANGE_ROWS = 2_000        # documents per range when neighbours by doc_id meet
+RANGE_ROWS = 2_000        # documents per range when neighbours by doc_id meet, about
+BINS = 1024               # quantile bins that the ranges are cut from
 
 _BREAK = r"[\s\p{Punct}]+"
 
@@ -109,6 +111,36 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.size(used) > 0, F.size(same) / F.size(used)).otherwise(F.lit(0.0))
 
 
+def _binned(df: DataFrame, key: str, bounds: list[int]) -> DataFrame:
+    """``df`` plus ``__bin``: how many of the sorted ``bounds`` are at most
+    ``key``, found in two steps of about the root of their number each."""
+    side = max(1, math.isqrt(len(bounds)))
+    rows = [bounds[i:i + side] for i in range(0, len(bounds), side)]
+    heads = F.array(*[F.lit(r[0]).cast("bigint") for r in rows])
+    table = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in r]) for r in rows])
+    below = lambda values: F.size(F.filter(values, lambda v: v <= F.col(key)))
+    df = df.withColumn("__row", below(heads))
+    inside = F.when(F.col("__row") > 0, (F.col("__row") - 1) * side + below(F.get(table, F.col("__row") - 1)))
+    return df.withColumn("__bin", F.coalesce(inside, F.lit(0)).cast("long")).drop("__row")
+
+
+def _ranged(df: DataFrame, key: str) -> DataFrame:
+    """``df`` plus ``__bin`` and ``__range`` of the non-null long ``key``: bins
+    between quantiles of the key, ranges of equal width inside a bin, about
+    ``RANGE_ROWS`` rows each. Keys far from the others widen the ranges of their
+    own bin alone. ``__range`` rises with the key."""
+    n = df.count()
+    bins = max(1, min(BINS, n // RANGE_ROWS))
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    bounds = df.agg(F.percentile_approx(key, shares, F.lit(10 * bins)).alias("q")).first()["q"] if bins > 1 else []
+    df = _binned(df, key, sorted(set(bounds or []))) if bounds else df.withColumn("__bin", F.lit(0).cast("long"))
+    stats = df.groupBy("__bin").agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    wide = F.expr(f"greatest(1D, ceil((double(hi) - double(lo) + 1) * {RANGE_ROWS} / n))")
+    stats = F.broadcast(stats.select("__bin", "lo", wide.alias("wide")))          # BINS + 1 rows at most
+    place = F.floor((F.col(key).cast("double") - F.col("lo").cast("double")) / F.col("wide")).cast("long")
+    return df.join(stats, "__bin").withColumn("__range", F.col("__bin") * (1 << 40) + place).drop("lo", "wide")
+
+
 def with_next(df: DataFrame, key: str, columns: list[str],
               prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``prepare(df)`` plus ``next_<c>`` for ``columns`` of it: the values of the
@@ -121,22 +153,24 @@ def with_next(df: DataFrame, key: str, columns: list[str],
     """
     lowest = -(1 << 63)
     df = df.withColumn("__k", F.coalesce(F.col(key).cast("long"), F.lit(lowest)))
-    real = df.where(F.col("__k") > lowest)
-    n, lo, hi = real.agg(F.count("*"), F.min("__k"), F.max("__k")).first()
-    width = max(1, -(-(hi - lo + 1) * RANGE_ROWS // n)) if n else 1
-    lo = lo if n else 0
-    df = df.withColumn("__range", F.when(F.col("__k") == lowest, F.lit(-1).cast("long"))
-                       .otherwise(F.floor((F.col("__k") - F.lit(lo)) / F.lit(width))).cast("long"))
-    heads = df.groupBy("__range").agg(F.max("__k").alias("__head"))
+    real = _ranged(df.where(F.col("__k") > lowest), "__k")
+    none = df.where(F.col("__k") == lowest).withColumn("__bin", F.lit(-1).cast("long")).withColumn(
+        "__range", F.lit(-1).cast("long"))
+    df = real.unionByName(none)
+    heads = df.groupBy("__bin", "__range").agg(F.max("__k").alias("__head"))
     ranges, _ = staged(heads, "ranges")                     # one row per RANGE_ROWS documents
-    order = W.orderBy("__range")
-    ranges = ranges.select(
-        "__head", F.coalesce(F.lead("__range").over(order), F.min("__range").over(W.partitionBy())).alias("__to"))
+    # The next range in its bin, else the first one of the next bin, else the first of all.
+    firsts = ranges.groupBy("__bin").agg(F.min("__range").alias("__first"))
+    order = W.orderBy("__bin")                              # BINS + 2 rows at most
+    firsts = firsts.select("__bin", F.coalesce(F.lead("__first").over(order), F.min("__first").over(W.partitionBy()))
+                           .alias("__after"))
+    after = F.lead("__range").over(W.partitionBy("__bin").orderBy("__range"))
+    ranges = ranges.join(F.broadcast(firsts), "__bin").select("__head", F.coalesce(after, "__after").alias("__to"))
     mine = F.struct(*columns)
-    few = n <= RANGE_ROWS * BROADCAST_IDS                   # counted: at most so many ranges
+    few = ranges.count() <= BROADCAST_IDS
     guests = (prepare(df.join(F.broadcast(ranges) if few else ranges, F.col("__k") == F.col("__head")))
               .groupBy("__to").agg(F.min(mine).alias("__row")))
-    df = prepare(df)
+    df = prepare(df).drop("__bin")
     own = df.select("*", F.lit(False).alias("__guest"))
     extra = guests.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in columns
                             else F.col(f"__row.`{f.name}`").alias(f.name)
