@@ -30,7 +30,7 @@ WIDTHS = (2, 3, 4)       # filter widths, in bytes
 FILTERS = 8              # filters of each width
 EMBED = 8                # embedding size
 PER_LANG = 500           # training texts of a language
-SAMPLE_CHARS = 1500      # of a training text
+SAMPLE_CHARS = 1500      # of a training text, from a place that its hash picks
 DRAWS = 1 << 40          # steps of the sampling rate
 EPOCHS = 4
 BATCH = 64
@@ -223,18 +223,24 @@ def learn(docs: DataFrame) -> ByteCnn:
 
     The sample is drawn by a hash of the text at a rate that yields about
     ``PER_LANG`` texts of each language. The rate follows the language's
-    distinct texts, so copies of a text count once.
+    distinct texts, so copies of a text count once. Of a text that is longer than
+    ``SAMPLE_CHARS`` a stretch of that size teaches, from anywhere in it (from
+    its first letter where the stretch holds none).
     """
+    places = F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit(1), "text"), places).cast("int") + 1
+    stretch = F.substring(F.col("text"), start, F.lit(SAMPLE_CHARS))
+    first = F.regexp_extract("text", rf"\p{{L}}[\s\S]{{0,{SAMPLE_CHARS - 1}}}", 0)
     usable = (docs.where("lang is not null and text is not null").where(~is_held_out())
-              .select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
-              .where(F.col("t").rlike(r"\p{L}")))
+              .where(F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"), "text"))
+    taught = F.when(stretch.rlike(r"\p{L}"), stretch).otherwise(first)
     counts = usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not counts:
         return train([], [])
     rates = docs.sparkSession.createDataFrame(
         [(r["lang"], min(DRAWS, -(-PER_LANG * DRAWS // r["n"]))) for r in counts], "lang string, rate long")
     rows = (usable.join(F.broadcast(rates), "lang").where(F.pmod("h", F.lit(DRAWS)) < F.col("rate"))
-            .groupBy("lang", "h").agg(F.min("t").alias("t")).collect())
+            .select("lang", "h", taught.alias("t")).groupBy("lang", "h").agg(F.min("t").alias("t")).collect())
     rows.sort(key=lambda r: (r["h"], r["lang"]))
     return train([r["t"] for r in rows], [r["lang"] for r in rows])
 
