@@ -29,6 +29,7 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("contact", "number")
 MIN_DIGITS = 7
 ROUNDS = 60                 # of expectation-maximisation
+FEW = 64                    # base spans of a text that are compared one by one
 
 # Fixed patterns of the base kinds. Possessive forms: a failing long run costs
 # its length once; (?:\G|(?<!..)) lets a match start at the begin of a run or
@@ -193,6 +194,21 @@ def span_weights(counts: dict[tuple[int, int], int]) -> tuple[float, list[dict[i
     return bias, weights
 
 
+def _overlaps(spans: Column, c: Column) -> Column:
+    """Does ``c`` touch any of the sorted, disjoint ``spans``? A binary search
+    for the first one that ends behind ``c``'s start."""
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        behind = F.get(spans, middle)["end"] > c["start"]
+        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(
+            F.when(behind, at["lo"]).otherwise(middle + 1).alias("lo"),
+            F.when(behind, middle).otherwise(at["hi"]).alias("hi")))
+
+    whole = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(32)), whole, halve, lambda at: F.get(spans, at["lo"]))
+    return F.coalesce(first["start"] < c["end"], F.lit(False))
+
+
 def find(docs: DataFrame) -> DataFrame:
     """Personal data of ``docs(doc_id, text, ...)``: ``doc_id, base, added``.
 
@@ -217,8 +233,16 @@ def find(docs: DataFrame) -> DataFrame:
             total = total + part
         return total
 
-    fresh = F.filter("candidates", lambda c: (score(c["features"]) > 0) & ~F.exists(
-        "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    of_kind = lambda i: lambda b: b["kind"] == i
+    by_kind = [F.filter("base", of_kind(i)) for i in range(len(BASE))]
+    rows = rows.withColumn("__sorted", F.when(F.size("base") > FEW, F.array(*by_kind)))
+
+    def touches(c: Column) -> Column:
+        some = F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        return F.when(F.col("__sorted").isNull(), some).otherwise(
+            F.exists("__sorted", lambda spans: _overlaps(spans, c)))
+
+    fresh = F.filter("candidates", lambda c: (score(c["features"]) > 0) & ~touches(c))
     return rows.select("doc_id", "base", F.transform(
         fresh, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))).alias("added"))
 
