@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maillens.llm.common import GOLD, mix, staged, text_blocks, tidy
+from maillens.llm.common import GOLD, mix, release, staged, text_blocks, tidy
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -528,13 +528,13 @@ def align(df: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) -> DataFram
     passed = [i for i in range(len(names)) if i != text_at]
     fields = [f"`{df.schema[i].name}` {df.schema[i].dataType.simpleString()}" for i in passed]
     own_fields = [f"{n} {t}" for n, t in _RUN + _FOUND]
-    spilled, _ = staged(df.mapInArrow(partial(_align, a_path, b_path, text_at, passed),
+    spilled, run_path = staged(df.mapInArrow(partial(_align, a_path, b_path, text_at, passed),
                                       ", ".join(fields + own_fields)), "token-runs")
     runs = spilled.where("__radix is not null").select("__set", "__radix", "__links", "__head", "__body")
     heavy = runs.groupBy("__radix").agg(F.sum("__links").alias("n"), F.count("*").alias("sets")).collect()
     salts = df.sparkSession.createDataFrame(                            # at most RADIXES rows
         [(r["__radix"], -(-r["n"] // GROUP)) for r in heavy], "__radix int, __salts long")
-    counted, _ = staged(pair_counts(runs, max([r["sets"] for r in heavy], default=0)), "token-pairs")
+    counted, pair_path = staged(pair_counts(runs, max([r["sets"] for r in heavy], default=0)), "token-pairs")
     counts = (counted.join(F.broadcast(salts), "__radix")
               .select("__radix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1)).alias("__salt"),
                       F.lit(None).cast("long").alias("__set"), "__head", F.lit(None).cast("binary").alias("__body")))
@@ -545,7 +545,9 @@ def align(df: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) -> DataFram
               .mapInArrow(_shares, "__set long, __body binary"))
     docs = spilled.where("__radix is null").drop("__radix", "__links", "__head", "__body")
     keep = [names[i] for i in passed] + [n for n, _ in _FOUND]
-    return (docs.unionByName(shares, allowMissingColumns=True).repartition(_parts(df), "__set")
-            .sortWithinPartitions("__set", F.col("__place").asc_nulls_first())
-            .mapInArrow(partial(_add_shares, keep),
-                        ", ".join([*fields, *[f"{n} {t}" for n, t in _FOUND], "n_best long, count_sum long"])))
+    out, _ = staged(docs.unionByName(shares, allowMissingColumns=True).repartition(_parts(df), "__set")
+                    .sortWithinPartitions("__set", F.col("__place").asc_nulls_first())
+                    .mapInArrow(partial(_add_shares, keep), ", ".join(
+                        [*fields, *[f"{n} {t}" for n, t in _FOUND], "n_best long, count_sum long"])), "aligned")
+    release(df.sparkSession, run_path, pair_path)
+    return out
