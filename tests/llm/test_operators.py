@@ -7,7 +7,9 @@ import os
 import random
 import re
 import sys
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ sys.path.insert(0, ROOT)
 import corpus_pipeline  # noqa: E402
 from maillens.llm import (  # noqa: E402
     chat,
+    common,
     decontam,
     imatch,
     langid,
@@ -83,6 +86,28 @@ def test_merge_dropout_is_the_model_without_dropout():
     assert len(drawn) == 5 and tuple(sp.encode(some)) not in drawn
 
 
+def test_every_occurrence_has_its_own_draw(spark):
+    """Against the agenda, word by word; equal texts and repeated words vary."""
+    vocab = mergedrop.load(mergedrop.MODEL)
+    text = "the international information about segmentation\n  of indented words " * 12
+    rows = [(i, text) for i in range(200)] + [(900, "x" * 300 + " international")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.ids for r in mergedrop.encode(df, dropout=0.2, seed=3).collect()}
+    draws = {r.doc_id: r.d for r in df.select("doc_id", F.xxhash64(F.lit(3), "doc_id").alias("d")).collect()}
+    for i in (0, 1, 199, 900):
+        words = mergedrop._WORDS.findall(" " + dict(rows)[i])
+        keys = mergedrop.word_keys(np.array([draws[i]]), np.array([len(words)]))
+        parts = [mergedrop.segment(w, vocab, 0.2, int(k)) for w, k in zip(words, keys, strict=True)]
+        assert got[i] == [x for p in parts for x in p]
+        if i < 900:
+            assert len({tuple(p) for w, p in zip(words, parts, strict=True) if w == " international"}) > 2
+    assert len({tuple(got[i]) for i in range(200)}) == 200
+    other = {r.doc_id: r.ids for r in mergedrop.encode(df, dropout=0.2, seed=4).collect()}
+    assert all(other[i] != got[i] for i in range(200))
+    plain = mergedrop.encode(df, dropout=0.0).where("doc_id < 2").collect()
+    assert plain[0].ids == plain[1].ids
+
+
 def test_merge_dropout_round_trip(spark):
     tricky = [(100 + i, t, "x", "y", 0) for i, t in enumerate(["▁ ▁▁", "a\u2581b", "\u00a0é\r\n", "\U0001f600 ok"])]
     df = odd(spark, "ids", "decoded", "__stream_").union(
@@ -121,6 +146,61 @@ def test_imatch_next_document_and_likeness(spark):
     assert got[rows[5][0]].fingerprint == got[rows[5][0] + 1_000_000].fingerprint
 
 
+def test_imatch_ranges_follow_the_rows(spark):
+    """One far outlier does not put all other documents into one range."""
+    ids = [*range(0, 4000, 2), 1 << 50, -(1 << 40)]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    old, imatch.RANGE_ROWS = imatch.RANGE_ROWS, 20
+    try:
+        ranged = imatch._ranged(df, "k").collect()
+        texts = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(None, "none")], "doc_id long, text string")
+        got = {r.doc_id: r.next_text for r in imatch.with_next(texts, "doc_id", ["text"]).collect()}
+    finally:
+        imatch.RANGE_ROWS = old
+    per = collections.Counter(r["__range"] for r in ranged)
+    assert max(per.values()) < 200 and len(per) > 50
+    by_key = sorted((r["k"], r["__range"]) for r in ranged)
+    assert [r for _, r in by_key] == sorted(r for _, r in by_key)
+    order = sorted(ids, reverse=True)
+    for a, b in zip(order, order[1:], strict=False):
+        assert got[a] == f"text {b}"
+    assert got[order[-1]] == "none" and got[None] == f"text {order[0]}"
+
+
+def test_imatch_fingerprints_by_brute_force(spark, documents):
+    """Subset hashes, fingerprints and likeness from sets of terms in Python;
+    Spark gives the hash function alone."""
+    docs = documents.select("doc_id", "text")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = {r.doc_id: r for r in imatch.fingerprints(docs).collect()}
+    lex = set(imatch.lexicon(docs.select("text")))
+    split = lambda t: {w for w in re.split(r"[\s!-/:-@\[-`{-~]+", t.lower()) if w}
+    pick = sorted(text)[:40]
+    both = [text[i] for i in pick] + [found[i].edited_text for i in pick]
+    words = sorted({w for t in both for w in split(t)})
+    bits = sorted({b for b, _ in imatch.SUBSETS})
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select(
+        "w", F.xxhash64("w").alias("h"), *[F.xxhash64(F.lit(b), F.xxhash64("w")).alias(f"b{b}") for b in bits]).collect()
+    h = {r.w: r for r in rows}
+    jobs = []
+    for t in both:
+        mine = split(t)
+        band = sorted((h[w] for w in mine if h[w].h in lex), key=lambda r: r.h)
+        parts = [[r.h for r in band if (r[f"b{b}"] >> (16 + b * k)) & ((1 << b) - 1) == 0] for b, k in imatch.SUBSETS]
+        rest = [] if any(parts) else [sorted(h[w].h for w in mine)]
+        jobs.append((parts, rest))
+    flat = [(i, j, p) for i, (parts, rest) in enumerate(jobs) for j, p in enumerate(parts + rest) if p or j == len(parts)]
+    hashed = {(r.i, r.j): r.x for r in spark.createDataFrame(flat, "i int, j int, p array<long>").select(
+        "i", "j", F.xxhash64("p").alias("x")).collect()}
+    prints = [[hashed.get((i, j)) for j in range(len(imatch.SUBSETS) + 1)] for i in range(len(both))]
+    shown = lambda p: ".".join("-" if x is None else f"{x & 0xFFFFFFFFFFFFFFFF:016x}" for x in p)
+    for n, i in enumerate(pick):
+        one, other = prints[n], prints[n + len(pick)]
+        assert found[i].fingerprint == shown(one) and found[i].edited_fingerprint == shown(other)
+        pairs = [(x, y) for x, y in zip(one, other, strict=True) if x is not None or y is not None]
+        assert abs(found[i].near_edited - (sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0)) < 1e-12
+
+
 def test_imatch_lexicon_and_hashes_by_brute_force(spark, documents):
     terms = {r.doc_id: {t for t in re.split(r"[\s!-/:-@\[-`{-~]+", r.text.lower()) if t} for r in documents.collect()}
     df = collections.Counter(t for s in terms.values() for t in s)
@@ -253,6 +333,40 @@ def test_pii_added_spans_and_edges(spark):
     assert pii.find(empty(spark)).count() == 0
 
 
+def test_matches_of_one_text_cost_what_they_are_worth(spark):
+    """100,000 matches in one text, and marks that stand in a text itself."""
+    pattern = r"[a-z0-9]+@[a-z]+"
+    long = "é " + " ".join(f"u{i}@x" if i % 5 else "漢" for i in range(125_000))
+    marked = "".join(common._MARKS)
+    texts = [long, "", "none", "a@b", "a@bc@d", f"{marked[0]}a@b {marked[:2]} c@d", f"{marked} a@b z {marked}c@d{marked}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    t0 = time.time()
+    got = {r.i: [(m.start, m.end, m.text, m.before, m.after) for m in r.m]
+           for r in df.select("i", common.matches(F.col("t"), pattern).alias("m")).collect()}
+    assert time.time() - t0 < 60
+    for i, text in enumerate(texts):
+        found, want, last = list(re.finditer(pattern, text)), [], 0
+        for k, m in enumerate(found):
+            until = found[k + 1].start() if k + 1 < len(found) else len(text)
+            want.append((m.start(), m.end(), m.group(), text[last:m.start()][-40:], text[m.end():until][:1]))
+            last = m.end()
+        assert got[i] == want, i
+
+
+def test_pii_spans_of_a_long_list(spark, monkeypatch):
+    """Many base spans in one text: searched, not compared one by one."""
+    text = " ".join(f"user{i}@mail{i % 50}.com +1 555 010 {1000 + i} @x{i}@y 12 34 56 78{i}" for i in range(2000))
+    rows = [(1, text), (2, "odd @a@b 1 2 3 4 5 6 7 8 and c@d.org"), (3, None)] + [
+        (10 + i, f"mail me{i}@x.com or 1234567{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = lambda: {r.doc_id: (r.base, r.added) for r in pii.find(df).collect()}
+    searched = spans()
+    monkeypatch.setattr(pii, "FEW", 0)
+    assert spans() == searched
+    monkeypatch.setattr(pii, "FEW", 1 << 20)
+    assert spans() == searched and len(searched[1][0]) >= 4000
+
+
 def test_pii_reliabilities_follow_the_better_labelers():
     # labeler 0 is always right, labeler 5 votes at random
     counts = collections.Counter()
@@ -389,6 +503,26 @@ def test_url_words_split_names_and_find_spam(spark):
     assert all(judge.log_odds(words.tokens(h, "/en/1")) <= 0 for h in good)
 
 
+def test_url_words_and_odds_against_one_model_in_one_place(spark):
+    """Distributed counts give the words and odds of the whole model; a rare and
+    a very long word, a hot host, numbers and letters beyond ASCII are in it."""
+    long_word = "abcdefghijklmnopqrstuvw"
+    html = [f"<p>rareword {long_word} straße straße</p>"] + ["<a>common words here and there</a>"] * 40 + [None]
+    hosts = ["rarewordcommon.example.com", f"{long_word}here.net", "straßewords.de", "casinowin.com", "x1y2.net"]
+    urls_ = [f"http://{hosts[i % 5]}/en/{i}/cheappills" for i in range(30)] + ["http://www.hot.com/"] * 60 + [None, "none"]
+    rows = [(i, u, html[i % len(html)]) for i, u in enumerate(urls_)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words, judge = urls.fit(pages)
+    got = {r.page_id: r for r in urls.judge_urls(pages).collect()}
+    assert len(got) == len(rows)
+    for i, u, _ in rows:
+        tokens = words.tokens(got[i].host, got[i].path)
+        assert got[i].words == " ".join(tokens)
+        assert abs(got[i].log_odds - judge.log_odds(tokens)) < 1e-9
+    assert got[0].words.startswith("rareword common example com") and got[1].words.startswith(f"{long_word} here")
+    assert got[2].words.startswith("straße words")
+
+
 # ------------------------------------------------------------------ 7
 
 
@@ -477,6 +611,26 @@ def test_language_sample_follows_distinct_texts_of_every_language(spark, monkeyp
     assert len(taught) == 71
 
 
+def test_training_takes_stretches_from_anywhere(spark, monkeypatch):
+    """Letters that come late in a text teach; a long text gives one stretch."""
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, langs: seen.update(zip(langs, texts, strict=True)))
+    late = "1 " * 5000 + "the only words of this text stand at its end"
+    mixed = "".join(f"<{i}>" + "word " * 20 for i in range(2000))
+    rows = [(1, late, "en"), (4, mixed, "de"), (5, "1 2 3", "fr"), (6, "short", "es")]
+    rows = [(i, t, lang) for i, t, lang in rows]
+    langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").where(~langid.is_held_out())
+                 .select(F.lit(1).alias("doc_id"), "text", "lang"))
+    assert set(seen) <= {"en", "de", "es"} and "fr" not in seen and len(seen) >= 2
+    if "en" in seen:
+        assert "words" in seen["en"]
+    for lang, text in (("en", late), ("de", mixed), ("es", "short")):
+        if lang in seen:
+            assert seen[lang] in text and len(seen[lang]) <= langid.SAMPLE_CHARS
+    if "de" in seen:
+        assert not mixed.startswith(seen["de"])
+
+
 def test_language_edges(spark):
     df = odd(spark, "lang_pred", "score")
     got = {r.doc_id: r for r in langid.predict(df, langid.learn(df)).collect()}
@@ -527,6 +681,33 @@ def test_chat_windows_keep_their_budget(spark):
     assert sum(len(r.loss) for r in out) == 100
 
 
+def test_every_window_keeps_one_budget(spark):
+    """Short, long and oversized system turns; null and repeated turn numbers."""
+    rnd = random.Random(7)
+    rows = []
+    for conv, system in enumerate((10, 1500, 2040, 2200, 6000)):
+        rows.append((conv, 0, "system", "s" * 4 * (system - 4)))
+        rows += [(conv, None if conv == 1 else 1 + t // 3, "user" if t % 2 else "assistant",
+                  "x" * rnd.choice((5, 300, 2000, 9000, 12_000))) for t in range(60)]
+    rows += [(9, 0, "assistant", "y" * 40_000), (9, 1, "user", "end")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.windows(df.repartition(4)).collect()
+    own = {}
+    for r in chat.read_back(spark.createDataFrame(out)).collect():
+        own[r.conv_id, r.start] = r.turns
+    for r in out:
+        if r.n_tokens > chat.BUDGET:
+            assert r.repeated == 0 and len(own[r.conv_id, r.start]) == 1
+    later = [r for r in out if r.start > 0 and r.conv_id < 5]
+    assert all(r.text.startswith("<|system|>") for r in later if r.conv_id in (0,)) and later
+    assert not any(r.text.startswith("<|system|>") for r in later if r.conv_id in (3, 4))
+    assert any(r.text.startswith("<|system|>") for r in later if r.conv_id == 2)
+    for conv in {r[0] for r in rows}:
+        mine = sorted((-1 if t is None else t, role, text) for c, t, role, text in rows if c == conv)
+        got = [(t.role, t.text) for key in sorted(own) if key[0] == conv for t in own[key]]
+        assert got == [m[1:] for m in mine]
+
+
 def test_escape_is_reversible_and_hides_control_strings(spark):
     rnd = random.Random(2)
     parts = ["<", "[", "\\", "/", "s>", "INST]", "|", "a", "</s>", "[/INST]"]
@@ -554,6 +735,50 @@ def test_line_templates(spark):
         assert got[d].text == text[d].split("\n")[1]
 
 
+def dropped(spark, rows):
+    got = logtree.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: r.n_dropped for r in got}
+
+
+def test_a_long_line_recurs_from_two_documents_on(spark):
+    words = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    assert dropped(spark, [(1, f"own start\n{words}"), (2, f"{words}\nother end")]) == {1: 0, 2: 1}
+    short = [(d, f"just five words in here\n{'x' * (d + 1)} {'y' * (d + 1)}") for d in range(3)]
+    assert dropped(spark, short[:2]) == {0: 0, 1: 0} and dropped(spark, short) == {0: 0, 1: 1, 2: 1}
+    single = [(d, f"Menu\n{'x' * (d + 1)} {'y' * (d + 1)}") for d in range(10)]
+    assert set(dropped(spark, single[:9]).values()) == {0}
+    assert dropped(spark, single) == {d: int(d > 0) for d in range(10)}
+
+
+def test_rows_of_numbers_are_no_template(spark):
+    rows = [(1, "10 20 30"), (2, "99 88 77"), (3, "5.5 6.6 7.7"), (4, "1 of 2"), (5, "3 of 4"), (6, "5 of 6")]
+    assert set(dropped(spark, rows).values()) == {0}
+    same = [(d, "10 20 30") for d in range(3)]
+    assert dropped(spark, same) == {0: 0, 1: 1, 2: 1}
+
+
+def test_templates_do_not_depend_on_what_shares_their_leaf(spark):
+    named = [(d, f"this notice was sent to {w} on behalf of us") for d, w in enumerate(["anna", "bert", "carl", "dora"])]
+    pairs = [(20 + d, f"this notice was sent by {w} some days ago and kept") for d, w in enumerate(
+        ["ann lee", "bob ray", "cy orr"])]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice(letters) for _ in range(6))
+    other = [(100 + d, "this notice was " + " ".join(word() for _ in range(7))) for d in range(12)]
+    many = [(1000 + d, "this notice was " + " ".join(word() for _ in range(7))) for d in range(800)]
+    want = {0: 0, 1: 1, 2: 1, 3: 1, 20: 0, 21: 1, 22: 1}
+    for rows in (named + pairs, named + pairs + other, named + pairs + other + many):
+        got = dropped(spark, rows)
+        assert {d: n for d, n in got.items() if d < 100} == want
+        assert all(n == 0 for d, n in got.items() if d >= 100)
+
+
+def test_a_very_long_line_has_variants_too(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(30_000)]
+    rows = [(d, " ".join([*words[:20_000], f"own{chr(97 + d)}", *words[20_000:]])) for d in range(3)]
+    assert dropped(spark, rows) == {0: 0, 1: 1, 2: 1}
+
+
 def test_line_edges(spark):
     df = odd(spark, "n_lines", "leaf", "gone", "pos")
     got = logtree.drop_recurring_lines(df).collect()

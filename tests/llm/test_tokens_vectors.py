@@ -230,7 +230,8 @@ def test_hard_negatives_leave_out_odd_rows(spark):
 def test_hard_negatives_query_reads_odd_components(spark, tmp_dir):
     nan, inf = float("nan"), float("inf")
     rows = [(0, 3, [0.5, 0.25]), (50, 0, [0.5, 0.3]), (1, 4, [0.4, 0.2]), (2, 4, [nan, 0.2]), (3, 4, [inf, 0.2]),
-            (4, 4, [0.4, None]), (5, None, [0.4, 0.2]), (6, 4, None), (8, 0, [-0.001, 0.9]), (9, 0, [0.3, 0.3])]
+            (4, 4, [0.4, None]), (5, None, [0.4, 0.2]), (6, 4, None), (8, 0, [-0.001, 0.9]), (9, 0, [0.3, 0.3]),
+            (14, 2 ** 31 - 1, [0.3, 0.2])]
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(
         f"{tmp_dir}/embeddings.parquet")
     got = sorted(tuple(r[c] for c in MINED) for r in Q.op12_angular_negatives(spark, tmp_dir).collect())
