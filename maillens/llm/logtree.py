@@ -26,15 +26,15 @@ from maillens.llm.common import bound, release, rows_of, staged
 DEPTH = 3           # leading tokens in the tree
 VARIABLE = 0.3      # share of the tokens behind them that may be variable words
 #: Documents from which on a line of at least so many tokens recurs.
-RECURS = ((8, 2), (3, 3), (1, 10))
+RECURS = ((51, 2), (3, 3), (1, 10))
 
 _MASK = "<*>"
 ONE, TWO = (next(n for n in range(1, 100) if w <= VARIABLE * n) for w in (1, 2))   # open tokens for one or two fields
 
 
-def needed(tokens: Column) -> Column:
+def needed(tokens: Column, recurs: tuple[tuple[int, int], ...] = RECURS) -> Column:
     out = F.lit(None).cast("int")
-    for least, docs in reversed(RECURS):
+    for least, docs in reversed(recurs):
         out = F.when(tokens >= least, docs).otherwise(out)
     return out
 
@@ -101,8 +101,9 @@ def _members(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return members
 
 
-def drop_recurring_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with recurring template lines taken out of ``text``.
+def drop_recurring_lines(docs: DataFrame, recurs: tuple[tuple[int, int], ...] = RECURS) -> DataFrame:
+    """``docs`` with recurring template lines taken out of ``text``; ``recurs``
+    lists (least tokens, documents), longest first, shorter lines always stay.
 
     Adds ``n_lines`` and ``n_dropped`` (long) after the input's columns
     (columns of those names are replaced); needs ``doc_id`` and ``text``, other
@@ -126,7 +127,7 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     recurring, _ = staged(
         per_doc.groupBy("leaf", "tail")
         .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("tokens").alias("tokens"))
-        .where(F.col("n_docs") >= needed(F.col("tokens"))).select("leaf", "tail", "first_doc"), "recurring")
+        .where(F.col("n_docs") >= needed(F.col("tokens"), recurs)).select("leaf", "tail", "first_doc"), "recurring")
     gone, _ = staged(
         keyed.join(recurring, ["leaf", "tail"]).where("doc_id != first_doc")
         .select(F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key"), "pos")
