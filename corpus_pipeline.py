@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from maillens.llm import decontam, langid, logtree, mergedrop, superminhash
 from maillens.llm.common import release, staged, table
 
+#: Here a line recurs from three documents on, whatever its length: pairs of copies
+#: must reach the near-duplicate stage whole (it then takes one of them).
+LINES = ((3, 3),)
 KEPT = 0.999           # share of rightly predicted held-out documents that reach the least score
 
 
@@ -44,7 +47,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring template lines are cut out of the texts; a document that
     consisted of nothing else goes. ``n_chars`` follows the text. Rows that
     repeat a doc_id count as one document; a null text or doc_id stays."""
-    cut = logtree.drop_recurring_lines(docs)
+    cut = logtree.drop_recurring_lines(docs, LINES)
     left = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return left.withColumn("n_chars", n_chars).select(*docs.columns) if "n_chars" in docs.columns else (
