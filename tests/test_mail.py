@@ -128,3 +128,36 @@ def test_write_result(spark, tmp_dir, nested):
     S.write_result(df, path)
     fmt = "json" if nested else "csv"
     assert any(f.endswith(fmt) for f in os.listdir(path))
+
+
+def test_one_file_per_mail_and_each_expression_once(spark, tmp_dir):
+    """The tree has a file per mail, equal mails too, and no process is started
+    per file; a mail's header and newlines are worked out once."""
+    path = os.path.join(tmp_dir, "tree")
+    mails = [("a/b", "From: a@x\n\none"), ("a/b", "From: a@x\n\none"), ("c", "From: b@x\n\n\u00e9 two"), (None, None)]
+    S.write_mail_tree(spark.createDataFrame(mails, "box string, raw string"), path, partitions=2)
+    back = S.read_mail_tree(spark, path).collect()
+    assert sorted(r.raw for r in back) == sorted((raw or "") + "\n" for _, raw in mails)
+    assert sorted(d for d in os.listdir(path) if d[0] != "_" and d[0] != ".") == [
+        "box=__HIVE_DEFAULT_PARTITION__", "box=a%2Fb", "box=c"]
+    assert not any(f.endswith(".crc") for _, _, files in os.walk(os.path.join(path, "box=c")) for f in files)
+    plan = S.parse_mails(spark.createDataFrame([("x",)], "raw string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(S.M.HEADER_LINES) == 1 and "translate(" not in plan
+
+
+def test_compressed_lines_are_the_same_lines(spark, tmp_dir):
+    parsed = S.parse_mails(spark.createDataFrame(list(enumerate(CASES)), "id int, raw string"))
+    rows = []
+    for name, codec in (("plain", None), ("packed", "lz4")):
+        path = os.path.join(tmp_dir, name)
+        S.write_messages(parsed, path, mode="overwrite", compression=codec)
+        rows.append(sorted(tuple(r) for r in S.read_messages(spark, path).collect()))
+        assert any(f.endswith(".lz4") for f in os.listdir(path)) == (codec == "lz4")
+    assert rows[0] == rows[1]
+
+
+def test_fields_around_their_separators(spark):
+    lines = ["", "*", "a**", "*b*", "**c", "a*b", "\u00e9*\u00fc*x*y*", None]
+    rows = S.split_message_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    want = [tuple((x.split("*", 2) + [None, None])[:3]) if x is not None else (None,) * 3 for x in lines]
+    assert [tuple(r) for r in rows] == [(a, b, c or "") for a, b, c in want]
