@@ -123,3 +123,22 @@ def test_large_person_table_path_with_a_hot_address(spark):
     plan = T.traffic_counts(m, p, small=False)._jdf.queryExecution().optimizedPlan().toString()
     # mails are aggregated to pairs below every join
     assert plan.index("Join") < plan.rindex("Aggregate [sender") and "broadcast" not in plan
+
+
+def test_aggregated_counts_run_once_without_a_broadcast(spark, monkeypatch):
+    """Rows that are one per key need no search for hot keys, which runs the plan once more."""
+    from maillens.operators import joins as J
+
+    def never(*args, **kw):
+        raise AssertionError("an extra run")
+    monkeypatch.setattr(J, "hot_keys", never)
+    m, p = frames(spark)
+    want = brute()
+    got = {r.email: tuple(r)[1:] for r in T.traffic_counts(m, p, small=False).collect()}
+    assert got == {e: c for e, c in want.items() if any(c)}
+    assert {r.email: r.n_to_poi for r in T.sent_to_poi(m, p, small=False).collect()} == {
+        e: c[3] for e, c in want.items() if c[0]}
+    assert {r.email: r.n_from_poi for r in T.received_from_poi(m, p, small=False).collect()} == {
+        e: c[2] for e, c in want.items() if c[2]}
+    assert {r.email: r.n_received for r in T.mails_received(m, p, small=False).collect()} == {
+        e: c[1] for e, c in want.items() if c[1]}
