@@ -41,6 +41,7 @@ UNIT = 1 << 20          # parts of one that weights and counts are kept in
 REFRESH = 5             # rounds after which the document counts are written
 SALT = "topics:"
 PRIME = (1 << 31) - 1   # of the start hash
+CELLS = 1 << 14         # of the documents worked on together in a task
 ETA = 1.1               # Spark ML's default topic concentration of EM
 
 
@@ -84,6 +85,25 @@ def _docs(pdf: pd.DataFrame) -> _Docs:
     return _Docs(flat("terms"), flat("units"), np.repeat(np.arange(len(pdf)), size), len(pdf))
 
 
+def _slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch in runs of documents of about ``CELLS`` cells, so that a task's
+    arrays (cells x topics) do not grow with the batch."""
+    ends = pdf["terms"].map(len).to_numpy().cumsum()
+    cuts = np.flatnonzero(np.diff(ends // CELLS)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(pdf)], strict=True):
+        if b > a:
+            yield pdf.iloc[a:b].reset_index(drop=True)
+
+
+def _add_by_term(total: np.ndarray, term: np.ndarray, got: np.ndarray) -> None:
+    """``total[term] += got`` with repeated terms added up (whole numbers)."""
+    if len(term):
+        order = np.argsort(term, kind="stable")
+        at = term[order]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        total[at[first]] += np.add.reduceat(got[order], first, axis=0)
+
+
 def _start(docs: _Docs, seed: np.ndarray, k: int) -> np.ndarray:
     x = (seed[docs.doc][:, None] + 65537 * (docs.term[:, None] + 1) + 40503 * np.arange(1, k + 1)[None, :]) % PRIME
     x = (x * x + 11) % PRIME
@@ -122,13 +142,13 @@ def _term_sums(k: int, size: int, history: list[np.ndarray] | None):
     round that follows the history's rounds."""
     def run(batches: Iterator[pd.DataFrame]) -> np.ndarray:
         total = np.zeros((size, k), np.int64)
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in _slices(batch)):
             docs = _docs(pdf)
             if history is None:
                 got = _start(docs, pdf["seed"].to_numpy(), k)
             else:
                 got = _step(docs, _by_doc(pdf, docs, k, history[:-1]), history[-1])
-            np.add.at(total, docs.term, got)
+            _add_by_term(total, docs.term, got)
         return total
     return run
 
@@ -136,8 +156,8 @@ def _term_sums(k: int, size: int, history: list[np.ndarray] | None):
 def _with_counts(id_at: list[str], k: int, history: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pdf = batch.to_pandas()
-            held = _by_doc(pdf, _docs(pdf), k, history) if batch.num_rows else np.zeros((0, k), np.int64)
+            parts = [_by_doc(pdf, _docs(pdf), k, history) for pdf in _slices(batch.to_pandas())]
+            held = np.concatenate([np.zeros((0, k), np.int64), *parts])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in id_at] + [pa.array(list(held), pa.list_(pa.int64()))],
                 names=[*id_at, "held"])

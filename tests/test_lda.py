@@ -107,3 +107,16 @@ def test_planted_topics_are_found(spark):
     model = LDA.fit(cells(spark, rows, 5), WORDS, K, 30)
     block = np.array([[model.counts[4 * b:4 * b + 4, j].sum() for b in range(3)] for j in range(K)])
     assert sorted(block.argmax(axis=1).tolist()) == [0, 1, 2]
+
+
+def test_documents_in_slices_give_the_same_counts(spark, monkeypatch):
+    import pandas as pd
+
+    pdf = pd.DataFrame({"seed": range(60), "terms": [t for _, t, _ in corpus()],
+                        "units": [[LDA.UNIT] * len(t) for _, t, _ in corpus()]})
+    whole = LDA._term_sums(K, WORDS, None)([pdf])
+    monkeypatch.setattr(LDA, "CELLS", 10)
+    parts = list(LDA._slices(pdf))
+    assert len(parts) > 5 and sum(map(len, parts)) == len(pdf)
+    assert max(sum(map(len, p["terms"])) for p in parts) < 10 + 7
+    assert (LDA._term_sums(K, WORDS, None)([pdf]) == whole).all()
