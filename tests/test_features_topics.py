@@ -121,3 +121,46 @@ def test_topics_do_not_depend_on_file_splits(spark):
         got.append([(r.topic, list(r.termIndices)) for r in
                     TP.topic_table(TP.fit_lda(data, k=3, max_iter=3)).orderBy("topic").collect()])
     assert got[0] == got[1]
+
+
+def test_doc_features_count_before_the_join(spark, tmp_dir):
+    """Texts were shuffled for the join and read once per character class."""
+    import contextlib
+    import io
+    import re
+
+    from maillens.sources import fixtures as fx
+
+    texts = ["Ab 09.,\n@*#", "", None, "é😀Z z١Ａ\x00.", "x" * 70_000 + " 5"]
+    docs = [(i, t, 7 * i) for i, t in enumerate(texts)] + [(1, "a.", 9), (None, "b", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_dir}/documents.parquet")
+    labels = [(i, i % 2) for i in range(len(texts))] + [(4, 1), (99, 0), (None, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality long").write.parquet(f"{tmp_dir}/labels.parquet")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = fx.doc_features(spark, tmp_dir)
+        found = sorted(map(tuple, df.collect()))
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+    def counts(t):
+        return [None] * 9 if t is None else [len(t), *[sum(c in chars for c in t) for _, chars in fx.COUNTED_CLASSES]]
+
+    expected = [(d, q, n, *counts(t)) for d, t, n in docs for i, q in labels if d == i is not None]
+    assert sorted(expected) == found
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan.getvalue())
+    assert moved and not any("text#" in m for m in moved)
+
+
+def test_class_counts_of_a_slice(spark):
+    import pyarrow as pa
+
+    from maillens.sources import fixtures as fx
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["AAA", None, "b.1"]}).slice(1)
+    (out,) = fx._count_classes(iter([batch]))
+    assert out.to_pylist()[0]["n_lower"] is None
+    assert [out.to_pylist()[1][c] for c in ("doc_id", "n_upper", "n_lower", "n_digit", "n_stop")] == [3, 0, 1, 1, 1]

@@ -88,3 +88,58 @@ def test_batch_bits_decode_to_bucket_parity(spark):
     for t in iters:
         keep = LIN._in_batch(pdf, t)
         assert (keep == (pdf[f"p{t}"] == 0).to_numpy()).all(), t
+
+
+def test_few_rows_in_many_partitions_are_one_task_per_iteration(spark, monkeypatch):
+    """Each of the (up to 160) gradient jobs had a task per partition of the table."""
+    df, _, _, part = data(spark)
+    cached = df.repartition(40).persist()
+    seen = []
+    inner = LIN.sum_arrays
+    monkeypatch.setattr(LIN, "sum_arrays", lambda *a, **kw: (seen.append(a[3]), inner(*a, **kw))[1])
+    grid = [{"grid_index": 0, "iterations": 3, "step": 1.0, "reg_param": 0.0, "reg_type": None, "intercept": True}]
+    conf = LIN.cross_validate(spark, cached, "hinge", grid, ["a", "b", "c"], K).collect()
+    cached.unpersist()
+    assert sum(r.n for r in conf) == len(part)
+    assert seen == [1] * 4
+
+
+def test_block_tasks_follow_rows_and_cores():
+    assert LIN.block_tasks(0, 11, 12, 200) == 1
+    assert LIN.block_tasks(399, 11, 12, 200) == 1
+    assert LIN.block_tasks(1_600_000, 11, 12, 200) == 12
+    assert LIN.block_tasks(1_600_000, 11, 12, 5) == 5
+    assert LIN.block_tasks(10**9, 11, 12, 5000) == -(-10**9 * 88 // LIN.TASK_BYTES)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "hinge"])
+@pytest.mark.parametrize("missing", [False, True])
+def test_gradients_equal_the_plain_sum_over_rows(spark, kind, missing):
+    """Per part, mini-batch and intercept, also with converged models and with a
+    missing feature (its weight is undefined in every model)."""
+    df, x, y, part = data(spark)
+    if missing:
+        from pyspark.sql import functions as F
+
+        df = df.withColumn("b", F.when(F.col("key") == 7, None).otherwise(F.col("b")))
+        x = x.copy()
+        x[7, 1] = np.nan
+    P = K + 1
+    rng = np.random.default_rng(3)
+    W, active = rng.normal(size=(4 * P, 4)), rng.random(4 * P) > 0.3
+    has_bias = np.repeat([True, False, True, False], P)
+    W[~has_bias, -1] = 0.0
+    setup = LIN._Setup(kind, K, np.tile(np.arange(P), 4), np.repeat([False, False, True, True], P), has_bias)
+    with LIN.blocked(df, ["a", "b", "c"], 2) as blocks:
+        vec = LIN.sum_arrays(blocks, LIN._gradient_fn(setup, W, active, 2), W.size + len(W), LIN.partitions(blocks))
+    bits = {r.key: r.mb_0 for r in LIN.with_batch_bits(df, 2).select("key", "mb_0").collect()}
+    keep = np.array([bits[i] >> 1 & 1 == 0 for i in range(len(y))])
+    xb = np.hstack([x, np.ones((len(y), 1))])
+    margin, s = xb @ W.T, (2 * y - 1)[:, None]
+    coef = 1 / (1 + np.exp(-margin)) - y[:, None] if kind == "logistic" else np.where(s * margin < 1, -s, 0.0)
+    use = (active & (part[:, None] < K) & (part[:, None] != setup.model_part)
+           & (~setup.half | keep[:, None]))
+    G = (coef * use).T @ xb
+    G[~has_bias, -1] = 0.0
+    np.testing.assert_allclose(vec[:W.size].reshape(W.shape), G, rtol=1e-9, atol=1e-9)
+    assert vec[W.size:].tolist() == use.sum(axis=0).tolist()
