@@ -161,3 +161,57 @@ def test_header_of_many_files_is_one_aggregate(spark, tmp_dir):
     os.makedirs(empty)
     open(os.path.join(empty, "a.txt"), "w").close()
     assert S.first_line(spark, empty).collect() == []
+
+
+def test_rounds_write_every_row_once_and_a_bucket_in_one_file(spark, tmp_dir):
+    import glob
+
+    rows = spark.createDataFrame([(i % 90 if i % 7 else None, f"t{i}") for i in range(400)], "k long, t string")
+    path, seen = f"{tmp_dir}/rounds", []
+
+    def part(turn):
+        seen.append(rows.where(turn(F.col("k"))).withColumnRenamed("k", "msg_id"))
+        return seen[-1]
+    ST.write_bucketed_rounds(spark, part, path, "msg_id", 8, 3)
+    got = ST.read_bucketed(spark, path, "msg_id long, t string", "msg_id", 8)
+    key = lambda r: (r[0] is None, r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, rows.collect()), key=key)
+    assert len(seen) == 3 and sum(s.count() for s in seen) == 400 and all(s.count() for s in seen)
+    files = glob.glob(f"{path}/*.parquet")
+    assert len(files) == 8 and all(f.endswith(".zstd.parquet") for f in files)
+    other = f"{tmp_dir}/other"
+    ST.write_bucketed(rows.withColumnRenamed("k", "msg_id"), other, "msg_id", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = got.join(ST.read_bucketed(spark, other, "msg_id long, t string", "msg_id", 8), "msg_id")
+        assert "Exchange" not in plan_of(joined)
+        assert joined.count() == rows.join(rows.select("k"), "k").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_layout_of_the_mail_store():
+    from maillens.plans import mail_queries as Q
+
+    assert Q.store_layout(0) == Q.store_layout(150_000) == (Q.BUCKETS, 1)
+    for mails in (900_000, 9_000_000, 54_000_000):
+        buckets, rounds = Q.store_layout(mails)
+        assert rounds <= Q.ROUNDS and buckets >= Q.BUCKETS * rounds and buckets * Q.BUCKET_MAILS >= mails
+
+
+def test_mails_are_compacted_without_a_tree_of_all(spark, tmp_dir, monkeypatch):
+    import os
+
+    from maillens.plans import mail_queries as Q
+    from maillens.session import scratch_dir
+    from tests.test_mail import mail_tables
+
+    def files():
+        return sum(len(f) for _, _, f in os.walk(scratch_dir(spark).removeprefix("file:")))
+
+    monkeypatch.setattr(Q, "ROUND_MAILS", 150, raising=False)
+    sf_dir, before = mail_tables(spark, tmp_dir), files()
+    got = sorted(map(tuple, Q.q_compacted_mails(spark, sf_dir).collect()))
+    assert files() - before < 100                    # of 300 mails
+    assert got == sorted(map(tuple, Q.q_mail_scan(spark, sf_dir).collect())) and len(got) == 300
