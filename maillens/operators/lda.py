@@ -16,15 +16,18 @@ numbers come from, so that the same corpus always gives the same topics:
 
 A row holds a document's whole sparse vector, so the E-step needs no join: it
 runs inside each partition with the term counts (vocabulary x topics, a
-parameter's size) in the task closure. The M-step adds one integer array per
-partition (``partials.sum_arrays``). Document counts are not sent anywhere:
-they are recomputed from the term counts of the rounds since the last
-``REFRESH``, when they are written to the shared folder beside the cells.
+parameter's size) in the task closure. Once, the documents become blocks, a row
+with the cells of many of them as plain bytes; a round is one pass that turns
+blocks into blocks with the new document counts and gives one integer array per
+partition, which the M-step adds (``partials.add_rows``). So every cell is worked
+on once a round. A round's blocks are kept until the next stand, and written to
+the shared folder every ``REFRESH`` rounds, so that a lost executor costs no more
+than these.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,15 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillens.operators.partials import partitions, sum_arrays
+from maillens.operators.partials import add_rows, partitions
 from maillens.operators.selection import bucket
 from maillens.session import scratch_path
 
 UNIT = 1 << 20          # parts of one that weights and counts are kept in
-REFRESH = 5             # rounds after which the document counts are written
+REFRESH = 5             # rounds after which the blocks are written
 SALT = "topics:"
 PRIME = (1 << 31) - 1   # of the start hash
-CELLS = 1 << 14         # of the documents worked on together in a task
+CELLS = 1 << 12         # of the documents worked on together in a task, a block
 ETA = 1.1               # Spark ML's default topic concentration of EM
 
 
@@ -75,7 +78,7 @@ class _Docs:
         out = np.zeros((self.n, per_cell.shape[1]), np.int64)
         if len(self.doc):
             first = np.flatnonzero(np.concatenate(([True], self.doc[1:] != self.doc[:-1])))
-            out[self.doc[first]] = np.add.reduceat(per_cell, first, axis=0)
+            out[self.doc[first]] = np.add.reduceat(per_cell, first, axis=0)     # whole numbers
         return out
 
 
@@ -114,10 +117,13 @@ def _start(docs: _Docs, seed: np.ndarray, k: int) -> np.ndarray:
 
 def _step(docs: _Docs, by_doc: np.ndarray, by_term: np.ndarray) -> np.ndarray:
     """Weighted shares (cells x topics) from document counts and the
-    smoothed, normalised term counts."""
+    smoothed, normalised term counts: whole numbers, as floats."""
     k = by_term.shape[1]
-    share = by_term[docs.term] * (by_doc[docs.doc] / UNIT + (alpha(k) - 1.0))
-    return np.rint(docs.units[:, None] * (share / share.sum(axis=1)[:, None])).astype(np.int64)
+    share = by_term[docs.term]
+    share *= (by_doc / UNIT + (alpha(k) - 1.0))[docs.doc]
+    share /= share.sum(axis=1)[:, None]
+    share *= docs.units[:, None]
+    return np.rint(share, out=share)
 
 
 def _smoothed(counts: np.ndarray) -> np.ndarray:
@@ -125,42 +131,124 @@ def _smoothed(counts: np.ndarray) -> np.ndarray:
     return (counts / UNIT + (ETA - 1.0)) / (counts.sum(axis=0) / UNIT + len(counts) * (ETA - 1.0))
 
 
-def _by_doc(pdf: pd.DataFrame, docs: _Docs, k: int, history: list[np.ndarray]) -> np.ndarray:
-    """Document counts after the rounds in ``history``, from the written ones
-    or from the start."""
-    if "held" in pdf:
-        held = np.stack(pdf["held"].to_list()).astype(np.int64)
-    else:
-        held = docs.sums(_start(docs, pdf["seed"].to_numpy(), k))
-    for by_term in history:
-        held = docs.sums(_step(docs, held, by_term))
-    return held
+def _sums_by_term(docs: _Docs, got: np.ndarray, size: int) -> np.ndarray:
+    """(size x topics) sums of a block's shares; whole numbers, far below 2**53."""
+    k = got.shape[1]
+    at = (docs.term[:, None] * k + np.arange(k)).ravel()
+    return np.bincount(at, got.ravel(), size * k).astype(np.int64).reshape(size, k)
 
 
-def _term_sums(k: int, size: int, history: list[np.ndarray] | None):
-    """Term counts of one partition: of the start (no history), or of the
-    round that follows the history's rounds."""
+def _term_sums(k: int, size: int, keep: Callable[[pd.DataFrame, _Docs, np.ndarray], None] | None):
+    """Term counts of the start over pandas batches; ``keep`` is handed every
+    run of documents with its counts."""
     def run(batches: Iterator[pd.DataFrame]) -> np.ndarray:
         total = np.zeros((size, k), np.int64)
         for pdf in (part for batch in batches for part in _slices(batch)):
             docs = _docs(pdf)
-            if history is None:
-                got = _start(docs, pdf["seed"].to_numpy(), k)
-            else:
-                got = _step(docs, _by_doc(pdf, docs, k, history[:-1]), history[-1])
+            got = _start(docs, pdf["seed"].to_numpy(), k)
             _add_by_term(total, docs.term, got)
+            if keep is not None:
+                keep(pdf, docs, docs.sums(got))
         return total
     return run
 
 
-def _with_counts(id_at: list[str], k: int, history: list[np.ndarray]):
+# ---------------------------------------------------------------- blocks
+
+# A block's row (``ids`` first); the last row of a task has the ``total`` of its blocks instead.
+_BLOCK = ("seeds", "sizes", "terms", "units", "held")
+
+
+def _block_schema(cells_: DataFrame, id_col: str) -> str:
+    kind = cells_.schema[id_col].dataType.simpleString()
+    return f"ids array<{kind}>, {', '.join(f'{c} binary' for c in _BLOCK)}, task bigint, total binary"
+
+
+def _block_row(ids: pa.Array, *data: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
+    columns += [pa.array([d.tobytes()], pa.binary()) for d in data]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([None], pa.int64()), pa.array([None], pa.binary())],
+                                      names=["ids", *_BLOCK, "task", "total"])
+
+
+def _total_row(kind: pa.DataType, total: np.ndarray) -> pa.RecordBatch:
+    from pyspark import TaskContext
+
+    columns = [pa.array([None], pa.list_(kind)), *[pa.array([None], pa.binary()) for _ in _BLOCK]]
+    columns += [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["ids", *_BLOCK, "task", "total"])
+
+
+def _narrow(whole: np.ndarray, *kinds: type) -> np.ndarray:
+    """Whole numbers from 0 as the first of ``kinds`` that holds them."""
+    most = whole.max(initial=0)
+    return whole.astype(next(t for t in kinds if most <= np.iinfo(t).max))
+
+
+def _opened(batch: pa.RecordBatch, i: int) -> tuple[_Docs, np.ndarray]:
+    """A block's documents and their counts."""
+    sizes, terms, units, held = (batch.column(c)[i].as_buffer() for c in ("sizes", "terms", "units", "held"))
+    sizes = np.frombuffer(sizes, np.int32)
+    n = int(sizes.sum())
+    term = np.frombuffer(terms, np.uint16 if terms.size == 2 * n else np.int32).astype(np.int64)
+    unit = np.frombuffer(units, np.int32 if units.size == 4 * n else np.int64).astype(np.int64)
+    held = np.frombuffer(held, np.int64)
+    return _Docs(term, unit, np.repeat(np.arange(len(sizes)), sizes), len(sizes)), held.reshape(len(sizes), -1)
+
+
+def _first_blocks(k: int, size: int, id_col: str):
+    """Documents to blocks with the start's counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, kind = np.zeros((size, k), np.int64), pa.null()
+        for batch in batches:
+            ids, made = batch.column(id_col), []
+            kind = ids.type
+            total += _term_sums(k, size, lambda *run, made=made: made.append(run))([batch.to_pandas()])
+            at = 0
+            for pdf, docs, held in made:
+                sizes = np.bincount(docs.doc, minlength=docs.n).astype(np.int32)
+                yield _block_row(ids.slice(at, docs.n), pdf["seed"].to_numpy().astype(np.int64), sizes,
+                                 _narrow(docs.term, np.uint16, np.int32), _narrow(docs.units, np.int32, np.int64), held)
+                at += docs.n
+        if total.any():
+            yield _total_row(kind, total)
+    return run
+
+
+def _next_blocks(by_term: np.ndarray):
+    """Blocks with the counts that follow from ``by_term``."""
+    size, k = by_term.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, kind = np.zeros((size, k), np.int64), pa.null()
+        for batch in batches:
+            fresh = []
+            for i in range(batch.num_rows):
+                docs, held = _opened(batch, i)
+                got = _step(docs, held, by_term)
+                fresh.append(docs.sums(got).tobytes())
+                total += _sums_by_term(docs, got, size)
+            kind = batch.schema.field("ids").type.value_type
+            yield batch.set_column(batch.schema.get_field_index("held"), "held", pa.array(fresh, pa.binary()))
+        if total.any():
+            yield _total_row(kind, total)
+    return run
+
+
+def _documents(id_col: str):
+    """Blocks to one row per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = lambda ends, flat: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
         for batch in batches:
-            parts = [_by_doc(pdf, _docs(pdf), k, history) for pdf in _slices(batch.to_pandas())]
-            held = np.concatenate([np.zeros((0, k), np.int64), *parts])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in id_at] + [pa.array(list(held), pa.list_(pa.int64()))],
-                names=[*id_at, "held"])
+            for i in range(batch.num_rows):
+                docs, held = _opened(batch, i)
+                sizes = np.frombuffer(batch.column("sizes")[i].as_buffer(), np.int32)
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("ids")[i].values, pa.array(np.frombuffer(batch.column("seeds")[i].as_buffer(), np.int64)),
+                     lists(ends, pa.array(docs.term.astype(np.int32))), lists(ends, pa.array(docs.units)),
+                     lists(np.arange(docs.n + 1) * held.shape[1], pa.array(held.ravel()))],
+                    names=[id_col, "seed", "terms", "units", "held"])
     return run
 
 
@@ -184,32 +272,34 @@ class Topics:
         return self.docs.select(self.id_col, F.posexplode(share).alias("topic", "share"))
 
 
-def _held(cells_: DataFrame, k: int, history: list[np.ndarray], id_col: str) -> DataFrame:
-    """The documents with their counts, written to the shared folder."""
-    spark: SparkSession = cells_.sparkSession
-    keep = [id_col, "seed", "terms", "units"]
-    types = ", ".join(f"`{c}` {cells_.schema[c].dataType.simpleString()}" for c in keep)
+def _written(blocks: DataFrame) -> DataFrame:
+    """The blocks, read from where they are written in the shared folder."""
+    spark: SparkSession = blocks.sparkSession
     path = scratch_path(spark, "topic-counts")
-    cells_.mapInArrow(_with_counts(keep, k, history), f"{types}, held array<bigint>").write.parquet(path)
+    blocks.write.parquet(path)
     return spark.read.parquet(path)
 
 
 def fit(cells_: DataFrame, size: int, k: int, max_iter: int, id_col: str = "doc_id") -> Topics:
     """EM over ``cells``'s rows with terms 0 .. ``size`` - 1, ``max_iter``
-    rounds. One job per round; the rows are kept in memory in between."""
-    data = cells_.persist()
-    tasks = partitions(data)
-    counts = sum_arrays(data, _term_sums(k, size, None), size * k, tasks, np.int64).reshape(size, k)
-    history: list[np.ndarray] = []
-    for _ in range(max_iter):
-        if len(history) == REFRESH:
-            fresh = _held(data, k, history, id_col).persist()
-            data.unpersist()
-            data, tasks, history = fresh, partitions(fresh), []
-        history.append(_smoothed(counts))
-        counts = sum_arrays(data, _term_sums(k, size, history), size * k, tasks, np.int64).reshape(size, k)
-    docs = _held(data, k, history, id_col)
+    rounds. One job per round; a round's blocks are kept until the next stand."""
+    schema = _block_schema(cells_, id_col)
+
+    def kept(blocks: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        blocks = blocks.persist()
+        totals = blocks.where("total is not null").select("task", "total")
+        return blocks, add_rows(totals, size * k, partitions(blocks), np.int64).reshape(size, k)
+
+    data, counts = kept(cells_.mapInArrow(_first_blocks(k, size, id_col), schema))
+    for i in range(1, max_iter + 1):
+        fresh = data.where("total is null").mapInArrow(_next_blocks(_smoothed(counts)), schema)
+        fresh, counts = kept(_written(fresh) if i % REFRESH == 0 else fresh)
+        data.unpersist()
+        data = fresh
+    blocks = data if max_iter and max_iter % REFRESH == 0 else _written(data)
     data.unpersist()
+    kinds = ", ".join(f"`{c}` {cells_.schema[c].dataType.simpleString()}" for c in (id_col, "seed", "terms", "units"))
+    docs = blocks.where("total is null").mapInArrow(_documents(id_col), f"{kinds}, held array<bigint>")
     return Topics(counts, docs, id_col)
 
 

@@ -120,3 +120,35 @@ def test_documents_in_slices_give_the_same_counts(spark, monkeypatch):
     assert len(parts) > 5 and sum(map(len, parts)) == len(pdf)
     assert max(sum(map(len, p["terms"])) for p in parts) < 10 + 7
     assert (LDA._term_sums(K, WORDS, None)([pdf]) == whole).all()
+
+
+def test_a_cell_is_worked_on_once_a_round(monkeypatch):
+    """A round's blocks hold the document counts the next one starts from."""
+    import pyarrow as pa
+    import pyspark
+
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    monkeypatch.setattr(pyspark, "TaskContext", Context)
+    monkeypatch.setattr(LDA, "CELLS", 50)
+    rows = corpus()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _, _ in rows]), pa.array(range(60)), pa.array([t for _, t, _ in rows], pa.list_(pa.int32())),
+         pa.array([[LDA.UNIT << 12] * len(t) for _, t, _ in rows], pa.list_(pa.int64()))],
+        names=["doc_id", "seed", "terms", "units"])
+    step, seen = LDA._step, []
+    monkeypatch.setattr(LDA, "_step", lambda docs, *a: seen.append(len(docs.term)) or step(docs, *a))
+    state = list(LDA._first_blocks(K, WORDS, "doc_id")([batch]))
+    counts = np.frombuffer(state[-1].column("total")[0].as_py(), np.int64).reshape(WORDS, K)
+    assert len(state) > 4 and counts.sum() > 0
+    n_cells = sum(len(t) for _, t, _ in rows)
+    for i in range(7):
+        state = list(LDA._next_blocks(LDA._smoothed(counts))(state[:-1]))
+        counts = np.frombuffer(state[-1].column("total")[0].as_py(), np.int64).reshape(WORDS, K)
+        assert sum(seen) == (i + 1) * n_cells
+    docs = pa.Table.from_batches(LDA._documents("doc_id")(state[:-1])).to_pylist()
+    assert [(d["doc_id"], d["terms"]) for d in docs] == [(i, t) for i, t, _ in rows]
+    assert np.array([d["held"] for d in docs]).sum(axis=0).tolist() == counts.sum(axis=0).tolist()
+    assert {u for d in docs for u in d["units"]} == {LDA.UNIT << 12}
